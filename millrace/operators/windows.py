@@ -280,3 +280,12 @@ def exact_percentiles(df: DataFrame, keys: list[str], value: str, points: list[f
         .agg(F.max(F.when(inside(low), F.col(f"l.{value}"))).alias("_lo"), F.max(F.when(inside(high), F.col(f"l.{value}"))).alias("_hi"))
         .select(*keys, "point", (lo + (hi - lo) * (F.col("_spot") - low)).alias(name))
     )
+
+
+def chunked_lists(df: DataFrame, keys: list[str], order: list[str], value: str, size: int, name: str = "items",
+                  min_rows: int = HOT_ROWS) -> DataFrame:
+    """All values of a key in order, as arrays of at most ``size``: (key, chunk, items)."""
+    placed = running(df, keys, order, position="_pos", min_rows=min_rows)
+    chunk = F.floor((F.col("_pos") - 1) / size).cast("bigint")
+    lists = placed.groupBy(*keys, chunk.alias("chunk")).agg(F.sort_array(F.collect_list(F.struct("_pos", F.col(value).alias("v")))).alias("_l"))
+    return lists.select(*keys, "chunk", F.col("_l.v").alias(name))

@@ -192,10 +192,11 @@ def agg_collect_bag(t):
 
 
 @query("agg_collect_list", """
-SELECT o_custkey, list(o_orderkey ORDER BY o_orderkey) AS orders FROM orders GROUP BY o_custkey""")
+SELECT o_custkey, (rn - 1) // 4 AS chunk, list(o_orderkey ORDER BY o_orderkey) AS orders
+FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS rn FROM orders) GROUP BY ALL""")
 def agg_collect_list(t):
-    """The list itself is the wanted result; one customer's order keys fit in a cell."""
-    return t.orders.groupBy("o_custkey").agg(F.sort_array(F.collect_list("o_orderkey")).alias("orders"))
+    """Whole lists in chunks of a fixed length, so a hot key gives more rows and not a longer cell."""
+    return ow.chunked_lists(t.orders.select("o_custkey", "o_orderkey"), ["o_custkey"], ["o_orderkey"], "o_orderkey", 4, "orders")
 
 
 @query("agg_salted", """
