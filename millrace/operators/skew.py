@@ -11,6 +11,7 @@ from functools import reduce
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from millrace.functions.times import epoch_micros
 from millrace.session import task_slots
 
 HOT_ROWS = 2_000_000
@@ -63,7 +64,7 @@ def as_number(df: DataFrame, column: str) -> Column:
     kind = df.schema[column].dataType.typeName()
     c = F.col(column)
     if kind == "timestamp_ntz":
-        return F.unix_micros(F.to_timestamp_ltz(c)).cast("double")
+        return epoch_micros(c).cast("double")
     if kind == "timestamp":
         return F.unix_micros(c).cast("double")
     if kind == "date":

@@ -15,7 +15,7 @@ def gen_explode(t):
 
 
 @query("gen_explode_outer", """
-SELECT doc_id, w FROM documents LEFT JOIN LATERAL (SELECT unnest(list_filter(string_split(text, ' '), x -> x LIKE 'q%')) AS w) ON true""")
+SELECT doc_id, w FROM documents LEFT JOIN LATERAL (SELECT unnest(list_filter(string_split(text, ' '), lambda x: x LIKE 'q%')) AS w) ON true""")
 def gen_explode_outer(t):
     words = F.filter(F.split("text", " ", -1), lambda w: w.like("q%"))
     return rs.lateral(t.documents, F.explode_outer(words), ["w"], ["doc_id"])

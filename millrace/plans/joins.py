@@ -4,9 +4,9 @@ from pyspark.ml.feature import BucketedRandomProjectionLSH, HashingTF, MinHashLS
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
+from millrace.functions.times import epoch_seconds
 from millrace.operators import joins as oj
 from millrace.registry import query
-from millrace.session import scratch_path
 
 
 def two_digits(c, name):
@@ -268,7 +268,7 @@ WITH spans AS (SELECT user_id, epoch(ts) AS lo, epoch(ts) + 3600 AS hi, event_id
 SELECT err, count(*) AS n, round(sum(value), 2) AS total FROM spans JOIN events e
 ON e.user_id = spans.user_id AND epoch(e.ts) BETWEEN lo AND hi GROUP BY err""")
 def join_range_bucket(t):
-    at = (F.unix_micros(F.to_timestamp_ltz("ts")) / 1e6)
+    at = epoch_seconds("ts").cast("double")
     e = t.events.select("user_id", at.alias("at"), "value")
     spans = t.events.where("event_type = 'error'").select("user_id", at.alias("lo"), (at + 3600).alias("hi"), F.col("event_id").alias("err"))
     return oj.range_join(e, "at", spans, "lo", "hi", 3600.0, ["user_id"]).groupBy("err").agg(F.count("*").alias("n"), two_digits("value", "total"))

@@ -90,10 +90,10 @@ def sort_total_order(t):
 
 
 @query("sort_by_partition", """
-SELECT l_returnflag, count(*) AS n, min(l_partkey) AS low FROM lineitem GROUP BY l_returnflag""")
+SELECT l_partkey, count(*) AS n, min(l_suppkey) AS low FROM lineitem GROUP BY l_partkey""")
 def sort_by_partition(t):
-    laid = so.cluster_by(t.lineitem.select("l_returnflag", "l_partkey"), ["l_returnflag"])
-    return laid.groupBy("l_returnflag").agg(F.count("*").alias("n"), F.min("l_partkey").alias("low"))
+    laid = so.cluster_by(t.lineitem.select("l_partkey", "l_suppkey", "l_orderkey"), ["l_partkey", "l_orderkey"])
+    return laid.groupBy("l_partkey").agg(F.count("*").alias("n"), F.min("l_suppkey").alias("low"))
 
 
 @query("filter_by_range", """
@@ -131,8 +131,8 @@ def zip_index(t):
 @query("repartition_stable", """
 SELECT l_suppkey, count(*) AS n, sum(l_quantity) AS q FROM lineitem GROUP BY l_suppkey""")
 def repartition_stable(t):
-    """A hash layout on the group key serves the group without another shuffle."""
-    return t.lineitem.select("l_suppkey", "l_quantity").repartition("l_suppkey").groupBy("l_suppkey").agg(
+    """A layout by hash of the order spreads the rows evenly; the group then combines inside each task first."""
+    return t.lineitem.select("l_suppkey", "l_quantity", "l_orderkey").repartition(16, "l_orderkey").groupBy("l_suppkey").agg(
         F.count("*").alias("n"), F.sum("l_quantity").alias("q"))
 
 

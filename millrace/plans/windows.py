@@ -3,14 +3,11 @@
 import pandas as pd
 from pyspark.sql import Window, functions as F
 
+from millrace.functions.times import epoch_micros
 from millrace.operators import windows as ow
 from millrace.registry import query
 
 
-def seconds():
-    return F.unix_micros(F.to_timestamp_ltz("ts")) / 1e6
-
-
 def events(t):
     return t.events.select("event_id", "ts", "user_id", "event_type", "value")
 
@@ -47,7 +44,7 @@ def win_range_num(t):
 SELECT event_id, count(*) OVER w AS n, round(sum(value) OVER w, 4) AS s
 FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts RANGE BETWEEN INTERVAL 6 HOUR PRECEDING AND CURRENT ROW)""")
 def win_range_interval(t):
-    rows = events(t).withColumn("at", F.unix_micros(F.to_timestamp_ltz("ts")))
+    rows = events(t).withColumn("at", epoch_micros("ts"))
     return ow.range_frame(rows, ["user_id"], "at", 6 * 3600 * 1_000_000, 0, lambda w: [
         F.count("*").over(w).alias("n"), F.round(F.sum("value").over(w), 4).alias("s")]).select("event_id", "n", "s")
 
