@@ -19,7 +19,9 @@ MAX_SLICES = 4096
 
 
 def same_keys(left: str, right: str, keys: list[str]) -> Column:
-    return reduce(lambda a, b: a & b, [F.col(f"{left}.{k}").eqNullSafe(F.col(f"{right}.{k}")) for k in keys])
+    """Null-safe equality of the keys of two aliased frames; no keys means every pair of rows."""
+    tests = [F.col(f"{left}.{k}").eqNullSafe(F.col(f"{right}.{k}")) for k in keys]
+    return reduce(lambda a, b: a & b, tests) if tests else F.lit(True)
 
 
 def hot_keys(df: DataFrame, keys: list[str], min_rows: int = HOT_ROWS, tasks: int | None = None) -> DataFrame | None:
@@ -42,12 +44,13 @@ def with_slices(df: DataFrame, keys: list[str], order: str, min_rows: int = HOT_
     if hot is None:
         return df.withColumn(name, F.lit(0)), False
     n = slices or min(MAX_SLICES, max(16, 2 * task_slots(df.sparkSession)))
-    hot = hot.drop("_rows").withColumn("_hot", F.lit(True))
-    marked = (
-        df.alias("d").join(F.broadcast(hot).alias("h"), same_keys("d", "h", keys), "left")
-        .select("d.*", F.coalesce("h._hot", F.lit(False)).alias("_hot"))
-        .withColumn("_at", as_number(df, order))
-    )
+    if keys:
+        hot = hot.drop("_rows").withColumn("_hot", F.lit(True))
+        marked = df.alias("d").join(F.broadcast(hot).alias("h"), same_keys("d", "h", keys), "left").select(
+            "d.*", F.coalesce("h._hot", F.lit(False)).alias("_hot"))
+    else:
+        marked = df.withColumn("_hot", F.lit(True))
+    marked = marked.withColumn("_at", as_number(df, order))
     probs = [i / n for i in range(1, n)]
     cuts = sorted(set(marked.where("_hot").approxQuantile("_at", probs, 0.25 / n)))
     if not cuts:

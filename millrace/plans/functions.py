@@ -141,7 +141,7 @@ def fn_date_parts(t):
 
 
 @query("fn_extract", """
-SELECT o_orderkey, (year(o_orderdate) // 1000 + 1)::INT AS mil, ceil(year(o_orderdate) / 100.0)::INT AS cent, (year(o_orderdate) // 10)::INT AS deca,
+SELECT o_orderkey, extract(millennium FROM o_orderdate)::INT AS mil, extract(century FROM o_orderdate)::INT AS cent, extract(decade FROM o_orderdate)::INT AS deca,
        isoyear(o_orderdate)::INT AS iso, isodow(o_orderdate)::INT AS isod, quarter(o_orderdate)::INT AS qt FROM orders""")
 def fn_extract(t):
     y = F.extract(F.lit("YEAR"), "o_orderdate")

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, functions as F, types as T
 
 
 def avro_available(spark) -> bool:
+    from pyspark.sql.avro.functions import to_avro
+
     try:
-        spark._jvm.java.lang.Class.forName("org.apache.spark.sql.avro.SchemaConverters")
-        return True
-    except Exception:  # noqa: BLE001  (the JVM reports a missing class as an error)
+        return spark.range(1).select(to_avro("id")).columns != []
+    except AnalysisException:
         return False
 
 
