@@ -45,7 +45,7 @@ def sample_stratified(t):
     return sp.stratified(t.orders, "o_orderstatus", {"F": 0.5, "O": 0.1}, ["o_orderkey"], 3).groupBy("o_orderstatus").agg(F.count("*").alias("n"))
 
 
-@query("sample_reservoir", """SELECT 200::BIGINT AS n FROM region LIMIT 1""")
+@query("sample_reservoir", """SELECT least(count(*), 200) AS n FROM orders""")
 def sample_reservoir(t):
     return sp.reservoir(t.orders.select("o_orderkey"), 200, ["o_orderkey"], 3).agg(F.countDistinct("o_orderkey").alias("n"))
 
