@@ -55,9 +55,14 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
-    """Cut lineage with a reliable checkpoint, so a lost executor does not lose the data."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Cut lineage by a table written to the shared folder, so a lost executor does not lose the data.
+
+    Unlike ``checkpoint()`` this runs the plan once, stores columns, gives the next plan real sizes to choose joins by,
+    and does not carry the old plan's constraints along.
+    """
+    path = scratch_path(df.sparkSession, "round")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def task_slots(spark: SparkSession) -> int:
