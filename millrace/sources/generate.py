@@ -49,7 +49,8 @@ def poisson(mean: float, seed: int, *keys: Column) -> Column:
         steps.append(total)
         k += 1
         p *= mean / k
-    return F.size(F.filter(F.array(*[F.lit(s) for s in steps]), lambda s: s < _u(seed, *keys)))
+    u = _u(seed, *keys)
+    return F.transform(F.array(u), lambda x: F.size(F.filter(F.array(*[F.lit(s) for s in steps]), lambda s: s < x)))[0]
 
 
 def random_table(df: DataFrame, key: str, seed: int = 1) -> DataFrame:
