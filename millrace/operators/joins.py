@@ -47,6 +47,18 @@ def existence_join(left: DataFrame, right: DataFrame, on: list[str], name: str =
     return left.join(keys, on, "left").withColumn(name, F.col("_hit").isNotNull()).drop("_hit")
 
 
+def not_in(left: DataFrame, column: str, right: DataFrame, other: str) -> DataFrame:
+    """NOT IN with its null rules, as an anti join that needs no broadcast of the right side.
+
+    An empty right side keeps every row; a missing value on the right keeps none; otherwise rows with a missing value on
+    the left are dropped.
+    """
+    facts = right.agg(F.count("*").alias("_n"), F.count_if(F.col(other).isNull()).alias("_nulls"))
+    rest = left.join(right.select(F.col(other).alias("_r")), F.col(column) == F.col("_r"), "left_anti")
+    # one row of counts, safe to send everywhere
+    return rest.join(F.broadcast(facts)).where((F.col("_n") == 0) | ((F.col("_nulls") == 0) & F.col(column).isNotNull())).drop("_n", "_nulls")
+
+
 def null_safe_join(left: DataFrame, right: DataFrame, pairs: list[tuple[str, str]], how: str = "inner") -> DataFrame:
     """Equi join in which missing keys match each other."""
     return left.join(right, reduce(lambda a, b: a & b, [left[a].eqNullSafe(right[b]) for a, b in pairs]), how)

@@ -124,7 +124,7 @@ def stream_recover(t):
     stream = lambda: ss.file_stream(t.spark, inbox, batches[0].schema, 1).select("event_id", "event_type")
     path, checkpoint = sk.run_append(stream(), "recovered")
     for b in batches[2:]:
-        b.coalesce(1).write.mode("append").parquet(inbox)
+        b.write.mode("append").parquet(inbox)
     sk.run_append(stream(), "recovered", checkpoint, path)
     return t.spark.read.parquet(path).groupBy("event_type").agg(F.count("*").alias("n"))
 

@@ -16,16 +16,19 @@ def file_stream(spark: SparkSession, path: str, schema: T.StructType, files_per_
 
 
 def queue(batches: list[DataFrame], label: str = "queue") -> str:
-    """Lay prepared batches down as files in their order; with one file per batch they arrive as given."""
+    """Lay prepared batches down as files, one batch after the other; the file source takes older files first."""
     path = scratch_path(batches[0].sparkSession, label)
     for batch in batches:
-        batch.coalesce(1).write.mode("append").parquet(path)
+        batch.write.mode("append").parquet(path)
     return path
 
 
 def queue_stream(batches: list[DataFrame], label: str = "queue") -> DataFrame:
+    """The batches as a stream with about as many triggers as there are batches."""
     spark = batches[0].sparkSession
-    return file_stream(spark, queue(batches, label), batches[0].schema, 1)
+    path = queue(batches, label)
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path).select("path").count()
+    return file_stream(spark, path, batches[0].schema, max(1, -(-files // len(batches))))
 
 
 def kafka_options(servers: str, subscribe: str | None = None, pattern: str | None = None, assign: str | None = None, starting: str = "latest") -> dict[str, str]:
