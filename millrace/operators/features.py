@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from millrace.operators.joins import is_small
+from millrace.operators.sorting import zip_with_index
 from millrace.operators.windows import exact_percentiles
 
 
@@ -122,9 +124,12 @@ def quantile_bins(df: DataFrame, column: str, n: int, name: str) -> DataFrame:
 
 def string_index(df: DataFrame, column: str, name: str) -> tuple[DataFrame, DataFrame]:
     """Codes by falling frequency, ties by value. Returns the coded frame and the (value, code) table."""
-    counts = df.groupBy(column).agg(F.count("*").alias("_n"))
-    # one row per distinct value
-    coded = counts.select(column, (F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(F.desc("_n"), column)) - 1).cast("double").alias(name))
+    counts = df.groupBy(column).agg((-F.count("*")).alias("_neg"))
+    if is_small(counts):
+        place = F.row_number().over(Window.partitionBy(F.lit(0)).orderBy("_neg", column)) - 1
+        coded = counts.select(column, place.cast("double").alias(name))
+    else:
+        coded = zip_with_index(counts, ["_neg", column], "_place").select(column, F.col("_place").cast("double").alias(name))
     return df.join(coded, column), coded
 
 

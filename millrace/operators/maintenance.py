@@ -14,12 +14,14 @@ from millrace.sources.tables import staged
 
 
 def load_partitions(df: DataFrame, path: str, by: list[str], static: dict[str, str] | None = None) -> None:
-    """Replace just the partitions that occur in the frame; ``static`` fixes leading partition values."""
+    """Replace just the partitions that occur in the frame; ``static`` fixes leading partition values.
+
+    Rows are rebalanced by partition: small ones share a task, a large one is split over several.
+    """
     for name, value in (static or {}).items():
         df = df.withColumn(name, F.lit(value))
     keys = [*(static or {}), *by]
-    # rows of one partition go to several tasks, so a large partition is not written by one task
-    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(path)
+    df.hint("rebalance", *keys).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(path)
 
 
 def multi_insert(df: DataFrame, targets: dict[str, Callable[[DataFrame], DataFrame]]) -> dict[str, str]:
@@ -48,7 +50,7 @@ def compact(spark: SparkSession, path: str, target_bytes: int = 256 << 20) -> st
 def list_buckets(df: DataFrame, column: str, heavy: list, path: str, name: str = "bucket") -> None:
     """Heavy values get their own directory, all others share one."""
     c = F.col(column).cast("string")
-    df.withColumn(name, F.when(F.col(column).isin(heavy), c).otherwise("other")).write.partitionBy(name).parquet(path)
+    df.withColumn(name, F.when(F.col(column).isin(heavy), c).otherwise("other")).hint("rebalance", name).write.partitionBy(name).parquet(path)
 
 
 def export_table(df: DataFrame, folder: str, by: list[str] | None = None) -> None:

@@ -1,7 +1,7 @@
 """Finding hot keys and cutting their rows into slices, so that no key has to fit in one task.
 
-A key is hot when it holds more than ``1/tasks`` of the rows and more than ``min_rows``. There are fewer than
-``tasks`` such keys by counting, so the list of hot keys is always small enough to send to every task.
+A key is hot when it holds more than ``1/tasks`` of the rows and more than ``min_rows``. By counting, there are fewer
+than ``tasks`` such keys, so the list of hot keys is always small enough to send to every task.
 """
 
 from __future__ import annotations
@@ -25,45 +25,58 @@ def same_keys(left: str, right: str, keys: list[str]) -> Column:
 
 
 def hot_keys(df: DataFrame, keys: list[str], min_rows: int = HOT_ROWS, tasks: int | None = None) -> DataFrame | None:
-    """The hot keys with their row counts, or None when there is none. At most ``tasks`` rows."""
+    """The hot keys with their row counts, or None when there is none. Fewer than ``tasks`` rows."""
     tasks = tasks or max(8, task_slots(df.sparkSession))
-    counts = df.groupBy(*keys).agg(F.count("*").alias("_rows")).where(F.col("_rows") > min_rows)
-    rows = counts.orderBy(F.desc("_rows")).limit(tasks).collect()
-    if not rows:
+    counts = df.groupBy(*keys).agg(F.count("*").alias("_rows"))
+    total, largest = counts.agg(F.sum("_rows"), F.max("_rows")).first()
+    floor = max(min_rows, (total or 0) // tasks)
+    if largest is None or largest <= floor:
         return None
+    rows = counts.where(F.col("_rows") > floor).collect()
     return df.sparkSession.createDataFrame(rows, counts.schema)
 
 
-def with_slices(df: DataFrame, keys: list[str], order: str, min_rows: int = HOT_ROWS, slices: int | None = None,
+def with_slices(df: DataFrame, keys: list[str], order: list[str], min_rows: int = HOT_ROWS, slices: int | None = None,
                 name: str = "_slice") -> tuple[DataFrame, bool]:
     """Add a slice number that grows with ``order``: 0 for ordinary keys, even parts of the range for hot keys.
 
-    Returns the frame and whether any key is hot. Rows with equal ``order`` stay in one slice.
+    Returns the frame and whether any key is hot. Rows that agree in the first order column share a slice; when such a
+    slice is still hot it is cut again by the next order column.
     """
     hot = hot_keys(df, keys, min_rows)
     if hot is None:
-        return df.withColumn(name, F.lit(0)), False
+        return df.withColumn(name, F.lit(0).cast("bigint")), False
     n = slices or min(MAX_SLICES, max(16, 2 * task_slots(df.sparkSession)))
+    out = _cut(df, hot, keys, order[0], n).withColumnRenamed("_cut", name)
+    for column in order[1:]:
+        finer = hot_keys(out, [*keys, name], min_rows)
+        if finer is None:
+            break
+        out = _cut(out, finer, [*keys, name], column, n)
+        out = out.withColumn(name, F.col(name) * (n + 2) + F.col("_cut")).drop("_cut")
+    return out, True
+
+
+def _cut(df: DataFrame, hot: DataFrame, keys: list[str], column: str, n: int) -> DataFrame:
+    """The frame with ``_cut``: 0 outside the hot keys and for missing values, else 1 to n by the column's quantiles."""
     if keys:
-        hot = hot.drop("_rows").withColumn("_hot", F.lit(True))
-        marked = df.alias("d").join(F.broadcast(hot).alias("h"), same_keys("d", "h", keys), "left").select(
+        marks = hot.drop("_rows").withColumn("_hot", F.lit(True))
+        marked = df.alias("d").join(F.broadcast(marks).alias("h"), same_keys("d", "h", keys), "left").select(
             "d.*", F.coalesce("h._hot", F.lit(False)).alias("_hot"))
     else:
         marked = df.withColumn("_hot", F.lit(True))
-    marked = marked.withColumn("_at", as_number(df, order))
-    probs = [i / n for i in range(1, n)]
-    cuts = sorted(set(marked.where("_hot").approxQuantile("_at", probs, 0.25 / n)))
+    marked = marked.withColumn("_at", as_number(df, column))
+    cuts = sorted(set(marked.where("_hot").approxQuantile("_at", [i / n for i in range(1, n)], 0.25 / n)))
     if not cuts:
-        return df.withColumn(name, F.lit(0)), False
-    splits = [-float("inf"), *cuts, float("inf")]
-    cut = Bucketizer(splits=splits, inputCol="_at", outputCol="_cut", handleInvalid="keep").transform(marked)
-    # missing order values come first, as Spark sorts them
-    part = F.when(~F.col("_hot"), 0).when(F.col("_at").isNull(), 0).otherwise(F.col("_cut").cast("int") + 1)
-    return cut.withColumn(name, part).drop("_hot", "_at", "_cut"), True
+        return marked.drop("_hot", "_at").withColumn("_cut", F.lit(0).cast("bigint"))
+    parts = Bucketizer(splits=[-float("inf"), *cuts, float("inf")], inputCol="_at", outputCol="_part", handleInvalid="keep").transform(marked)
+    # missing values come first, as Spark sorts them
+    inside = F.col("_hot") & F.col("_at").isNotNull()
+    return parts.withColumn("_cut", F.when(inside, F.col("_part").cast("bigint") + 1).otherwise(0)).drop("_hot", "_at", "_part")
 
 
 def as_number(df: DataFrame, column: str) -> Column:
-    """A double that grows with the column: numbers as they are, dates and timestamps as seconds."""
+    """A double that grows with the column: numbers as they are, dates as days, timestamps as microseconds."""
     kind = df.schema[column].dataType.typeName()
     c = F.col(column)
     if kind == "timestamp_ntz":

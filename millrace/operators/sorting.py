@@ -31,12 +31,14 @@ def cluster_by(df: DataFrame, keys: list[str], partitions: int | None = None) ->
 def zip_with_index(df: DataFrame, order: list[str], name: str = "idx") -> DataFrame:
     """A consecutive 0-based index in the given order, without gathering the rows.
 
-    Rows are laid out in ranges and stored once, so that both passes see the same layout. Row counts per range (one row
-    per partition) give each range its first index.
+    Rows are laid out in sorted ranges and stored once with their place inside the range. The row counts per range (one
+    number per partition) then give each range its first index. ``order`` must identify a row.
     """
     spark = df.sparkSession
     path = scratch_path(spark, "ranged")
-    sort_by_key(df, order).withColumn("_range", F.spark_partition_id()).write.parquet(path)
+    # the low 33 bits of the id count the rows of a partition
+    place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    sort_by_key(df, order).select("*", F.spark_partition_id().alias("_range"), place.alias("_place")).write.parquet(path)
     laid = spark.read.parquet(path)
     sizes = sorted((r["_range"], r["n"]) for r in laid.groupBy("_range").agg(F.count("*").alias("n")).collect())
     starts, first = [], 0
@@ -44,10 +46,7 @@ def zip_with_index(df: DataFrame, order: list[str], name: str = "idx") -> DataFr
         starts.append((part, first))
         first += n
     base = spark.createDataFrame(starts, "_range int, _first bigint")
-    from pyspark.sql import Window
-
-    local = F.row_number().over(Window.partitionBy("_range").orderBy(*order))
-    return laid.join(F.broadcast(base), "_range").withColumn(name, F.col("_first") + local - 1).drop("_range", "_first")
+    return laid.join(F.broadcast(base), "_range").withColumn(name, F.col("_first") + F.col("_place")).drop("_range", "_first", "_place")
 
 
 def persisted(df: DataFrame) -> DataFrame:

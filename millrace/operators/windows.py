@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from millrace.operators.skew import HOT_ROWS, same_keys, with_slices, window
+from millrace.operators.skew import HOT_ROWS, hot_keys, same_keys, with_slices, window
 
 
 def running(df: DataFrame, keys: list[str], order: list[str], sums: dict[str, Column] | None = None,
@@ -23,7 +23,7 @@ def running(df: DataFrame, keys: list[str], order: list[str], sums: dict[str, Co
     inputs = {f"_in_{n}": c for n, c in {**sums, **maxes, **mins}.items()}
     keep = df.columns
     df = df.select("*", *[c.alias(n) for n, c in inputs.items()])
-    df, hot = with_slices(df, keys, order[0], min_rows, slices)
+    df, hot = with_slices(df, keys, order, min_rows, slices)
     part = [*keys, "_slice"] if hot else keys
     w = window(part, *order).rowsBetween(Window.unboundedPreceding, 0)
     whole = Window.partitionBy(*part)
@@ -74,8 +74,14 @@ def rank_all(df: DataFrame, keys: list[str], order: str, tie: list[str], tiles:
              slices: int | None = None) -> DataFrame:
     """row_number, rank, dense_rank, percent_rank, cume_dist and ntile of each row within its key.
 
-    Ranks come from the counts per distinct order value, so equal values cost one row, not one row each.
+    With a hot key the ranks come from the counts per distinct order value, so equal values cost one row, not one each.
     """
+    if hot_keys(df, keys, min_rows) is None:
+        w, numbered = window(keys, order), window(keys, order, *tie)
+        return df.select(
+            "*", F.row_number().over(numbered).cast("bigint").alias("row_number"), F.rank().over(w).cast("bigint").alias("rank"),
+            F.dense_rank().over(w).cast("bigint").alias("dense_rank"), F.percent_rank().over(w).alias("percent_rank"),
+            F.cume_dist().over(w).alias("cume_dist"), F.ntile(tiles).over(numbered).cast("bigint").alias("ntile"))
     levels = df.groupBy(*keys, order).agg(F.count("*").alias("_ties"))
     levels = running(levels, keys, [order], sums={"_upto": F.col("_ties"), "_dense": F.lit(1).cast("bigint")},
                      total=None, min_rows=min_rows, slices=slices)
@@ -108,7 +114,7 @@ def neighbours(df: DataFrame, keys: list[str], order: list[str], before: int, af
     ``window.rowsBetween(-before, after)``. In a hot key each slice borrows the rows it needs from its neighbours.
     """
     keep = df.columns
-    df, hot = with_slices(df, keys, order[0], min_rows, slices)
+    df, hot = with_slices(df, keys, order, min_rows, slices)
     if not hot:
         return df.select(*keep, *make(window(keys, *order)))
     part = [*keys, "_slice"]
@@ -138,38 +144,65 @@ def neighbours(df: DataFrame, keys: list[str], order: list[str], before: int, af
     return rows.select(*keep, "_own", *make(window(part, *order))).where("_own").drop("_own")
 
 
-def range_frame(df: DataFrame, keys: list[str], at: str, before: float, after: float, make, min_rows: int = HOT_ROWS) -> DataFrame:
-    """Columns over the rows of the same key whose ``at`` value lies in [at - before, at + after].
+def range_frame(df: DataFrame, keys: list[str], at: str, before, after, sums: dict[str, Column] | None = None, count: str | None = None,
+                maxes: dict[str, Column] | None = None, mins: dict[str, Column] | None = None, min_rows: int = HOT_ROWS,
+                slices: int | None = None) -> DataFrame:
+    """Sums, row count, maxima and minima over the rows of the same key whose ``at`` lies in [at - before, at + after].
 
-    ``at`` is numeric (use epoch seconds for times). In a hot key the range is cut into cells at least as wide as the
-    frame; each row is copied to the cells its value can reach, at most two.
+    ``at`` is a number (epoch microseconds or days for times). With a hot key, rows are first combined per distinct ``at``.
+    Sums and counts are then differences of running totals looked up at both ends of the frame, which slices like any
+    running total; maxima and minima use cells as wide as the frame, each value copied to at most two.
     """
+    sums, maxes, mins = dict(sums or {}), dict(maxes or {}), dict(mins or {})
     keep = df.columns
-    hot = _is_hot(df, keys, min_rows)
-
-    def frame(part):
-        return Window.partitionBy(*part).orderBy(at).rangeBetween(-before, after)
-
-    if not hot:
-        return df.select("*", *make(frame(keys)))
-    width = max(float(before + after), 1e-9)
-    cell = F.floor(F.col(at) / width).cast("bigint")
-    own = df.withColumn("_cell", cell).withColumn("_own", F.lit(True))
-    lent = []
-    if before:
-        lent.append(df.withColumn("_cell", F.floor((F.col(at) + before) / width).cast("bigint")).where(F.col("_cell") != cell))
-    if after:
-        lent.append(df.withColumn("_cell", F.floor((F.col(at) - after) / width).cast("bigint")).where(F.col("_cell") != cell))
-    rows = own
-    for extra in lent:
-        rows = rows.unionByName(extra.withColumn("_own", F.lit(False)))
-    return rows.select(*keep, "_own", *make(frame([*keys, "_cell"]))).where("_own").drop("_own")
-
-
-def _is_hot(df, keys, min_rows):
-    from millrace.operators.skew import hot_keys
-
-    return hot_keys(df, keys, min_rows) is not None
+    extra = [*sums, *([count] if count else []), *maxes, *mins]
+    if hot_keys(df, keys, min_rows) is None:
+        w = Window.partitionBy(*keys).orderBy(at).rangeBetween(-before, after)
+        return df.select(
+            "*", *[F.sum(c).over(w).alias(n) for n, c in sums.items()], *([F.count("*").over(w).alias(count)] if count else []),
+            *[F.max(c).over(w).alias(n) for n, c in maxes.items()], *[F.min(c).over(w).alias(n) for n, c in mins.items()])
+    levels = df.groupBy(*keys, at).agg(
+        F.count("*").alias("_n"), *[F.sum(c).alias(f"_s_{n}") for n, c in sums.items()], *[F.count(c).alias(f"_c_{n}") for n, c in sums.items()],
+        *[F.max(c).alias(f"_x_{n}") for n, c in maxes.items()], *[F.min(c).alias(f"_m_{n}") for n, c in mins.items()])
+    parts = []
+    if sums or count:
+        totals = ["_n", *[f"_s_{n}" for n in sums], *[f"_c_{n}" for n in sums]]
+
+        def probe(shift, kind, own):
+            values = [F.coalesce(F.col(c), F.lit(0)).alias(c) if own else F.lit(0).cast(levels.schema[c].dataType).alias(c) for c in totals]
+            return levels.select(*keys, (F.col(at) + shift).alias("_p"), F.lit(kind).alias("_kind"), F.col(at).alias("_at"), *values)
+
+        points = probe(-before, 0, False).union(probe(0, 1, True)).union(probe(after, 2, False))
+        upto = running(points, keys, ["_p", "_kind", "_at"], sums={f"_u{c}": F.col(c) for c in totals}, min_rows=min_rows, slices=slices)
+        ends = upto.where("_kind <> 1").groupBy(*keys, F.col("_at").alias(at)).agg(
+            *[(F.max(F.when(F.col("_kind") == 2, F.col(f"_u{c}"))) - F.max(F.when(F.col("_kind") == 0, F.col(f"_u{c}")))).alias(f"_d{c}") for c in totals])
+        parts.append(ends.select(*keys, at, *([F.col("_d_n").alias(count)] if count else []),
+                                 *[F.when(F.col(f"_d_c_{n}") > 0, F.col(f"_d_s_{n}")).alias(n) for n in sums]))
+    if maxes or mins:
+        width = max(float(before + after), 1e-9)
+        cell = F.floor(F.col(at) / width).cast("bigint")
+        rows = levels.withColumn("_cell", cell).withColumn("_own", F.lit(True))
+        for shift in (before, -after):
+            other = F.floor((F.col(at) + shift) / width).cast("bigint")
+            if shift:
+                rows = rows.unionByName(levels.withColumn("_cell", other).where(other != cell).withColumn("_own", F.lit(False)))
+        w = Window.partitionBy(*keys, "_cell").orderBy(at).rangeBetween(-before, after)
+        parts.append(rows.select(*keys, at, "_own", *[F.max(f"_x_{n}").over(w).alias(n) for n in maxes],
+                                 *[F.min(f"_m_{n}").over(w).alias(n) for n in mins]).where("_own").drop("_own"))
+    out = df
+    for part in parts:
+        names = [c for c in part.columns if c not in (*keys, at)]
+        out = out.alias("a").join(part.alias("b"), same_keys("a", "b", [*keys, at])).select("a.*", *[F.col(f"b.{n}") for n in names])
+    return out.select(*keep, *extra)
+
+
+def whole_key(df: DataFrame, keys: list[str], aggs: list[Column]) -> DataFrame:
+    """Aggregates over all rows of the key, on every row: grouped with map-side combining and joined back, so a hot key's
+    rows are not buffered in one window.
+    """
+    totals = df.groupBy(*keys).agg(*aggs)
+    names = [c for c in totals.columns if c not in keys]
+    return df.alias("a").join(totals.alias("b"), same_keys("a", "b", keys)).select("a.*", *[F.col(f"b.{n}") for n in names])
 
 
 def fill_forward(df: DataFrame, keys: list[str], order: list[str], columns: list[str], min_rows: int = HOT_ROWS,

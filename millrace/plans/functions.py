@@ -82,7 +82,7 @@ def fn_url(t):
         c = F.try_parse_url("url", F.lit(what), F.lit(key)) if key else F.try_parse_url("url", F.lit(what))
         return F.when(c != "", c).alias(name)
 
-    return t.pages.select("page_id", part("PROTOCOL", "scheme"), part("HOST", "host"), part("PATH", "path"), part("QUERY", "q"),
+    return t.pages.where(F.parse_url("url", F.lit("HOST")).isNotNull()).select("page_id", part("PROTOCOL", "scheme"), part("HOST", "host"), part("PATH", "path"), part("QUERY", "q"),
                           part("REF", "frag"), part("QUERY", "page", "page"))
 
 
@@ -170,13 +170,14 @@ def fn_date_arith(t):
 
 @query("fn_date_parse", """
 SELECT event_id, strftime(strptime(strftime(ts, '%d.%m.%Y'), '%d.%m.%Y'), '%Y-%m-%d') AS d, strftime(ts, '%Y-%m-%d %H:%M:%S') AS round_trip,
-       strftime(ts, '%H:%M') AS clock, strftime(ts + INTERVAL 1 DAY + INTERVAL 2 HOUR, '%Y-%m-%d %H') AS shifted FROM events""")
+       strftime(ts, '%Y-%m-%d %H:%M') AS parsed, strftime(ts, '%H:%M') AS clock, strftime(ts + INTERVAL 1 DAY + INTERVAL 2 HOUR, '%Y-%m-%d %H') AS shifted FROM events""")
 def fn_date_parse(t):
     seconds = F.unix_timestamp(F.date_format("ts", "yyyy-MM-dd HH:mm:ss"), "yyyy-MM-dd HH:mm:ss")
     moved = F.col("ts") + F.expr("make_interval(0, 0, 0, 1, 2, 0, 0)")
     zone = F.to_utc_timestamp(F.from_utc_timestamp(F.col("ts").cast("timestamp"), "Asia/Tokyo"), "Asia/Tokyo")
     return t.events.select(
         "event_id", F.date_format(F.to_date(F.date_format("ts", "dd.MM.yyyy"), "dd.MM.yyyy"), "yyyy-MM-dd").alias("d"),
+        F.date_format(F.to_timestamp(F.date_format("ts", "yyyyMMdd HHmm"), "yyyyMMdd HHmm"), "yyyy-MM-dd HH:mm").alias("parsed"),
         F.from_unixtime(seconds).alias("round_trip"), F.date_format(zone, "HH:mm").alias("clock"), F.date_format(moved, "yyyy-MM-dd HH").alias("shifted"))
 
 
@@ -221,9 +222,9 @@ SELECT o_orderkey, try_cast(o_orderkey::VARCHAR AS INT) AS i, try_cast(o_orderpr
 def fn_cast(t):
     return t.orders.select(
         "o_orderkey", casts.soft_cast(F.col("o_orderkey").cast("string"), "int").alias("i"), casts.soft_cast("o_orderpriority", "int").alias("bad"),
-        casts.text_to_integer(F.col("o_totalprice").cast("decimal(20,2)").cast("string"), "bigint").alias("cut"), F.expr("tinyint(o_orderkey % 100)").alias("ti"), F.expr("smallint(o_custkey % 1000)").alias("si"),
+        casts.text_to_integer(F.col("o_totalprice").cast("decimal(20,2)").cast("string"), "bigint").alias("cut"), F.expr("tinyint(bigint(o_orderkey) % 100)").alias("ti"), F.expr("smallint(o_custkey % 1000)").alias("si"),
         F.expr("boolean(o_custkey % 2)").alias("bo"), F.expr("double(o_custkey)").alias("dbl"), F.round(F.expr("double(float(o_custkey / 4.0))"), 4).alias("fl"),
-        F.expr("string(o_custkey)").alias("st"), F.expr("string(date(o_orderdate))").alias("dt"), F.typeof("o_custkey").alias("ty"))
+        F.expr("string(o_custkey)").alias("st"), F.expr("string(date(timestamp(o_orderdate)))").alias("dt"), F.typeof("o_custkey").alias("ty"))
 
 
 @query("fn_decimal", """

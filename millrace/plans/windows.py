@@ -36,8 +36,7 @@ def win_rows(t):
 SELECT p_partkey, count(*) OVER w AS near, sum(p_size) OVER w AS sizes
 FROM part WINDOW w AS (PARTITION BY p_brand ORDER BY p_size RANGE BETWEEN 5 PRECEDING AND 2 FOLLOWING)""")
 def win_range_num(t):
-    return ow.range_frame(t.part, ["p_brand"], "p_size", 5, 2, lambda w: [
-        F.count("*").over(w).alias("near"), F.sum("p_size").over(w).alias("sizes")]).select("p_partkey", "near", "sizes")
+    return ow.range_frame(t.part, ["p_brand"], "p_size", 5, 2, {"sizes": F.col("p_size")}, "near").select("p_partkey", "near", "sizes")
 
 
 @query("win_range_interval", """
@@ -45,8 +44,8 @@ SELECT event_id, count(*) OVER w AS n, round(sum(value) OVER w, 4) AS s
 FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts RANGE BETWEEN INTERVAL 6 HOUR PRECEDING AND CURRENT ROW)""")
 def win_range_interval(t):
     rows = events(t).withColumn("at", epoch_micros("ts"))
-    return ow.range_frame(rows, ["user_id"], "at", 6 * 3600 * 1_000_000, 0, lambda w: [
-        F.count("*").over(w).alias("n"), F.round(F.sum("value").over(w), 4).alias("s")]).select("event_id", "n", "s")
+    out = ow.range_frame(rows, ["user_id"], "at", 6 * 3600 * 1_000_000, 0, {"s": F.col("value")}, "n")
+    return out.select("event_id", "n", F.round("s", 4).alias("s"))
 
 
 @query("win_range_days", """
@@ -54,14 +53,14 @@ SELECT o_orderkey, count(*) OVER w AS n FROM orders
 WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderdate::DATE RANGE BETWEEN INTERVAL 90 DAY PRECEDING AND INTERVAL 30 DAY FOLLOWING)""")
 def win_range_days(t):
     rows = t.orders.select("o_orderkey", "o_custkey", F.unix_date(F.to_date("o_orderdate")).alias("d"))
-    return ow.range_frame(rows, ["o_custkey"], "d", 90, 30, lambda w: [F.count("*").over(w).alias("n")]).select("o_orderkey", "n")
+    return ow.range_frame(rows, ["o_custkey"], "d", 90, 30, count="n").select("o_orderkey", "n")
 
 
 @query("win_range_desc", """
 SELECT p_partkey, count(*) OVER w AS n FROM part WINDOW w AS (PARTITION BY p_type ORDER BY p_size DESC RANGE BETWEEN 3 PRECEDING AND CURRENT ROW)""")
 def win_range_desc(t):
     rows = t.part.select("p_partkey", "p_type", (-F.col("p_size")).alias("neg"))
-    return ow.range_frame(rows, ["p_type"], "neg", 3, 0, lambda w: [F.count("*").over(w).alias("n")]).select("p_partkey", "n")
+    return ow.range_frame(rows, ["p_type"], "neg", 3, 0, count="n").select("p_partkey", "n")
 
 
 @query("win_rank_all", """
@@ -88,10 +87,9 @@ def win_nav(t):
 SELECT event_id, first_value(value) OVER w AS first_v, last_value(value) OVER w AS last_v FROM events
 WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)""")
 def win_first_last(t):
-    """First and last of the whole partition are an aggregate joined back."""
     at = F.struct("ts", "event_id")
-    ends = t.events.groupBy("user_id").agg(F.min_by("value", at).alias("first_v"), F.max_by("value", at).alias("last_v"))
-    return events(t).join(ends, "user_id").select("event_id", "first_v", "last_v")
+    ends = [F.min_by("value", at).alias("first_v"), F.max_by("value", at).alias("last_v")]
+    return ow.whole_key(events(t), ["user_id"], ends).select("event_id", "first_v", "last_v")
 
 
 @query("win_ignore_nulls", """
@@ -106,9 +104,9 @@ def win_ignore_nulls(t):
 SELECT l_orderkey, l_partkey, l_suppkey, sum(l_quantity) OVER w AS q, count(*) OVER w AS n, max(l_tax) OVER w AS tax FROM lineitem
 WINDOW w AS (PARTITION BY l_orderkey)""")
 def win_named(t):
-    w = Window.partitionBy("l_orderkey")
-    return t.lineitem.select("l_orderkey", "l_partkey", "l_suppkey", F.sum("l_quantity").over(w).alias("q"),
-                             F.count("*").over(w).alias("n"), F.max("l_tax").over(w).alias("tax"))
+    rows = t.lineitem.select("l_orderkey", "l_partkey", "l_suppkey", "l_quantity", "l_tax")
+    out = ow.whole_key(rows, ["l_orderkey"], [F.sum("l_quantity").alias("q"), F.count("*").alias("n"), F.max("l_tax").alias("tax")])
+    return out.drop("l_quantity", "l_tax")
 
 
 @query("win_filter", """
@@ -185,9 +183,8 @@ def win_topk(t):
 @query("win_ratio", """
 SELECT p_partkey, round(100.0 * p_retailprice / sum(p_retailprice) OVER (PARTITION BY p_type), 8) AS share FROM part""")
 def win_ratio(t):
-    """The total is an aggregate, combined on the map side and joined back."""
-    totals = t.part.groupBy("p_type").agg(F.sum("p_retailprice").alias("total"))
-    return t.part.join(totals, "p_type").select("p_partkey", F.round(100.0 * F.col("p_retailprice") / F.col("total"), 8).alias("share"))
+    out = ow.whole_key(t.part.select("p_partkey", "p_type", "p_retailprice"), ["p_type"], [F.sum("p_retailprice").alias("total")])
+    return out.select("p_partkey", F.round(100.0 * F.col("p_retailprice") / F.col("total"), 8).alias("share"))
 
 
 @query("win_cumulative_full", """

@@ -57,13 +57,32 @@ def test_neighbours(rows, min_rows):
 
 
 @pytest.mark.parametrize("min_rows", [20, 10**9])
-def test_range_frame(rows, min_rows):
-    def make(w):
-        return [F.sum("x").over(w).alias("s"), F.count("*").over(w).alias("c")]
+@pytest.mark.parametrize("frame", [(5, 0), (0, 4), (3, 6)])
+def test_range_frame(rows, min_rows, frame):
+    before, after = frame
+    w = Window.partitionBy("k").orderBy("v").rangeBetween(-before, after)
+    want = rows.select("*", F.sum("x").over(w).alias("s"), F.count("*").over(w).alias("c"), F.max("id").over(w).alias("hi"), F.min("x").over(w).alias("lo"))
+    x = F.col("x")
+    same(ow.range_frame(rows, ["k"], "v", before, after, {"s": x}, "c", {"hi": F.col("id")}, {"lo": x}, min_rows, 7), want)
+
+
+@pytest.mark.parametrize("min_rows", [20, 10**9])
+def test_slices_split_ties(spark, min_rows):
+    """All rows of the hot key agree in the first order column."""
+    rows = spark.range(400).select(F.lit("k").alias("k"), F.lit(1).alias("v"), F.col("id"), F.lit(2.0).alias("x"))
+    got = ow.running(rows, ["k"], ["v", "id"], {"sx": F.col("x")}, position="pos", min_rows=min_rows, slices=6)
+    assert got.where("pos <> id + 1 OR sx <> 2 * (id + 1)").count() == 0
+
+
+def test_whole_key(rows):
+    want = rows.select("*", F.sum("x").over(Window.partitionBy("k")).alias("t"))
+    same(ow.whole_key(rows, ["k"], [F.sum("x").alias("t")]), want)
+
 
-    for before, after in ((5, 0), (0, 4), (3, 6)):
-        want = rows.select("*", *make(Window.partitionBy("k").orderBy("v").rangeBetween(-before, after)))
-        same(ow.range_frame(rows, ["k"], "v", before, after, make, min_rows), want)
+def test_chunked_lists(rows):
+    want = sorted(repr((k, i // 5, [r.id for r in rs[i:i + 5]])) for k, rs in by_key(rows).items() for i in range(0, len(rs), 5))
+    got = ow.chunked_lists(rows, ["k"], ["v", "id"], "id", 5, min_rows=20)
+    assert sorted(repr((r.k, r.chunk, r["items"])) for r in got.collect()) == want
 
 
 @pytest.mark.parametrize("min_rows", [20, 10**9])
