@@ -65,14 +65,14 @@ def _cut(df: DataFrame, hot: DataFrame, keys: list[str], column: str, n: int) ->
             "d.*", F.coalesce("h._hot", F.lit(False)).alias("_hot"))
     else:
         marked = df.withColumn("_hot", F.lit(True))
-    marked = marked.withColumn("_at", as_number(df, column))
-    cuts = sorted(set(marked.where("_hot").approxQuantile("_at", [i / n for i in range(1, n)], 0.25 / n)))
+    marked = marked.withColumn("_order_value", as_number(df, column))
+    cuts = sorted(set(marked.where("_hot").approxQuantile("_order_value", [i / n for i in range(1, n)], 0.25 / n)))
     if not cuts:
-        return marked.drop("_hot", "_at").withColumn("_cut", F.lit(0).cast("bigint"))
-    parts = Bucketizer(splits=[-float("inf"), *cuts, float("inf")], inputCol="_at", outputCol="_part", handleInvalid="keep").transform(marked)
+        return marked.drop("_hot", "_order_value").withColumn("_cut", F.lit(0).cast("bigint"))
+    parts = Bucketizer(splits=[-float("inf"), *cuts, float("inf")], inputCol="_order_value", outputCol="_part", handleInvalid="keep").transform(marked)
     # missing values come first, as Spark sorts them
-    inside = F.col("_hot") & F.col("_at").isNotNull()
-    return parts.withColumn("_cut", F.when(inside, F.col("_part").cast("bigint") + 1).otherwise(0)).drop("_hot", "_at", "_part")
+    inside = F.col("_hot") & F.col("_order_value").isNotNull()
+    return parts.withColumn("_cut", F.when(inside, F.col("_part").cast("bigint") + 1).otherwise(0)).drop("_hot", "_order_value", "_part")
 
 
 def as_number(df: DataFrame, column: str) -> Column:
