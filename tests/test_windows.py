@@ -61,9 +61,9 @@ def test_neighbours(rows, min_rows):
 def test_range_frame(rows, min_rows, frame):
     before, after = frame
     w = Window.partitionBy("k").orderBy("v").rangeBetween(-before, after)
-    want = rows.select("*", F.sum("x").over(w).alias("s"), F.count("*").over(w).alias("c"), F.max("id").over(w).alias("hi"), F.min("x").over(w).alias("lo"))
+    want = rows.select("*", F.sum("x").over(w).alias("fs"), F.count("*").over(w).alias("fc"), F.max("id").over(w).alias("hi"), F.min("x").over(w).alias("lo"))
     x = F.col("x")
-    same(ow.range_frame(rows, ["k"], "v", before, after, {"s": x}, "c", {"hi": F.col("id")}, {"lo": x}, min_rows, 7), want)
+    same(ow.range_frame(rows, ["k"], "v", before, after, {"fs": x}, "fc", {"hi": F.col("id")}, {"lo": x}, min_rows, 7), want)
 
 
 @pytest.mark.parametrize("min_rows", [20, 10**9])
