@@ -52,7 +52,8 @@ def tf_idf(df: DataFrame, key: str, words: Column, min_documents: int = 1) -> Da
     # the number of documents is one row, safe to send everywhere
     n = df.agg(F.count("*").alias("_n"))
     idf = vocabulary(counts, None, min_documents).join(F.broadcast(n)).select("term", F.ln((F.col("_n") + 1) / (F.col("df") + 1)).alias("_idf"))
-    return counts.join(idf, "term").select(key, "term", "tf", (F.col("tf") * F.col("_idf")).alias("tfidf"))
+    # sizes guessed from compressed text would have Spark send the counts to every task
+    return counts.join(idf.hint("shuffle_hash"), "term").select(key, "term", "tf", (F.col("tf") * F.col("_idf")).alias("tfidf"))
 
 
 def scaled(df: DataFrame, columns: list[str], method: str, low: float = 0.0, high: float = 1.0) -> DataFrame:

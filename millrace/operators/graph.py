@@ -115,7 +115,7 @@ def connected_components(edges: DataFrame, vertices: DataFrame | None = None, ma
         # large star: link every larger neighbour to the smallest id around the vertex
         around = pairs.union(pairs.select("v", "u"))
         low = around.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = around.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = around.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         # small star: link the vertex and its smaller neighbours to the smallest of them
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").select(F.explode(F.array(F.struct("v", "m"), F.struct(F.col("u").alias("v"), "m"))).alias("p"))

@@ -171,7 +171,7 @@ ds("q79", TRIPS79)
 MOVES80 = """
 WITH b AS (SELECT ch, ord, item, outlet, max(amt) AS amt, max(loss) AS loss FROM returns GROUP BY ch, ord, item, outlet),
 j AS (SELECT s.ch, s.outlet, s.price AS sold, coalesce(b.amt, 0) AS back, s.profit - coalesce(b.loss, 0) AS gain FROM sales s LEFT JOIN b ON b.ch = s.ch AND b.ord = s.ord AND b.item = s.item AND b.outlet = s.outlet JOIN items i ON i.item = s.item
-  WHERE s.yr = 1998 AND s.mo = 8 AND i.list > 950 AND s.promo <> '5-LOW')"""
+  WHERE s.yr = 1998 AND s.mo = 8 AND i.size > 25 AND s.promo <> '5-LOW')"""
 ds("q80", f"{MOVES80} SELECT ch, outlet, {SUM77} FROM j GROUP BY ROLLUP (ch, outlet) {END77}")
 
 ds("q81", d1.high_returners("catalog"))

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from millrace.operators import features as of
 from millrace.registry import query
+from millrace.session import spread
 
 STOP = ["the", "and", "of", "to", "in", "de", "la", "le", "die", "der", "und", "el", "que", "les"]
 STOP_SQL = ", ".join(f"'{w}'" for w in STOP)
@@ -14,6 +15,10 @@ def r(c, name, digits=6):
     return F.round(c, digits).alias(name)
 
 
+def docs(t):
+    return spread(t.documents.select("doc_id", "text"), "doc_id")
+
+
 @query("feat_tokens", f"WITH {TOK} SELECT doc_id, len(w)::INT AS n, w[1] AS first, w[-1] AS last FROM tok")
 def feat_tokens(t):
     w = of.tokens("text")
@@ -29,7 +34,7 @@ def feat_regex_tokens(t):
 @query("feat_ngrams", f"""
 WITH {TOK}, g AS (SELECT doc_id, unnest(list_zip(w[:-2], w[2:])) AS p FROM tok WHERE len(w) >= 2) SELECT p[1] || ' ' || p[2] AS ngram, count(*) AS n, count(DISTINCT doc_id) AS docs FROM g GROUP BY 1""")
 def feat_ngrams(t):
-    grams = t.documents.select("doc_id", F.explode(of.ngrams(of.tokens("text"), 2)).alias("ngram"))
+    grams = docs(t).select("doc_id", F.explode(of.ngrams(of.tokens("text"), 2)).alias("ngram"))
     return grams.groupBy("ngram").agg(F.count("*").alias("n"), F.countDistinct("doc_id").alias("docs"))
 
 
@@ -41,7 +46,7 @@ def feat_stopwords(t):
 @query("feat_vocabulary", f"""
 WITH {TOK}, c AS (SELECT doc_id, unnest(w) AS term FROM tok) SELECT term, count(DISTINCT doc_id) AS df, count(*) AS total FROM c GROUP BY term HAVING count(DISTINCT doc_id) >= 5 ORDER BY total DESC, term LIMIT 500""")
 def feat_vocabulary(t):
-    return of.vocabulary(of.term_counts(t.documents, "doc_id", of.tokens("text")), 500, 5)
+    return of.vocabulary(of.term_counts(docs(t), "doc_id", of.tokens("text")), 500, 5)
 
 
 @query("feat_tfidf", f"""
@@ -49,7 +54,7 @@ WITH {TOK}, c AS (SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnes
 i AS (SELECT term, ln(((SELECT count(*) FROM documents) + 1) / (count(*) + 1)) AS idf FROM c GROUP BY term HAVING count(*) >= 2)
 SELECT doc_id, count(*) AS terms, round(sum(tf * idf), 4) AS weight, round(max(tf * idf), 6) AS top FROM c JOIN i USING (term) GROUP BY doc_id""")
 def feat_tfidf(t):
-    return of.tf_idf(t.documents, "doc_id", of.tokens("text"), 2).groupBy("doc_id").agg(
+    return of.tf_idf(docs(t), "doc_id", of.tokens("text"), 2).groupBy("doc_id").agg(
         F.count("*").alias("terms"), r(F.sum("tfidf"), "weight", 4), r(F.max("tfidf"), "top"))
 
 

@@ -68,3 +68,12 @@ def checkpointed(df: DataFrame) -> DataFrame:
 def task_slots(spark: SparkSession) -> int:
     """How many reduce tasks one shuffle is meant to have."""
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Costly row work on a table of few files: hash the rows over the task slots first.
+
+    A table with at least as many files as slots is left alone, so a large table is never shuffled for this.
+    """
+    slots = task_slots(df.sparkSession)
+    return df.repartition(slots, key) if len(df.inputFiles()) < slots else df
