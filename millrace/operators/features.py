@@ -130,7 +130,7 @@ def string_index(df: DataFrame, column: str, name: str) -> tuple[DataFrame, Data
         place = F.row_number().over(Window.partitionBy(F.lit(0)).orderBy("_neg", column)) - 1
         coded = counts.select(column, place.cast("double").alias(name))
     else:
-        coded = zip_with_index(counts, ["_neg", column], "_place").select(column, F.col("_place").cast("double").alias(name))
+        coded = zip_with_index(counts, ["_neg", column], "_code").select(column, F.col("_code").cast("double").alias(name))
     return df.join(coded, column), coded
 
 

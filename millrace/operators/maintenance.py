@@ -37,7 +37,7 @@ def multi_insert(df: DataFrame, targets: dict[str, Callable[[DataFrame], DataFra
 
 def file_bytes(spark: SparkSession, path: str) -> int:
     """Total size of the files below a path, summed on Spark from the file listing."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("length")
     return files.agg(F.sum("length")).first()[0] or 0
 
 
@@ -88,6 +88,14 @@ def managed_table(df: DataFrame, label: str, by: list[str] | None = None) -> str
     return name
 
 
+def scratch_database(spark: SparkSession) -> str:
+    """A database of its own whose managed tables lie in the shared folder."""
+    path = scratch_path(spark, "database")
+    name = "millrace_" + path.rsplit("-", 1)[1]
+    spark.sql(f"CREATE DATABASE {name} LOCATION '{path}'")
+    return name
+
+
 def latest_partition(spark: SparkSession, table: str, column: str) -> str | None:
     """The largest value of a partition column, from the partition list alone."""
     parts = spark.sql(f"SHOW PARTITIONS {table}")

@@ -308,9 +308,7 @@ def load_repair(t):
 
 @query("load_truncate", """SELECT 0::BIGINT AS after, count(*) AS before FROM nation""")
 def load_truncate(t):
-    import uuid
-
-    name = f"millrace_truncate_{uuid.uuid4().hex}"
+    name = f"{om.scratch_database(t.spark)}.nations"
     t.spark.sql(f"CREATE TABLE {name} (n_nationkey INT, n_name STRING) USING parquet")
     t.nation.select("n_nationkey", "n_name").write.insertInto(name)
     before = t.spark.table(name).count()
