@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from millrace.operators.skew import hot_keys
 from millrace.operators.windows import HOT_ROWS, neighbours, running, runs
 
 # fixed pattern of a combined access-log line: host, ident, user, time, request, status, bytes, referer, agent
@@ -57,11 +58,12 @@ def longest_two_symbol_span(df: DataFrame, keys: list[str], order: list[str], sy
     In the sequence of runs a stretch goes on as long as each run repeats the symbol two runs before it; where it does
     not, a new stretch begins that also takes in the run just before.
     """
-    r = runs(df, keys, order, symbol, min_rows).select(*keys, "run", symbol, "length")
+    hot = hot_keys(df, keys, min_rows)
+    r = runs(df, keys, order, symbol, min_rows, hot).select(*keys, "run", symbol, "length")
     prior = neighbours(r, keys, ["run"], 2, 0, lambda w: [
-        F.lag(symbol, 2).over(w).alias("_two"), F.lag("length", 1).over(w).alias("_before")], min_rows)
+        F.lag(symbol, 2).over(w).alias("_two"), F.lag("length", 1).over(w).alias("_before")], min_rows, hot=hot)
     starts = (F.col("run") > 2) & ~F.col(symbol).eqNullSafe(F.col("_two"))
-    blocks = running(prior.withColumn("_new", starts.cast("bigint")), keys, ["run"], sums={"_block": F.col("_new")}, min_rows=min_rows)
+    blocks = running(prior.withColumn("_new", starts.cast("bigint")), keys, ["run"], sums={"_block": F.col("_new")}, min_rows=min_rows, hot=hot)
     spans = blocks.groupBy(*keys, "_block").agg((F.sum("length") + F.sum(F.when(F.col("_new") == 1, F.col("_before")).otherwise(0))).alias("_span"))
     return spans.groupBy(*keys).agg(F.max("_span").alias("longest"))
 

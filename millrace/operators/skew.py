@@ -16,6 +16,7 @@ from millrace.session import task_slots
 
 HOT_ROWS = 2_000_000
 MAX_SLICES = 4096
+LOOK = object()  # stands for "look for hot keys first"
 
 
 def same_keys(left: str, right: str, keys: list[str]) -> Column:
@@ -36,14 +37,21 @@ def hot_keys(df: DataFrame, keys: list[str], min_rows: int = HOT_ROWS, tasks: in
     return df.sparkSession.createDataFrame(rows, counts.schema)
 
 
+def known_hot(df: DataFrame, keys: list[str], min_rows: int, hot) -> DataFrame | None:
+    """The hot keys as given, or looked up. A chain of operators that keep the rows of each key looks once and passes
+    the answer on, so that its earlier steps do not run again for every look.
+    """
+    return hot_keys(df, keys, min_rows) if hot is LOOK else hot
+
+
 def with_slices(df: DataFrame, keys: list[str], order: list[str], min_rows: int = HOT_ROWS, slices: int | None = None,
-                name: str = "_slice") -> tuple[DataFrame, bool]:
+                name: str = "_slice", hot=LOOK) -> tuple[DataFrame, bool]:
     """Add a slice number that grows with ``order``: 0 for ordinary keys, even parts of the range for hot keys.
 
     Returns the frame and whether any key is hot. Rows that agree in the first order column share a slice; when such a
     slice is still hot it is cut again by the next order column.
     """
-    hot = hot_keys(df, keys, min_rows)
+    hot = known_hot(df, keys, min_rows, hot)
     if hot is None:
         return df.withColumn(name, F.lit(0).cast("bigint")), False
     n = slices or min(MAX_SLICES, max(16, 2 * task_slots(df.sparkSession)))

