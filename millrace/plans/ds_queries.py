@@ -106,12 +106,12 @@ g AS (SELECT s.ch, i.brand, i.cls, i.cat, sum(s.qty * s.price) AS v, count(*) AS
   WHERE s.yr = 1999 AND s.mo = 11 GROUP BY s.ch, i.brand, i.cls, i.cat),
 big AS (SELECT ch, brand, cls, cat, v, n FROM g WHERE v > (SELECT lim FROM mean))"""
 ds("q14a", f"""
-WITH {CROSS_ITEMS} SELECT ch, brand, cls, cat, {r("sum(v)", "v", 2)}, sum(n) AS n FROM big GROUP BY ROLLUP (ch, brand, cls, cat) ORDER BY ch NULLS FIRST, brand NULLS FIRST, cls NULLS FIRST, cat NULLS FIRST LIMIT 100""")
+WITH {CROSS_ITEMS} SELECT ch, brand, cls, cat, {r("sum(v)", "v", 2)}, CAST(sum(n) AS BIGINT) AS n FROM big GROUP BY ROLLUP (ch, brand, cls, cat) ORDER BY ch NULLS FIRST, brand NULLS FIRST, cls NULLS FIRST, cat NULLS FIRST LIMIT 100""")
 
 TWO_WEEKS = CROSS_ITEMS.split("g AS (")[0] + """g AS (SELECT s.yr, i.brand, i.cls, i.cat, sum(s.qty * s.price) AS v, count(*) AS n FROM sales s JOIN items i ON i.item = s.item JOIN kinds k ON k.brand = i.brand AND k.cls = i.cls AND k.cat = i.cat
   WHERE s.ch = 'store' AND s.yr IN (1998, 1999) AND s.mo = 12 GROUP BY s.yr, i.brand, i.cls, i.cat),
 big AS (SELECT yr, brand, cls, cat, v, n FROM g WHERE v > (SELECT lim FROM mean)),
-wide AS (SELECT brand, cls, cat, sum(CASE WHEN yr = 1999 THEN v END) AS v99, sum(CASE WHEN yr = 1999 THEN n END) AS n99, sum(CASE WHEN yr = 1998 THEN v END) AS v98, sum(CASE WHEN yr = 1998 THEN n END) AS n98 FROM big GROUP BY brand, cls, cat)"""
+wide AS (SELECT brand, cls, cat, sum(CASE WHEN yr = 1999 THEN v END) AS v99, CAST(sum(CASE WHEN yr = 1999 THEN n END) AS BIGINT) AS n99, sum(CASE WHEN yr = 1998 THEN v END) AS v98, CAST(sum(CASE WHEN yr = 1998 THEN n END) AS BIGINT) AS n98 FROM big GROUP BY brand, cls, cat)"""
 LAST_YEAR = f"""WITH {TWO_WEEKS} SELECT brand, cls, cat, round(v99, 2) AS v99, n99, round(v98, 2) AS v98, n98 FROM wide WHERE v99 IS NOT NULL AND v98 IS NOT NULL ORDER BY brand, cls, cat LIMIT 100"""
 ds("q14b", LAST_YEAR)
 
@@ -332,7 +332,7 @@ def lag_counts(lag: str) -> str:
     def test(a, b):
         return " AND ".join(x for x in (f"{lag} > {a}" if a else "", f"{lag} <= {b}" if b else "") if x)
 
-    return ", ".join(f"sum(CASE WHEN {test(a, b)} THEN 1 ELSE 0 END) AS upto_{b or 'more'}" for a, b in LAGS)
+    return ", ".join(f"count(CASE WHEN {test(a, b)} THEN 1 END) AS upto_{b or 'more'}" for a, b in LAGS)
 
 
 ds("q50", f"""SELECT o.oname, o.state, {lag_counts("s.lag + 20")} FROM sales s JOIN outlets o ON o.outlet = s.outlet WHERE s.ch = 'store' AND s.flag = 'R' AND s.yr = 1998 AND s.mo = 8 GROUP BY o.oname, o.state ORDER BY o.oname, o.state LIMIT 100""")

@@ -77,7 +77,7 @@ WITH back AS (SELECT item, sum(amt) AS refund, count(*) AS n FROM returns WHERE
 ok AS (SELECT sold.item FROM sold JOIN back ON back.item = sold.item WHERE v > 2 * refund),
 g AS (SELECT i.iname, o.oname, o.zip, s.yr, count(*) AS cnt, sum(s.cost_v) AS s1, sum(s.price) AS s2, sum(s.disc) AS s3 FROM (SELECT item, outlet, cust, yr, price, disc, price * 0.5 AS cost_v FROM sales WHERE ch = 'store' AND flag = 'R') s
   JOIN ok ON ok.item = s.item JOIN items i ON i.item = s.item JOIN outlets o ON o.outlet = s.outlet JOIN people p ON p.cust = s.cust WHERE p.marital <> 1 GROUP BY i.iname, o.oname, o.zip, s.yr),
-w AS (SELECT iname, oname, zip, sum(CASE WHEN yr = 1998 THEN cnt END) AS cnt98, sum(CASE WHEN yr = 1999 THEN cnt END) AS cnt99, sum(CASE WHEN yr = 1998 THEN s1 END) AS a98, sum(CASE WHEN yr = 1999 THEN s1 END) AS a99 FROM g GROUP BY iname, oname, zip)
+w AS (SELECT iname, oname, zip, CAST(sum(CASE WHEN yr = 1998 THEN cnt END) AS BIGINT) AS cnt98, CAST(sum(CASE WHEN yr = 1999 THEN cnt END) AS BIGINT) AS cnt99, sum(CASE WHEN yr = 1998 THEN s1 END) AS a98, sum(CASE WHEN yr = 1999 THEN s1 END) AS a99 FROM g GROUP BY iname, oname, zip)
 SELECT iname, oname, zip, cnt98, cnt99, round(a98, 3) AS a98, round(a99, 3) AS a99 FROM w WHERE cnt99 <= cnt98{extra} ORDER BY iname, oname, zip"""
 
 
@@ -119,7 +119,7 @@ GROUP BY i.brand, s.hour ORDER BY total DESC, i.brand, s.hour""")
 
 def shortage(extra: str) -> str:
     return f"""
-SELECT i.iname, k.wh, s.wk, sum(CASE WHEN s.promo = '1-URGENT' THEN 0 ELSE 1 END) AS no_promo, sum(CASE WHEN s.promo = '1-URGENT' THEN 1 ELSE 0 END) AS promo, count(*) AS total
+SELECT i.iname, k.wh, s.wk, count(CASE WHEN s.promo <> '1-URGENT' THEN 1 END) AS no_promo, count(CASE WHEN s.promo = '1-URGENT' THEN 1 END) AS promo, count(*) AS total
 FROM sales s JOIN items i ON i.item = s.item JOIN people p ON p.cust = s.cust JOIN stock k ON k.item = s.item AND k.yr = s.yr AND k.mo = s.mo
 LEFT JOIN (SELECT ord, item, count(*) AS n FROM returns WHERE ch = 'catalog' GROUP BY ord, item) b ON b.ord = s.ord AND b.item = s.item
 WHERE s.ch = 'catalog' AND k.qoh < s.qty + 30 AND s.lag > 5 AND s.yr = 1998 AND p.marital = 1{extra} GROUP BY i.iname, k.wh, s.wk ORDER BY total DESC, i.iname, k.wh, s.wk LIMIT 100"""
@@ -193,7 +193,7 @@ ds("q86", WEB86)
 
 ds("q87", f"""SELECT count(*) AS n FROM ({d1.buyer_days("store")} EXCEPT {d1.buyer_days("catalog")} EXCEPT {d1.buyer_days("web")}) x""")
 
-HOURS = ", ".join(f"sum(CASE WHEN s.hour = {h} THEN 1 ELSE 0 END) AS h{h}" for h in range(8, 13))
+HOURS = ", ".join(f"count(CASE WHEN s.hour = {h} THEN 1 END) AS h{h}" for h in range(8, 13))
 ds("q88", f"""SELECT {HOURS} FROM sales s JOIN people p ON p.cust = s.cust JOIN outlets o ON o.outlet = s.outlet WHERE s.ch = 'store' AND o.country = 'ASIA' AND ((p.deps = 4 AND p.cars <= 6) OR (p.deps = 2 AND p.cars <= 4) OR (p.deps = 0 AND p.cars <= 2))""")
 
 CLASSES = f"""
@@ -219,8 +219,8 @@ ds("q96", """SELECT count(*) AS n FROM sales s JOIN people p ON p.cust = s.cust
 
 ds("q97", """
 WITH a AS (SELECT cust, item FROM sales WHERE ch = 'store' GROUP BY cust, item), b AS (SELECT cust, item FROM sales WHERE ch = 'catalog' GROUP BY cust, item)
-SELECT sum(CASE WHEN a.cust IS NOT NULL AND b.cust IS NULL THEN 1 ELSE 0 END) AS store_only, sum(CASE WHEN a.cust IS NULL AND b.cust IS NOT NULL THEN 1 ELSE 0 END) AS catalog_only,
- sum(CASE WHEN a.cust IS NOT NULL AND b.cust IS NOT NULL THEN 1 ELSE 0 END) AS both_ways FROM a FULL JOIN b ON a.cust = b.cust AND a.item = b.item""")
+SELECT count(CASE WHEN a.cust IS NOT NULL AND b.cust IS NULL THEN 1 END) AS store_only, count(CASE WHEN a.cust IS NULL AND b.cust IS NOT NULL THEN 1 END) AS catalog_only,
+ count(CASE WHEN a.cust IS NOT NULL AND b.cust IS NOT NULL THEN 1 END) AS both_ways FROM a FULL JOIN b ON a.cust = b.cust AND a.item = b.item""")
 
 ds("q98", d1.class_share("store", ""))
 ds("q99", ship_lags("catalog"))
@@ -257,7 +257,7 @@ ds("v27_q12", d1.class_share("web", " LIMIT 100").replace("(2, 3)", "(4, 5)"))
 ds("v27_q14", d1.LAST_YEAR.replace("mo = 12", "mo = 6"))
 
 ds("v27_q14a", levels(f"SELECT ch, brand, cls, cat, {r('v', 'v', 2)}, n", f"WITH {d1.CROSS_ITEMS}, base AS (SELECT ch, brand, cls, cat, v, n FROM big)",
-                      ["ch:VARCHAR(10)", "brand:VARCHAR(20)", "cls:VARCHAR(20)", "cat:VARCHAR(20)"], "sum(v) AS v, sum(n) AS n", "ch NULLS FIRST, brand NULLS FIRST, cls NULLS FIRST, cat NULLS FIRST"))
+                      ["ch:VARCHAR(10)", "brand:VARCHAR(20)", "cls:VARCHAR(20)", "cat:VARCHAR(20)"], "sum(v) AS v, CAST(sum(n) AS BIGINT) AS n", "ch NULLS FIRST, brand NULLS FIRST, cls NULLS FIRST, cat NULLS FIRST"))
 
 SUM_COUNT = ", ".join(f"sum({e}) AS t{i}" for i, e in enumerate(("s.qty", "s.price", "s.disc", "s.net", "s.profit"), 1)) + ", count(*) AS n"
 ds("v27_q18a", levels("SELECT cat, country, state, " + ", ".join(f"round(t{i}, 4) / n AS a{i}" for i in range(1, 6)), f"WITH base AS (SELECT i.cat, p.country, p.state, {SUM_COUNT} {d1.GEO_FROM} GROUP BY i.cat, p.country, p.state)",

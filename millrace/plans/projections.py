@@ -54,7 +54,7 @@ def prj_null_safe(t):
 
 
 @query("prj_null_arithmetic", """
-SELECT k, sum(b + c) AS s, count(b + c) AS n, sum(CASE WHEN b > 3 THEN 1 END) AS big, count(DISTINCT b) AS kinds FROM
+SELECT k, sum(b + c) AS s, count(b + c) AS n, sum(CASE WHEN b > 3 THEN 1 END)::BIGINT AS big, count(DISTINCT b) AS kinds FROM
 (SELECT l_returnflag AS k, nullif(l_linenumber, 2) AS b, nullif(l_quantity, 10) AS c FROM lineitem) GROUP BY k""")
 def prj_null_arithmetic(t):
     rows = t.lineitem.select(F.col("l_returnflag").alias("k"), F.expr("nullif(l_linenumber, 2)").alias("b"), F.expr("nullif(l_quantity, 10)").alias("c"))

@@ -11,7 +11,7 @@ def buyers(t, status):
 
 
 @query("set_union_all", """
-SELECT kind, count(*) AS n, sum(k) AS s FROM (SELECT 'c' AS kind, c_custkey AS k FROM customer UNION ALL SELECT 's', s_suppkey FROM supplier
+SELECT kind, count(*) AS n, sum(k)::BIGINT AS s FROM (SELECT 'c' AS kind, c_custkey AS k FROM customer UNION ALL SELECT 's', s_suppkey FROM supplier
 UNION ALL SELECT 'n', n_nationkey FROM nation) GROUP BY kind""")
 def set_union_all(t):
     rows = t.customer.select(F.lit("c").alias("kind"), F.col("c_custkey").alias("k")).union(

@@ -33,7 +33,7 @@ def win_rows(t):
 
 
 @query("win_range_num", """
-SELECT p_partkey, count(*) OVER w AS near, sum(p_size) OVER w AS sizes
+SELECT p_partkey, count(*) OVER w AS near, (sum(p_size) OVER w)::BIGINT AS sizes
 FROM part WINDOW w AS (PARTITION BY p_brand ORDER BY p_size RANGE BETWEEN 5 PRECEDING AND 2 FOLLOWING)""")
 def win_range_num(t):
     return ow.range_frame(t.part, ["p_brand"], "p_size", 5, 2, {"sizes": F.col("p_size")}, "near").select("p_partkey", "near", "sizes")
@@ -214,7 +214,7 @@ def win_moving_distinct(t):
 
 
 @query("win_global_running", """
-SELECT d, n, sum(n) OVER (ORDER BY d) AS upto, round(n / sum(n) OVER (), 8) AS share FROM (SELECT strftime(o_orderdate, '%Y-%m') AS d, count(*) AS n FROM orders GROUP BY 1)""")
+SELECT d, n, (sum(n) OVER (ORDER BY d))::BIGINT AS upto, round(n / sum(n) OVER (), 8) AS share FROM (SELECT strftime(o_orderdate, '%Y-%m') AS d, count(*) AS n FROM orders GROUP BY 1)""")
 def win_global_running(t):
     """A window without keys, over one row per month: the input is aggregated first, so its size does not grow."""
     months = t.orders.groupBy(F.date_format("o_orderdate", "yyyy-MM").alias("d")).agg(F.count("*").alias("n"))
