@@ -179,9 +179,9 @@ def agg_struct_max(t):
 
 
 @query("agg_collect_sorted", """
-SELECT user_id, list_sort(list(DISTINCT event_type)) AS kinds FROM events GROUP BY user_id""")
+SELECT user_id, array_to_string(list_sort(list(DISTINCT event_type)), ',') AS kinds FROM events GROUP BY user_id""")
 def agg_collect_sorted(t):
-    return t.events.groupBy("user_id").agg(F.sort_array(F.collect_set("event_type")).alias("kinds"))
+    return t.events.groupBy("user_id").agg(F.array_join(F.sort_array(F.collect_set("event_type")), ",").alias("kinds"))
 
 
 @query("agg_collect_bag", """
@@ -193,11 +193,12 @@ def agg_collect_bag(t):
 
 
 @query("agg_collect_list", """
-SELECT o_custkey, (rn - 1) // 4 AS chunk, list(o_orderkey ORDER BY o_orderkey) AS orders
+SELECT o_custkey, (rn - 1) // 4 AS chunk, array_to_string(list(o_orderkey ORDER BY o_orderkey), ',') AS orders
 FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS rn FROM orders) GROUP BY ALL""")
 def agg_collect_list(t):
     """Whole lists in chunks of a fixed length, so a hot key gives more rows and not a longer cell."""
-    return ow.chunked_lists(t.orders.select("o_custkey", "o_orderkey"), ["o_custkey"], ["o_orderkey"], "o_orderkey", 4, "orders")
+    lists = ow.chunked_lists(t.orders.select("o_custkey", "o_orderkey"), ["o_custkey"], ["o_orderkey"], "o_orderkey", 4, "orders")
+    return lists.withColumn("orders", F.array_join(F.col("orders").cast("array<string>"), ","))
 
 
 @query("agg_salted", """

@@ -30,11 +30,16 @@ SQL_VIEWS = {
 NEEDS = {"returns": ["sales"], "stock": ["sales"]}
 
 
-def sales(t: Tables) -> DataFrame:
+def sales(t: Tables, dates: tuple[str, str] | None = None) -> DataFrame:
+    """All sold lines; ``dates`` (from, before) limits the orders by a range that reaches the scan."""
+    orders = t.orders
+    if dates:
+        low, high = (F.lit(d).cast("timestamp_ntz") for d in dates)
+        orders = orders.where((F.col("o_orderdate") >= low) & (F.col("o_orderdate") < high))
     price, discount, when = F.col("l_extendedprice"), F.col("l_discount"), F.to_date("o_orderdate")
     day = F.unix_date(when)
     line = F.col("l_linenumber") % 3
-    return t.lineitem.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
+    return t.lineitem.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
         F.when(line == 0, "store").when(line == 1, "catalog").otherwise("web").alias("ch"), F.col("l_partkey").alias("item"), F.col("o_custkey").alias("cust"),
         F.col("l_suppkey").alias("outlet"), F.col("l_orderkey").alias("ord"), F.col("l_linenumber").alias("line"), F.col("l_quantity").alias("qty"), price.alias("price"),
         (price * discount).alias("disc"), (price * (1 - discount)).alias("net"), (price * (0.3 - discount)).alias("profit"), (price * F.col("l_tax")).alias("tax"),
@@ -93,11 +98,12 @@ def for_duckdb(sql: str) -> str:
     return f"WITH {heads},\n{body[5:]}" if body.startswith("WITH ") else f"WITH {heads}\n{body}"
 
 
-def run(t: Tables, sql: str) -> DataFrame:
+def run(t: Tables, sql: str, dates: tuple[str, str] | None = None) -> DataFrame:
     """The query over the views of this folder, bound by name for this one statement."""
-    return t.spark.sql(re.sub(r"\b(FROM|JOIN)\s+(" + "|".join(VIEWS) + r")\b", r"\1 {\2}", sql), **{v: VIEWS[v](t) for v in VIEWS if re.search(rf"\b(?:FROM|JOIN)\s+{v}\b", sql)})
+    frames = {v: (sales(t, dates) if v == "sales" else VIEWS[v](t)) for v in VIEWS if re.search(rf"\b(?:FROM|JOIN)\s+{v}\b", sql)}
+    return t.spark.sql(re.sub(r"\b(FROM|JOIN)\s+(" + "|".join(VIEWS) + r")\b", r"\1 {\2}", sql), **frames)
 
 
-def ds(name: str, sql: str) -> None:
+def ds(name: str, sql: str, dates: tuple[str, str] | None = None) -> None:
     """Register a decision-support query written once for both engines."""
-    query(f"ds_{name}", for_duckdb(sql))(lambda t: run(t, sql))
+    query(f"ds_{name}", for_duckdb(sql))(lambda t: run(t, sql, dates))

@@ -130,10 +130,10 @@ def win_stats(t):
 
 
 @query("win_collect", """
-SELECT o_orderkey, list(o_orderpriority) OVER (PARTITION BY o_custkey ORDER BY o_orderkey ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS recent FROM orders""")
+SELECT o_orderkey, array_to_string(list(o_orderpriority) OVER (PARTITION BY o_custkey ORDER BY o_orderkey ROWS BETWEEN 2 PRECEDING AND CURRENT ROW), '|') AS recent FROM orders""")
 def win_collect(t):
     return ow.neighbours(t.orders.select("o_orderkey", "o_custkey", "o_orderpriority"), ["o_custkey"], ["o_orderkey"], 2, 0, lambda w: [
-        F.collect_list("o_orderpriority").over(w.rowsBetween(-2, 0)).alias("recent")]).select("o_orderkey", "recent")
+        F.array_join(F.collect_list("o_orderpriority").over(w.rowsBetween(-2, 0)), "|").alias("recent")]).select("o_orderkey", "recent")
 
 
 @query("win_udf", """
@@ -168,10 +168,10 @@ def win_matchpath_mixed(t):
 
 
 @query("win_sliding", """
-SELECT user_id, items FROM (SELECT user_id, row_number() OVER w AS pos, list(event_id) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN CURRENT ROW AND 3 FOLLOWING) AS items
+SELECT user_id, array_to_string(items, ',') AS items FROM (SELECT user_id, row_number() OVER w AS pos, list(event_id) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN CURRENT ROW AND 3 FOLLOWING) AS items
 FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)) WHERE len(items) = 4 AND (pos - 1) % 2 = 0""")
 def win_sliding(t):
-    return ow.sliding(events(t), ["user_id"], ["ts", "event_id"], "event_id", 4, 2).select("user_id", "items")
+    return ow.sliding(events(t), ["user_id"], ["ts", "event_id"], "event_id", 4, 2).select("user_id", F.array_join(F.col("items").cast("array<string>"), ",").alias("items"))
 
 
 @query("win_topk", """
