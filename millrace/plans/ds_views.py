@@ -104,6 +104,12 @@ def run(t: Tables, sql: str, dates: tuple[str, str] | None = None) -> DataFrame:
     return t.spark.sql(re.sub(r"\b(FROM|JOIN)\s+(" + "|".join(VIEWS) + r")\b", r"\1 {\2}", sql), **frames)
 
 
+# queries that read the sales of 1998 only, in every place where they read sales
+OF_1998 = {f"q{i}" for i in (6, 7, 8, 10, 12, 13, 15, 18, 20, 26, 27, 31, 32, 33, 36, 38, 42, 43, 45, 48, 50, 51, 53, 56, 58, 60, 61, 62, 63, 65, 67, 69, 70, 71, 72, 78, 86, 87, 89, 92, 98, 99)}
+
+
 def ds(name: str, sql: str, dates: tuple[str, str] | None = None) -> None:
     """Register a decision-support query written once for both engines."""
+    if name in OF_1998:
+        dates = ("1998-01-01", "1999-01-01")
     query(f"ds_{name}", for_duckdb(sql))(lambda t: run(t, sql, dates))

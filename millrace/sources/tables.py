@@ -30,3 +30,10 @@ def staged(df: DataFrame, label: str, fmt: str = "parquet", partition_by: list[s
         writer = writer.partitionBy(*partition_by)
     writer.save(path)
     return path
+
+
+def parallelized(spark, rows: list, schema: str, slices: int) -> DataFrame:
+    """A local list cut into consecutive slices of nearly equal length, one partition each. For short lists only."""
+    if slices < 1:
+        raise ValueError("at least one slice is needed")
+    return spark.createDataFrame(spark.sparkContext.parallelize(rows, slices), schema)

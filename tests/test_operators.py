@@ -404,3 +404,36 @@ def test_pregel_matches_a_walk(spark):
 def test_levels_of_a_forest(spark):
     df = spark.createDataFrame([(1, None), (2, 1), (3, 1), (4, 3), (9, 77)], "c int, p int")
     assert dict(rows(og.levels(df, "c", "p"))) == {1: 1, 2: 2, 3: 2, 4: 3, 9: 1}
+
+
+def test_parallelized_slices(spark):
+    from millrace.sources.tables import parallelized
+
+    df = parallelized(spark, [(i,) for i in range(10)], "i int", 3)
+    parts = defaultdict(list)
+    for r in df.select("i", F.spark_partition_id().alias("p")).collect():
+        parts[r["p"]].append(r["i"])
+    assert [parts[p] for p in sorted(parts)] == [[0, 1, 2], [3, 4, 5], [6, 7, 8, 9]]
+    with pytest.raises(ValueError):
+        parallelized(spark, [(1,)], "i int", 0)
+
+
+def test_export_keeps_schema_and_partitions(spark):
+    from millrace.operators import maintenance as om
+
+    folder = scratch_path(spark, "t")
+    df = spark.createDataFrame([(1, "a", 2.5), (2, "b", None)], "i bigint, p string, x double")
+    om.export_table(df, folder, ["p"])
+    back = om.import_table(spark, folder)
+    assert back.schema.simpleString() == df.schema.simpleString() and rows(back) == rows(df)
+    assert rows(om.import_table(spark, folder, "p = 'b'")) == [(2, "b", None)]
+
+
+def test_new_data_gate(spark):
+    control = ja.empty_control(spark, "int")
+    df = spark.createDataFrame([(1,), (2,), (3,)], "d int")
+    assert ja.new_rows(df, "d", control).count() == 3
+    ja.mark_reported(df.where("d < 3"), "d", control)
+    assert rows(ja.new_rows(df, "d", control)) == [(3,)]
+    ja.mark_reported(df, "d", control)
+    assert ja.new_rows(df, "d", control) is None
