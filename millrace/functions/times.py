@@ -14,3 +14,14 @@ def epoch_seconds(c: Column | str) -> Column:
 
 def epoch_micros(c: Column | str) -> Column:
     return (epoch_seconds(c) * 1_000_000).cast("bigint")
+
+
+def as_instant(c: Column | str) -> Column:
+    """A zone-free timestamp taken as UTC, as the instant type that watermarks need."""
+    return F.timestamp_micros(epoch_micros(c))
+
+
+def from_instant(c: Column) -> Column:
+    """The UTC clock time of an instant, as a zone-free timestamp."""
+    seconds = (F.unix_micros(c).cast("decimal(20,0)") / 1_000_000).cast("decimal(18,6)")
+    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), seconds)

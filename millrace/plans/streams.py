@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from millrace.functions.times import as_instant, from_instant
 from millrace.operators import stats as st
 from millrace.registry import query
 from millrace.session import scratch_path
@@ -47,10 +48,10 @@ def stream_watermark(t):
     """The sign-ups of the first day arrive last; their windows are closed by then, so they are dropped."""
     late = (F.col("ts") < F.lit("2024-01-02").cast("timestamp_ntz")) & (F.col("event_type") == "signup")
     batches = [b.where(~late) for b in days(t)] + [t.events.where(late)]
-    rows = ss.queue_stream(batches, "late").withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", "1 hour")
+    rows = ss.queue_stream(batches, "late").withColumn("ts", as_instant("ts")).withWatermark("ts", "1 hour")
     counts = rows.groupBy(F.window("ts", "6 hours").alias("w")).agg(F.count("*").alias("n"))
     path, _ = sk.run_append(counts, "watermark")
-    return t.spark.read.parquet(path).select(start_of(), "n")
+    return t.spark.read.parquet(path).select(F.date_format(from_instant(F.col("w.start")), "yyyy-MM-dd HH:mm").alias("start"), "n")
 
 
 @query("stream_static_join", """

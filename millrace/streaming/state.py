@@ -8,6 +8,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from millrace.functions.times import as_instant
+
 SALTS = 8
 
 
@@ -55,7 +57,9 @@ def idle_groups(stream: DataFrame, key: str, time: str, idle_seconds: int, delay
             state.remove()
             yield pd.DataFrame({key: [keys[0]], "n": [int(n)], "last_ms": [int(last)]})
 
-    rows = stream.select(key, F.col(time).cast("timestamp").alias("_t")).withWatermark("_t", delay)
+    # zone-free times are taken as UTC, whatever the session's zone
+    at = as_instant(time) if dict(stream.dtypes)[time] == "timestamp_ntz" else F.col(time)
+    rows = stream.select(key, at.alias("_t")).withWatermark("_t", delay)
     rows = rows.select(key, "_t", F.unix_millis("_t").alias("_ms"))
     return rows.groupBy(key).applyInPandasWithState(
         update, f"{key} {kind}, n bigint, last_ms bigint", "n bigint, last_ms bigint", "append", GroupStateTimeout.EventTimeTimeout)
