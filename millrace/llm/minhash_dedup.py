@@ -7,14 +7,14 @@
    packed words give the share of equal low bits, corrected for chance agreement, and pairs whose estimate is more than
    ``SIGMAS`` deviations below the bound are left.
 4. The remaining pairs are confirmed on their full sets, read from the texts once more.
-5. Buckets that still hold nodes of different components are compared in full, in blocks, with packed signatures only;
-   pairs that pass the estimate are confirmed like the others. So no pair of a bucket goes unseen, and buckets of true
-   copies, which the first comparison unites, never produce their pairs.
+5. Buckets that still hold nodes of different components are compared in full, in blocks: packed signatures choose the
+   pairs, full sets confirm them, and only edges that unite two components leave the block. So no pair of a bucket goes
+   unseen, and no bucket gives out its pairs.
 
 A pair at similarity 0.75 shares no band with probability (1 - 0.75**3)**24 = 2e-6.
 
 Hot groups: equal sets are merged by a partial aggregate; joins on band keys and on hubs are plain sort-merge joins, which
-adaptive execution splits; large buckets are cut into blocks of ``BLOCK`` nodes.
+adaptive execution splits; large buckets are cut into parts of ``PART_SHINGLES``.
 
 Defined results
     * a text of fewer than five words is one shingle, its whole word sequence;
@@ -29,7 +29,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -42,7 +41,8 @@ PERCENT = 75
 MINIMA, BITS, BANDS, ROWS = 128, 2, 24, 3
 WORDS64 = MINIMA * BITS // 64
 SIGMAS = 4.5
-BLOCK = 512
+#: So many shingles of a bucket make one part; two parts meet in a task (16 bytes a shingle).
+PART_SHINGLES = 1 << 18
 #: Up to so many ids (8 bytes each) are sent to every executor; beyond it, the join is shuffled.
 BROADCAST_IDS = 500_000
 
@@ -178,39 +178,64 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
-def _in_blocks(members: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Pairs of different components in each bucket of ``members`` (key, node, label, size) that pass the estimate."""
-    parts = F.ceil(F.col("size") / F.lit(BLOCK)).cast("int")
-    cut = members.join(nodes.select("node", *SIGNATURE), "node").withColumn("parts", parts).withColumn("mine", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
-    other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
-    blocks = cut.withColumn("other", other).select(
-        "key", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine", "node", "label", *SIGNATURE
-    )
-    least = least_agreement()
+def _in_blocks(members: DataFrame, nodes: DataFrame, documents: DataFrame, id_col: str, text: str) -> DataFrame:
+    """Edges between different components within each bucket of ``members`` (key, node, label).
 
-    def compare(rows: pd.DataFrame) -> pd.DataFrame:
-        i, j = rows["i"].iat[0], rows["j"].iat[0]
-        left, right = rows[rows["mine"] == i], rows[rows["mine"] == j]
-        mask = np.uint64(0x5555555555555555)
-        y = right[SIGNATURE].to_numpy(np.int64).view(np.uint64)
-        a, b = [], []
-        for node, label, *x in left[["node", "label", *SIGNATURE]].itertuples(index=False):
-            odd = y ^ np.array(x, np.int64).view(np.uint64)
-            odd = (odd | (odd >> np.uint64(1))) & mask
-            hit = (MINIMA - np.bitwise_count(odd).sum(axis=1) >= least) & (right["label"].to_numpy() != label)
-            other = right["node"].to_numpy()[hit]
-            a.append(np.minimum(node, other))
-            b.append(np.maximum(node, other))
-        return pd.DataFrame({"a": np.concatenate(a) if a else np.zeros(0, np.int64), "b": np.concatenate(b) if b else np.zeros(0, np.int64)}).drop_duplicates()
+    A bucket is cut into parts of about ``PART_SHINGLES`` shingles; every two parts meet in one group, which holds their
+    signatures and sets. There the packed signatures choose the pairs to confirm, and only confirmed pairs that unite two
+    components come out, so a group gives fewer rows than it has nodes.
+    """
+    wanted = members.select("node").distinct().join(nodes.select("node", "doc_id"), "node")
+    sets = checkpointed(_sets(documents, wanted, id_col, text))
+    sized = members.join(nodes.select("node", "n_shingles"), "node")
+    parts = sized.groupBy("key").agg(F.ceil(F.sum("n_shingles") / F.lit(PART_SHINGLES)).cast("int").alias("parts"))
+    cut = sized.join(parts, "key").withColumn("mine", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
+    cut = cut.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    cut = cut.select("key", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine", "node", "label")
+    blocks = cut.join(nodes.select("node", *SIGNATURE), "node").join(sets, "node")
+    least = least_agreement()
 
-    return blocks.groupBy("key", "i", "j").applyInPandas(compare, "a long, b long").distinct()
+    def compare(table: pa.Table) -> pa.Table:
+        column = {c: table[c].combine_chunks() for c in table.schema.names}
+        node, mine = column["node"].to_numpy(), column["mine"].to_numpy()
+        sign = np.stack([column[s].to_numpy() for s in SIGNATURE], axis=1).view(np.uint64)
+        size = np.diff(column["shingles"].offsets.to_numpy())
+        ids = np.unique(column["shingles"].flatten().to_numpy(), return_inverse=True)[1]
+        starts = np.cumsum(size) - size
+        part = np.unique(column["label"].to_numpy(), return_inverse=True)[1]
+        mark = np.zeros(len(ids) + 1, np.int32)
+        i, j = column["i"][0].as_py(), column["j"][0].as_py()
+        left, right = np.flatnonzero(mine == i), np.flatnonzero(mine == j)
+        edges = []
+        for at, x in enumerate(left):
+            others = right[at + 1 :] if i == j else right
+            odd = sign[others] ^ sign[x]
+            unequal = np.bitwise_count((odd | (odd >> np.uint64(1))) & np.uint64(0x5555555555555555)).sum(axis=1)
+            hits = others[(MINIMA - unequal.astype(np.int64) >= least) & (part[others] != part[x])]
+            if not len(hits):
+                continue
+            own = ids[starts[x] : starts[x] + size[x]]
+            mark[own] = 1
+            if len(hits) < len(size) // 4:
+                shared = np.array([mark[ids[starts[y] : starts[y] + size[y]]].sum() for y in hits])
+            else:
+                shared = np.add.reduceat(mark[ids], starts)[hits]
+            mark[own] = 0
+            for y in hits[100 * shared >= PERCENT * (size[x] + size[hits] - shared)]:
+                if part[y] != part[x]:
+                    edges.append((node[x], node[y]))
+                    part[part == part[y]] = part[x]
+        a, b = (np.array([e[k] for e in edges], np.int64) for k in (0, 1))
+        return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+
+    return blocks.groupBy("key", "i", "j").applyInArrow(compare, "a long, b long").distinct()
 
 
 def near_duplicates(documents: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """For each row: doc_id, n_shingles, component_id and kept (it is its component's smallest id)."""
     base = checkpointed(fingerprints(documents, id_col, text))
     nodes = checkpointed(
-        base.where("node is not null and doc_id is not null").groupBy("node").agg(F.min("doc_id").alias("doc_id"), *(F.first(c).alias(c) for c in (*SIGNATURE, "bands")))
+        base.where("node is not null and doc_id is not null").groupBy("node").agg(F.min("doc_id").alias("doc_id"), *(F.first(c).alias(c) for c in ("n_shingles", *SIGNATURE, "bands")))
     )
     banded = nodes.select(F.explode("bands").alias("key"), "node")
     buckets = banded.groupBy("key").agg(F.min("node").alias("hub"), F.max("node").alias("far"), F.count("*").alias("size")).where("hub < far").drop("far")
@@ -227,11 +252,9 @@ def near_duplicates(documents: DataFrame, id_col: str = "doc_id", text: str = "t
     labels = components(edges)
     left = members.where("size > 2").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     open_buckets = left.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("key")
-    rest = _in_blocks(left.join(open_buckets, "key"), nodes).join(stars, ["a", "b"], "left_anti")
-    rest = checkpointed(rest)
-    if rest.limit(1).count():
-        edges = checkpointed(edges.union(_confirmed(rest, nodes, documents, id_col, text)))
-        labels = components(edges)
+    more = checkpointed(_in_blocks(left.join(open_buckets, "key").select("key", "node", "label"), nodes, documents, id_col, text))
+    if more.limit(1).count():
+        labels = components(edges.union(more))
 
     named = labels.join(nodes.select("node", "doc_id"), "node")
     lowest = named.groupBy("label").agg(F.min("doc_id").alias("lowest"))
