@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import minhash_dedup, quality_rules, sql_twins
+from millrace.llm import ball_tree, minhash_dedup, quality_rules, sql_twins, url_rules
 from millrace.registry import Tables
 
 
@@ -14,9 +14,17 @@ def op1_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return minhash_dedup.near_duplicates(Tables(spark, folder).documents)
 
 
+def op3_ball_tree_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    return ball_tree.embedding_neighbours(Tables(spark, folder).embeddings)
+
+
+def op4_url_pattern_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return url_rules.url_verdicts(Tables(spark, folder).pages)
+
+
 def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality_rules.rules_digest(Tables(spark, folder).documents)
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_minhash_near_dedup, op10_quality_rules)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_minhash_near_dedup, op3_ball_tree_top_k, op4_url_pattern_rules, op10_quality_rules)}
 SQL: dict[str, str] = sql_twins.SQL

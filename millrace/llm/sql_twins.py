@@ -45,4 +45,31 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM y
 """
 
-SQL = {"op1_minhash_near_dedup": OP1, "op10_quality_rules": OP10}
+OP3 = """
+WITH v AS (
+  SELECT vec_id, min(list_transform(embedding, lambda x: floor(1024 * x::DOUBLE))) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 GROUP BY vec_id),
+p AS (SELECT q.vec_id AS query_id, v.vec_id, list_inner_product(q.v, v.v)::BIGINT AS score
+  FROM v q JOIN v ON q.vec_id <> v.vec_id AND len(q.v) = len(v.v) WHERE q.vec_id % 100 = 0)
+SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score
+FROM p QUALIFY rank <= 10
+"""
+
+_HOST_WORDS = ("adult", "casino", "porn", "xxx", "escort", "viagra", "torrent", "malware", "phishing")
+_PATH_WORDS = ("login", "logout", "signup", "cart", "checkout", "calendar")
+OP4 = f"""
+WITH r AS (SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
+h AS (SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), '{_UPPER}', '{_LOWER}') AS host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM r),
+m AS (SELECT *, CASE
+    WHEN (host = 'www.example.com' OR ends_with(host, '.www.example.com')) AND starts_with(path, '/en/') THEN 'www.example.com/en/'
+    WHEN (host = 'example.com' OR ends_with(host, '.example.com')) AND starts_with(path, '/en/') THEN 'example.com/en/'
+    WHEN (host = 'net' OR ends_with(host, '.net')) AND starts_with(path, '/es/') THEN 'net/es/'
+    WHEN (host = 'net' OR ends_with(host, '.net')) AND starts_with(path, '/fr/') THEN 'net/fr/'
+    WHEN (host = 'com' OR ends_with(host, '.com')) AND starts_with(path, '/') THEN 'com/' END AS rule,
+  len(list_intersect(regexp_extract_all(host, '[a-z0-9]+'), {list(_HOST_WORDS)})) > 0
+    OR regexp_matches(path, '/({"|".join(_PATH_WORDS)})([/.]|$)') AS bad FROM h)
+SELECT page_id, host, path, rule, CASE WHEN rule IN ('com/', 'www.example.com/en/') THEN 'allow' WHEN rule IS NOT NULL OR bad THEN 'block' ELSE 'allow' END AS verdict
+FROM m
+"""
+
+SQL = {"op1_minhash_near_dedup": OP1, "op3_ball_tree_top_k": OP3, "op4_url_pattern_rules": OP4, "op10_quality_rules": OP10}
