@@ -105,13 +105,13 @@ def texts(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def steps(batch: pa.RecordBatch, text: str) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
-    """Slices of a batch of about ``STEP_BYTES`` of text each, with bytes and offsets of the text column."""
+def steps(batch: pa.RecordBatch, text: str, size: int = STEP_BYTES) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+    """Slices of a batch of about ``size`` bytes of text each, with bytes and offsets of the text column."""
     if batch.num_rows == 0:
         return
     data, offsets = texts(batch.column(batch.schema.get_field_index(text)))
     at = 0
     while at < batch.num_rows:
-        to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + STEP_BYTES, side="right")) - 1)
+        to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + size, side="right")) - 1)
         yield batch.slice(at, to - at), data[offsets[at] : offsets[to]], offsets[at : to + 1] - offsets[at]
         at = to

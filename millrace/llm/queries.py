@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import ball_tree, minhash_dedup, quality_rules, sql_twins, url_rules
+from millrace.llm import ball_tree, byte_bpe, minhash_dedup, quality_rules, sql_twins, url_rules
 from millrace.registry import Tables
 
 
@@ -22,9 +23,13 @@ def op4_url_pattern_rules(spark: SparkSession, folder: str) -> DataFrame:
     return url_rules.url_verdicts(Tables(spark, folder).pages)
 
 
+def op7_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    return byte_bpe.token_digests(Tables(spark, folder).documents, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
 def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality_rules.rules_digest(Tables(spark, folder).documents)
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_minhash_near_dedup, op3_ball_tree_top_k, op4_url_pattern_rules, op10_quality_rules)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_minhash_near_dedup, op3_ball_tree_top_k, op4_url_pattern_rules, op7_byte_bpe, op10_quality_rules)}
 SQL: dict[str, str] = sql_twins.SQL
