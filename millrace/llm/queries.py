@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import ball_tree, byte_bpe, minhash_dedup, quality_rules, sql_twins, url_rules
+from millrace.llm import ball_tree, byte_bpe, license_rules, minhash_dedup, quality_rules, sql_twins, url_rules, warc_derivatives
 from millrace.registry import Tables
 
 
@@ -15,6 +15,10 @@ def op1_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return minhash_dedup.near_duplicates(Tables(spark, folder).documents)
 
 
+def op2_license_sentence_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return license_rules.licence_digest(Tables(spark, folder).documents)
+
+
 def op3_ball_tree_top_k(spark: SparkSession, folder: str) -> DataFrame:
     return ball_tree.embedding_neighbours(Tables(spark, folder).embeddings)
 
@@ -23,6 +27,10 @@ def op4_url_pattern_rules(spark: SparkSession, folder: str) -> DataFrame:
     return url_rules.url_verdicts(Tables(spark, folder).pages)
 
 
+def op5_warc_derivatives(spark: SparkSession, folder: str) -> DataFrame:
+    return warc_derivatives.page_derivatives(Tables(spark, folder).pages)
+
+
 def op7_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return byte_bpe.token_digests(Tables(spark, folder).documents, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
 
@@ -31,5 +39,5 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality_rules.rules_digest(Tables(spark, folder).documents)
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_minhash_near_dedup, op3_ball_tree_top_k, op4_url_pattern_rules, op7_byte_bpe, op10_quality_rules)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_minhash_near_dedup, op2_license_sentence_rules, op3_ball_tree_top_k, op4_url_pattern_rules, op5_warc_derivatives, op7_byte_bpe, op10_quality_rules)}
 SQL: dict[str, str] = sql_twins.SQL
