@@ -75,7 +75,7 @@ def sentences(text: Column) -> Column:
     s = F.regexp_replace(s, "\\n([a-z0-9(\"'])", " $1")
     s = F.regexp_replace(s, "[.!?;:]+[ \\t\\r\\n]", "\n")
     s = F.regexp_replace(s, "[^a-z0-9\\n]+", " ")
-    return F.filter(F.transform(F.split(s, "\n"), F.trim), lambda x: x != "")
+    return F.filter(F.transform(F.split(s, "\n"), lambda x: F.trim(x)), lambda x: x != "")
 
 
 def _path(names: tuple[str, ...]) -> str:
