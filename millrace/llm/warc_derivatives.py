@@ -74,8 +74,9 @@ def _entities(text: Column) -> Column:
 
 
 def _tidy(text: Column) -> Column:
-    t = F.regexp_replace(text, "[ \\t\\r\\f\\x{A0}]+", " ")
-    return F.regexp_replace(F.regexp_replace(t, " ?\\n[ \\n]*", "\n"), "^[ \\n]+|[ \\n]+\\z", "")
+    """Runs of blanks as one, no blanks around line ends, no empty lines, nothing at the ends. Single blanks match nothing."""
+    t = F.regexp_replace(text, "[\\t\\r\\f\\x{A0}][ \\t\\r\\f\\x{A0}]*+| [ \\t\\r\\f\\x{A0}]++", " ")
+    return F.btrim(F.regexp_replace(t, "\\n[ \\n]++| \\n[ \\n]*+", "\n"), F.lit(" \n"))
 
 
 def responses(pages: DataFrame, date: str, id_col: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
