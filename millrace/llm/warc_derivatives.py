@@ -19,12 +19,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 CRLF = "\r\n"
-#: The named entities that are decoded, ``&amp;`` last.
+#: The named entities that are decoded.
 ENTITIES = {
-    "&nbsp;": "\u00a0", "&lt;": "<", "&gt;": ">", "&quot;": '"', "&apos;": "'", "&copy;": "©", "&reg;": "®", "&middot;": "·", "&bull;": "•",
-    "&ndash;": "–", "&mdash;": "—", "&hellip;": "…", "&laquo;": "«", "&raquo;": "»", "&euro;": "€",
+    "nbsp": "\u00a0", "lt": "<", "gt": ">", "quot": '"', "apos": "'", "amp": "&", "copy": "©", "reg": "®", "middot": "·", "bull": "•",
+    "ndash": "–", "mdash": "—", "hellip": "…", "laquo": "«", "raquo": "»", "euro": "€",
 }
-_HIDDEN = r"(?is)<(script|style|noscript|template)\b[^<>]*+>.*?(?:</\1\s*>|\z)|<!--.*?(?:-->|\z)|<title\b[^<>]*+>.*?(?:</title\s*>|\z)"
+_HIDDEN = r"(?is)<(?:(script|style|noscript|template|title)\b[^<>]*+>.*?(?:</\1\s*>|\z)|!--.*?(?:-->|\z))"
 _BREAKS = r"(?i)</?(?:p|div|br|hr|li|ul|ol|dl|dt|dd|h[1-6]|tr|td|th|table|article|section|nav|header|footer|aside|main|form|pre|blockquote|body|html|head)\b[^<>]*+>"
 
 
@@ -42,43 +42,43 @@ def _record_id(*parts: Column) -> Column:
     return F.concat(F.lit("<urn:uuid:"), F.substring(h, 1, 8), F.lit("-"), F.substring(h, 9, 4), F.lit("-8"), F.substring(h, 14, 3), F.lit("-a"), F.substring(h, 18, 3), F.lit("-"), F.substring(h, 21, 12), F.lit(">"))
 
 
-def _numeric_entities(text: Column) -> Column:
-    """``&#233;`` and ``&#xE9;`` as characters; what names no character stays."""
+def _entities(text: Column) -> Column:
+    """Named and numeric entities as characters, each decoded once; what names no character stays.
+
+    Only what follows an ``&`` is looked at.
+    """
+    names = F.create_map(*(F.lit(x) for pair in ENTITIES.items() for x in pair))
 
     def decoded(part: Column) -> Column:
-        number = F.regexp_extract(part, "^(?:([0-9]{1,7})|[xX]([0-9a-fA-F]{1,6}));", 1)
-        hexed = F.regexp_extract(part, "^(?:([0-9]{1,7})|[xX]([0-9a-fA-F]{1,6}));", 2)
-        code = F.when(number != "", number.cast("long")).when(hexed != "", F.conv(hexed, 16, 10).cast("long"))
-        fine = code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF)
-        char = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
-        return F.when(fine, F.concat(char, F.regexp_replace(part, "^[^;]*;", ""))).otherwise(F.concat(F.lit("&#"), part))
-
-    parts = F.split(text, "&#")
+        name = F.regexp_extract(part, "^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[a-zA-Z]{2,8});", 1)
+        code = F.when(name.rlike("^#[0-9]"), F.substring(name, 2, 8).cast("long")).when(F.startswith(name, F.lit("#")), F.conv(F.substring(name, 3, 8), 16, 10).cast("long"))
+        real = code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF)
+        char = F.when(real, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")).otherwise(F.try_element_at(names, name))
+        return F.coalesce(F.concat(char, F.substring(part, F.length(name) + 2, F.length(part))), F.concat(F.lit("&"), part))
+
+    parts = F.split(text, "&")
     rest = F.transform(F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0))), decoded)
-    return F.when(F.contains(text, F.lit("&#")), F.concat(parts[0], F.concat_ws("", rest))).otherwise(text)
+    return F.concat(parts[0], F.concat_ws("", rest))
 
 
-def plain_text(html: Column) -> Column:
-    """The visible text, block elements on lines of their own."""
+def _visible(html: Column) -> Column:
+    """The page without tags and hidden parts, block elements on lines of their own."""
     t = F.regexp_replace(_text(html), _HIDDEN, " ")
     t = F.regexp_replace(t, _BREAKS, "\n")
-    t = F.regexp_replace(t, "<[a-zA-Z/!?][^<>]*+>", "")
-    return _tidy(_entities(t))
-
-
-def _entities(text: Column) -> Column:
-    t = text
-    for name, char in ENTITIES.items():
-        t = F.replace(t, F.lit(name), F.lit(char))
-    return F.when(F.contains(text, F.lit("&")), F.replace(_numeric_entities(t), F.lit("&amp;"), F.lit("&"))).otherwise(text)
+    return F.regexp_replace(t, "<[a-zA-Z/!?][^<>]*+>", "")
 
 
 def _tidy(text: Column) -> Column:
     """Runs of blanks as one, no blanks around line ends, no empty lines, nothing at the ends. Single blanks match nothing."""
-    t = F.regexp_replace(text, "[\\t\\r\\f\\x{A0}][ \\t\\r\\f\\x{A0}]*+| [ \\t\\r\\f\\x{A0}]++", " ")
+    t = F.regexp_replace(F.translate(text, "\t\r\f\u00a0", "    "), " {2,}+", " ")
     return F.btrim(F.regexp_replace(t, "\\n[ \\n]++| \\n[ \\n]*+", "\n"), F.lit(" \n"))
 
 
+def plain_text(html: Column) -> Column:
+    """The visible text with its entities decoded."""
+    return _tidy(_entities(_visible(html)))
+
+
 def responses(pages: DataFrame, date: str, id_col: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
     """Pages as response records: record_id, target_uri, warc_date, http_headers and payload."""
     head = F.concat(F.lit(f"HTTP/1.1 200 OK{CRLF}Content-Type: text/html; charset=utf-8{CRLF}Content-Length: "), F.octet_length(_text(F.col(html))).cast("string"))
@@ -96,8 +96,9 @@ def derivatives(found: DataFrame) -> DataFrame:
     body = F.concat("http_headers", F.lit(CRLF * 2), "payload")
     title = _tidy(_entities(F.regexp_extract("payload", r"(?is)<title\b[^<>]*+>(.*?)</title\s*>", 1)))
     links = F.array_distinct(F.regexp_extract_all("payload", F.lit(r"(?i)<a\s[^<>]*?href=\"([^\"<>]*)\""), F.lit(1)))
-    seen = found.withColumns({
-        "payload_digest": _sha(F.col("payload")), "source_digest": _sha(body), "text": plain_text(F.col("payload")), "title": title,
+    # step by step, so that no step is worked out once for every mention of it
+    seen = found.withColumn("text", _visible(F.col("payload"))).withColumn("text", _entities(F.col("text"))).withColumns({
+        "payload_digest": _sha(F.col("payload")), "source_digest": _sha(body), "text": _tidy(F.col("text")), "title": title,
         "language": F.regexp_extract("payload", r"(?i)<html\b[^<>]*?\blang=\"([^\"]*)\"", 1), "links": links,
         "metadata_id": _record_id(F.lit("metadata"), F.col("record_id")), "conversion_id": _record_id(F.lit("conversion"), F.col("record_id")),
     })
