@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import ball_tree, byte_bpe, license_rules, minhash_dedup, quality_rules, sql_twins, url_rules, warc_derivatives
+from millrace.llm import ball_tree, byte_bpe, byte_cnn, language_mixture, license_rules, minhash_dedup, quality_rules, raking, sql_twins, url_rules, warc_derivatives
 from millrace.registry import Tables
 
 
@@ -31,13 +31,32 @@ def op5_warc_derivatives(spark: SparkSession, folder: str) -> DataFrame:
     return warc_derivatives.page_derivatives(Tables(spark, folder).pages)
 
 
+def op6_byte_cnn_quality(spark: SparkSession, folder: str) -> DataFrame:
+    t = Tables(spark, folder)
+    return byte_cnn.quality_scores(t.documents, t.labels)
+
+
 def op7_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return byte_bpe.token_digests(Tables(spark, folder).documents, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op8_language_mixture(spark: SparkSession, folder: str) -> DataFrame:
+    return language_mixture.language_digest(Tables(spark, folder).documents)
+
+
+def op9_raked_mix(spark: SparkSession, folder: str) -> DataFrame:
+    return raking.mix_digest(Tables(spark, folder).documents)
+
+
 def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality_rules.rules_digest(Tables(spark, folder).documents)
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_minhash_near_dedup, op2_license_sentence_rules, op3_ball_tree_top_k, op4_url_pattern_rules, op5_warc_derivatives, op7_byte_bpe, op10_quality_rules)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    f.__name__: f
+    for f in (
+        op1_minhash_near_dedup, op2_license_sentence_rules, op3_ball_tree_top_k, op4_url_pattern_rules, op5_warc_derivatives,
+        op6_byte_cnn_quality, op7_byte_bpe, op8_language_mixture, op9_raked_mix, op10_quality_rules,
+    )
+}
 SQL: dict[str, str] = sql_twins.SQL
