@@ -1,14 +1,17 @@
 """The corpus pipeline: documents in, encoded training documents out.
 
 Each stage is a function (spark, docs, sf_dir) -> DataFrame. Its result is written as Parquet to the shared folder and read
-again as the next stage's documents, so a lost executor costs one stage at most.
+again as the next stage's documents, so a lost executor costs one stage at most. All stages but the last return the columns
+of the documents they were given, whatever these are.
 """
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import minhash_dedup, quality_rules
+from millrace.llm import byte_bpe, byte_cnn, minhash_dedup, quality_rules, raking
+from millrace.registry import Tables
 from millrace.session import checkpointed
 
 
@@ -17,23 +20,41 @@ def apply_quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     return quality_rules.keep_good(docs)
 
 
+def apply_quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the network, fitted on the labelled ones among them, scores high enough."""
+    return byte_cnn.keep_scored(docs, Tables(spark, sf_dir).labels)
+
+
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates."""
     return minhash_dedup.keep_one(docs)
 
 
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents sampled to the target weights of source, language and topic."""
+    return raking.sample(docs)
+
+
+def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents with their token ids, the number of these, and digests of the ids and of what they decode to."""
+    return byte_bpe.encode(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN, digests=True)
+
+
 STAGES = [
     ("quality rules", apply_quality_rules),
+    ("quality classifier", apply_quality_classifier),
     ("minhash near-dedup", drop_near_duplicates),
+    ("mixing to target weights", mix_sources),
+    ("byte-level bpe", encode_tokens),
 ]
 
-#: No SQL: later stages learn a classifier and fit weights by iteration.
+#: No SQL: the classifier is learned, the weights are fitted by iteration, and the tokenizer splits by Unicode classes.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages, one after the other, over the documents of a folder."""
-    docs = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
+    docs = Tables(spark, sf_dir).documents
     for _, stage in STAGES[:-1]:
         docs = checkpointed(stage(spark, docs, sf_dir))
     return STAGES[-1][1](spark, docs, sf_dir)
