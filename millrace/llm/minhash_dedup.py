@@ -43,8 +43,8 @@ WORDS64 = MINIMA * BITS // 64
 SIGMAS = 4.5
 #: So many shingles of a bucket make one part; two parts meet in a task (16 bytes a shingle).
 PART_SHINGLES = 1 << 18
-#: Up to so many ids (8 bytes each) are sent to every executor; beyond it, the join is shuffled.
-BROADCAST_IDS = 500_000
+#: Up to so many rows of one or two ids (8 bytes each) are sent to every executor; beyond it, the join is shuffled.
+BROADCAST_IDS = 2_000_000
 
 _MULTIPLY = bytescan.mixed(np.arange(1, MINIMA + 1, dtype=np.uint64) * np.uint64(2654435761)) | np.uint64(1)
 _ADD = bytescan.mixed(np.arange(1, MINIMA + 1, dtype=np.uint64) * np.uint64(40503))
@@ -132,6 +132,11 @@ def fingerprints(documents: DataFrame, id_col: str = "doc_id", text: str = "text
     return documents.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text).cast("string").alias(text)).mapInArrow(scan, schema)
 
 
+def _sent(ids: DataFrame) -> DataFrame:
+    """``ids`` to be broadcast where they are few enough, so that the texts need not be shuffled for them."""
+    return F.broadcast(ids) if ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS else ids
+
+
 def _sets(documents: DataFrame, wanted: DataFrame, id_col: str, text: str) -> DataFrame:
     """Node and full set, for the nodes of ``wanted`` (node, doc_id: one row that has this set)."""
 
@@ -144,16 +149,16 @@ def _sets(documents: DataFrame, wanted: DataFrame, id_col: str, text: str) -> Da
                 got = pa.array([set_key(s) if len(s) else None for s in sets], pa.int64())
                 yield pa.RecordBatch.from_arrays([part.column(0), got, pa.ListArray.from_arrays(at, values)], names=["node", "got", "shingles"])
 
-    small = wanted.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
     rows = documents.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text).cast("string").alias(text))
-    found = rows.join(F.broadcast(wanted) if small else wanted, "doc_id").select("node", text).mapInArrow(scan, "node long, got long, shingles array<long>")
+    found = rows.join(_sent(wanted), "doc_id").select("node", text).mapInArrow(scan, "node long, got long, shingles array<long>")
     # an id may be repeated with another text, or the row itself may be repeated
     return found.where("node = got").groupBy("node").agg(F.first("shingles").alias("shingles"))
 
 
 def _confirmed(pairs: DataFrame, nodes: DataFrame, documents: DataFrame, id_col: str, text: str) -> DataFrame:
     """The pairs (a, b) whose full sets are similar enough."""
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(nodes.select("node", "doc_id"), "node")
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    wanted = checkpointed(wanted.join(nodes.select("node", "doc_id"), "node"))
     sets = checkpointed(_sets(documents, wanted, id_col, text))
     both = pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("x")), "a").join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("y")), "b")
     shared = F.size(F.array_intersect("x", "y"))
@@ -185,7 +190,7 @@ def _in_blocks(members: DataFrame, nodes: DataFrame, documents: DataFrame, id_co
     signatures and sets. There the packed signatures choose the pairs to confirm, and only confirmed pairs that unite two
     components come out, so a group gives fewer rows than it has nodes.
     """
-    wanted = members.select("node").distinct().join(nodes.select("node", "doc_id"), "node")
+    wanted = checkpointed(members.select("node").distinct().join(nodes.select("node", "doc_id"), "node"))
     sets = checkpointed(_sets(documents, wanted, id_col, text))
     sized = members.join(nodes.select("node", "n_shingles"), "node")
     parts = sized.groupBy("key").agg(F.ceil(F.sum("n_shingles") / F.lit(PART_SHINGLES)).cast("int").alias("parts"))
@@ -272,7 +277,7 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> Dat
     judged = checkpointed(near_duplicates(docs, id_col, text))
     linked = judged.where("doc_id is not null and n_shingles > 0")
     many = linked.groupBy("doc_id").agg(F.count("*").alias("_n"), F.max(F.col("kept").cast("int")).alias("_best"))
-    gone = many.where("_best = 0").select(F.col("doc_id").alias("_gone"))
+    gone = _sent(checkpointed(many.where("_best = 0").select(F.col("doc_id").alias("_gone"))))
     left = docs.join(gone, F.col(id_col).cast("long") == F.col("_gone"), "left_anti")
     repeated = many.where("_best = 1 and _n > 1").select(F.col("doc_id").alias("_again"))
     if repeated.limit(1).count() == 0:
