@@ -8,6 +8,7 @@ batch is hashed without a Python loop. Memory: about 40 bytes for each byte of t
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -115,3 +116,10 @@ def steps(batch: pa.RecordBatch, text: str, size: int = STEP_BYTES) -> Iterator[
         to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + size, side="right")) - 1)
         yield batch.slice(at, to - at), data[offsets[at] : offsets[to]], offsets[at : to + 1] - offsets[at]
         at = to
+
+
+def rest() -> None:
+    """Give freed memory back to the system at the end of a task; Spark keeps the worker, maybe for long, for later ones."""
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):  # the GNU library only
+        trim(0)

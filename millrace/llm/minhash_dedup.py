@@ -127,6 +127,7 @@ def fingerprints(documents: DataFrame, id_col: str = "doc_id", text: str = "text
                     [part.column(0), pa.array([len(s) for s in sets], pa.int64()), key, *(pa.array(words[:, k]) for k in range(WORDS64)), pa.ListArray.from_arrays(at, keys.ravel())],
                     names=["doc_id", "n_shingles", "node", *SIGNATURE, "bands"],
                 )
+        bytescan.rest()
 
     schema = "doc_id long, n_shingles long, node long, " + ", ".join(f"{s} long" for s in SIGNATURE) + ", bands array<long>"
     return documents.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text).cast("string").alias(text)).mapInArrow(scan, schema)
