@@ -15,18 +15,29 @@ from millrace.registry import Tables
 from millrace.session import checkpointed
 
 
+#: Rows that a Python worker gets at once. Its memory, and the buffers of the executor that feeds it, follow their texts.
+BATCH_ROWS = 1000
+
+
+def _in_small_batches(spark: SparkSession) -> None:
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+
+
 def apply_quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep."""
+    _in_small_batches(spark)
     return quality_rules.keep_good(docs)
 
 
 def apply_quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the network, fitted on the labelled ones among them, scores high enough."""
+    _in_small_batches(spark)
     return byte_cnn.keep_scored(docs, Tables(spark, sf_dir).labels)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates."""
+    _in_small_batches(spark)
     return minhash_dedup.keep_one(docs)
 
 
@@ -37,8 +48,9 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents with their token ids, the number of these, and digests of the ids and of what they decode to."""
+    _in_small_batches(spark)
     # few words are kept, as the workers have served the other stages before and serve more than this one
-    return byte_bpe.encode(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN, digests=True, kept_words=80_000)
+    return byte_bpe.encode(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN, digests=True, kept_words=40_000)
 
 
 STAGES = [
