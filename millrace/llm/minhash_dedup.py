@@ -101,7 +101,7 @@ def packed(least: np.ndarray) -> np.ndarray:
     """The low bits of all minima, side by side in 64-bit words."""
     low = bytescan.mixed(least) & np.uint64((1 << BITS) - 1)
     shifts = np.arange(64 // BITS, dtype=np.uint64) * np.uint64(BITS)
-    return (low.reshape(len(least), WORDS64, -1) << shifts).sum(axis=2, dtype=np.uint64)
+    return (low.reshape(len(least), WORDS64, 64 // BITS) << shifts).sum(axis=2, dtype=np.uint64)
 
 
 def band_keys(least: np.ndarray) -> np.ndarray:
