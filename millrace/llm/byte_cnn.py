@@ -36,7 +36,8 @@ CHUNK, HALF = 512, 256
 WIDTH, FILTERS, HIDDEN = 6, 16, 12
 CHUNKS_FITTED = 8
 SAMPLE = 1500
-EPOCHS, BATCH, RATE = 14, 48, 0.01
+#: rounds over the sample, and more of them where these make fewer than LEAST_STEPS steps
+EPOCHS, LEAST_STEPS, BATCH, RATE = 14, 500, 48, 0.01
 THRESHOLD = 0.3
 STEP = 1 << 18
 
@@ -117,8 +118,9 @@ def fit(texts: list[list[bytes]], labels: np.ndarray, odds: float, seed: int = 7
     share = np.where(labels == 1, 0.5 / max(1, (labels == 1).sum()), 0.5 / max(1, (labels == 0).sum())) * len(labels)
     moment = [(np.zeros_like(p), np.zeros_like(p)) for p in w.parts()]
     step = 0
-    for epoch in range(EPOCHS):
-        rate = RATE * 0.5 * (1 + np.cos(np.pi * epoch / EPOCHS))
+    epochs = max(EPOCHS, -(-LEAST_STEPS // max(1, -(-len(labels) // BATCH))))
+    for epoch in range(epochs):
+        rate = RATE * 0.5 * (1 + np.cos(np.pi * epoch / epochs))
         order = rng.permutation(len(labels))
         for b in range(0, len(order), BATCH):
             docs = order[b : b + BATCH]
