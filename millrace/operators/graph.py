@@ -7,6 +7,8 @@ bounded.
 
 from __future__ import annotations
 
+import math
+
 from collections.abc import Callable
 from functools import reduce
 
@@ -62,7 +64,8 @@ def pregel(vertices: DataFrame, edges: DataFrame, message: Column, merge: Callab
     """Vertices with a column ``state``; each round the vertices whose state changed send ``message`` along their out-edges.
 
     ``message`` may use ``state`` and the edge's columns; ``merge("msg")`` combines arrivals; ``update`` gives the new state
-    from ``state`` and ``msg``, and ``changed`` says whether it counts. Stops when no vertex changes.
+    from ``state`` and ``msg``, and ``changed`` says whether it counts. Ends when no vertex changes; an error if that takes
+    more than ``max_iterations`` rounds.
     """
     current = checkpointed(vertices.withColumn("_live", F.col("state").isNotNull()))
     for _ in range(max_iterations):
@@ -75,8 +78,8 @@ def pregel(vertices: DataFrame, edges: DataFrame, message: Column, merge: Callab
                             hit.alias("_live"))
         current = checkpointed(nxt)
         if current.where("_live").isEmpty():
-            break
-    return current.drop("_live")
+            return current.drop("_live")
+    raise RuntimeError(f"vertices still change after {max_iterations} rounds")
 
 
 def shortest_distance(edges: DataFrame, source, weight: str, max_iterations: int = 1000) -> DataFrame:
@@ -97,10 +100,10 @@ def hops_to_landmarks(edges: DataFrame, landmarks: list, max_iterations: int = 1
         reached = back.join(frontier.select(F.col("id").alias("dst"), "landmark"), "dst").select(F.col("src").alias("id"), "landmark").distinct()
         fresh = checkpointed(reached.join(known, ["id", "landmark"], "left_anti").withColumn("hops", F.lit(step)))
         if fresh.isEmpty():
-            break
+            return known
         known = checkpointed(known.union(fresh))
         frontier = fresh
-    return known
+    raise RuntimeError(f"landmarks are still being reached after {max_iterations} steps")
 
 
 def connected_components(edges: DataFrame, vertices: DataFrame | None = None, max_rounds: int = 50) -> DataFrame:
@@ -173,7 +176,9 @@ def page_rank(edges: DataFrame, iterations: int | None = 10, tolerance: float |
         moved = tolerance is not None and nxt.agg(F.max(F.abs(F.col("rank") - F.col("old")))).first()[0] <= tolerance
         ranks = nxt.drop("old")
         if moved:
-            break
+            return ranks
+    if iterations is None:
+        raise RuntimeError(f"ranks still move by more than {tolerance} after {max_iterations} rounds")
     return ranks
 
 
@@ -200,20 +205,9 @@ def levels(parents: DataFrame, child: str, parent: str, max_levels: int = 10_000
     for depth in range(2, max_levels + 1):
         frontier = checkpointed(links.join(frontier.select(F.col("id").alias("up")), "up", "left_semi").select("id", F.lit(depth).alias("level")))
         if frontier.isEmpty():
-            break
+            return found
         found = checkpointed(found.union(frontier))
-    return found
-
-
-# fixed multiplier that spreads vertex ids over partitions
-MIXING_PRIME = 1125899906842597
-
-
-def _mixed(c: Column) -> Column:
-    """|id * prime| with 64-bit wrap-around, in decimals so that no session setting turns it into an error."""
-    wide = F.pmod(c.cast("decimal(20,0)") * F.lit(MIXING_PRIME).cast("decimal(17,0)"), F.lit(str(1 << 64)).cast("decimal(20,0)"))
-    signed = F.when(wide >= F.lit(str(1 << 63)).cast("decimal(20,0)"), wide - F.lit(str(1 << 64)).cast("decimal(20,0)")).otherwise(wide)
-    return F.abs(signed)
+    raise RuntimeError(f"the forest is deeper than {max_levels} levels")
 
 
 def edge_partition(edges: DataFrame, strategy: str, parts: int, name: str = "part") -> DataFrame:
@@ -222,19 +216,12 @@ def edge_partition(edges: DataFrame, strategy: str, parts: int, name: str = "par
     """
     src, dst = F.col("src"), F.col("dst")
     if strategy == "1d":
-        p = F.pmod(_mixed(src), F.lit(parts))
+        p = F.pmod(F.xxhash64(src), F.lit(parts))
     elif strategy == "2d":
-        side = int(parts**0.5)
-        while side * side < parts:
-            side += 1
-        if side * side == parts:
-            p = F.pmod(F.pmod(_mixed(src), F.lit(side)) * side + F.pmod(_mixed(dst), F.lit(side)), F.lit(parts))
-        else:
-            rows = (parts + side - 1) // side
-            last = parts - rows * (side - 1)
-            column = F.floor(F.pmod(_mixed(src), F.lit(parts)) / rows)
-            row = F.pmod(_mixed(dst), F.when(column < side - 1, rows).otherwise(last))
-            p = column * rows + row
+        # one end picks the row of a grid, the other the column, so a vertex meets one row or one column of parts
+        rows = math.isqrt(parts)
+        columns = parts // rows
+        p = F.pmod(F.xxhash64(src), F.lit(rows)) * columns + F.pmod(F.xxhash64(dst), F.lit(columns))
     elif strategy == "random":
         p = F.pmod(F.xxhash64(src, dst), F.lit(parts))
     elif strategy == "canonical":

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from statistics import NormalDist
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -65,14 +66,19 @@ def reservoir(df: DataFrame, k: int, keys: list[str], seed: int) -> DataFrame:
     return df.orderBy(uniform(seed, *[F.col(c) for c in keys]), *keys).limit(k)
 
 
-def fraction_for(size: int, total: int, with_replacement: bool = False) -> float:
-    """A sampling fraction that gives at least ``size`` of ``total`` rows in 99.99% of all draws."""
+def fraction_for(size: int, total: int, with_replacement: bool = False, failure: float = 1e-4) -> float:
+    """A sampling fraction that gives at least ``size`` of ``total`` rows, but for a chance of ``failure``.
+
+    The normal quantile of ``failure`` says how many deviations the mean must lie above ``size``; the quadratic for the
+    mean is then solved (for draws without replacement that is the upper end of a score interval of the share).
+    """
+    if size <= 0 or total <= 0:
+        return 0.0
+    z = NormalDist().inv_cdf(1 - failure)
     if with_replacement:
-        sds = 9 if size < 12 else 5
-        return max(1e-10, min(size + sds * math.sqrt(size), 10.0 * size) / total)
-    f = size / total
-    gamma = -math.log(1e-4) / total
-    return min(1.0, max(1e-10, f + gamma + math.sqrt(gamma * gamma + 2 * gamma * f)))
+        return ((z + math.sqrt(z * z + 4 * size)) / 2) ** 2 / total
+    share, spread = min(1.0, size / total), z * z / total
+    return min(1.0, (share + spread / 2 + math.sqrt(spread * share * (1 - share) + spread * spread / 4)) / (1 + spread))
 
 
 def frequent_items(df: DataFrame, column: str, support: float) -> DataFrame:

@@ -8,14 +8,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from millrace.functions.times import epoch_micros
-from millrace.session import task_slots
+from millrace.session import checkpointed, task_slots
 
 HOT_ROWS = 2_000_000
-MAX_SLICES = 4096
 LOOK = object()  # stands for "look for hot keys first"
 
 
@@ -46,57 +43,27 @@ def known_hot(df: DataFrame, keys: list[str], min_rows: int, hot) -> DataFrame |
 
 def with_slices(df: DataFrame, keys: list[str], order: list[str], min_rows: int = HOT_ROWS, slices: int | None = None,
                 name: str = "_slice", hot=LOOK) -> tuple[DataFrame, bool]:
-    """Add a slice number that grows with ``order``: 0 for ordinary keys, even parts of the range for hot keys.
+    """Add a slice number that grows with ``order``: 0 for ordinary keys, even parts of the order for hot keys.
 
-    Returns the frame and whether any key is hot. Rows that agree in the first order column share a slice; when such a
-    slice is still hot it is cut again by the next order column.
+    Returns the frame and whether any key is hot. The rows of hot keys are laid out by Spark's range partitioner over the
+    keys and all order columns, and a partition is a slice: so slices never overlap in that order, whatever the types, and
+    only rows that agree in every order column must share one. The layout is written down, as a second run of the
+    partitioner's sample could draw other bounds.
     """
     hot = known_hot(df, keys, min_rows, hot)
     if hot is None:
         return df.withColumn(name, F.lit(0).cast("bigint")), False
-    n = slices or min(MAX_SLICES, max(16, 2 * task_slots(df.sparkSession)))
-    out = _cut(df, hot, keys, order[0], n).withColumnRenamed("_cut", name)
-    for column in order[1:]:
-        finer = hot_keys(out, [*keys, name], min_rows)
-        if finer is None:
-            break
-        out = _cut(out, finer, [*keys, name], column, n)
-        out = out.withColumn(name, F.col(name) * (n + 2) + F.col("_cut")).drop("_cut")
-    return out, True
-
-
-def _cut(df: DataFrame, hot: DataFrame, keys: list[str], column: str, n: int) -> DataFrame:
-    """The frame with ``_cut``: 0 outside the hot keys and for missing values, else 1 to n by the column's quantiles."""
-    if keys:
-        marks = hot.drop("_rows").withColumn("_hot", F.lit(True))
-        marked = df.alias("d").join(F.broadcast(marks).alias("h"), same_keys("d", "h", keys), "left").select(
-            "d.*", F.coalesce("h._hot", F.lit(False)).alias("_hot"))
-    else:
-        marked = df.withColumn("_hot", F.lit(True))
-    marked = marked.withColumn("_order_value", as_number(df, column))
-    cuts = sorted(set(marked.where("_hot").approxQuantile("_order_value", [i / n for i in range(1, n)], 0.25 / n)))
-    if not cuts:
-        return marked.drop("_hot", "_order_value").withColumn("_cut", F.lit(0).cast("bigint"))
-    parts = Bucketizer(splits=[-float("inf"), *cuts, float("inf")], inputCol="_order_value", outputCol="_part", handleInvalid="keep").transform(marked)
-    # missing values come first, as Spark sorts them
-    inside = F.col("_hot") & F.col("_order_value").isNotNull()
-    return parts.withColumn("_cut", F.when(inside, F.col("_part").cast("bigint") + 1).otherwise(0)).drop("_hot", "_order_value", "_part")
-
-
-def as_number(df: DataFrame, column: str) -> Column:
-    """A double that grows with the column: numbers as they are, dates as days, timestamps as microseconds."""
-    kind = df.schema[column].dataType.typeName()
-    c = F.col(column)
-    if kind == "timestamp_ntz":
-        return epoch_micros(c).cast("double")
-    if kind == "timestamp":
-        return F.unix_micros(c).cast("double")
-    if kind == "date":
-        return F.unix_date(c).cast("double")
-    if kind == "string":
-        # the first six bytes as a number keep the byte order of the strings
-        return F.conv(F.rpad(F.hex(F.substring(F.encode(c, "UTF-8"), 1, 6)), 12, "0"), 16, 10).cast("double")
-    return c.cast("double")
+    n = slices or max(16, 2 * task_slots(df.sparkSession))
+    if not keys:
+        return checkpointed(_laid_out(df, order, n, name)), True
+    marks = hot.drop("_rows").withColumn("_hot", F.lit(True))
+    marked = df.alias("d").join(F.broadcast(marks).alias("h"), same_keys("d", "h", keys), "left").select("d.*", F.coalesce("h._hot", F.lit(False)).alias("_hot"))
+    even = marked.where("not _hot").drop("_hot").withColumn(name, F.lit(0).cast("bigint"))
+    return checkpointed(even.unionByName(_laid_out(marked.where("_hot").drop("_hot"), [*keys, *order], n * hot.count(), name))), True
+
+
+def _laid_out(df: DataFrame, order: list[str], n: int, name: str) -> DataFrame:
+    return df.repartitionByRange(n, *[F.col(c) for c in order]).withColumn(name, F.spark_partition_id().cast("bigint"))
 
 
 def salted_agg(df: DataFrame, keys: list[str], partial: list[Column], final: list[Column], salts: int = 32) -> DataFrame:

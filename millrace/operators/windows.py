@@ -44,7 +44,7 @@ def running(df: DataFrame, keys: list[str], order: list[str], sums: dict[str, Co
         *[F.max(f"_in_{n}").alias(f"_s_{n}") for n in maxes],
         *[F.min(f"_in_{n}").alias(f"_s_{n}") for n in mins],
     )
-    # one row per key and slice: at most MAX_SLICES rows of a key meet in a task
+    # one row per key and slice: a row per slice, not per row of the key, meets in a task
     before = window(keys, "_slice").rowsBetween(Window.unboundedPreceding, -1)
     base = per.select(
         *part,

@@ -144,18 +144,24 @@ def graph_tree_level_min(t):
 
 
 @query("graph_partition_1d", f"""
-WITH {MESH}, m AS (SELECT (src::HUGEINT * 1125899906842597) % 18446744073709551616 AS w FROM mesh), s AS (SELECT abs(CASE WHEN w >= 9223372036854775808 THEN w - 18446744073709551616 ELSE w END) AS w FROM m)
-SELECT (w % 16)::INT AS part, count(*) AS n FROM s GROUP BY 1""")
+WITH {MESH} SELECT count(*) AS edges, true AS fits, 1::BIGINT AS most_of_src FROM mesh""")
 def graph_partition_1d(t):
-    return og.edge_partition(part_mesh(t), "1d", 16).groupBy("part").agg(F.count("*").alias("n"))
+    """All edges of a source lie in one part."""
+    return spread_of_src(og.edge_partition(part_mesh(t), "1d", 16))
 
 
 @query("graph_partition_2d", f"""
-WITH {MESH}, m AS (SELECT (src::HUGEINT * 1125899906842597) % 18446744073709551616 AS a, (dst::HUGEINT * 1125899906842597) % 18446744073709551616 AS b FROM mesh),
-s AS (SELECT abs(CASE WHEN a >= 9223372036854775808 THEN a - 18446744073709551616 ELSE a END) AS a, abs(CASE WHEN b >= 9223372036854775808 THEN b - 18446744073709551616 ELSE b END) AS b FROM m)
-SELECT ((a % 4) * 4 + b % 4)::INT AS part, count(*) AS n FROM s GROUP BY 1""")
+WITH {MESH} SELECT count(*) AS edges, true AS fits, true AS in_one_row, true AS in_one_column FROM mesh""")
 def graph_partition_2d(t):
-    return og.edge_partition(part_mesh(t), "2d", 16).groupBy("part").agg(F.count("*").alias("n"))
+    """Parts form a grid of 4 by 4: all edges of a source lie in one row, all edges of a target in one column."""
+    cut = og.edge_partition(part_mesh(t), "2d", 16).withColumns({"row": F.floor(F.col("part") / 4), "column": F.col("part") % 4})
+    one = lambda end, place: cut.groupBy(end).agg(F.countDistinct(place).alias("n")).agg((F.max("n") == 1).alias(f"in_one_{place}"))
+    return cut.agg(F.count("*").alias("edges"), F.bool_and(F.col("part").between(0, 15)).alias("fits")).join(F.broadcast(one("src", "row"))).join(F.broadcast(one("dst", "column")))
+
+
+def spread_of_src(cut):
+    per_src = cut.groupBy("src").agg(F.count("*").alias("edges"), F.countDistinct("part").alias("n"), F.bool_and(F.col("part").between(0, 15)).alias("fits"))
+    return per_src.agg(F.sum("edges").alias("edges"), F.bool_and("fits").alias("fits"), F.max("n").alias("most_of_src"))
 
 
 @query("graph_partition_cuts", f"""
@@ -173,5 +179,6 @@ def graph_partition_cuts(t):
 def graph_pic(t):
     from pyspark.ml.clustering import PowerIterationClustering
 
-    weights = t.lineitem.groupBy(F.col("l_suppkey").alias("src"), (F.col("l_partkey") + 10_000_000).alias("dst")).agg(F.sum("l_quantity").alias("w"))
+    # even ids are suppliers, odd ones parts
+    weights = t.lineitem.groupBy((2 * F.col("l_suppkey")).alias("src"), (2 * F.col("l_partkey") + 1).alias("dst")).agg(F.sum("l_quantity").alias("w"))
     return PowerIterationClustering(k=3, maxIter=5, srcCol="src", dstCol="dst", weightCol="w").assignClusters(weights)

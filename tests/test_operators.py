@@ -437,3 +437,26 @@ def test_new_data_gate(spark):
     assert rows(ja.new_rows(df, "d", control)) == [(3,)]
     ja.mark_reported(df, "d", control)
     assert ja.new_rows(df, "d", control) is None
+
+
+def test_unfinished_loops_raise(spark):
+    """A chain longer than the limit is an error, not an answer that looks like 'unreachable'."""
+    chain = spark.createDataFrame([(i, i + 1, 1.0) for i in range(8)], "src long, dst long, w double")
+    tree = spark.createDataFrame([(i + 1, i) for i in range(8)] + [(0, None)], "c long, p long")
+    for run in (
+        lambda: og.shortest_distance(chain, 0, "w", max_iterations=3), lambda: og.hops_to_landmarks(chain, [8], max_iterations=3),
+        lambda: og.page_rank(chain, iterations=None, tolerance=1e-12, max_iterations=2), lambda: og.levels(tree, "c", "p", max_levels=4),
+    ):
+        with pytest.raises(RuntimeError):
+            run()
+    assert og.shortest_distance(chain, 0, "w").where("distance is null").count() == 0
+
+
+def test_fraction_for_gives_enough_rows():
+    """Simulated: the wanted size is missed no more often than the failure chance allows."""
+    import numpy as np
+
+    rng = np.random.default_rng(1)
+    for size, total in ((5, 100), (100, 5000), (900, 1000), (1, 10_000)):
+        assert (rng.binomial(total, sp.fraction_for(size, total, failure=1e-2), 20_000) < size).mean() <= 1.5e-2
+        assert (rng.poisson(total * sp.fraction_for(size, total, True, failure=1e-2), 20_000) < size).mean() <= 1.5e-2

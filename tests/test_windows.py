@@ -149,3 +149,24 @@ def test_exact_percentiles(rows, min_rows):
     out = {(r.k, r.point): r.pct for r in got.collect()}
     assert out.keys() == exp.keys()
     assert all(abs(out[k] - exp[k]) < 1e-9 for k in out)
+
+
+@pytest.mark.parametrize("slices", [2, 5, 64])
+@pytest.mark.parametrize("kind", ["half of the first column tied", "no ties", "long common prefixes", "nulls"])
+def test_hot_key_keeps_two_column_order(spark, kind, slices):
+    """Positions of a hot key ordered by two columns equal those of the plain window, whatever the slices are."""
+    import random
+
+    r = random.Random(5)
+    first = {
+        "half of the first column tied": lambda i: 7 if i % 2 else i,
+        "no ties": lambda i: i,
+        "long common prefixes": lambda i: f"https://site.example/a/long/common/prefix/{i % 40:05d}",
+        "nulls": lambda i: None if i % 3 == 0 else i % 50,
+    }[kind]
+    rows = [("k" if i % 10 else "other", first(i), i) for i in range(3000)]
+    r.shuffle(rows)
+    df = spark.createDataFrame(rows, f"k string, a {'string' if kind.startswith('long') else 'long'}, b long")
+    hot = ow.running(df, ["k"], ["a", "b"], sums={"total": F.col("b")}, position="nth", min_rows=100, slices=slices)
+    plain = ow.running(df, ["k"], ["a", "b"], sums={"total": F.col("b")}, position="nth")
+    assert sorted(hot.select("b", "nth", "total").collect()) == sorted(plain.select("b", "nth", "total").collect())
