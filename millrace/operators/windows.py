@@ -1,7 +1,7 @@
 """Window operators that stay correct and spread out when one key holds most of the rows.
 
-With no hot key each operator is one plain window. With a hot key its rows are cut into slices of the first
-ordering column. Running values add what the earlier slices hold; frames bring in the few rows they need from
+With no hot key each operator is one plain window. With a hot key its rows are cut into slices that do not overlap in
+the order. Running values add what the earlier slices hold; frames bring in the few rows they need from
 neighbouring slices.
 """
 
@@ -130,13 +130,16 @@ def neighbours(df: DataFrame, keys: list[str], order: list[str], before: int, af
         if count <= 0:
             continue
         # every slice has a row, so the wanted rows lie within ``count`` filled slices
-        rank = held.select(*part, F.row_number().over(window(keys, "_slice")).alias("_nth"))
+        upto = F.sum("_n").over(window(keys, "_slice").rowsBetween(Window.unboundedPreceding, 0))
+        rank = held.select(*part, F.row_number().over(window(keys, "_slice")).alias("_nth"), upto.alias("_last"), (upto - F.col("_n")).alias("_first"))
         edges = ends.where(F.col(edge) <= count).alias("e").join(
             rank.alias("r"), same_keys("e", "r", keys) & (F.col("e._slice") == F.col("r._slice"))
-        ).select("e.*", "r._nth").drop("_slice")
+        ).select("e.*", "r._nth", "r._first", "r._last").drop("_slice")
         spread = edges.withColumn("_nth", F.explode(F.sequence(F.col("_nth") + shift, F.col("_nth") + shift * count)))
+        # the rows of the slices between count as well: a row goes no further than the frame reaches
+        gap = F.col("r._first") - F.col("s._last") if shift > 0 else F.col("s._first") - F.col("r._last")
         lent.append(
-            spread.alias("s").join(rank.alias("r"), same_keys("s", "r", keys) & (F.col("s._nth") == F.col("r._nth")))
+            spread.alias("s").join(rank.alias("r"), same_keys("s", "r", keys) & (F.col("s._nth") == F.col("r._nth")) & (F.col(f"s.{edge}") + gap <= count))
             .select(*[F.col(f"s.{c}") for c in keep], F.col("r._slice").alias("_slice"), F.lit(False).alias("_own"))
         )
     rows = df.select(*keep, "_slice", F.lit(True).alias("_own"))
@@ -145,6 +148,29 @@ def neighbours(df: DataFrame, keys: list[str], order: list[str], before: int, af
     return rows.select(*keep, "_own", *make(window(part, *order))).where("_own").drop("_own")
 
 
+def _finite(df: DataFrame, sums: dict[str, Column]) -> dict[str, Column]:
+    """Sums for which differences of running totals are right: infinities and NaN are left out of a double and counted."""
+    out = {}
+    for n, c in sums.items():
+        if df.select(c.alias("c")).schema["c"].dataType.typeName() not in ("double", "float"):
+            out[n] = c
+            continue
+        c = c.cast("double")
+        kinds = {"up": c == float("inf"), "down": c == -float("inf"), "nan": F.isnan(c)}
+        out[n] = F.when(c.isNull() | ~(kinds["up"] | kinds["down"] | kinds["nan"]), c).otherwise(0.0)
+        out |= {f"_{kind}_{n}": F.coalesce(test, F.lit(False)).cast("bigint") for kind, test in kinds.items()}
+    return out
+
+
+def _with_infinities(n: str, names) -> Column:
+    """The sum of a frame again, from its finite part and the counts of the other values."""
+    if f"_up_{n}" not in names:
+        return F.col(n)
+    up, down, nan = (F.coalesce(F.col(f"_{kind}_{n}"), F.lit(0)) for kind in ("up", "down", "nan"))
+    both = (nan > 0) | ((up > 0) & (down > 0))
+    return F.when(both, float("nan")).when(up > 0, float("inf")).when(down > 0, -float("inf")).otherwise(F.col(n)).alias(n)
+
+
 def range_frame(df: DataFrame, keys: list[str], at: str, before, after, sums: dict[str, Column] | None = None, count: str | None = None,
                 maxes: dict[str, Column] | None = None, mins: dict[str, Column] | None = None, min_rows: int = HOT_ROWS,
                 slices: int | None = None) -> DataFrame:
@@ -152,7 +178,7 @@ def range_frame(df: DataFrame, keys: list[str], at: str, before, after, sums: di
 
     ``at`` is a number (epoch microseconds or days for times). With a hot key, rows are first combined per distinct ``at``.
     Sums and counts are then differences of running totals looked up at both ends of the frame, which slices like any
-    running total; maxima and minima use cells as wide as the frame, each value copied to at most two.
+    running total; infinities and NaN are counted beside the totals, so they show in their own frames only; maxima and minima use cells as wide as the frame, each value copied to at most two.
     """
     sums, maxes, mins = dict(sums or {}), dict(maxes or {}), dict(mins or {})
     keep = df.columns
@@ -162,6 +188,7 @@ def range_frame(df: DataFrame, keys: list[str], at: str, before, after, sums: di
         return df.select(
             "*", *[F.sum(c).over(w).alias(n) for n, c in sums.items()], *([F.count("*").over(w).alias(count)] if count else []),
             *[F.max(c).over(w).alias(n) for n, c in maxes.items()], *[F.min(c).over(w).alias(n) for n, c in mins.items()])
+    wanted, sums = list(sums), _finite(df, sums)
     levels = df.groupBy(*keys, at).agg(
         F.count("*").alias("_n"), *[F.sum(c).alias(f"_s_{n}") for n, c in sums.items()], *[F.count(c).alias(f"_c_{n}") for n, c in sums.items()],
         *[F.max(c).alias(f"_x_{n}") for n, c in maxes.items()], *[F.min(c).alias(f"_m_{n}") for n, c in mins.items()])
@@ -194,7 +221,7 @@ def range_frame(df: DataFrame, keys: list[str], at: str, before, after, sums: di
     for part in parts:
         names = [c for c in part.columns if c not in (*keys, at)]
         out = out.alias("a").join(part.alias("b"), same_keys("a", "b", [*keys, at])).select("a.*", *[F.col(f"b.{n}") for n in names])
-    return out.select(*keep, *extra)
+    return out.select(*keep, *[_with_infinities(n, sums) if n in wanted else F.col(n) for n in extra])
 
 
 def whole_key(df: DataFrame, keys: list[str], aggs: list[Column]) -> DataFrame:
@@ -255,7 +282,7 @@ def match_path(df: DataFrame, keys: list[str], order: list[str], symbols: dict[s
     the symbol's predicate holds. One output row per match: start and end position, size, and per measure the sum
     over the matched rows. Works by looking up where each symbol's streak ends, so rows of a key are never gathered.
     """
-    measures = measures or {}
+    wanted, measures = list(measures or {}), _finite(df, measures or {})
     elements = [(e.rstrip("+*"), e[-1] if e[-1] in "+*" else "") for e in pattern.split(".")]
     used = sorted({name for name, _ in elements})
     hot = hot_keys(df, keys, min_rows)
@@ -281,7 +308,7 @@ def match_path(df: DataFrame, keys: list[str], order: list[str], symbols: dict[s
             out = out.alias("o").join(total.alias("t"), same_keys("o", "t", keys) & (pos == F.col("t._pos")), "left").select(
                 "o.*", F.coalesce("t._v", F.lit(0)).alias(edge))
         out = out.withColumn(m, F.col("_hi") - F.col("_lo")).drop("_hi", "_lo")
-    return out
+    return out.select(*keys, "start_pos", "end_pos", "size", *[_with_infinities(m, measures) for m in wanted])
 
 
 def _step(symbol: str, quantifier: str) -> Column:

@@ -170,3 +170,22 @@ def test_hot_key_keeps_two_column_order(spark, kind, slices):
     hot = ow.running(df, ["k"], ["a", "b"], sums={"total": F.col("b")}, position="nth", min_rows=100, slices=slices)
     plain = ow.running(df, ["k"], ["a", "b"], sums={"total": F.col("b")}, position="nth")
     assert sorted(hot.select("b", "nth", "total").collect()) == sorted(plain.select("b", "nth", "total").collect())
+
+
+@pytest.mark.parametrize("name,keys", [("events", ["user_id"]), ("orders", ["o_orderstatus"]), ("lineitem", ["l_returnflag"])])
+def test_hot_queries_have_hot_keys(spark, name, keys):
+    from millrace.operators.skew import hot_keys
+    from millrace.plans import hot
+    from millrace.registry import Tables
+
+    t = Tables(spark, "/root/testdata/sf0.001")
+    df = hot.events(t) if name == "events" else getattr(t, name)
+    assert hot_keys(df, keys, hot.MIN_ROWS) is not None
+
+
+def test_infinite_values_stay_in_their_frames(spark):
+    data = [("k", i, float("inf") if i == 10 else float("nan") if i == 90 else -float("inf") if i == 12 else None if i % 7 == 0 else float(i)) for i in range(120)]
+    df = spark.createDataFrame(data, "k string, at long, x double")
+    plain = ow.range_frame(df, ["k"], "at", 3, 1, {"s": F.col("x")})
+    hot = ow.range_frame(df, ["k"], "at", 3, 1, {"s": F.col("x")}, min_rows=10, slices=7)
+    assert sorted(map(repr, plain.collect())) == sorted(map(repr, hot.collect()))
