@@ -123,15 +123,23 @@ def quantile_bins(df: DataFrame, column: str, n: int, name: str) -> DataFrame:
     return df.withColumn(name, bins(column, [-float("inf"), *cuts, float("inf")]))
 
 
-def string_index(df: DataFrame, column: str, name: str) -> tuple[DataFrame, DataFrame]:
-    """Codes by falling frequency, ties by value. Returns the coded frame and the (value, code) table."""
-    counts = df.groupBy(column).agg((-F.count("*")).alias("_neg"))
+def string_index(df: DataFrame, column: str, name: str, nulls: str = "keep") -> tuple[DataFrame, DataFrame]:
+    """Codes by falling frequency, ties by value. Returns the coded frame and the (value, code) table.
+
+    Missing values take no code: their rows are kept without one, dropped (``skip``) or an ``error`` when the frame is read.
+    """
+    if nulls not in ("keep", "skip", "error"):
+        raise ValueError(f"nulls cannot be {nulls}")
+    counts = df.where(F.col(column).isNotNull()).groupBy(column).agg((-F.count("*")).alias("_neg"))
     if is_small(counts):
         place = F.row_number().over(Window.partitionBy(F.lit(0)).orderBy("_neg", column)) - 1
         coded = counts.select(column, place.cast("double").alias(name))
     else:
         coded = zip_with_index(counts, ["_neg", column], "_code").select(column, F.col("_code").cast("double").alias(name))
-    return df.join(coded, column), coded
+    out = df.join(coded, column, "inner" if nulls == "skip" else "left")
+    if nulls == "error":
+        out = out.withColumn(name, F.when(F.col(column).isNull(), F.raise_error(F.lit(f"missing value in {column}")).cast("double")).otherwise(F.col(name)))
+    return out, coded
 
 
 def one_hot(code: str, size: int, drop_last: bool = True) -> Column:
@@ -208,16 +216,15 @@ def kmeans(df: DataFrame, key: str, vector: str, centres: list[list[float]], rou
 def item_pairs(df: DataFrame, basket: str, item: str, support: float) -> DataFrame:
     """Association rules between two items: (antecedent, consequent, support, confidence, lift).
 
-    Items below the support are dropped first and repeats within a basket count once, so a basket holds no more entries
-    than there are frequent items.
+    Items below the support are dropped first and repeats within a basket count once. Pairs come from a join of the kept
+    rows on the basket and are counted before they are shuffled, so no basket is gathered in a cell.
     """
     rows = df.select(basket, item).distinct()
     n = rows.agg(F.countDistinct(basket).alias("_n"))
     single = rows.groupBy(item).agg(F.count("*").alias("c")).join(F.broadcast(n)).where(F.col("c") >= F.col("_n") * support)
     kept = rows.join(single.select(item), item, "left_semi")
-    both = kept.groupBy(basket).agg(F.sort_array(F.collect_list(item)).alias("items")).where(F.size("items") > 1)
-    pairs = F.flatten(F.transform("items", lambda a: F.transform(F.filter("items", lambda b: b > a), lambda b: F.struct(a.alias("a"), b.alias("b")))))
-    counts = both.select(F.inline(pairs)).groupBy("a", "b").agg(F.count("*").alias("ab"))
+    ends = [kept.select(F.col(basket).alias("_basket"), F.col(item).alias(end)) for end in ("a", "b")]
+    counts = ends[0].join(ends[1], "_basket").where("a < b").groupBy("a", "b").agg(F.count("*").alias("ab"))
     way = counts.select("a", "b", "ab").union(counts.select("b", "a", "ab")).toDF("antecedent", "consequent", "ab")
     left = single.select(F.col(item).alias("antecedent"), F.col("c").alias("ca"), "_n")
     right = single.select(F.col(item).alias("consequent"), F.col("c").alias("cb"))

@@ -22,23 +22,22 @@ def broadcast_join(left: DataFrame, right: DataFrame, on, how: str = "inner", ma
 
 
 def strategy_join(left: DataFrame, right: DataFrame, on, strategy: str, how: str = "inner") -> DataFrame:
-    """Join with a hint: ``merge``, ``shuffle_hash``, or ``shuffle_replicate_nl`` for a small right side."""
-    if strategy == "shuffle_replicate_nl" and not is_small(right, 10_000):
-        strategy = "merge"
+    """Join with the hinted strategy: ``merge``, ``shuffle_hash`` or ``shuffle_replicate_nl``."""
     return left.join(right.hint(strategy), on, how)
 
 
 def cross_join(left: DataFrame, right: DataFrame, max_rows: int = 10_000) -> DataFrame:
-    """Pair every row with every row of a right side whose size is checked first."""
+    """Pair every row with every row of the right side."""
     return theta_join(left, right, None, max_rows)
 
 
 def theta_join(left: DataFrame, right: DataFrame, condition: Column | None, max_rows: int = 10_000) -> DataFrame:
-    """Join on any condition against a small right side; see ``range_join`` and ``inequality_counts`` for large ones."""
-    if not is_small(right, max_rows):
-        raise ValueError(f"the right side has more than {max_rows} rows; use range_join or inequality_counts")
-    small = F.broadcast(right)
-    return left.crossJoin(small) if condition is None else left.join(small, condition)
+    """Join on any condition. A right side of at most ``max_rows`` is sent to every task; a larger one meets the left side
+    block by block in Spark's product join. The rows are the same; ``range_join`` and ``inequality_counts`` are cheaper
+    where they apply.
+    """
+    near = F.broadcast(right) if is_small(right, max_rows) else right.hint("shuffle_replicate_nl")
+    return left.crossJoin(near) if condition is None else left.join(near, condition)
 
 
 def existence_join(left: DataFrame, right: DataFrame, on: list[str], name: str = "exists") -> DataFrame:

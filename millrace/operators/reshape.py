@@ -20,6 +20,7 @@ def unstack(df: DataFrame, keys: list[str], columns: list[str], name: str, value
     return df.unpivot(keys, columns, name, value)
 
 
+ESCAPES = [("\\", "\\134"), ("\t", "\\011"), ("\n", "\\012"), ("\r", "\\015")]
 FILTERS = {
     "cat": ["cat"],
     "upper": ["tr", "[:lower:]", "[:upper:]"],
@@ -30,7 +31,8 @@ FILTERS = {
 def through_script(df: DataFrame, script: str, schema: str) -> DataFrame:
     """Stream the rows of each partition, tab separated, through one of the fixed commands in ``FILTERS``.
 
-    Missing values travel as ``\\N``. Output fields are strings, cast to ``schema``.
+    Missing values travel as ``\\N``; tabs, line ends and backslashes as octal escapes such as ``\\011``, which the commands
+    leave alone, so every value comes back whole. Output fields are strings, cast to ``schema``.
     """
     command = FILTERS[script]
     fields = [part.strip().split()[0] for part in schema.split(",")]
@@ -46,8 +48,14 @@ def through_script(df: DataFrame, script: str, schema: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [pa.array([None if r[i] == "\\N" else r[i] for r in rows], pa.string()) for i in range(len(fields))], names=fields)
 
-    # tabs, line ends and backslashes would break the lines apart
-    clean = [F.translate(F.col(c).cast("string"), "\t\n\r\\", "    ").alias(c) for c in df.columns]
+    def replaced(c: Column, pairs) -> Column:
+        for old, new in pairs:
+            c = F.replace(c, F.lit(old), F.lit(new))
+        return c
+
+    # the backslash is escaped first and restored last
+    clean = [replaced(F.col(f"`{c}`").cast("string"), ESCAPES).alias(c) for c in df.columns]
     raw = df.select(*clean).mapInArrow(run, ", ".join(f"{f} string" for f in fields))
     casts = [part.strip().split(None, 1) for part in schema.split(",")]
-    return raw.select(*[F.expr(f"try_cast({n} AS {kind})").alias(n) for n, kind in casts])
+    whole = raw.select(*[replaced(F.col(n), [(new, old) for old, new in reversed(ESCAPES)]).alias(n) for n, _ in casts])
+    return whole.select(*[F.expr(f"try_cast({n} AS {kind})").alias(n) for n, kind in casts])

@@ -18,16 +18,16 @@ def correlation(df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def mean_rank(df: DataFrame, column: str, name: str) -> DataFrame:
-    """Rows with the mean rank of their value among all rows."""
-    levels = df.groupBy(column).agg(F.count("*").alias("_n"))
+    """Rows with the mean rank of their value among all rows that have one; a missing value has no rank."""
+    levels = df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("_n"))
     upto = running(levels, [], [column], sums={"_upto": F.col("_n")})
     ranks = upto.select(column, (F.col("_upto") - (F.col("_n") - 1) / 2).alias(name))
-    return df.join(ranks, column)
+    return df.join(ranks, column, "left")
 
 
 def spearman(df: DataFrame, a: str, b: str) -> DataFrame:
-    """Rank correlation of two columns, ties by mean rank."""
-    ranked = mean_rank(mean_rank(df.select(a, b), a, "_ra"), b, "_rb")
+    """Rank correlation of two columns, ties by mean rank, over the rows that have both."""
+    ranked = mean_rank(mean_rank(df.select(a, b).dropna(), a, "_ra"), b, "_rb")
     return ranked.agg(F.corr("_ra", "_rb").alias("r"))
 
 

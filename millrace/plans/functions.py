@@ -312,10 +312,12 @@ def fn_json(t):
 
 
 @query("fn_json_schema", """
-SELECT 'STRUCT<k: BIGINT>' AS schema, count(*) AS n FROM events""")
+SELECT 'STRUCT<k: BIGINT>' AS schema, 'OBJECT<k: BIGINT>' AS all_rows, count(*) AS n FROM events""")
 def fn_json_schema(t):
+    """The schema of one text, which the function takes as a constant, and the one that fits the texts of all rows."""
     sample = t.events.select("props").first()["props"]
-    return t.events.select(F.schema_of_json(F.lit(sample)).alias("schema")).groupBy("schema").agg(F.count("*").alias("n"))
+    whole = t.events.agg(F.schema_of_variant_agg(F.parse_json("props")).alias("all_rows"), F.count("*").alias("n"))
+    return whole.select(F.schema_of_json(F.lit(sample)).alias("schema"), "all_rows", "n")
 
 
 @query("fn_csv", """
@@ -350,16 +352,6 @@ def fn_hash(t):
     return hashed.agg(F.count("*").alias("n"), F.countDistinct("h").alias("distinct_rows"))
 
 
-@query("fn_avro")
-def fn_avro(t):
-    """Avro columns when the Avro package is on the class path, JSON columns with the same fields otherwise."""
-    from millrace.sources.avro import encode_struct, decode_struct
-
-    rows = t.customer.select("c_custkey", F.struct(F.col("c_name").alias("name"), F.col("c_nationkey").alias("nation")).alias("rec"))
-    packed = encode_struct(rows, "rec", "packed")
-    return decode_struct(packed, "packed", "rec", rows.schema["rec"].dataType).select("c_custkey", "rec.name", "rec.nation")
-
-
 @query("fn_vector_to_array", """
 SELECT vec_id, round(embedding[1]::DOUBLE, 6) AS first, len(embedding)::INT AS n FROM embeddings""")
 def fn_vector_to_array(t):

@@ -9,9 +9,9 @@ from millrace.registry import query
 
 
 @query("gen_explode", """
-SELECT vec_id, unnest(embedding[1:4])::DOUBLE AS x FROM embeddings""")
+SELECT vec_id, unnest(embedding)::DOUBLE AS x FROM embeddings""")
 def gen_explode(t):
-    return rs.lateral(t.embeddings, F.explode(F.slice("embedding", 1, 4)), ["x"], ["vec_id"]).withColumn("x", F.col("x").cast("double"))
+    return rs.lateral(t.embeddings, F.explode("embedding"), ["x"], ["vec_id"]).withColumn("x", F.col("x").cast("double"))
 
 
 @query("gen_explode_outer", """

@@ -4,9 +4,11 @@ from pyspark.ml import classification as mc, clustering as mk, evaluation as me,
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
-from millrace.operators import features as of, models as om
+from millrace.operators import features as of, models as om, windows as ow
 from millrace.registry import query
 
+WIDTH = 64  # of the embeddings
+
 
 def lines(t):
     """Features of a line and whether it was returned."""
@@ -58,13 +60,27 @@ def ml_text_stages(t):
     return out.select("doc_id", F.size("a").alias("words"), F.size("b").alias("kept"), F.size("c").alias("trigrams"), F.size("d").alias("matches"))
 
 
-@query("ml_vector_stages")
+def _rounded(vector):
+    return F.transform(vector_to_array(vector), lambda x: F.round(x, 5) + F.lit(0.0))
+
+
+# the products of the first four dimensions come column by column: x, xx, y, xy, yy, z, ...; the cosine transform and
+# the scaled vectors are of all dimensions
+@query("ml_vector_stages", """
+WITH e AS (SELECT vec_id, embedding::DOUBLE[] AS v, sqrt(list_sum(list_transform(embedding::DOUBLE[], lambda x: x * x))) AS len FROM embeddings)
+SELECT vec_id,
+  list_transform([v[1], v[1] * v[1], v[2], v[1] * v[2], v[2] * v[2], v[3], v[1] * v[3], v[2] * v[3], v[3] * v[3],
+    v[4], v[1] * v[4], v[2] * v[4], v[3] * v[4], v[4] * v[4]], lambda x: round(x, 5) + 0.0) AS poly,
+  list_transform(range(64), lambda k: round(list_sum(list_transform(range(64), lambda i: v[i + 1] * cos(pi() * (i + 0.5) * k / 64))) * CASE WHEN k = 0 THEN sqrt(1 / 64) ELSE sqrt(2 / 64) END, 5) + 0.0) AS dct,
+  list_transform(range(64), lambda i: round(v[i + 1] * (i + 1), 5) + 0.0) AS ew,
+  list_transform(v, lambda x: round(CASE WHEN len > 0 THEN x / len ELSE x END, 5) + 0.0) AS nrm FROM e""")
 def ml_vector_stages(t):
     v = vectors(t)
-    small = mf.VectorSlicer(inputCol="features", outputCol="s", indices=[0, 1, 2, 3]).transform(mf.VectorSizeHint(inputCol="features", size=64).transform(v))
-    out = om.transformed(small, mf.PolynomialExpansion(degree=2, inputCol="s", outputCol="poly"), mf.DCT(inputCol="s", outputCol="dct"),
-                         mf.ElementwiseProduct(scalingVec=[1.0, 2.0, 3.0, 4.0], inputCol="s", outputCol="ew"), mf.Normalizer(inputCol="s", outputCol="nrm"))
-    return out.select("vec_id", *[F.size(vector_to_array(c)).alias(c) for c in ("poly", "dct", "ew", "nrm")])
+    sized = mf.VectorSizeHint(inputCol="features", size=WIDTH).transform(v)
+    out = om.transformed(sized, mf.VectorSlicer(inputCol="features", outputCol="s", indices=[0, 1, 2, 3]), mf.PolynomialExpansion(degree=2, inputCol="s", outputCol="poly"),
+                         mf.DCT(inputCol="features", outputCol="dct"), mf.ElementwiseProduct(scalingVec=[float(i) for i in range(1, WIDTH + 1)], inputCol="features", outputCol="ew"),
+                         mf.Normalizer(inputCol="features", outputCol="nrm"))
+    return out.select("vec_id", *[_rounded(F.col(c)).alias(c) for c in ("poly", "dct", "ew", "nrm")])
 
 
 @query("ml_interaction")
@@ -117,23 +133,31 @@ def ml_pca(t):
 
 @query("ml_svd")
 def ml_svd(t):
-    """Singular values from the 64 x 64 Gram matrix, summed on Spark."""
+    """Singular values from the Gram matrix, summed on Spark: a row per dimension, a column per other dimension."""
     import numpy as np
 
-    pairs = t.embeddings.select(F.posexplode("embedding").alias("i", "x"), "embedding").select("i", F.posexplode("embedding").alias("j", "y"), "x")
-    cells = pairs.groupBy("i", "j").agg(F.sum(F.col("x").cast("double") * F.col("y").cast("double")).alias("g")).collect()
-    g = np.zeros((64, 64))
-    for c in cells:
-        g[c["i"], c["j"]] = c["g"]
+    x = F.col("x").cast("double")
+    spread = t.embeddings.select(F.posexplode("embedding").alias("i", "x"), "embedding")
+    lines = spread.groupBy("i").agg(*[F.sum(x * F.col("embedding")[j].cast("double")).alias(f"g{j}") for j in range(WIDTH)]).collect()
+    g = np.zeros((WIDTH, WIDTH))
+    for line in lines:
+        g[line["i"]] = line[1:]
     values = np.sqrt(np.clip(np.linalg.eigvalsh(g)[::-1], 0, None))
     return t.spark.createDataFrame([(i, float(s)) for i, s in enumerate(values[:8])], "i int, singular_value double")
 
 
 @query("ml_selector")
 def ml_selector(t):
-    rows = om.assembled(t.lineitem.withColumn("y", F.col("l_linenumber")), ["l_quantity", "l_extendedprice", "l_discount", "l_tax"], "y")
-    sel = mf.UnivariateFeatureSelector(featuresCol="features", labelCol="label", outputCol="best").setFeatureType("continuous").setLabelType("categorical").setSelectionMode("numTopFeatures").setSelectionThreshold(2)
-    return sel.fit(rows).transform(rows).groupBy(F.size(vector_to_array("best")).alias("width")).agg(F.count("*").alias("n"))
+    """Chi-square choice: the columns are binned first, as the test counts categories."""
+    names = ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_linenumber"]
+    rows = t.lineitem.select((F.col("l_returnflag") == "R").cast("int").alias("y"), *[F.col(c).cast("double").alias(c) for c in names])
+    binned = [f"{c}_bin" for c in names]
+    rows = mf.QuantileDiscretizer(numBuckets=8, inputCols=names, outputCols=binned, relativeError=0.001).fit(rows).transform(rows)
+    rows = om.assembled(rows, binned, "y")
+    sel = mf.UnivariateFeatureSelector(featuresCol="features", labelCol="label", outputCol="best").setFeatureType("categorical").setLabelType("categorical").setSelectionMode("numTopFeatures").setSelectionThreshold(2)
+    model = sel.fit(rows)
+    chosen = F.array(*[F.lit(names[i]) for i in model.selectedFeatures])
+    return model.transform(rows).groupBy(F.array_join(chosen, ",").alias("chosen"), F.size(vector_to_array("best")).alias("width")).agg(F.count("*").alias("n"))
 
 
 @query("ml_fp_growth")
@@ -143,13 +167,23 @@ def ml_fp_growth(t):
     return model.associationRules.select(F.array_join(F.sort_array("antecedent"), ",").alias("antecedent"), F.array_join("consequent", ",").alias("consequent"), "confidence", "lift")
 
 
-@query("ml_prefix_span")
+@query("ml_prefix_span", """
+WITH p AS (SELECT user_id AS u, event_type AS k, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS pos FROM events),
+one AS (SELECT u, k AS pattern, min(pos) AS pos FROM p GROUP BY u, k),
+two AS (SELECT p.u, pattern || '>' || k AS pattern, min(p.pos) AS pos FROM one JOIN p ON p.u = one.u AND p.pos > one.pos GROUP BY ALL),
+three AS (SELECT p.u, pattern || '>' || k AS pattern, min(p.pos) AS pos FROM two JOIN p ON p.u = two.u AND p.pos > two.pos GROUP BY ALL)
+SELECT pattern, count(*) AS freq FROM (SELECT * FROM one UNION ALL SELECT * FROM two UNION ALL SELECT * FROM three) GROUP BY pattern
+HAVING count(*) >= ceil(0.4 * (SELECT count(DISTINCT u) FROM p))""")
 def ml_prefix_span(t):
-    from millrace.operators.windows import chunked_lists
-
-    lists = chunked_lists(t.events.select("user_id", "ts", "event_id", "event_type"), ["user_id"], ["ts", "event_id"], "event_type", 8, "kinds")
-    seqs = lists.select(F.transform("kinds", lambda k: F.array(k)).alias("sequence"))
-    found = fpm.PrefixSpan(minSupport=0.4, maxPatternLength=3).findFrequentSequentialPatterns(seqs)
+    """One sequence per user, whole. The library takes a sequence as one cell, so runs of a kind are cut to three events
+    first, which leaves every pattern of up to three as it is.
+    """
+    runs = ow.runs(t.events.select("user_id", "ts", "event_id", "event_type"), ["user_id"], ["ts", "event_id"], "event_type")
+    longest = 3
+    places = runs.groupBy("user_id").agg(F.sort_array(F.collect_list(F.struct("run", "event_type", F.least("length", F.lit(longest)).alias("n")))).alias("runs"))
+    kinds = F.flatten(F.transform("runs", lambda r: F.array_repeat(F.array(r["event_type"]), r["n"].cast("int"))))
+    seqs = places.select(kinds.alias("sequence"))
+    found = fpm.PrefixSpan(minSupport=0.4, maxPatternLength=longest).findFrequentSequentialPatterns(seqs)
     return found.select(F.array_join(F.flatten("sequence"), ">").alias("pattern"), "freq")
 
 
@@ -176,8 +210,7 @@ def ml_bisecting_kmeans(t):
 
 @query("ml_gaussian_mixture")
 def ml_gaussian_mixture(t):
-    small = mf.VectorSlicer(inputCol="features", outputCol="f4", indices=[0, 1, 2, 3]).transform(vectors(t)).drop("features").withColumnRenamed("f4", "features")
-    return om.tally(om.fit_score(mk.GaussianMixture(k=3, seed=1, maxIter=5), small))
+    return om.tally(om.fit_score(mk.GaussianMixture(k=3, seed=1, maxIter=5), vectors(t)))
 
 
 @query("ml_lda")

@@ -1,14 +1,15 @@
-"""Struct columns as Avro bytes; JSON text stands in when the Avro package is missing."""
+"""Struct columns as Avro bytes, with Spark's Avro package. Without it both functions raise."""
 
 from __future__ import annotations
 
+import json
+
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, types as T
+from pyspark.sql.avro.functions import from_avro, to_avro
 
 
 def avro_available(spark) -> bool:
-    from pyspark.sql.avro.functions import to_avro
-
     try:
         return spark.range(1).select(to_avro("id")).columns != []
     except AnalysisException:
@@ -31,21 +32,16 @@ def avro_schema(kind: T.StructType, name: str = "rec") -> dict:
         {"name": f.name, "type": ["null", convert(f.dataType, f"{name}_{f.name}")]} for f in kind.fields]}
 
 
-def encode_struct(df: DataFrame, column: str, into: str) -> DataFrame:
-    if avro_available(df.sparkSession):
-        import json
+def _needed(df: DataFrame) -> None:
+    if not avro_available(df.sparkSession):
+        raise RuntimeError("Avro columns need the spark-avro package on the class path")
 
-        from pyspark.sql.avro.functions import to_avro
 
-        return df.withColumn(into, to_avro(column, json.dumps(avro_schema(df.schema[column].dataType)))).drop(column)
-    return df.withColumn(into, F.encode(F.to_json(column), "UTF-8")).drop(column)
+def encode_struct(df: DataFrame, column: str, into: str) -> DataFrame:
+    _needed(df)
+    return df.withColumn(into, to_avro(column, json.dumps(avro_schema(df.schema[column].dataType)))).drop(column)
 
 
 def decode_struct(df: DataFrame, column: str, into: str, kind: T.StructType) -> DataFrame:
-    if avro_available(df.sparkSession):
-        import json
-
-        from pyspark.sql.avro.functions import from_avro
-
-        return df.withColumn(into, from_avro(column, json.dumps(avro_schema(kind)))).drop(column)
-    return df.withColumn(into, F.from_json(F.decode(column, "UTF-8"), kind)).drop(column)
+    _needed(df)
+    return df.withColumn(into, from_avro(column, json.dumps(avro_schema(kind)))).drop(column)

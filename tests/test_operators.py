@@ -12,7 +12,7 @@ from millrace.jobs import attributes as ja, label_metrics as jl, logs_and_assets
 from millrace.operators import aggregates as oa, features as of, graph as og, joins as oj, reshape as rs, sampling as sp, sorting as so, stats as st
 from millrace.session import scratch_path
 from millrace.sources import files as sf, generate as sg
-from millrace.sources.avro import avro_schema
+from millrace.sources.avro import avro_available, avro_schema, decode_struct, encode_struct
 
 
 def rows(df):
@@ -74,8 +74,9 @@ def test_not_in(spark, left, right, want):
 def test_joins_check_sizes(spark):
     big, small = spark.range(100), spark.range(3).withColumnRenamed("id", "s")
     assert oj.is_small(small, 3) and not oj.is_small(big, 99)
-    with pytest.raises(ValueError):
-        oj.cross_join(small, big, max_rows=50)
+    assert rows(oj.cross_join(small, big, max_rows=50)) == rows(oj.cross_join(small, big)) and oj.cross_join(small, big, max_rows=50).count() == 300
+    near = F.col("s") * 40 < F.col("id")
+    assert rows(oj.theta_join(small, big, near, max_rows=50)) == rows(oj.theta_join(small, big, near))
     plan = oj.broadcast_join(big, small, F.col("id") == F.col("s"), max_rows=2)
     assert plan.count() == 3
 
@@ -358,12 +359,33 @@ def test_small_functions(spark):
 
 
 def test_scripts_keep_missing_values(spark):
-    df = spark.createDataFrame([(1, "a\tb"), (2, None)], "i int, s string")
-    assert rows(rs.through_script(df, "upper", "i int, s string")) == [(1, "A B"), (2, None)]
+    odd = "a\tb\nc\\n\rd\\011 \\N"
+    df = spark.createDataFrame([(1, odd), (2, None), (3, "\\N"), (4, "")], "i int, s string")
+    assert rows(rs.through_script(df, "upper", "i int, s string")) == sorted([(1, odd.upper()), (2, None), (3, "\\N"), (4, "")], key=repr)
     with pytest.raises(KeyError):
         rs.through_script(df, "rm", "i int")
 
 
+def test_avro_columns_need_the_package(spark):
+    df = spark.createDataFrame([(1, (2,))], "i int, s struct<a: int>")
+    if avro_available(spark):
+        back = decode_struct(encode_struct(df, "s", "b"), "b", "s", df.schema["s"].dataType)
+        assert rows(back) == rows(df)
+    else:
+        with pytest.raises(RuntimeError):
+            encode_struct(df, "s", "b")
+
+
+def test_missing_values_keep_their_rows(spark):
+    df = spark.createDataFrame([("b",), (None,), ("a",), (None,), (None,), ("b",)], "c string")
+    assert sorted(map(repr, rows(of.string_index(df, "c", "i")[0]))) == sorted(map(repr, [("a", 1.0), ("b", 0.0), ("b", 0.0)] + [(None, None)] * 3))
+    assert of.string_index(df, "c", "i", "skip")[0].count() == 3
+    with pytest.raises(Exception, match="missing value"):
+        of.string_index(df, "c", "i", "error")[0].collect()
+    ranks = st.mean_rank(spark.createDataFrame([(5,), (None,), (5,), (9,)], "v int"), "v", "r")
+    assert sorted(map(repr, rows(ranks))) == sorted(map(repr, [(5, 1.5), (5, 1.5), (9, 3.0), (None, None)]))
+
+
 def test_avro_schema(spark):
     schema = avro_schema(spark.createDataFrame([], "a int, b struct<c: array<string>>").schema)
     assert schema["fields"][0] == {"name": "a", "type": ["null", "int"]} and schema["fields"][1]["type"][1]["name"] == "rec_b"
