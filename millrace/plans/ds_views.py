@@ -8,6 +8,7 @@ import re
 
 from pyspark.sql import DataFrame, functions as F
 
+from millrace.functions.times import between, years
 from millrace.registry import Tables, query
 
 SQL_VIEWS = {
@@ -32,10 +33,7 @@ NEEDS = {"returns": ["sales"], "stock": ["sales"]}
 
 def sales(t: Tables, dates: tuple[str, str] | None = None) -> DataFrame:
     """All sold lines; ``dates`` (from, before) limits the orders by a range that reaches the scan."""
-    orders = t.orders
-    if dates:
-        low, high = (F.lit(d).cast("timestamp_ntz") for d in dates)
-        orders = orders.where((F.col("o_orderdate") >= low) & (F.col("o_orderdate") < high))
+    orders = between(t.orders, "o_orderdate", dates) if dates else t.orders
     price, discount, when = F.col("l_extendedprice"), F.col("l_discount"), F.to_date("o_orderdate")
     day = F.unix_date(when)
     line = F.col("l_linenumber") % 3
@@ -48,8 +46,8 @@ def sales(t: Tables, dates: tuple[str, str] | None = None) -> DataFrame:
         ((F.col("l_orderkey") * 7) % 24).alias("hour"), F.datediff(F.to_date("l_shipdate"), when).alias("lag"))
 
 
-def returns(t: Tables) -> DataFrame:
-    return sales(t).where("flag = 'R'").select(
+def returns(t: Tables, dates: tuple[str, str] | None = None) -> DataFrame:
+    return sales(t, dates).where("flag = 'R'").select(
         "ch", "item", "cust", "outlet", "ord", F.col("qty").alias("sold"), F.floor(F.col("qty") / 2).cast("double").alias("qty"), (F.col("price") * 0.5).alias("amt"),
         (F.col("price") * 0.1).alias("loss"), "reason", "yr", "mo", "qtr", "wk", (F.col("day") + 20).alias("day"))
 
@@ -79,11 +77,12 @@ def outlets(t: Tables) -> DataFrame:
         (k % 100).alias("zip"), (k % 300).alias("staff"), (k % 5).alias("wh"), F.col("s_acctbal").alias("bal"))
 
 
-def stock(t: Tables) -> DataFrame:
-    return sales(t).groupBy("item", (F.col("outlet") % 5).alias("wh"), "yr", "mo").agg(F.min("day").alias("day"), F.sum("qty").alias("qoh"))
+def stock(t: Tables, dates: tuple[str, str] | None = None) -> DataFrame:
+    return sales(t, dates).groupBy("item", (F.col("outlet") % 5).alias("wh"), "yr", "mo").agg(F.min("day").alias("day"), F.sum("qty").alias("qoh"))
 
 
 VIEWS = {"sales": sales, "returns": returns, "items": items, "people": people, "outlets": outlets, "stock": stock}
+DATED = ("sales", "returns", "stock")  # by the date of the order
 
 
 def used_views(sql: str) -> list[str]:
@@ -100,16 +99,27 @@ def for_duckdb(sql: str) -> str:
 
 def run(t: Tables, sql: str, dates: tuple[str, str] | None = None) -> DataFrame:
     """The query over the views of this folder, bound by name for this one statement."""
-    frames = {v: (sales(t, dates) if v == "sales" else VIEWS[v](t)) for v in VIEWS if re.search(rf"\b(?:FROM|JOIN)\s+{v}\b", sql)}
+    frames = {v: (VIEWS[v](t, dates) if v in DATED else VIEWS[v](t)) for v in VIEWS if re.search(rf"\b(?:FROM|JOIN)\s+{v}\b", sql)}
     return t.spark.sql(re.sub(r"\b(FROM|JOIN)\s+(" + "|".join(VIEWS) + r")\b", r"\1 {\2}", sql), **frames)
 
 
-# queries that read the sales of 1998 only, in every place where they read sales
-OF_1998 = {f"q{i}" for i in (6, 7, 8, 10, 12, 13, 15, 18, 20, 26, 27, 31, 32, 33, 36, 38, 42, 43, 45, 48, 50, 51, 53, 56, 58, 60, 61, 62, 63, 65, 67, 69, 70, 71, 72, 78, 86, 87, 89, 92, 98, 99)}
+# The years that a query asks for in every place where it reads sales, returns or stock; the range reaches the scan.
+# Weeks of q2 and q59 are compared with those of the next year and may begin in the year before.
+YEARS = {
+    (1997, 1997): "q55",
+    (1998, 1998): """q1 q5 q6 q7 q8 q10 q12 q13 q15 q18 q20 q21 q22 q26 q27 q30 q31 q32 q33 q35 q36 q38 q39a q39b q40 q42 q43 q45 q48 q49 q50 q51 q53
+        q56 q58 q60 q61 q62 q63 q65 q67 q69 q70 q71 q72 q77 q78 q80 q81 q83 q85 q86 q87 q89 q91 q92 q98 q99
+        v27_q5a v27_q12 v27_q18a v27_q20 v27_q22a v27_q27a v27_q35 v27_q36a v27_q51a v27_q67a v27_q70a v27_q72 v27_q77a v27_q80a v27_q86a v27_q98""",
+    (1999, 1999): "q19 q52 v27_q6 v27_q10a v27_q22 v27_q35a v27_q49 v27_q78",
+    (1997, 1998): "q4 q11 q17 q25 q29 q74 q75 v27_q11 v27_q74 v27_q75",
+    (1998, 1999): "q16 q54 q94 q95 v27_q34",
+    (1997, 1999): "q14a q14b q34 q46 q47 q57 q68 q73 q79 v27_q14 v27_q14a v27_q47 v27_q57",
+    (1996, 1999): "q2 q59",
+}
+DATES = {name: years(*span) for span, names in YEARS.items() for name in names.split()}
 
 
 def ds(name: str, sql: str, dates: tuple[str, str] | None = None) -> None:
     """Register a decision-support query written once for both engines."""
-    if name in OF_1998:
-        dates = ("1998-01-01", "1999-01-01")
+    dates = dates or DATES.get(name)
     query(f"ds_{name}", for_duckdb(sql))(lambda t: run(t, sql, dates))

@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from millrace.jobs import attributes as ja, label_metrics as jl, logs_and_assets as jw
+from millrace.functions.times import between, years
 from millrace.registry import query
 from millrace.sources.tables import staged
 
@@ -16,9 +17,9 @@ changed AS (SELECT product_id, source, org_id, a AS attribute FROM pair,
   WHERE states = 2)"""
 
 
-def snapshots(t):
-    """Attribute states of each part, source and organisation in two years."""
-    rows = t.lineitem.where(F.year("l_shipdate").isin(1997, 1998))
+def snapshots(t, first: int = 1997):
+    """Attribute states of each part, source and organisation in a year and the next one."""
+    rows = between(t.lineitem, "l_shipdate", years(first, first + 1))
     g = rows.groupBy(F.col("l_partkey").alias("product_id"), F.concat(F.lit("s"), F.col("l_suppkey") % 5).alias("source"),
                      (F.col("l_suppkey") % 3).alias("org_id"), F.year("l_shipdate").alias("day")).agg(
         F.max("l_returnflag").alias("flag"), F.max("l_linestatus").alias("status"), F.max("l_linenumber").cast("string").alias("line"),

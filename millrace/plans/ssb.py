@@ -5,6 +5,7 @@ A "city" is a nation and the last digit of the key; a "category" is the part's t
 
 from pyspark.sql import DataFrame, functions as F
 
+from millrace.functions.times import between, years
 from millrace.registry import query
 
 FACT = """f AS (SELECT l.*, o_custkey, o_orderdate, year(o_orderdate)::INT AS d_year, month(o_orderdate)::INT AS d_month, weekofyear(o_orderdate)::INT AS d_week, round(l_discount * 100)::INT AS disc,
@@ -13,9 +14,10 @@ c AS (SELECT c_custkey, n_name AS c_nation, r_name AS c_region, n_name || '-' ||
 s AS (SELECT s_suppkey, n_name AS s_nation, r_name AS s_region, n_name || '-' || (s_suppkey % 10) AS s_city FROM supplier JOIN nation ON n_nationkey = s_nationkey JOIN region ON r_regionkey = n_regionkey)"""
 
 
-def fact(t) -> DataFrame:
+def fact(t, span: tuple[int, int] | None = None) -> DataFrame:
+    """Lines with their orders; ``span``, the first and last year asked for, becomes a date range of the scan."""
     day = F.col("o_orderdate")
-    orders = t.orders.select("o_orderkey", "o_custkey", F.year(day).alias("d_year"), F.month(day).alias("d_month"), F.weekofyear(day).alias("d_week"))
+    orders = (between(t.orders, "o_orderdate", years(*span)) if span else t.orders).select("o_orderkey", "o_custkey", F.year(day).alias("d_year"), F.month(day).alias("d_month"), F.weekofyear(day).alias("d_week"))
     lines = t.lineitem.select("l_orderkey", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", F.round(F.col("l_discount") * 100).cast("int").alias("disc"),
                               (F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("revenue"))
     return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
@@ -40,17 +42,19 @@ def revenue(name="revenue"):
     return F.round(F.sum("revenue"), 4).alias(name)
 
 
-def _flight1(number, where):
+def _flight1(number, year, rest):
+    where = f"d_year = {year} AND {rest}"
+
     @query(f"ssb_1{number}", f"WITH {FACT} SELECT round(sum(l_extendedprice * l_discount), 4) AS revenue FROM f WHERE {where}")
     def build(t):
-        return fact(t).where(where).agg(F.round(F.sum(F.col("l_extendedprice") * F.col("disc") / 100), 4).alias("revenue"))
+        return fact(t, (year, year)).where(where).agg(F.round(F.sum(F.col("l_extendedprice") * F.col("disc") / 100), 4).alias("revenue"))
 
     return build
 
 
-_flight1(1, "d_year = 1997 AND disc BETWEEN 1 AND 3 AND l_quantity < 25")
-_flight1(2, "d_year = 1998 AND d_month = 1 AND disc BETWEEN 4 AND 6 AND l_quantity BETWEEN 26 AND 35")
-_flight1(3, "d_year = 1998 AND d_week = 6 AND disc BETWEEN 5 AND 7 AND l_quantity BETWEEN 26 AND 35")
+_flight1(1, 1997, "disc BETWEEN 1 AND 3 AND l_quantity < 25")
+_flight1(2, 1998, "d_month = 1 AND disc BETWEEN 4 AND 6 AND l_quantity BETWEEN 26 AND 35")
+_flight1(3, 1998, "d_week = 6 AND disc BETWEEN 5 AND 7 AND l_quantity BETWEEN 26 AND 35")
 
 
 def _flight2(number, part, region):
@@ -71,8 +75,8 @@ _flight2(2, "p_brand BETWEEN 'Brand#14' AND 'Brand#21'", "ASIA")
 _flight2(3, "p_brand = 'Brand#22'", "EUROPE")
 
 
-def _flight3(number, group, where, years):
-    low, high, month = years
+def _flight3(number, group, where, span):
+    low, high, month = span
     when = f"d_year BETWEEN {low} AND {high}" + (f" AND d_month = {month}" if month else "")
     c, s = f"c_{group}", f"s_{group}"
 
@@ -80,7 +84,7 @@ def _flight3(number, group, where, years):
 WHERE {where.format(p='c')} AND {where.format(p='s')} AND {when} GROUP BY ALL ORDER BY d_year, revenue DESC, {c}, {s}""")
     def build(t):
         return (
-            fact(t).where(when).join(buyers(t).where(where.format(p="c")), F.col("o_custkey") == F.col("c_custkey"))
+            fact(t, (low, high)).where(when).join(buyers(t).where(where.format(p="c")), F.col("o_custkey") == F.col("c_custkey"))
             .join(sellers(t).where(where.format(p="s")), F.col("l_suppkey") == F.col("s_suppkey"))
             .groupBy(c, s, "d_year").agg(revenue()).orderBy("d_year", F.desc("revenue"), c, s)
         )
@@ -95,14 +99,14 @@ _flight3(3, "city", CITIES, (1995, 2001, None))
 _flight3(4, "city", CITIES.replace("'NATION_7-1'", "'NATION_0-1', 'NATION_0-5', 'NATION_7-1'"), (1995, 2001, 12))
 
 
-def _flight4(number, group, where, extra):
+def _flight4(number, group, where, extra, span=None):
     names = ", ".join(group)
 
     @query(f"ssb_4{number}", f"""WITH {FACT} SELECT {names}, round(sum(revenue - l_quantity * 500), 4) AS profit FROM f JOIN c ON c_custkey = o_custkey JOIN s ON s_suppkey = l_suppkey JOIN part ON p_partkey = l_partkey
 WHERE {where} AND {extra} GROUP BY {names} ORDER BY {names}""")
     def build(t):
         return (
-            fact(t).join(buyers(t), F.col("o_custkey") == F.col("c_custkey")).join(sellers(t), F.col("l_suppkey") == F.col("s_suppkey"))
+            fact(t, span).join(buyers(t), F.col("o_custkey") == F.col("c_custkey")).join(sellers(t), F.col("l_suppkey") == F.col("s_suppkey"))
             .join(t.part.select("p_partkey", "p_type", "p_brand"), F.col("l_partkey") == F.col("p_partkey"))
             .where(where).where(extra)
             .groupBy(*group).agg(F.round(F.sum(F.col("revenue") - F.col("l_quantity") * 500), 4).alias("profit")).orderBy(*group)
@@ -112,5 +116,5 @@ WHERE {where} AND {extra} GROUP BY {names} ORDER BY {names}""")
 
 
 _flight4(1, ["d_year", "c_nation"], "c_region = 'AMERICA' AND s_region = 'AMERICA'", "p_type IN ('SMALL', 'LARGE')")
-_flight4(2, ["d_year", "s_nation", "p_type"], "c_region = 'AMERICA' AND s_region = 'AMERICA'", "d_year IN (1997, 1998) AND p_type IN ('SMALL', 'LARGE')")
-_flight4(3, ["d_year", "s_city", "p_brand"], "c_region = 'AMERICA' AND s_nation = 'NATION_6'", "d_year IN (1997, 1998) AND p_type = 'PROMO'")
+_flight4(2, ["d_year", "s_nation", "p_type"], "c_region = 'AMERICA' AND s_region = 'AMERICA'", "d_year IN (1997, 1998) AND p_type IN ('SMALL', 'LARGE')", (1997, 1998))
+_flight4(3, ["d_year", "s_city", "p_brand"], "c_region = 'AMERICA' AND s_nation = 'NATION_6'", "d_year IN (1997, 1998) AND p_type = 'PROMO'", (1997, 1998))
