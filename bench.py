@@ -18,6 +18,7 @@ HEADLINE = [
     "win_running", "win_rank_all", "win_rows", "win_range_interval", "win_topk", "win_matchpath", "win_sliding",
     "zip_index", "topk_by_key", "set_intersect_all", "fn_math", "fn_hof", "feat_tfidf", "feat_ngrams", "feat_assoc_pairs",
     "metric_ranking", "metric_binary", "freq_items", "attr_diff", "label_metrics", "run_length", "longest_span",
+    "hot_running", "hot_range_frame", "hot_matchpath", "hot_percentiles",
     "graph_cc", "graph_triangles", "graph_pagerank", "stream_tumbling",
     *[q for q in ("ds_q4", "ds_q14a", "ds_q23a", "ds_q51", "ds_q64", "ds_q67", "ds_q95", "ds_q97") if q in QUERIES],
 ]

@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from millrace.session import scratch_path
+from millrace.session import scratch_path, task_slots
 from millrace.sources.tables import staged
 
 
@@ -41,8 +41,20 @@ def file_bytes(spark: SparkSession, path: str) -> int:
     return files.agg(F.sum("length")).first()[0] or 0
 
 
-def compact(spark: SparkSession, path: str, target_bytes: int = 256 << 20) -> str:
-    """Rewrite many small files as few of about ``target_bytes`` each. Returns the new path."""
+def bucket_count(spark: SparkSession, *paths: str, target_bytes: int = 256 << 20) -> int:
+    """Buckets of about ``target_bytes`` for the larger of some tables: one for each task at least, as many as Spark allows at most."""
+    most = int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets"))
+    return min(most, max(task_slots(spark), *[math.ceil(file_bytes(spark, p) / target_bytes) for p in paths]))
+
+
+def compact(spark: SparkSession, path: str, target_bytes: int = 256 << 20, by: list[str] | None = None) -> str:
+    """Rewrite many small files as few of about ``target_bytes`` each. Returns the new path.
+
+    A folder partitioned ``by`` columns keeps its folders: small ones take one task and file, large ones are split at the
+    size that adaptive execution advises.
+    """
+    if by:
+        return staged(spark.read.parquet(path).hint("rebalance", *by), "compacted", partition_by=by)
     files = max(1, math.ceil(file_bytes(spark, path) / target_bytes))
     return staged(spark.read.parquet(path).coalesce(files), "compacted")
 

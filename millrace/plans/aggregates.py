@@ -210,9 +210,10 @@ def agg_salted(t):
 @query("agg_sorted_input", """
 SELECT l_partkey, count(*) AS n, sum(l_quantity) AS qty FROM lineitem GROUP BY l_partkey""")
 def agg_sorted_input(t):
+    from millrace.operators.maintenance import bucket_count
     from millrace.sources.tables import bucketed_table
 
-    return bucketed_table(t.lineitem.select("l_partkey", "l_quantity"), "by_part", ["l_partkey"], 8).groupBy("l_partkey").agg(
+    return bucketed_table(t.lineitem.select("l_partkey", "l_quantity"), "by_part", ["l_partkey"], bucket_count(t.spark, t.path("lineitem"))).groupBy("l_partkey").agg(
         F.count("*").alias("n"), F.sum("l_quantity").alias("qty"))
 
 

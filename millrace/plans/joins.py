@@ -1,8 +1,10 @@
 """Every join kind on the star tables."""
 
+from functools import reduce
+
 from pyspark.ml.feature import BucketedRandomProjectionLSH, HashingTF, MinHashLSH
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from millrace.functions.times import epoch_seconds
 from millrace.operators import joins as oj
@@ -161,10 +163,12 @@ def join_nested_loop(t):
 
 @query("join_bucketed", LINES_BY_STATUS)
 def join_bucketed(t):
+    from millrace.operators.maintenance import bucket_count
     from millrace.sources.tables import bucketed_table
 
-    lines = bucketed_table(t.lineitem.select("l_orderkey", "l_quantity"), "lines", ["l_orderkey"], 8)
-    orders = bucketed_table(t.orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_orderstatus"), "orders", ["l_orderkey"], 8)
+    buckets = bucket_count(t.spark, t.path("lineitem"), t.path("orders"))
+    lines = bucketed_table(t.lineitem.select("l_orderkey", "l_quantity"), "lines", ["l_orderkey"], buckets)
+    orders = bucketed_table(t.orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_orderstatus"), "orders", ["l_orderkey"], buckets)
     return lines.join(orders, "l_orderkey").groupBy("o_orderstatus").agg(F.count("*").alias("n"), F.sum("l_quantity").alias("qty"))
 
 
@@ -234,6 +238,23 @@ def join_empty_side(t):
         F.count("*").alias("n"), F.count("o_orderkey").alias("matched"))
 
 
+EMPTY_KINDS = {"inner": "inner", "left": "left", "right": "right", "full": "full", "semi": "left_semi", "anti": "left_anti"}
+
+
+@query("join_empty_kinds", " UNION ALL ".join(f"""
+SELECT '{kind}' AS kind, '{side}' AS empty_side, count(*) AS n FROM (SELECT * FROM customer WHERE {'c_acctbal < -1e9' if side == 'left' else 'true'}) a
+{kind.upper()} JOIN (SELECT * FROM nation WHERE {'n_nationkey < 0' if side == 'right' else 'true'}) b ON c_nationkey = n_nationkey""" for kind in EMPTY_KINDS for side in ("left", "right")))
+def join_empty_kinds(t):
+    """Every kind of join with an empty left side, then with an empty right side."""
+    on, parts = F.col("c_nationkey") == F.col("n_nationkey"), []
+    for kind, how in EMPTY_KINDS.items():
+        for side in ("left", "right"):
+            a = t.customer.where("c_acctbal < -1e9") if side == "left" else t.customer
+            b = t.nation.where("n_nationkey < 0") if side == "right" else t.nation
+            parts.append(a.join(b, on, how).agg(F.lit(kind).alias("kind"), F.lit(side).alias("empty_side"), F.count("*").alias("n")))
+    return reduce(DataFrame.union, parts)
+
+
 @query("join_self", """
 SELECT a.n_name AS first_nation, b.n_name AS second_nation FROM nation a JOIN nation b
 ON a.n_regionkey = b.n_regionkey AND a.n_nationkey < b.n_nationkey

@@ -1,6 +1,6 @@
 """Projections, filters, predicates and subqueries."""
 
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from millrace.functions import rows as fr
 from millrace.operators import joins as oj
@@ -131,6 +131,61 @@ def prj_exists(t):
         "o_orderpriority").agg(F.count("*").alias("n"))
 
 
+@query("prj_in_having", """
+SELECT p_brand, count(*) AS n FROM part GROUP BY p_brand HAVING count(*) IN (SELECT count(*) FROM part WHERE p_size > 5 GROUP BY p_type, p_size) OR min(p_size) IN (SELECT n_nationkey FROM nation)""")
+def prj_in_having(t):
+    sizes = t.part.where("p_size > 5").groupBy("p_type", "p_size").agg(F.count("*").alias("k"))
+    brands = t.part.groupBy("p_brand").agg(F.count("*").alias("n"), F.min("p_size").cast("bigint").alias("low"))
+    flagged = oj.existence_join(brands, sizes.select(F.col("k").alias("n")), ["n"], "as_many")
+    flagged = oj.existence_join(flagged, t.nation.select(F.col("n_nationkey").cast("bigint").alias("low")), ["low"], "as_low")
+    return flagged.where("as_many OR as_low").select("p_brand", "n")
+
+
+@query("prj_in_limit", """
+SELECT o_orderkey, o_custkey FROM orders WHERE o_custkey IN (SELECT c_custkey FROM customer ORDER BY c_acctbal DESC, c_custkey LIMIT 20)""")
+def prj_in_limit(t):
+    richest = t.customer.orderBy(F.desc("c_acctbal"), "c_custkey").limit(20)
+    return t.orders.join(richest, F.col("o_custkey") == F.col("c_custkey"), "left_semi").select("o_orderkey", "o_custkey")
+
+
+@query("prj_in_correlated", """
+SELECT p_partkey FROM part WHERE p_size IN (SELECT l_quantity FROM lineitem WHERE l_partkey = p_partkey AND l_returnflag <> 'N')""")
+def prj_in_correlated(t):
+    lines = t.lineitem.where("l_returnflag <> 'N'")
+    return t.part.join(lines, (F.col("l_partkey") == F.col("p_partkey")) & (F.col("l_quantity") == F.col("p_size")), "left_semi").select("p_partkey")
+
+
+@query("prj_not_in_correlated", """
+SELECT c_custkey FROM customer WHERE c_nationkey NOT IN (SELECT s_nationkey FROM supplier WHERE s_suppkey % 10 = c_custkey % 10)""")
+def prj_not_in_correlated(t):
+    """Without missing values on either side NOT IN is an anti join on the column and the correlation."""
+    met = (F.col("s_nationkey") == F.col("c_nationkey")) & (F.col("s_suppkey") % 10 == F.col("c_custkey") % 10)
+    return t.customer.join(t.supplier, met, "left_anti").select("c_custkey")
+
+
+@query("prj_nan_join", """
+WITH e AS (SELECT event_id, event_id % 7 AS g, CASE WHEN event_id % 7 = 0 THEN 'nan'::DOUBLE WHEN event_id % 7 = 1 THEN -0.0 ELSE (event_id % 7)::DOUBLE END AS x FROM events),
+k AS (SELECT unnest(['nan'::DOUBLE, 0.0, 3.0]) AS y)
+SELECT g, count(*) AS n, any_value(isnan(x)) AS odd FROM e JOIN k ON x = y GROUP BY g""")
+def prj_nan_join(t):
+    """NaN equals itself as a join key, and the two zeros are one."""
+    g = F.col("event_id") % 7
+    rows = t.events.select(g.alias("g"), F.when(g == 0, float("nan")).when(g == 1, F.lit(-0.0)).otherwise(g.cast("double")).alias("x"))
+    keys = t.spark.createDataFrame([(float("nan"),), (0.0,), (3.0,)], "y double")
+    return rows.join(F.broadcast(keys), F.col("x") == F.col("y")).groupBy("g").agg(F.count("*").alias("n"), F.bool_and(F.isnan("x")).alias("odd"))
+
+
+@query("prj_nan_order", """
+SELECT event_id, row_number() OVER (ORDER BY CASE WHEN event_id % 50 = 0 THEN 2 ELSE 1 END, CASE WHEN event_id % 50 = 0 THEN 0 ELSE value END, event_id) AS place FROM events QUALIFY place > (SELECT count(*) - 30 FROM events)""")
+def prj_nan_order(t):
+    """NaN sorts behind every number: the last rows of a full sort."""
+    rows = t.events.select("event_id", F.when(F.col("event_id") % 50 == 0, float("nan")).otherwise(F.col("value")).alias("x"))
+    last = rows.orderBy(F.desc("x"), F.desc("event_id")).limit(30)
+    n = F.broadcast(t.events.agg(F.count("*").alias("n")))
+    back = F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(F.desc("x"), F.desc("event_id")))
+    return last.join(n).select("event_id", (F.col("n") + 1 - back).alias("place"))
+
+
 @query("prj_scalar_subquery", """
 SELECT p_partkey, p_retailprice FROM part o WHERE p_retailprice > (SELECT avg(i.p_retailprice) + 30 FROM part i WHERE i.p_brand = o.p_brand)""")
 def prj_scalar_subquery(t):

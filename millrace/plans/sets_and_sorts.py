@@ -132,7 +132,7 @@ def zip_index(t):
 SELECT l_suppkey, count(*) AS n, sum(l_quantity) AS q FROM lineitem GROUP BY l_suppkey""")
 def repartition_stable(t):
     """A layout by hash of the order spreads the rows evenly; the group then combines inside each task first."""
-    return t.lineitem.select("l_suppkey", "l_quantity", "l_orderkey").repartition(16, "l_orderkey").groupBy("l_suppkey").agg(
+    return t.lineitem.select("l_suppkey", "l_quantity", "l_orderkey").repartition("l_orderkey").groupBy("l_suppkey").agg(
         F.count("*").alias("n"), F.sum("l_quantity").alias("q"))
 
 

@@ -330,7 +330,7 @@ def load_files(t):
 def load_bucketed(t):
     from millrace.sources.tables import bucketed_table
 
-    return bucketed_table(t.orders.select("o_custkey", "o_orderkey"), "bucketed", ["o_custkey"], 4, ["o_custkey", "o_orderkey"]).groupBy(
+    return bucketed_table(t.orders.select("o_custkey", "o_orderkey"), "bucketed", ["o_custkey"], om.bucket_count(t.spark, t.path("orders")), ["o_custkey", "o_orderkey"]).groupBy(
         "o_custkey").agg(F.count("*").alias("n"))
 
 
@@ -365,6 +365,16 @@ def load_compact(t):
     return packed.agg(F.count("*").alias("n"), F.round(F.sum("o_totalprice"), 2).alias("total"), (F.countDistinct(F.col("_metadata.file_path")) < 24).alias("fewer"))
 
 
+@query("load_compact_partitions", """SELECT o_orderstatus AS status, count(*) AS n, round(sum(o_totalprice), 2) AS total, true AS fewer, true AS in_its_folder FROM orders GROUP BY 1""")
+def load_compact_partitions(t):
+    rows = t.orders.select("o_orderkey", "o_totalprice", F.col("o_orderstatus").alias("status"))
+    many = staged(rows.repartition(24), "small_parts", partition_by=["status"])
+    packed = t.spark.read.parquet(om.compact(t.spark, many, by=["status"]))
+    path = F.col("_metadata.file_path")
+    return packed.groupBy("status").agg(F.count("*").alias("n"), F.round(F.sum("o_totalprice"), 2).alias("total"), (F.countDistinct(path) < 12).alias("fewer"),
+                                        F.bool_and(F.contains(path, F.concat(F.lit("/status="), "status", F.lit("/")))).alias("in_its_folder"))
+
+
 @query("load_stats", """SELECT count(*) AS n FROM orders""")
 def load_stats(t):
     name = om.managed_table(t.orders, "stats")

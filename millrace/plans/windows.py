@@ -129,6 +129,18 @@ def win_stats(t):
         "o_orderkey", "sd", "vp", "n")
 
 
+@query("win_shape", """
+SELECT o_orderkey, CASE WHEN count(*) OVER w > 1 THEN round(corr(o_totalprice, o_orderkey) OVER w, 5) END AS r, count(DISTINCT o_orderpriority) OVER w AS kinds, CASE WHEN var_pop(o_totalprice) OVER w > 1 THEN
+  round((avg((o_totalprice / 1000) ** 3) OVER w - 3 * avg(o_totalprice / 1000) OVER w * avg((o_totalprice / 1000) ** 2) OVER w + 2 * (avg(o_totalprice / 1000) OVER w) ** 3) / (stddev_pop(o_totalprice / 1000) OVER w) ** 3, 4) END AS skew
+FROM orders WINDOW w AS (PARTITION BY o_custkey)""")
+def win_shape(t):
+    """Correlation, skewness and an approximate distinct count (exact for so few values) of the whole key, on every row."""
+    x = F.col("o_totalprice") / 1000
+    aggs = [F.round(F.corr("o_totalprice", "o_orderkey"), 5).alias("r"), F.approx_count_distinct("o_orderpriority", 0.01).alias("kinds"),
+            F.when(F.var_pop("o_totalprice") > 1, F.round(F.skewness(x), 4)).alias("skew")]
+    return ow.whole_key(t.orders.select("o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority"), ["o_custkey"], aggs).select("o_orderkey", "r", "kinds", "skew")
+
+
 @query("win_collect", """
 SELECT o_orderkey, array_to_string(list(o_orderpriority) OVER (PARTITION BY o_custkey ORDER BY o_orderkey ROWS BETWEEN 2 PRECEDING AND CURRENT ROW), '|') AS recent FROM orders""")
 def win_collect(t):

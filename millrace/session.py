@@ -41,7 +41,7 @@ def shared_dir(spark: SparkSession) -> str:
     if not base:
         base = sc.getCheckpointDir()
     if not base:
-        if not sc.master.startswith("local"):
+        if sc.master != "local" and not sc.master.startswith("local["):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="millrace-")
     if sc.getCheckpointDir() is None:
