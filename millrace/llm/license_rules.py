@@ -4,10 +4,13 @@ A text is cut into sentences and each is normalised to lower-case letters and di
 identifiers; the rest fall away. A licence is found where the identifiers of its rule follow each other in the text. A
 rule that is part of a longer rule that matched at the same place (two of the three BSD clauses) does not count there.
 
-Built-in functions only, row by row: no shuffle, so no hot keys. The known sentences travel in the plan as one literal map.
+Built-in functions only, row by row: no shuffle, so no hot keys. The known sentences travel in the plan as one pattern.
 
-Sentence ends: ``. ! ? ; :`` before white space, and line ends, but for a line that goes on with a lower-case letter, a
-digit, a quote or a bracket, which is a wrapped one.
+Sentence ends: ``. ! ? ; :`` before white space, and line ends, but for a line that goes on with a letter, a digit, a quote
+or a bracket, which may be a wrapped one. A known sentence is found where it is a whole sentence, a whole line, or a run of
+lines (what stands before a line's first letter or digit, such as comment marks, is not looked at), in a longer sentence
+too: a notice below a heading or above code needs no stop. Runs end at blank lines and at sentence ends. Its place is that
+of the sentence in which it starts; of known sentences that overlap the first counts, of those that start alike the longest.
 
 Defined results
     * a null, empty or blank text has no sentences, no identifiers and no licences;
@@ -69,13 +72,41 @@ RULES = (
 )
 
 
-def sentences(text: Column) -> Column:
-    """The normalised sentences of a text, blank ones left out."""
-    s = F.lower(F.coalesce(text, F.lit("")))
-    s = F.regexp_replace(s, "\\n([a-z0-9(\"'])", " $1")
-    s = F.regexp_replace(s, "[.!?;:]+[ \\t\\r\\n]", "\n")
-    s = F.regexp_replace(s, "[^a-z0-9\\n]+", " ")
-    return F.filter(F.transform(F.split(s, "\n"), lambda x: F.trim(x)), lambda x: x != "")
+#: Marks: a line end that ends a sentence, one that does not, and the two sides of a name.
+_ENDS, _GOES_ON, _OPEN, _CLOSE = "\x01", "\x02", "\x03", "\x04"
+
+
+def marked(text: Column) -> Column:
+    """The normalised text, with a line end behind each sentence and a mark for each line end in between."""
+    s = F.translate(F.lower(F.coalesce(text, F.lit(""))), _ENDS + _GOES_ON + _OPEN + _CLOSE, "\x05" * 4)
+    s = F.regexp_replace(s, "\\n([a-z0-9(\"'])", f"{_GOES_ON}$1")
+    s = F.regexp_replace(s, f"\\n[^a-z0-9\\n{_GOES_ON}]*+(?=[a-z0-9])", _ENDS)
+    s = F.regexp_replace(s, f"[.!?;:]+[ \\t\\r\\n{_ENDS}{_GOES_ON}]", "\n")
+    return F.regexp_replace(s, f"[^a-z0-9\\n{_ENDS}{_GOES_ON}]+", " ")
+
+
+def sentences(found: Column) -> Column:
+    """The sentences of a marked text, blank ones left out."""
+    return F.filter(F.transform(F.split(F.translate(found, _ENDS + _GOES_ON, "\n "), "\n"), lambda x: F.trim(x)), lambda x: x != "")
+
+
+def _pattern(known: dict[str, str]) -> str:
+    """Any known sentence between two line or sentence ends; longer ones first."""
+    words = [f"[ {_ENDS}{_GOES_ON}]++".join(s.split(" ")) for s in sorted(known.values(), key=lambda s: (-len(s), s))]
+    return f"(^|[\\n{_ENDS}{_GOES_ON}]) ?({'|'.join(words)}) ?(?=[\\n{_ENDS}{_GOES_ON}]|\\z)"
+
+
+def _named(found: Column, known: dict[str, str]) -> Column:
+    """The sentences of a marked text, each with the names of the known ones that start in it put before them."""
+    lookup = F.from_json(F.lit(json.dumps({s: name for name, s in known.items()})), "map<string,string>")  # folded to one literal
+    parts = F.split(F.regexp_replace(found, _pattern(known), f"$1{_OPEN}$2{_CLOSE}"), _OPEN)
+
+    def put(part: Column) -> Column:
+        sentence = F.substring_index(part, _CLOSE, 1)
+        name = F.try_element_at(lookup, F.regexp_replace(sentence, f"[ {_ENDS}{_GOES_ON}]+", " "))
+        return F.concat(F.lit(_OPEN), name, F.lit(_CLOSE), F.replace(part, F.lit(_CLOSE), F.lit("")))
+
+    return sentences(F.concat(parts[0], F.concat_ws("", F.transform(F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0))), put))))
 
 
 def _path(names: tuple[str, ...]) -> str:
@@ -90,10 +121,11 @@ def _times(found: Column, path: str) -> Column:
 def scan_licences(docs: DataFrame, text: str = "text", known: dict[str, str] | None = None, rules: tuple = RULES) -> DataFrame:
     """``docs`` with ``n_sentences``, ``found`` (place in the text, counted in sentences, and identifier) and ``licences``."""
     known = known or SENTENCES
-    lookup = F.from_json(F.lit(json.dumps({s: name for name, s in known.items()})), "map<string,string>")  # folded to one literal
-    named = docs.withColumn("_sentences", sentences(F.col(text)))
-    places = F.transform("_sentences", lambda s, i: F.struct((i + 1).alias("place"), F.try_element_at(lookup, s).alias("sentence")))
-    out = named.withColumns({"n_sentences": F.size("_sentences").cast("long"), "found": F.filter(places, lambda p: p["sentence"].isNotNull())})
+    place = F.struct(F.lit(0).alias("place"), F.lit("").alias("sentence"))
+    names = lambda s, i: F.transform(F.regexp_extract_all(s, F.lit(f"{_OPEN}([^{_CLOSE}]*){_CLOSE}"), F.lit(1)), lambda n: F.struct((i + 1).alias("place"), n.alias("sentence")))
+    out = docs.withColumn("_marked", marked(F.col(text))).withColumn("n_sentences", F.size(sentences(F.col("_marked"))).cast("long"))
+    # few texts hold a known sentence: only these are looked at by sentence
+    out = out.withColumn("found", F.when(F.col("_marked").rlike(_pattern(known)), F.flatten(F.transform(_named(F.col("_marked"), known), names))).otherwise(F.slice(F.array(place), 1, 0)))
     out = out.withColumn("_path", F.concat_ws("", F.transform("found", lambda p: F.concat(F.lit("<"), p["sentence"], F.lit(">")))))
     hits = []
     for licence, names in rules:
@@ -101,7 +133,7 @@ def scan_licences(docs: DataFrame, text: str = "text", known: dict[str, str] | N
         covered = sum((_times(F.col("_path"), p) for p in sorted(longer)), F.lit(0.0))
         hits.append(F.when(_times(F.col("_path"), own) > covered, F.lit(licence)))
     licences = F.when(F.col("_path") == "", F.array().cast("array<string>")).otherwise(F.array_sort(F.array_distinct(F.array_compact(F.array(*hits)))))
-    return out.withColumn("licences", licences).drop("_sentences", "_path")
+    return out.withColumn("licences", licences).drop("_marked", "_path")
 
 
 def licence_digest(documents: DataFrame) -> DataFrame:

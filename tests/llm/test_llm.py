@@ -253,3 +253,18 @@ def test_pipeline_stages(spark):
             assert all(r["decoded_sha256"] == hashlib.sha256(r["text"].encode()).hexdigest() for r in rows) and kept == set(before)
         given = spark.createDataFrame(rows, out.schema)
     assert sorted(r["doc_id"] for r in corpus_pipeline.run(spark, SMALL).collect()) == sorted(kept)
+
+
+def test_licences_on_lines(spark):
+    grant, notice = (license_rules.SENTENCES[k] for k in ("mit-grant", "mit-notice"))
+    words = grant.split(" ")
+    wrapped = [" ".join(words[i : i + 9]) for i in range(0, len(words), 9)]
+    texts = [
+        "SPDX-License-Identifier: MIT\nimport x", "Released under the MIT License\nFoo", "Foo bar\nReleased under the MIT License\nfoo", "# Licence\nLicensed under CC BY-NC 4.0.", "a | b |\nLicensed under the Apache License, Version 2.0.",
+        "foo\nThis work is licensed under the\nGNU General Public License\nversion 3\nBar", "/*\n * " + "\n * ".join(wrapped) + ":\n *\n * " + notice + ".\n */\nint x;", "; " + "\n; ".join(wrapped) + ":\n;\n; " + notice,
+        "Released under\n\nthe MIT License", "it was released under the MIT License", "Released under the MIT License today\nfoo", "One.\nA\x01b\nx Released under\x02 the MIT License\r\nReleased under the MIT License\r\nB", "Released under the MIT License\n" * 3000,
+    ]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = {r["doc_id"]: r for r in license_rules.licence_digest(docs).collect()}
+    assert [rows[i]["licences"] for i in range(len(texts))] == ["MIT", "MIT", "MIT", "CC-BY-NC-4.0", "Apache-2.0", "GPL-3.0", "MIT", "MIT", "", "", "", "MIT", "MIT"]
+    assert rows[0]["found"] == "1:spdx,2:spdx-mit" and rows[11]["found"] == "2:mit-short" and rows[12]["found"] == ",".join(["1:mit-short"] * 3000)
