@@ -42,8 +42,12 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents sampled to the target weights of source, language and topic."""
-    return raking.sample(docs)
+    """Documents sampled towards the target weights of source, language and topic, each once at most.
+
+    Classes above their natural share by more than 1 / KEEP stay short of their targets: copies would meet these, but the
+    stages after the near-duplicates pass on every document once.
+    """
+    return raking.sample(docs, once=True)
 
 
 def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

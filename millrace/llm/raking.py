@@ -3,9 +3,13 @@
 The tokens (words) of the documents are summed up by cell: source x language x topic, each value that the targets do not
 name counted as ``other``. So the table of cells has at most the product of the targets' sizes, whatever the corpus holds,
 and is raked on the driver: every round scales the cells so that one dimension's sums meet its target, until all three do.
-A cell's raked weight over its tokens gives the documents' chance to be kept, scaled so that the expected tokens are the
-wanted share of the corpus (chances end at 1; what that cuts off is spread over the others). A document is kept where a
-hash of its id, text length and source falls below its chance, so a task that is run again decides alike.
+A cell's raked weight over its tokens gives the copies that are expected of each of its documents, scaled so that the
+expected tokens are the wanted share of the corpus. A document of a cell that is short of its target is given more than
+once: as often as the whole part of this number says, and once more where a hash of its id, text length and source falls
+below the rest, so a task that is run again decides alike.
+
+With ``once`` no document is given twice: chances end at 1, what that cuts off is spread over the others, and classes above
+their natural share by more than 1 / ``keep`` stay short of their targets.
 
 Cells are summed per task before the one small shuffle; the decisions are a pass over the rows with the cells as a
 broadcast table of proven size.
@@ -13,8 +17,9 @@ broadcast table of proven size.
 Defined results
     * null or unnamed sources, languages and topics are ``other``; a class without tokens gives its target to the rest;
     * a text without words weighs nothing and has its cell's chance; a corpus without words keeps every row;
-    * rows that repeat each other are all kept or all dropped; no rows give no rows;
-    * the marginals that the targets ask for are met by the raked weights; chances that end at 1 are reported by ``capped``.
+    * rows that repeat each other get as many copies each; no rows give no rows;
+    * the expected tokens meet the marginals that the targets ask for where the cells can; with ``once`` the cells whose
+      chances end at 1 are reported by ``capped``, and :func:`shares` gives what is expected beside what is asked for.
 """
 
 from __future__ import annotations
@@ -114,8 +119,8 @@ def chances(weight: np.ndarray, tokens: np.ndarray, keep: float) -> np.ndarray:
     return np.minimum(1, high * ratio)
 
 
-def cell_table(docs: DataFrame, targets: Targets = TARGETS, keep: float = KEEP) -> list[tuple]:
-    """(source, lang, topic, documents, tokens, raked weight, chance, capped) of each cell that has documents."""
+def cell_table(docs: DataFrame, targets: Targets = TARGETS, keep: float = KEEP, once: bool = False) -> list[tuple]:
+    """(source, lang, topic, documents, tokens, raked weight, copies expected, capped) of each cell that has documents."""
     found = labelled(docs, targets).groupBy("_source", "_lang", "_topic").agg(F.count("*").alias("n"), F.sum("_words").alias("tokens")).collect()
     found.sort(key=lambda r: tuple(r)[:3])
     tokens = np.array([r["tokens"] for r in found], np.float64)
@@ -124,32 +129,50 @@ def cell_table(docs: DataFrame, targets: Targets = TARGETS, keep: float = KEEP)
     names = [sorted({OTHER, *targets.of(d)}) for d in DIMENSIONS]
     cells = np.array([[names[d].index(r[d]) for d in range(3)] for r in found])
     weight = rake(cells, tokens, [np.array([targets.of(d).get(n, 0.0) for n in names[k]]) for k, d in enumerate(DIMENSIONS)])
-    chance = chances(weight, tokens, keep)
+    if once:
+        copies = chances(weight, tokens, keep)
+    else:
+        copies = np.divide(weight * keep * tokens.sum(), tokens, out=np.zeros_like(weight), where=tokens > 0)
     # cells without a word: they weigh nothing, and are kept
-    chance = np.where(tokens > 0, chance, 1.0)
-    return [(*tuple(r)[:3], r["n"], int(r["tokens"]), float(w), float(c), bool(c == 1)) for r, w, c in zip(found, weight, chance, strict=True)]
+    copies = np.where(tokens > 0, copies, 1.0)
+    return [(*tuple(r)[:3], r["n"], int(r["tokens"]), float(w), float(c), once and bool(c == 1)) for r, w, c in zip(found, weight, copies, strict=True)]
+
+
+def shares(cells: list[tuple], targets: Targets = TARGETS) -> list[tuple[str, str, float, float]]:
+    """(dimension, class, share of the expected tokens, target among the classes that have tokens) of a :func:`cell_table`."""
+    total, out = sum(c[4] * c[6] for c in cells), []
+    for k, dimension in enumerate(DIMENSIONS):
+        there = {c[k] for c in cells if c[4]}
+        asked = {n: targets.of(dimension).get(n, 0.0) for n in there}
+        out += [(dimension, n, sum(c[4] * c[6] for c in cells if c[k] == n) / total, asked[n] / sum(asked.values())) for n in sorted(there)]
+    return out
 
 
 _CELL = "_source string, _lang string, _topic string, _documents long, _tokens long, _weight double, _chance double, _capped boolean"
 
 
-def mixed(docs: DataFrame, targets: Targets = TARGETS, keep: float = KEEP, seed: str = SEED, id_col: str = "doc_id") -> DataFrame:
-    """``docs`` with the cell of each row and ``_kept``, the decision on it."""
+def mixed(docs: DataFrame, targets: Targets = TARGETS, keep: float = KEEP, seed: str = SEED, id_col: str = "doc_id", once: bool = False) -> DataFrame:
+    """``docs`` with the cell of each row, ``_chance`` (its expected copies), ``_copies`` and ``_kept``, the decisions on it."""
     spark = docs.sparkSession
-    cells = spark.createDataFrame(cell_table(docs, targets, keep), _CELL)
+    cells = spark.createDataFrame(cell_table(docs, targets, keep, once), _CELL)
     draw = F.md5(F.concat_ws("|", F.lit(seed), F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.coalesce(F.col("source"), F.lit("")), F.length(F.coalesce(F.col("text"), F.lit(""))).cast("string")))
     uniform = F.conv(F.substring(draw, 1, 13), 16, 10).cast("double") / float(16**13)
-    return labelled(docs, targets).join(F.broadcast(cells), ["_source", "_lang", "_topic"], "left").withColumn("_kept", uniform < F.coalesce("_chance", F.lit(1.0)))
+    expected = F.coalesce("_chance", F.lit(1.0))
+    copies = (F.floor(expected) + (uniform < expected - F.floor(expected)).cast("int")).cast("int")
+    out = labelled(docs, targets).join(F.broadcast(cells), ["_source", "_lang", "_topic"], "left").withColumn("_copies", copies)
+    return out.withColumn("_kept", F.col("_copies") > 0)
 
 
 def mix_digest(documents: DataFrame) -> DataFrame:
     rows = mixed(documents.select("doc_id", "text", "source", "lang"))
     return rows.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.col("_source").alias("source_class"), F.col("_lang").alias("lang_class"), F.col("_topic").alias("topic"),
-        F.col("_words").cast("long").alias("n_words"), F.round("_chance", 9).alias("chance"), F.col("_kept").alias("kept"),
+        F.col("_words").cast("long").alias("n_words"), F.round("_chance", 9).alias("chance"), F.col("_kept").alias("kept"), F.col("_copies").alias("copies"),
     )
 
 
-def sample(docs: DataFrame, targets: Targets = TARGETS, keep: float = KEEP, seed: str = SEED) -> DataFrame:
-    """The rows that are kept, with the columns they came with."""
-    return mixed(docs, targets, keep, seed).where("_kept").select(*[F.col(f"`{c}`") for c in docs.columns])
+def sample(docs: DataFrame, targets: Targets = TARGETS, keep: float = KEEP, seed: str = SEED, once: bool = False) -> DataFrame:
+    """The rows that are kept, each as often as its copies say, with the columns they came with."""
+    own = [F.col(f"`{c}`") for c in docs.columns]
+    rows = mixed(docs, targets, keep, seed, once=once).where("_kept")
+    return rows.select(*own) if once else rows.withColumn("_copy", F.explode(F.sequence(F.lit(1), "_copies"))).select(*own)

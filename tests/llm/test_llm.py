@@ -268,3 +268,23 @@ def test_licences_on_lines(spark):
     rows = {r["doc_id"]: r for r in license_rules.licence_digest(docs).collect()}
     assert [rows[i]["licences"] for i in range(len(texts))] == ["MIT", "MIT", "MIT", "CC-BY-NC-4.0", "Apache-2.0", "GPL-3.0", "MIT", "MIT", "", "", "", "MIT", "MIT"]
     assert rows[0]["found"] == "1:spdx,2:spdx-mit" and rows[11]["found"] == "2:mit-short" and rows[12]["found"] == ",".join(["1:mit-short"] * 3000)
+
+
+def test_raked_expected_tokens(spark):
+    """Sources of equal size, one of which the targets want eight times as often: copies make up what it lacks."""
+    texts = ["a b c d", "mail a@b.c now " * 3, "x | y | z", "word " * 310]
+    rows = [(i, texts[i // 80 % 4], ("en", "de", "fr", "es", "it")[i % 5], f"src{i % 16}") for i in range(3200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    cells = raking.cell_table(docs)
+    assert max(c[6] for c in cells) > 1 and all(abs(got - wanted) < 1e-6 for _, _, got, wanted in raking.shares(cells))
+    assert abs(sum(c[4] * c[6] for c in cells) / sum(c[4] for c in cells) - raking.KEEP) < 1e-9
+    expected = {c[:3]: c[6] for c in cells}
+    digest = raking.mix_digest(docs).collect()
+    for r in digest:
+        chance = expected[r["source_class"], r["lang_class"], r["topic"]]
+        assert int(chance) <= r["copies"] <= int(chance) + 1 and r["kept"] == (r["copies"] > 0)
+    got = sum(r["n_words"] * r["copies"] for r in digest if r["source_class"] == "src0") / sum(r["n_words"] * r["copies"] for r in digest)
+    assert abs(got - next(s[3] for s in raking.shares(cells) if s[1] == "src0")) < 0.03
+    given = {r["doc_id"]: r["copies"] for r in digest if r["copies"]}
+    assert {r["doc_id"]: r["count"] for r in raking.sample(docs).groupBy("doc_id").count().collect()} == given
+    assert raking.sample(docs, once=True).groupBy("doc_id").count().where("count > 1").count() == 0
