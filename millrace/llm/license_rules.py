@@ -72,6 +72,56 @@ RULES = (
 )
 
 
+#: The known sentences and rules that came after the SQL twin, which is made of the two lists above.
+MORE_SENTENCES = {
+    "gpl-2-later": "you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 2 of the license or at your option any later version",
+    "gpl-2-only": "you can redistribute it and or modify it under the terms of the gnu general public license version 2 as published by the free software foundation",
+    "gpl-3-only": "you can redistribute it and or modify it under the terms of the gnu general public license version 3 as published by the free software foundation",
+    "lgpl-free": "this library is free software",
+    "lgpl-21-later": "you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation either version 2 1 of the license or at your option any later version",
+    "lgpl-3-later": "you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation either version 3 of the license or at your option any later version",
+    "agpl-3-later": "you can redistribute it and or modify it under the terms of the gnu affero general public license as published by the free software foundation either version 3 of the license or at your option any later version",
+    "mpl-2-form": "this source code form is subject to the terms of the mozilla public license v",
+    "unlicense-free": "this is free and unencumbered software released into the public domain",
+}
+#: The licences of short notices: name of the sentence, licence, and what the notice may call it.
+SHORT = (
+    ("mit-short", "MIT", ("mit", "mit license", "expat license")),
+    ("apache-short", "Apache-2.0", ("apache 2 0", "apache 2 0 license", "apache license 2 0", "apache license v2 0", "apache license version 2 0", "apache software license version 2 0")),
+    ("bsd-2-short", "BSD-2-Clause", ("bsd 2 clause", "bsd 2 clause license", "2 clause bsd license", "simplified bsd license")),
+    ("bsd-3-short", "BSD-3-Clause", ("bsd 3 clause", "bsd 3 clause license", "3 clause bsd license", "new bsd license", "modified bsd license")),
+    ("isc-short", "ISC", ("isc", "isc license")),
+    ("mpl-2-short", "MPL-2.0", ("mpl 2 0", "mozilla public license 2 0", "mozilla public license version 2 0")),
+    ("unlicense-short", "Unlicense", ("unlicense",)),
+    *(
+        (f"{short}-{version[0]}{'1' if ' ' in version else ''}-short", f"{short.upper()}-{licence}", tuple(
+            n.format(v=v) for v in {version, licence.replace(".", " ")} for n in (f"{short} {{v}}", f"{short} v{{v}}", f"{short}v{{v}}", f"gnu {short} v{{v}}", f"gnu {full} {{v}}", f"gnu {full} v{{v}}", f"gnu {full} version {{v}}")))
+        for short, full, version, licence in (
+            ("gpl", "general public license", "2", "2.0"), ("gpl", "general public license", "3", "3.0"), ("lgpl", "lesser general public license", "2 1", "2.1"),
+            ("lgpl", "lesser general public license", "3", "3.0"), ("agpl", "affero general public license", "3", "3.0"))
+    ),
+    *(
+        (f"cc-{kind.replace(' ', '-')}-short" if kind != "by nc" else "cc-nc-short", f"CC-{kind.upper().replace(' ', '-')}-4.0", (f"cc {kind} 4 0", f"creative commons {full} 4 0 international license", f"creative commons {full} 4 0 license"))
+        for kind, full in (("by", "attribution"), ("by sa", "attribution sharealike"), ("by nc", "attribution noncommercial"))
+    ),
+)
+#: The openings of short notices; before them may stand what is licensed, between them and the name "the terms of".
+_SUBJECT = "(?:(?:this|the) (?:[a-z0-9]+ )?(?:project|software|file|work|program|code|library|package|module|repository|document|text|content|data|dataset) (?:is|are) )?"
+_OPENING = _SUBJECT + "(?:dual )?(?:licensed|released|distributed|published|provided|available|made available) under (?:the terms of )?(?:an? |the )?"
+#: SPDX identifiers, normalised, behind "spdx license identifier".
+SPDX = {
+    "spdx-gpl-later": ("GPL-3.0", "gpl 3 0 or later"), "spdx-gpl-3": ("GPL-3.0", "gpl 3 0"), "spdx-gpl-2": ("GPL-2.0", "gpl 2 0"), "spdx-gpl-2-only": ("GPL-2.0", "gpl 2 0 only"), "spdx-gpl-2-later": ("GPL-2.0", "gpl 2 0 or later"),
+    "spdx-lgpl-21-only": ("LGPL-2.1", "lgpl 2 1 only"), "spdx-lgpl-21-later": ("LGPL-2.1", "lgpl 2 1 or later"), "spdx-lgpl-3-only": ("LGPL-3.0", "lgpl 3 0 only"), "spdx-lgpl-3-later": ("LGPL-3.0", "lgpl 3 0 or later"),
+    "spdx-agpl-only": ("AGPL-3.0", "agpl 3 0 only"), "spdx-agpl-later": ("AGPL-3.0", "agpl 3 0 or later"), "spdx-mpl": ("MPL-2.0", "mpl 2 0"), "spdx-unlicense": ("Unlicense", "unlicense"),
+    "spdx-bsd-2": ("BSD-2-Clause", "bsd 2 clause"), "spdx-bsd-3": ("BSD-3-Clause", "bsd 3 clause"), "spdx-isc": ("ISC", "isc"), "spdx-cc-by": ("CC-BY-4.0", "cc by 4 0"), "spdx-cc-by-sa": ("CC-BY-SA-4.0", "cc by sa 4 0"),
+}
+MORE_RULES = (
+    ("GPL-2.0", ("gpl-free", "gpl-2-later")), ("GPL-2.0", ("gpl-free", "gpl-2-only")), ("GPL-3.0", ("gpl-free", "gpl-3-only")), ("LGPL-2.1", ("lgpl-free", "lgpl-21-later")), ("LGPL-3.0", ("lgpl-free", "lgpl-3-later")),
+    ("LGPL-3.0", ("gpl-free", "lgpl-3-later")), ("LGPL-2.1", ("gpl-free", "lgpl-21-later")), ("AGPL-3.0", ("gpl-free", "agpl-3-later")), ("MPL-2.0", ("mpl-2-form",)), ("Unlicense", ("unlicense-free",)),
+    *((licence, (name,)) for name, licence, _ in SHORT if (licence, (name,)) not in RULES), *((licence, ("spdx", name)) for name, (licence, _) in SPDX.items()),
+)
+_ALL = SENTENCES | MORE_SENTENCES | {name: s for name, (_, s) in SPDX.items()}
+
 #: Marks: a line end that ends a sentence, one that does not, and the two sides of a name.
 _ENDS, _GOES_ON, _OPEN, _CLOSE = "\x01", "\x02", "\x03", "\x04"
 
@@ -90,20 +140,26 @@ def sentences(found: Column) -> Column:
     return F.filter(F.transform(F.split(F.translate(found, _ENDS + _GOES_ON, "\n "), "\n"), lambda x: F.trim(x)), lambda x: x != "")
 
 
-def _pattern(known: dict[str, str]) -> str:
-    """Any known sentence between two line or sentence ends; longer ones first."""
-    words = [f"[ {_ENDS}{_GOES_ON}]++".join(s.split(" ")) for s in sorted(known.values(), key=lambda s: (-len(s), s))]
+def _pattern(known: dict[str, str], short: tuple) -> str:
+    """Any known sentence between two line or sentence ends, longer ones first, or a short notice."""
+    blank = f"[ {_ENDS}{_GOES_ON}]++"
+    words = [s.replace(" ", blank) for s in sorted(known.values(), key=lambda s: (-len(s), s))]
+    called = sorted({n for _, _, names in short for n in names}, key=lambda n: (-len(n), n))
+    if called:
+        words.append(f"{_OPENING}(?:{'|'.join(called)})(?: license)?".replace(" ", blank))
     return f"(^|[\\n{_ENDS}{_GOES_ON}]) ?({'|'.join(words)}) ?(?=[\\n{_ENDS}{_GOES_ON}]|\\z)"
 
 
-def _named(found: Column, known: dict[str, str]) -> Column:
+def _named(found: Column, known: dict[str, str], short: tuple) -> Column:
     """The sentences of a marked text, each with the names of the known ones that start in it put before them."""
-    lookup = F.from_json(F.lit(json.dumps({s: name for name, s in known.items()})), "map<string,string>")  # folded to one literal
-    parts = F.split(F.regexp_replace(found, _pattern(known), f"$1{_OPEN}$2{_CLOSE}"), _OPEN)
+    lookup = F.from_json(F.lit(json.dumps({s: name for name, s in known.items()} | {f"under {n}": name for name, _, names in short for n in names})), "map<string,string>")  # folded to one literal
+    parts = F.split(F.regexp_replace(found, _pattern(known, short), f"$1{_OPEN}$2{_CLOSE}"), _OPEN)
 
     def put(part: Column) -> Column:
         sentence = F.substring_index(part, _CLOSE, 1)
-        name = F.try_element_at(lookup, F.regexp_replace(sentence, f"[ {_ENDS}{_GOES_ON}]+", " "))
+        plain = F.regexp_replace(sentence, f"[ {_ENDS}{_GOES_ON}]+", " ")
+        called = F.concat(F.lit("under "), F.regexp_replace(plain, f"^{_OPENING}", ""))
+        name = F.coalesce(F.try_element_at(lookup, plain), F.try_element_at(lookup, called), F.try_element_at(lookup, F.regexp_replace(called, " license$", "")))
         return F.concat(F.lit(_OPEN), name, F.lit(_CLOSE), F.replace(part, F.lit(_CLOSE), F.lit("")))
 
     return sentences(F.concat(parts[0], F.concat_ws("", F.transform(F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0))), put))))
@@ -118,14 +174,15 @@ def _times(found: Column, path: str) -> Column:
     return (F.length(found) - F.length(F.replace(found, F.lit(path), F.lit("")))) / len(path)
 
 
-def scan_licences(docs: DataFrame, text: str = "text", known: dict[str, str] | None = None, rules: tuple = RULES) -> DataFrame:
+def scan_licences(docs: DataFrame, text: str = "text", known: dict[str, str] | None = None, rules: tuple = RULES + MORE_RULES, short: tuple | None = None) -> DataFrame:
     """``docs`` with ``n_sentences``, ``found`` (place in the text, counted in sentences, and identifier) and ``licences``."""
-    known = known or SENTENCES
+    short = short or (() if known else SHORT)
+    known = known or _ALL
     place = F.struct(F.lit(0).alias("place"), F.lit("").alias("sentence"))
     names = lambda s, i: F.transform(F.regexp_extract_all(s, F.lit(f"{_OPEN}([^{_CLOSE}]*){_CLOSE}"), F.lit(1)), lambda n: F.struct((i + 1).alias("place"), n.alias("sentence")))
     out = docs.withColumn("_marked", marked(F.col(text))).withColumn("n_sentences", F.size(sentences(F.col("_marked"))).cast("long"))
     # few texts hold a known sentence: only these are looked at by sentence
-    out = out.withColumn("found", F.when(F.col("_marked").rlike(_pattern(known)), F.flatten(F.transform(_named(F.col("_marked"), known), names))).otherwise(F.slice(F.array(place), 1, 0)))
+    out = out.withColumn("found", F.when(F.col("_marked").rlike(_pattern(known, short)), F.flatten(F.transform(_named(F.col("_marked"), known, short), names))).otherwise(F.slice(F.array(place), 1, 0)))
     out = out.withColumn("_path", F.concat_ws("", F.transform("found", lambda p: F.concat(F.lit("<"), p["sentence"], F.lit(">")))))
     hits = []
     for licence, names in rules:

@@ -288,3 +288,22 @@ def test_raked_expected_tokens(spark):
     given = {r["doc_id"]: r["copies"] for r in digest if r["copies"]}
     assert {r["doc_id"]: r["count"] for r in raking.sample(docs).groupBy("doc_id").count().collect()} == given
     assert raking.sample(docs, once=True).groupBy("doc_id").count().where("count > 1").count() == 0
+
+
+def test_licences_by_wording(spark):
+    free = "{} is free software; you can redistribute it and/or modify\n{}it under the terms of the GNU {}General Public License as published by\n{}the Free Software Foundation; either version {} of the License, or\n{}(at your option) any later version.\n"
+    header = lambda what, kind, version, lead: lead + free.format(what, lead, kind, lead, version, lead).replace("Foundation; either", "Foundation, either")
+    mit = " * ".join(["", *(f"{line}\n" for line in (
+        "Permission is hereby granted, free of charge, to any person obtaining a copy", "of this software and associated documentation files (the \"Software\"), to deal", "in the Software without restriction, including without limitation the rights",
+        "to use, copy, modify, merge, publish, distribute, sublicense, and/or sell", "copies of the Software, and to permit persons to whom the Software is", "furnished to do so, subject to the following conditions:", "",
+        "The above copyright notice and this permission notice shall be included in all", "copies or substantial portions of the Software."))])
+    texts = {
+        "This project is licensed under the MIT License.": "MIT", "Licensed under the MIT License": "MIT", "# This software is released under the terms of the\n# Apache License, Version 2.0\nimport x": "Apache-2.0", "/*\n" + mit + " */\nint x;": "MIT",
+        header("This program", "", "2", "# "): "GPL-2.0", header("This program", "", "3", " * "): "GPL-3.0", header("This library", "Lesser ", "2.1", "// "): "LGPL-2.1", header("This program", "Affero ", "3", "    "): "AGPL-3.0",
+        "// This Source Code Form is subject to the terms of the Mozilla Public\n// License, v. 2.0. If a copy": "MPL-2.0", "This is free and unencumbered software released into the public domain.": "Unlicense",
+        "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.": "CC-BY-SA-4.0", "Licensed under CC BY 4.0": "CC-BY-4.0", "Licensed under CC BY-NC 4.0.": "CC-BY-NC-4.0", "The code is distributed under the GNU GPL v3.": "GPL-3.0",
+        "SPDX-License-Identifier: LGPL-3.0-or-later": "LGPL-3.0", "This file is licensed under the GNU General Public License version 2.": "GPL-2.0", "Licensed under the Foo License": "", "We asked if it is licensed under the MIT License.": "",
+    }
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = {r["doc_id"]: r["licences"] for r in license_rules.licence_digest(docs).collect()}
+    assert [(t, rows[i]) for i, t in enumerate(texts)] == list(texts.items())
