@@ -32,6 +32,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from millrace.llm import bytescan
 from millrace.session import checkpointed
@@ -239,6 +240,11 @@ def _in_blocks(members: DataFrame, nodes: DataFrame, documents: DataFrame, id_co
 
 def near_duplicates(documents: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """For each row: doc_id, n_shingles, component_id and kept (it is its component's smallest id)."""
+    return _judged(documents, id_col, text).drop("node", "part")
+
+
+def _judged(documents: DataFrame, id_col: str, text: str) -> DataFrame:
+    """:func:`near_duplicates` with the fingerprint of the row's set and that of its component."""
     base = checkpointed(fingerprints(documents, id_col, text))
     nodes = checkpointed(
         base.where("node is not null and doc_id is not null").groupBy("node").agg(F.min("doc_id").alias("doc_id"), *(F.first(c).alias(c) for c in ("n_shingles", *SIGNATURE, "bands")))
@@ -264,27 +270,47 @@ def near_duplicates(documents: DataFrame, id_col: str = "doc_id", text: str = "t
 
     named = labels.join(nodes.select("node", "doc_id"), "node")
     lowest = named.groupBy("label").agg(F.min("doc_id").alias("lowest"))
-    owner = nodes.select("node", "doc_id").join(named.join(lowest, "label").select("node", "lowest"), "node", "left").select("node", F.coalesce("lowest", "doc_id").alias("lowest"))
+    owner = nodes.select("node", "doc_id").join(named.join(lowest, "label").select("node", "lowest", "label"), "node", "left")
+    owner = owner.select("node", F.coalesce("lowest", "doc_id").alias("lowest"), F.coalesce("label", "node").alias("part"))
     out = base.select("doc_id", "n_shingles", "node").join(owner, "node", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("lowest", "doc_id"))
-    return out.select("doc_id", "n_shingles", component.alias("component_id")).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    return out.select("doc_id", "n_shingles", component.alias("component_id"), "node", "part").withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
+def _with_node(docs: DataFrame, text: str) -> DataFrame:
+    """``docs`` with the set fingerprint of each row."""
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part, data, offsets in bytescan.steps(batch, text):
+                key = pa.array([set_key(s) if len(s) else None for s in shingle_sets(data, offsets)], pa.int64())
+                yield pa.RecordBatch.from_arrays([*part.columns, key], names=[*part.schema.names, "_node"])
+        bytescan.rest()
+
+    return docs.mapInArrow(scan, StructType([*docs.schema.fields, StructField("_node", LongType())]))
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs`` whose id is the smallest of its component, each id once per component; all columns are kept.
 
-    Rows with an empty set or a null id are linked with nothing and stay.
+    Rows with an empty set or a null id are linked with nothing and stay. Of several rows of a component with its smallest
+    id the one with the smallest text stays, then the one whose other columns come first as JSON.
     """
-    judged = checkpointed(near_duplicates(docs, id_col, text))
+    judged = checkpointed(_judged(docs, id_col, text))
     linked = judged.where("doc_id is not null and n_shingles > 0")
     many = linked.groupBy("doc_id").agg(F.count("*").alias("_n"), F.max(F.col("kept").cast("int")).alias("_best"))
     gone = _sent(checkpointed(many.where("_best = 0").select(F.col("doc_id").alias("_gone"))))
-    left = docs.join(gone, F.col(id_col).cast("long") == F.col("_gone"), "left_anti")
+    blank = F.length(F.regexp_replace(F.coalesce(F.col(text), F.lit("")), "[\\x20\\x09-\\x0D]+", "")) == 0
+    left = docs.join(gone, (F.col(id_col).cast("long") == F.col("_gone")) & ~blank, "left_anti")
     repeated = many.where("_best = 1 and _n > 1").select(F.col("doc_id").alias("_again"))
     if repeated.limit(1).count() == 0:
         return left
     once = left.join(repeated, F.col(id_col).cast("long") == F.col("_again"), "left_anti")
-    # ids given to several rows: judge their rows, of which equal texts and links leave one each
+    # ids given to several rows: each row is judged by its own set, and equal texts and links leave one each
     again = left.join(repeated, F.col(id_col).cast("long") == F.col("_again"), "left_semi")
-    blank = F.length(F.regexp_replace(F.coalesce(F.col(text), F.lit("")), "[\\x20\\x09-\\x0D]+", "")) == 0
-    return once.unionByName(again.where(~blank).dropDuplicates([id_col])).unionByName(again.where(blank))
+    own = [F.col(f"`{c}`") for c in docs.columns]
+    best = linked.where("kept").join(repeated, F.col("doc_id") == F.col("_again"), "left_semi").select(F.col("doc_id").alias("_id"), F.col("node").alias("_set"), F.col("part").alias("_part")).distinct()
+    rows = _with_node(again.where(~blank), text).join(best, (F.col(id_col).cast("long") == F.col("_id")) & (F.col("_node") == F.col("_set")))
+    order = F.struct(F.col(text), F.to_json(F.struct(*own), {"ignoreNullFields": "false"}))
+    first = rows.groupBy("_id", "_part").agg(F.min_by(F.struct(*own), order).alias("_row")).select("_row.*")
+    return once.unionByName(first).unionByName(again.where(blank))

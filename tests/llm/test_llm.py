@@ -307,3 +307,11 @@ def test_licences_by_wording(spark):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     rows = {r["doc_id"]: r["licences"] for r in license_rules.licence_digest(docs).collect()}
     assert [(t, rows[i]) for i, t in enumerate(texts)] == list(texts.items())
+
+
+def test_keep_one_ids_with_other_texts(spark):
+    a, b, c, near = "one two three four five six", "red green blue black white grey", "uno dos tres cuatro cinco seis", " ".join(f"w{i}" for i in range(80))
+    rows = [(3, a, 0), (9, a, 0), (9, b, 0), (9, b, 1), (9, "", 0), (11, c, 0), (11, near, 0), (11, f"{near} w80", 0), (12, near, 0), (12, " ", 5)]
+    for parts in (1, 4):
+        kept = minhash_dedup.keep_one(spark.createDataFrame(rows, "doc_id long, text string, n int").repartition(parts))
+        assert sorted(tuple(r) for r in kept.collect()) == sorted([(3, a, 0), (9, b, 0), (9, "", 0), (11, c, 0), (11, near, 0), (12, " ", 5)])
