@@ -28,6 +28,15 @@ _HIDDEN = r"(?is)<(?:(script|style|noscript|template|title)\b[^<>]*+>.*?(?:</\1\
 _BREAKS = r"(?i)</?(?:p|div|br|hr|li|ul|ol|dl|dt|dd|h[1-6]|tr|td|th|table|article|section|nav|header|footer|aside|main|form|pre|blockquote|body|html|head)\b[^<>]*+>"
 
 
+def _attribute(tag: str, name: str) -> str:
+    """An attribute of a tag; its group is the value as it stands: in double quotes, in single quotes or bare."""
+    return rf"""(?i)<{tag}\s(?:[^<>]*?[\s"'/:])??{name}\s*+=\s*+("[^"<>]*"|'[^'<>]*'|[^\s"'<>]++)"""
+
+
+def _unquoted(value: Column) -> Column:
+    return F.when(value.startswith('"') | value.startswith("'"), F.substring(value, 2, F.length(value) - 2)).otherwise(value)
+
+
 def _text(value: Column) -> Column:
     return F.coalesce(value.cast("string"), F.lit(""))
 
@@ -95,11 +104,11 @@ def derivatives(found: DataFrame) -> DataFrame:
     """
     body = F.concat("http_headers", F.lit(CRLF * 2), "payload")
     title = _tidy(_entities(F.regexp_extract("payload", r"(?is)<title\b[^<>]*+>(.*?)</title\s*>", 1)))
-    links = F.array_distinct(F.regexp_extract_all("payload", F.lit(r"(?i)<a\s[^<>]*?href=\"([^\"<>]*)\""), F.lit(1)))
+    links = F.array_distinct(F.transform(F.regexp_extract_all("payload", F.lit(_attribute("a", "href")), F.lit(1)), _unquoted))
     # step by step, so that no step is worked out once for every mention of it
     seen = found.withColumn("text", _visible(F.col("payload"))).withColumn("text", _entities(F.col("text"))).withColumns({
         "payload_digest": _sha(F.col("payload")), "source_digest": _sha(body), "text": _tidy(F.col("text")), "title": title,
-        "language": F.regexp_extract("payload", r"(?i)<html\b[^<>]*?\blang=\"([^\"]*)\"", 1), "links": links,
+        "language": _unquoted(F.regexp_extract("payload", _attribute("html", "lang"), 1)), "links": links,
         "metadata_id": _record_id(F.lit("metadata"), F.col("record_id")), "conversion_id": _record_id(F.lit("conversion"), F.col("record_id")),
     })
     fields = F.concat_ws(

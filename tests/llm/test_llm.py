@@ -315,3 +315,12 @@ def test_keep_one_ids_with_other_texts(spark):
     for parts in (1, 4):
         kept = minhash_dedup.keep_one(spark.createDataFrame(rows, "doc_id long, text string, n int").repartition(parts))
         assert sorted(tuple(r) for r in kept.collect()) == sorted([(3, a, 0), (9, b, 0), (9, "", 0), (11, c, 0), (11, near, 0), (12, " ", 5)])
+
+
+def test_warc_attribute_quotes(spark):
+    links = "<a href='/one'>1</a><a class=x href=/two>2</a><A title=\"t\" HREF = \"/three\">3</A><a\nhref= '/it\"s'>4</a><a href=\"/o'clock'\">5</a><a data-href=/no>6</a><a href=''>7</a><abbr href=/no>8</abbr><a href='/one'>9</a>"
+    pages = spark.createDataFrame([(i, "u", f"<html class='c' {lang}>{links}") for i, lang in enumerate(("lang='x'", "lang=x", "lang = \"x\"", "LANG= 'x'", "xml:lang='y'"))], "page_id long, url string, html string")
+    blocks = {r["page_id"]: r["block"].split("\r\n") for r in warc_derivatives.page_derivatives(pages).where("record_type = 'metadata'").collect()}
+    for i, block in blocks.items():
+        assert [x for x in block if x.startswith("outlink: ")] == [f"outlink: {u}" for u in ("/one", "/two", "/three", "/it\"s", "/o'clock'", "")]
+        assert [x for x in block if x.startswith("language: ")] == [f"language: {'x' if i < 4 else 'y'}"]
