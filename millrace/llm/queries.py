@@ -7,7 +7,10 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import ball_tree, byte_bpe, byte_cnn, language_mixture, license_rules, minhash_dedup, quality_rules, raking, sql_twins, url_rules, warc_derivatives
+from millrace.llm import (
+    ball_tree, byte_bpe, byte_cnn, conversation_repair, language_mixture, license_rules, minhash_dedup, packing, quality_rules, raking, source_audit, sql_twins,
+    url_rules, warc_derivatives,
+)
 from millrace.registry import Tables
 
 
@@ -52,11 +55,24 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality_rules.rules_digest(Tables(spark, folder).documents)
 
 
+def op11_source_audit(spark: SparkSession, folder: str) -> DataFrame:
+    return source_audit.audit(Tables(spark, folder).documents)
+
+
+def op12_sum_of_squares_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.packing_digest(Tables(spark, folder).documents, public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def op13_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    return conversation_repair.repair_digest(Tables(spark, folder).conversations)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_minhash_near_dedup, op2_license_sentence_rules, op3_ball_tree_top_k, op4_url_pattern_rules, op5_warc_derivatives,
-        op6_byte_cnn_quality, op7_byte_bpe, op8_language_mixture, op9_raked_mix, op10_quality_rules,
+        op6_byte_cnn_quality, op7_byte_bpe, op8_language_mixture, op9_raked_mix, op10_quality_rules, op11_source_audit,
+        op12_sum_of_squares_packing, op13_conversation_repair,
     )
 }
 SQL: dict[str, str] = sql_twins.SQL

@@ -74,6 +74,28 @@ SELECT page_id, host, path, rule, CASE WHEN rule IN ('com/', 'www.example.com/en
 FROM m
 """
 
+OP11 = rf"""
+WITH d AS (SELECT row_number() OVER () AS rid, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+  regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+t AS (SELECT rid, lang, source, unnest(w) AS term FROM d),
+k AS (SELECT lang, term, count(*) AS everywhere FROM t GROUP BY ALL HAVING count(DISTINCT rid) >= 30),
+c AS (SELECT lang, source, term, count(*) AS n FROM t SEMI JOIN k USING (lang, term) GROUP BY ALL),
+g AS (SELECT DISTINCT lang, source FROM d),
+v AS (SELECT lang, count(*) AS v, sum(everywhere) AS total FROM k GROUP BY ALL),
+o AS (SELECT lang, source, sum(n) AS own FROM c GROUP BY ALL),
+p AS (SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n,
+    1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 5)) // (coalesce(own, 0) + 5 * v)::HUGEINT AS p,
+    1 + (1000000000::HUGEINT * (everywhere + 5)) // (total + 5 * v)::HUGEINT AS q
+  FROM g JOIN k USING (lang) JOIN v USING (lang) LEFT JOIN o ON o.lang = g.lang AND o.source = g.source
+  LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+s AS (SELECT x.lang, x.source, y.source AS item, sum(abs(x.p - y.p)) AS f FROM p x JOIN p y ON x.lang = y.lang AND x.term = y.term AND x.source <> y.source GROUP BY ALL),
+a AS (SELECT x.lang, x.source, 'pair' AS part, y.source AS item, coalesce(f, 0)::BIGINT AS value FROM g x JOIN g y ON x.lang = y.lang AND x.source <> y.source
+    LEFT JOIN s ON s.lang = x.lang AND s.source = x.source AND s.item = y.source
+  UNION ALL SELECT lang, source, 'term', term, (p - q)::BIGINT FROM p WHERE n > 0 AND p > q)
+SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INTEGER AS rank FROM a QUALIFY part = 'pair' OR rank <= 50
+"""
+
+
 def _text(value: str) -> str:
     return "'" + value.replace("'", "''") + "'"
 
@@ -98,4 +120,4 @@ SELECT doc_id, n_sentences, coalesce(found, '') AS found, array_to_string(list_s
 FROM e
 """
 
-SQL = {"op1_minhash_near_dedup": OP1, "op2_license_sentence_rules": OP2, "op3_ball_tree_top_k": OP3, "op4_url_pattern_rules": OP4, "op10_quality_rules": OP10}
+SQL = {"op1_minhash_near_dedup": OP1, "op2_license_sentence_rules": OP2, "op3_ball_tree_top_k": OP3, "op4_url_pattern_rules": OP4, "op10_quality_rules": OP10, "op11_source_audit": OP11}
