@@ -7,7 +7,7 @@ low, so the path is taken at every size; slices are more than the tasks in some
 from pyspark.sql import functions as F
 
 from millrace.functions.times import epoch_micros
-from millrace.operators import windows as ow
+from millrace.operators import patterns, windows as ow
 from millrace.registry import query
 
 MIN_ROWS = 200
@@ -129,6 +129,21 @@ def hot_matchpath(t):
     return out.select("user_id", "start_pos", "end_pos", "size", "ids", (F.col("far_sum") == float("inf")).alias("endless"))
 
 
+@query("hot_matchpath_groups", f"""
+WITH {EVENTS}, l AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS pos,
+  CASE WHEN v > 50 THEN 'H' WHEN event_type = 'click' THEN 'C' WHEN event_type = 'view' THEN 'V' ELSE '-' END AS letter FROM e),
+s AS (SELECT user_id, string_agg(letter, '' ORDER BY pos) AS path FROM l GROUP BY ALL),
+m AS (SELECT l.*, length(regexp_extract(substr(path, pos::BIGINT, 2000), '^((V|C)+(H(V|C)*)+H)')) AS size FROM l JOIN s USING (user_id)),
+u AS (SELECT user_id, pos, event_id, sum(event_id) OVER (PARTITION BY user_id ORDER BY pos) AS upto FROM l)
+SELECT m.user_id, m.pos AS start_pos, m.pos + m.size - 1 AS end_pos, m.size, (z.upto - a.upto + a.event_id)::BIGINT AS ids
+FROM m JOIN u a ON a.user_id = m.user_id AND a.pos = m.pos JOIN u z ON z.user_id = m.user_id AND z.pos = m.pos + m.size - 1 WHERE m.size > 0""")
+def hot_matchpath_groups(t):
+    """A group repeated inside a group, over a key that is cut into many slices, shorter than its longest matches."""
+    kind, high = F.col("event_type"), F.coalesce(F.col("v") > 50, F.lit(False))
+    symbols = {"HIGH": high, "CLICK": ~high & (kind == "click"), "VIEW": ~high & (kind == "view")}
+    return patterns.match_groups(events(t), BY, ORDER, symbols, "(VIEW|CLICK)+.(HIGH.(VIEW|CLICK)*)+.HIGH", sums={"ids": F.col("event_id")}, min_rows=MIN_ROWS, slice_rows=7)
+
+
 @query("hot_percentiles", " UNION ALL ".join(f"""
 SELECT l_returnflag, {p}::DOUBLE AS point, round(quantile_cont(l_extendedprice, {p}), 4) AS pct FROM lineitem GROUP BY l_returnflag""" for p in POINTS))
 def hot_percentiles(t):

@@ -4,7 +4,7 @@ import pandas as pd
 from pyspark.sql import Window, functions as F
 
 from millrace.functions.times import epoch_micros
-from millrace.operators import windows as ow
+from millrace.operators import patterns, windows as ow
 from millrace.registry import query
 
 
@@ -172,11 +172,51 @@ def win_matchpath(t):
     return ow.match_path(events(t), ["user_id"], ["ts", "event_id"], {"BIG": F.col("value") > 20}, "BIG.BIG+")
 
 
-@query("win_matchpath_mixed")
+LETTERS = """l AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS pos FROM events),
+s AS (SELECT user_id, string_agg({letter}, '' ORDER BY pos) AS path FROM l GROUP BY ALL),
+m AS (SELECT l.*, length(regexp_extract(substr(path, pos::BIGINT), '^({pattern})')) AS size FROM l JOIN s USING (user_id))"""
+
+
+@query("win_matchpath_mixed", f"""
+WITH {LETTERS.format(letter="CASE event_type WHEN 'view' THEN 'v' WHEN 'click' THEN 'c' WHEN 'purchase' THEN 'p' ELSE '-' END", pattern="vc*p")}
+SELECT m.user_id, m.pos AS start_pos, m.pos + m.size - 1 AS end_pos, m.size, round(sum(l.value), 4) AS total
+FROM m JOIN l ON l.user_id = m.user_id AND l.pos BETWEEN m.pos AND m.pos + m.size - 1 WHERE m.size > 0 GROUP BY ALL""")
 def win_matchpath_mixed(t):
     """A view, any number of clicks, then a purchase, with the summed value of the matched rows."""
     kinds = {n.upper(): F.col("event_type") == n for n in ("view", "click", "purchase")}
-    return ow.match_path(events(t), ["user_id"], ["ts", "event_id"], kinds, "VIEW.CLICK*.PURCHASE", {"total": F.col("value")})
+    out = ow.match_path(events(t), ["user_id"], ["ts", "event_id"], kinds, "VIEW.CLICK*.PURCHASE", {"total": F.col("value")})
+    return out.withColumn("total", F.round("total", 4))
+
+
+def symbols():
+    """A small or large view, a click, a purchase; whatever else holds none of them."""
+    kind, large = F.col("event_type"), F.col("value") > 20
+    return {"SMALL": (kind == "view") & ~large, "LARGE": (kind == "view") & large, "CLICK": kind == "click", "BUY": kind == "purchase"}
+
+
+LETTER = "CASE event_type WHEN 'view' THEN CASE WHEN value > 20 THEN 'L' ELSE 'S' END WHEN 'click' THEN 'C' WHEN 'purchase' THEN 'B' ELSE '-' END"
+
+
+@query("win_matchpath_groups", f"""
+WITH {LETTERS.format(letter=LETTER, pattern="(S|L)+(C(B|L)?)*(B|C)")}
+SELECT m.user_id, m.pos AS start_pos, m.pos + m.size - 1 AS end_pos, m.size, m.event_id AS start_id, round(sum(l.value), 4) AS total
+FROM m JOIN l ON l.user_id = m.user_id AND l.pos BETWEEN m.pos AND m.pos + m.size - 1 WHERE m.size > 0 GROUP BY ALL""")
+def win_matchpath_groups(t):
+    """Alternatives, a group in a group and nested repetition; the longest match from each row."""
+    out = patterns.match_groups(events(t), ["user_id"], ["ts", "event_id"], symbols(), "(SMALL|LARGE)+.(CLICK.(BUY|LARGE)?)*.(BUY|CLICK)", {"start_id": F.col("event_id")}, {"total": F.col("value")})
+    return out.withColumn("total", F.round("total", 4))
+
+
+@query("win_matchpath_paths", f"""
+WITH {LETTERS.format(letter=LETTER, pattern="(L|S)(L|S|C)*B+")}
+SELECT m.user_id, m.pos AS start_pos, (l.pos - m.pos) // 3 AS chunk, string_agg(l.event_id::VARCHAR, ',' ORDER BY l.pos) AS ids
+FROM m JOIN l ON l.user_id = m.user_id AND l.pos BETWEEN m.pos AND m.pos + m.size - 1 WHERE m.size > 0 GROUP BY ALL""")
+def win_matchpath_paths(t):
+    """The path of each match, in arrays of three rows."""
+    found = patterns.match_groups(events(t), ["user_id"], ["ts", "event_id"], symbols(), "(LARGE|SMALL).(LARGE|SMALL|CLICK)*.BUY+")
+    paths = patterns.path_rows(events(t), found, ["user_id"], ["ts", "event_id"], {"event_id": F.col("event_id")})
+    chunks = patterns.path_chunks(paths, ["user_id"], ["event_id"], 3)
+    return chunks.select("user_id", "start_pos", "chunk", F.array_join(F.col("tpath.event_id").cast("array<string>"), ",").alias("ids"))
 
 
 @query("win_sliding", """

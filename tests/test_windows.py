@@ -189,3 +189,46 @@ def test_infinite_values_stay_in_their_frames(spark):
     plain = ow.range_frame(df, ["k"], "at", 3, 1, {"s": F.col("x")})
     hot = ow.range_frame(df, ["k"], "at", 3, 1, {"s": F.col("x")}, min_rows=10, slices=7)
     assert sorted(map(repr, plain.collect())) == sorted(map(repr, hot.collect()))
+
+
+def longest(pattern, names, rows):
+    """The furthest end of a match from each row, by trying every end with a regular expression over one symbol per row at a time."""
+    import itertools
+    import re
+
+    letters = {n: chr(97 + k) for k, n in enumerate(names)}
+    expression = re.compile(re.sub(r"\w+", lambda m: letters[m.group()], pattern).replace(".", ""))
+    for i in range(len(rows)):
+        ends = [e for e in range(i + 1, len(rows) + 1) if any(expression.fullmatch("".join(x)) for x in itertools.product(*([letters[n] for n in names if n in r] for r in rows[i:e])))]
+        if ends:
+            yield i, max(ends)
+
+
+@pytest.mark.parametrize("slice_rows, pattern", [(1, "(A|B.A)+.B?"), (4, "((A.B?)+.A|B)*.B.A"), (50_000, "A.A+"), (3, "A*.B+|A.A.A"), (50_000, "A?")])
+def test_match_groups(spark, pattern, slice_rows):
+    import random
+
+    from millrace.operators import patterns
+
+    r = random.Random(slice_rows)
+    kinds = [{"A"}, {"B"}, {"A", "B"}, set(), {"A"}]
+    held = {k: [r.choice(kinds) for _ in range(n)] for k, n in ((None, 9), (1, 8), (2, 1), (3, 10))}
+    rows = [(k, i, "A" in x or None, "B" in x, f"{k}:{i}") for k, xs in held.items() for i, x in enumerate(xs)]
+    df = spark.createDataFrame(rows, "k int, at int, a boolean, b boolean, name string")
+    want = sorted(repr((k, i + 1, e, f"{k}:{i}", sum(range(i, e)))) for k, xs in held.items() for i, e in longest(pattern, ["A", "B"], xs))
+    got = patterns.match_groups(df, ["k"], ["at"], {"A": F.col("a"), "B": F.col("b")}, pattern, {"name": F.col("name")}, {"total": F.col("at")}, 5, slice_rows)
+    assert sorted(repr((x.k, x.start_pos, x.end_pos, x.name, x.total)) for x in got.collect()) == want
+    if slice_rows == 1:
+        return
+    paths = patterns.path_chunks(patterns.path_rows(df, got, ["k"], ["at"], {"at": F.col("at"), "a": F.col("a")}), ["k"], ["at", "a"], 3).collect()
+    assert sorted(repr((x.k, x.start_pos, x.chunk, [tuple(p) for p in x.tpath])) for x in paths) == sorted(
+        repr((k, i + 1, c, [(p, "A" in xs[p] or None) for p in range(i + 3 * c, min(e, i + 3 * c + 3))])) for k, xs in held.items() for i, e in longest(pattern, ["A", "B"], xs) for c in range(-(-(e - i) // 3)))
+    assert patterns.match_groups(df.limit(0), ["k"], ["at"], {"A": F.col("a"), "B": F.col("b")}, pattern).collect() == []
+
+
+def test_match_groups_bad_patterns():
+    from millrace.operators.patterns import Pattern
+
+    for bad in ("", "(A", "A.", "A B", "A)", "+A", "A|", "A&B"):
+        with pytest.raises(ValueError):
+            Pattern(bad)
