@@ -7,7 +7,7 @@ low, so the path is taken at every size; slices are more than the tasks in some
 from pyspark.sql import functions as F
 
 from millrace.functions.times import epoch_micros
-from millrace.operators import patterns, windows as ow
+from millrace.operators import patterns, sequences, windows as ow
 from millrace.registry import query
 
 MIN_ROWS = 200
@@ -144,6 +144,16 @@ def hot_matchpath_groups(t):
     return patterns.match_groups(events(t), BY, ORDER, symbols, "(VIEW|CLICK)+.(HIGH.(VIEW|CLICK)*)+.HIGH", sums={"ids": F.col("event_id")}, min_rows=MIN_ROWS, slice_rows=7)
 
 
+@query("hot_prefix_span", f"""
+WITH {EVENTS}, p AS (SELECT user_id AS u, event_type AS k, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS pos FROM e),
+one AS (SELECT u, k AS pattern, min(pos) AS pos FROM p GROUP BY u, k),
+two AS (SELECT p.u, pattern || '>' || k AS pattern, min(p.pos) AS pos FROM one JOIN p ON p.u = one.u AND p.pos > one.pos GROUP BY ALL)
+SELECT pattern, count(*) AS freq FROM (SELECT * FROM one UNION ALL SELECT * FROM two) GROUP BY pattern HAVING count(*) >= ceil(0.2 * (SELECT count(DISTINCT u) FROM p))""")
+def hot_prefix_span(t):
+    found = sequences.prefix_span(events(t), "user_id", F.struct("ts", "event_id"), F.col("event_type"), 0.2, 2, MIN_ROWS)
+    return found.select(F.array_join(F.flatten("sequence"), ">").alias("pattern"), "freq")
+
+
 @query("hot_percentiles", " UNION ALL ".join(f"""
 SELECT l_returnflag, {p}::DOUBLE AS point, round(quantile_cont(l_extendedprice, {p}), 4) AS pct FROM lineitem GROUP BY l_returnflag""" for p in POINTS))
 def hot_percentiles(t):

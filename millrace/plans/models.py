@@ -4,7 +4,7 @@ from pyspark.ml import classification as mc, clustering as mk, evaluation as me,
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
-from millrace.operators import features as of, models as om, windows as ow
+from millrace.operators import features as of, models as om, sequences
 from millrace.registry import query
 
 WIDTH = 64  # of the embeddings
@@ -175,18 +175,25 @@ three AS (SELECT p.u, pattern || '>' || k AS pattern, min(p.pos) AS pos FROM two
 SELECT pattern, count(*) AS freq FROM (SELECT * FROM one UNION ALL SELECT * FROM two UNION ALL SELECT * FROM three) GROUP BY pattern
 HAVING count(*) >= ceil(0.4 * (SELECT count(DISTINCT u) FROM p))""")
 def ml_prefix_span(t):
-    """One sequence per user, whole. The library takes a sequence as one cell, so runs of a kind are cut to three events
-    first, which leaves every pattern of up to three as it is.
-    """
-    runs = ow.runs(t.events.select("user_id", "ts", "event_id", "event_type"), ["user_id"], ["ts", "event_id"], "event_type")
-    longest = 3
-    places = runs.groupBy("user_id").agg(F.sort_array(F.collect_list(F.struct("run", "event_type", F.least("length", F.lit(longest)).alias("n")))).alias("runs"))
-    kinds = F.flatten(F.transform("runs", lambda r: F.array_repeat(F.array(r["event_type"]), r["n"].cast("int"))))
-    seqs = places.select(kinds.alias("sequence"))
-    found = fpm.PrefixSpan(minSupport=0.4, maxPatternLength=longest).findFrequentSequentialPatterns(seqs)
+    """One sequence per user, of single events."""
+    found = sequences.prefix_span(t.events, "user_id", F.struct("ts", "event_id"), F.col("event_type"), 0.4, 3)
     return found.select(F.array_join(F.flatten("sequence"), ">").alias("pattern"), "freq")
 
 
+@query("ml_prefix_span_sets", """
+WITH i AS (SELECT DISTINCT o_custkey AS c, o_orderkey AS o, l_linenumber % 4 AS x FROM orders JOIN lineitem ON l_orderkey = o_orderkey),
+one AS (SELECT c, x, min(o) AS f FROM i GROUP BY ALL),
+wide AS (SELECT a.c, a.x, b.x AS y, min(a.o) AS f FROM i a JOIN i b ON a.c = b.c AND a.o = b.o AND a.x < b.x GROUP BY ALL),
+apart AS (SELECT DISTINCT one.c, one.x, i.x AS y FROM one JOIN i ON i.c = one.c AND i.o > one.f),
+p AS (SELECT c, x::VARCHAR AS pattern FROM one UNION ALL SELECT c, x || ',' || y FROM wide UNION ALL SELECT c, x || '>' || y FROM apart)
+SELECT pattern, count(*) AS freq FROM p GROUP BY pattern HAVING count(*) >= ceil(0.3 * (SELECT count(DISTINCT c) FROM i))""")
+def ml_prefix_span_sets(t):
+    """One sequence per customer, of orders as sets of items; patterns of two items, in one set or in two."""
+    items = t.orders.join(t.lineitem, F.col("l_orderkey") == F.col("o_orderkey"))
+    found = sequences.prefix_span(items, "o_custkey", F.col("o_orderkey"), F.col("l_linenumber") % 4, 0.3, 2)
+    return found.select(F.array_join(F.transform("sequence", lambda s: F.array_join(s.cast("array<string>"), ",")), ">").alias("pattern"), "freq")
+
+
 @query("ml_als")
 def ml_als(t):
     ratings = t.lineitem.groupBy(F.col("l_suppkey").cast("int").alias("s"), F.col("l_partkey").cast("int").alias("p")).agg(F.sum("l_quantity").alias("q"))
