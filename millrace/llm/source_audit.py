@@ -37,7 +37,7 @@ from millrace.session import checkpointed, task_slots
 
 SCALE = 1_000_000_000
 #: distinct (language, source, term) that a task holds before it hands on their counts
-HELD_TERMS = 200_000
+HELD_TERMS = 500_000
 #: items of the rows that one tree is built from
 TREE_ITEMS = 200_000
 
@@ -57,11 +57,11 @@ def term_counts(documents: DataFrame) -> DataFrame:
         held, size = defaultdict(lambda: (Counter(), Counter())), 0
         for batch in batches:
             for lang, source, text in zip(*(c.to_pylist() for c in batch.columns)):
-                found = Counter(_TERM.findall(text.lower()))  # of bytes, lower() changes A to Z alone
+                found = _TERM.findall(text.lower())  # of bytes, lower() changes A to Z alone
                 times, docs = held[lang, source]
                 size -= len(times)
                 times.update(found)
-                docs.update(found.keys())
+                docs.update(set(found))
                 size += len(times)
                 if size > HELD_TERMS:
                     yield emit(held)
@@ -81,75 +81,66 @@ def share(count, total, terms, smoothing: int):
     return F.lit(1).cast("long") + F.call_function("div", top, below.cast("decimal(20,0)"))
 
 
-def tree_corrections(rows: list[list[dict]], times: list[int]) -> Iterator[tuple[str, str, int]]:
-    """For two sources: the sum over all rows that hold both of what their pair adds to the corrections of each alone.
+def tree_corrections(offsets: np.ndarray, group: np.ndarray, source: np.ndarray, n: np.ndarray, p: np.ndarray, z: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, ...]:
+    """For two sources of a language: the sum over all rows that hold both of what their pair adds to the corrections of each alone.
 
-    A row is a list of ``source``, ``n``, ``p`` (its share of the term) and ``z`` (its share of a term that it lacks), in the
-    order of the sources; rows that begin alike must follow each other.
+    Row i, of language ``group[i]`` and multiplicity ``times[i]``, has the items ``offsets[i]`` up to ``offsets[i + 1]``, in the
+    order of the sources; ``p`` is a source's share of the term, ``z`` its share of a term that it lacks. No row is empty, and
+    rows that begin alike follow each other. Returns language, source above, source below and sum.
     """
-    names: dict[str, int] = {}
-    parent, source, p, z, weight = [], [], [], [], []
-    path: list[int] = []  # nodes of the last row
-    last: list[dict] = []
-    for row, m in zip(rows, times):
-        shared = 0
-        while shared < len(row) and shared < len(last) and row[shared] == last[shared]:
-            shared += 1
-        del path[shared:]
-        for item in row[shared:]:
-            parent.append(path[-1] if path else -1)
-            path.append(len(source))
-            source.append(names.setdefault(item["source"], len(names)))
-            p.append(item["p"])
-            z.append(item["z"])
-            weight.append(0)
-        if path:
-            weight[path[-1]] += m
-        last = row
-    for node in range(len(parent) - 1, -1, -1):  # a node counts for all rows that pass it
-        if parent[node] >= 0:
-            weight[parent[node]] += weight[node]
-    parent, source, p, z, weight = (np.array(x, np.int64) for x in (parent, source, p, z, weight))
-    node, above, sums = np.arange(len(parent)), parent, defaultdict(int)
-    while len(node := node[above >= 0]):  # all nodes against their ancestors, one level further up each time
+    sizes = np.diff(offsets)
+    row = np.repeat(np.arange(len(sizes)), sizes)
+    depth = np.arange(len(source)) - offsets[row]
+    # insertion: a row shares the nodes of the row before it as far as the two begin alike
+    before = offsets[np.maximum(row - 1, 0)] + depth
+    alike = (row > 0) & (group[row] == group[row - 1]) & (depth < sizes[row - 1]) & (source[before] == source) & (n[before] == n)
+    shared = np.minimum.reduceat(np.where(alike, len(source), depth), offsets[:-1])
+    new = depth >= shared[row]
+    number = np.cumsum(new) - 1
+    order = np.argsort(depth, kind="stable")  # level by level: an item's node is the last new one of its level
+    node = np.empty(len(source), np.int64)
+    node[order] = number[order][np.maximum.accumulate(np.where(new[order], np.arange(len(order)), 0))]
+    weight = np.zeros(number[-1] + 1, np.int64)
+    np.add.at(weight, node, times[row])
+    at = np.flatnonzero(new)
+    parent = np.where(depth[at] > 0, node[at - 1], -1)
+    source, p, z, group = source[at], p[at], z[at], group[row[at]]
+    here, above, found = np.arange(len(at)), parent, []
+    width = int(source.max()) + 1
+    while len(here := here[above >= 0]):  # all nodes against their ancestors, one level further up each time
         above = above[above >= 0]
-        a, b = p[above], p[node]
-        added = weight[node] * (abs(a - b) - abs(a - z[node]) - abs(z[above] - b) + abs(z[above] - z[node]))
-        code = source[above] * len(names) + source[node]
-        order = np.argsort(code, kind="stable")
-        first = np.flatnonzero(np.diff(code[order], prepend=-1))
-        for c, s in zip(code[order][first].tolist(), np.add.reduceat(added[order], first).tolist()):
-            sums[c] += s
+        a, b = p[above], p[here]
+        added = weight[here] * (abs(a - b) - abs(a - z[here]) - abs(z[above] - b) + abs(z[above] - z[here]))
+        found.append(((group[here] * width + source[above]) * width + source[here], added))
         above = parent[above]
-    listed = list(names)
-    for c, s in sums.items():
-        yield listed[c // len(names)], listed[c % len(names)], s
+    codes, added = (np.concatenate([f[k] for f in found] or [np.zeros(0, np.int64)]) for k in range(2))
+    order = np.argsort(codes, kind="stable")
+    first = np.flatnonzero(np.diff(codes[order], prepend=-1))
+    codes, sums = codes[order][first], np.add.reduceat(added[order], first) if len(first) else added
+    return codes // width // width, codes // width % width, codes % width, sums
 
 
 def both_present(items: DataFrame) -> DataFrame:
     """``lang``, ``a``, ``b``, ``both``: tree corrections of each two sources that share a term, a before b."""
     row = F.array_sort(F.collect_list(F.struct("source", "n", "p", "z"))).alias("row")
     rows = items.groupBy("lang", "term").agg(row).groupBy("lang", "row").agg(F.count("*").alias("times"))
-    laid = rows.repartitionByRange(task_slots(items.sparkSession), "lang", "row").sortWithinPartitions("lang", "row")
+    # the first items and a hash: small keys for the partitioner's sample, and equal beginnings still spread where they are many
+    rows = rows.withColumn("head", F.transform(F.slice("row", 1, 3), lambda x: F.struct(x["source"], x["n"])))
+    laid = rows.repartitionByRange(task_slots(items.sparkSession), "lang", "head", F.xxhash64("row")).sortWithinPartitions("lang", "row")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lang, held, times, size = None, [], [], 0
-
-        def emit() -> pa.RecordBatch:
-            found = [(lang, *x) for x in tree_corrections(held, times)]
-            columns = list(zip(*found)) or [()] * 4
-            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, [pa.string()] * 3 + [pa.int64()])], names=["lang", "a", "b", "both"])
-
         for batch in batches:
-            for own, row, m in zip(*(c.to_pylist() for c in batch.columns)):
-                if held and (own != lang or size > TREE_ITEMS):
-                    yield emit()
-                    held, times, size = [], [], 0
-                lang = own
-                held.append(row)
-                times.append(m)
-                size += len(row)
-        yield emit()
+            ends = batch.column(1).offsets.to_numpy()
+            at = 0
+            while at < batch.num_rows:
+                to = max(at + 1, int(np.searchsorted(ends, ends[at] + TREE_ITEMS, side="right")) - 1)
+                part = batch.slice(at, to - at)
+                flat = part.column(1).flatten()
+                langs, names = part.column(0).dictionary_encode(), flat.field("source").dictionary_encode()
+                numbers = [flat.field(c).to_numpy() for c in ("n", "p", "z")]
+                lang, a, b, sums = tree_corrections(ends[at : to + 1].astype(np.int64) - ends[at], langs.indices.to_numpy().astype(np.int64), names.indices.to_numpy().astype(np.int64), *numbers, part.column(2).to_numpy())
+                yield pa.RecordBatch.from_arrays([langs.dictionary.take(pa.array(lang)), names.dictionary.take(pa.array(a)), names.dictionary.take(pa.array(b)), pa.array(sums)], names=["lang", "a", "b", "both"])
+                at = to
 
     return laid.select("lang", "row", "times").mapInArrow(run, "lang string, a string, b string, both long").groupBy("lang", "a", "b").agg(F.sum("both").alias("both"))
 

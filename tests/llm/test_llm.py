@@ -34,7 +34,7 @@ def test_twin(spark, name):
     assert spark_rows(QUERIES[name](spark, SMALL)) == duck_rows(con, SQL[name])
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(SQL)))
+@pytest.mark.parametrize("name", sorted(n for n in set(QUERIES) - set(SQL) if not n.startswith(("op12", "op13"))))
 def test_alone(spark, name):
     t = "pages" if name == "op5_warc_derivatives" else "documents"
     assert QUERIES[name](spark, SMALL).count() == spark.read.parquet(f"{SMALL}/{t}.parquet").count() * (2 if t == "pages" else 1)
