@@ -20,9 +20,11 @@ Defined results
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,11 +38,15 @@ from millrace.session import checkpointed
 
 SHARD_PIECES = 16_384
 #: segments of each of the two generations that a worker keeps (about 200 bytes a segment)
-KEPT_SEGMENTS = 500_000
+KEPT_SEGMENTS = 600_000
 STEP_CHARS = 1_000_000
 
 _LAST_BLANK = re.compile(r"[ \n](?=\S)")
 _ODD = re.compile(r"[ \n](?=\s|\Z)|\0")
+_MARKS = ".,;:!?"
+#: The letter that stands for each byte in byte-level vocabularies: itself where it is printable, else the next free one.
+_PRINTABLE = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+_SHOWN = {b: b for b in _PRINTABLE} | {b: 0x100 + k for k, b in enumerate(sorted(set(range(256)) - set(_PRINTABLE)))}
 
 
 def segments(text: str) -> list[str]:
@@ -64,44 +70,48 @@ def steps(text: str, size: int = STEP_CHARS) -> Iterator[str]:
         at = to
 
 
-class Tokenizer:
-    """A tokenizer of the worker and the segments it has met, as little-endian 4-byte ids."""
+class Tokenizer(dict):
+    """A tokenizer of the worker, and the segments it has met, each with its ids as little-endian 4-byte integers.
+
+    Most segments are one word, with a blank or line end before it and marks behind it. A byte-level tokenizer cuts behind
+    line ends and between letters and marks, so words are kept without these and go to its merges alone. Any other segment
+    goes through the whole tokenizer.
+    """
 
     def __init__(self, definition: str, kept: int = KEPT_SEGMENTS):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import tokenizers
 
-        self.own, self.kept = tokenizers.Tokenizer.from_str(definition), kept
+        super().__init__()
+        self.own, self.kept, self.older = tokenizers.Tokenizer.from_str(definition), kept, {}
         self.own.encode_special_tokens = True
-        self.ids: dict[str, bytes] = {"": b""}
-        self.older: dict[str, bytes] = {}
-
-    def learn(self, wanted: set[str]) -> None:
-        """Afterwards all of these segments are in ``self.ids``."""
-        missing = wanted - self.ids.keys()
-        if len(self.ids) + len(missing) > self.kept:
-            self.ids, self.older = {"": b""}, self.ids
-            missing = wanted - self.ids.keys()
-        self.ids.update({s: self.older[s] for s in missing & self.older.keys()})
-        new = list(missing - self.older.keys())
-        for at in range(0, len(new), 10_000):
-            part = new[at : at + 10_000]
-            for segment, found in zip(part, self.own.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                self.ids[segment] = np.array(found.ids, "<u4").tobytes()
+        kind = json.loads(definition)
+        #: whether words may be taken apart here: bytes as letters, split by the usual expression, and nothing else
+        self.plain = kind["normalizer"] is None and (kind["pre_tokenizer"] or {}).items() >= {"type": "ByteLevel", "add_prefix_space": False, "use_regex": True}.items() and kind["model"]["type"] == "BPE"
+
+    def __missing__(self, segment: str) -> bytes:
+        if self.plain:
+            word = segment.rstrip(_MARKS)
+            if len(word) < len(segment) and word[-1:].isalpha():
+                return self[word] + self[segment[len(word) :]]
+            if segment[0] == "\n" and segment[1:].isalpha():
+                return self["\n"] + self[segment[1:]]
+        found = self.older.get(segment)
+        if found is None and self.plain and (segment[1:] if segment[0] == " " else segment).isalpha():
+            # each byte is one letter to the merges; a blank is the first letter of a word
+            shown = "\u0120" + segment[1:] if segment[0] == " " and segment.isascii() else segment.encode().decode("latin-1").translate(_SHOWN)
+            found = array("I", [t.id for t in self.own.model.tokenize(shown)]).tobytes()
+        elif found is None:
+            found = array("I", self.own.encode(segment, add_special_tokens=False).ids).tobytes()
+        if len(self) >= self.kept:
+            self.older = dict(self)
+            self.clear()
+        self[segment] = found
+        return found
 
     def encode(self, texts: list[str | None]) -> Iterator[bytes]:
-        cut = [segments(t) if t and len(t) <= STEP_CHARS else None for t in texts]
-        self.learn(set().union(*(c for c in cut if c)))
-        for text, parts in zip(texts, cut, strict=True):
-            if parts is not None:
-                yield b"".join([self.ids[p] for p in parts])
-                continue
-            found = []
-            for step in steps(text or ""):
-                parts = segments(step)
-                self.learn(set(parts))
-                found += [self.ids[p] for p in parts]
-            yield b"".join(found)
+        for text in texts:
+            yield b"".join([self[x] for step in steps(text or "") for x in segments(step)])
 
 
 _tokenizers: dict[tuple[int, int], Tokenizer] = {}
@@ -151,7 +161,7 @@ def pieces(documents: DataFrame, tokenizer_file: str, capacity: int = 2048, end_
                     flat = np.frombuffer(b"".join(packed), "<u4").astype(np.int64)
                     columns.append(pa.ListArray.from_arrays(np.cumsum([0, *table[:, 2]]).astype(np.int32), flat))
                 yield pa.RecordBatch.from_arrays(columns, names=schema.names)
-        own.older = {}
+        own.older = {}  # what the next task can do without
         bytescan.rest()
 
     return rows.mapInArrow(run, schema)
