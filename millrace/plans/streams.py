@@ -1,5 +1,7 @@
 """Streaming queries over the events table, run until the input is used up and compared with the batch answer."""
 
+import time
+
 from pyspark.sql import functions as F
 
 from millrace.functions.times import as_instant, from_instant
@@ -117,6 +119,54 @@ def stream_state_timeout(t):
     return t.spark.read.parquet(path)
 
 
+@query("stream_idle_sessions", """
+WITH g AS (SELECT *, CASE WHEN ts - lag(ts) OVER w >= INTERVAL 6 HOUR THEN 1 ELSE 0 END AS fresh FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
+r AS (SELECT *, sum(fresh) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS run FROM g),
+s AS (SELECT user_id, count(*) AS n, min(ts) AS first, max(ts) AS last FROM r GROUP BY user_id, run)
+SELECT user_id, n, strftime(first, '%Y-%m-%d %H:%M:%S') AS first, strftime(last, '%Y-%m-%d %H:%M:%S') AS last FROM s
+WHERE last + INTERVAL 6 HOUR <= (SELECT max(ts) - INTERVAL 1 HOUR FROM events)""")
+def stream_idle_sessions(t):
+    """Event-time timeout: a user's events are given out when six hours have passed without one."""
+    with sx.merged_sessions(t.spark):
+        path, _ = sk.run_append(sx.idle_sessions(events(t), "user_id", "ts", "6 hours", "1 hour"), "sessions")
+    show = lambda c: F.date_format(from_instant(F.col(c)), "yyyy-MM-dd HH:mm:ss").alias(c)
+    return t.spark.read.parquet(path).select(F.col("key").alias("user_id"), "n", show("first"), show("last"))
+
+
+@query("stream_idle_clock", """
+SELECT user_id, count(*) AS n, epoch_us(max(ts)) // 1000 AS last_ms FROM events GROUP BY user_id""")
+def stream_idle_clock(t):
+    """Processing-time timeout. The second run comes after the idle time, with one row of no user, and fires all timers."""
+    inbox = ss.queue(days(t), "clock")
+    stream = lambda: ss.file_stream(t.spark, inbox, t.events.schema)
+    with sx.state_store(t.spark):
+        path, checkpoint = sk.run_append(sx.idle_by_clock(stream(), "user_id", "ts", "event_id", 200), "clock", kind="one_batch")
+        time.sleep(0.3)
+        t.events.limit(1).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in t.events.schema]).write.mode("append").parquet(inbox)
+        sk.run_append(sx.idle_by_clock(stream(), "user_id", "ts", "event_id", 200), "clock", checkpoint, path, "one_batch")
+    out = t.spark.read.parquet(path).where("key IS NOT NULL").groupBy("key").agg(F.sum("n").alias("n"), F.max("last_ms").alias("last_ms"))
+    return out.withColumnRenamed("key", "user_id")
+
+
+@query("stream_kind_totals", """
+SELECT user_id, event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY user_id, event_type""")
+def stream_kind_totals(t):
+    """A map in the state of each user: counts and sums by kind of event."""
+    with sx.state_store(t.spark):
+        parts = sk.run_updates(sx.kind_totals(events(t), "user_id", "event_type", "value", "event_id"), "kinds", ["key", "part", "kind"])
+    out = parts.groupBy("key", "kind").agg(F.sum("n").alias("n"), F.round(F.sum("total"), 4).alias("total"))
+    return out.withColumnsRenamed({"key": "user_id", "kind": "event_type"})
+
+
+@query("stream_latest", """
+SELECT user_id, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC)::INTEGER AS rank, event_id FROM events QUALIFY rank <= 3""")
+def stream_latest(t):
+    """A list in the state of each user: the last three events."""
+    with sx.state_store(t.spark):
+        parts = sk.run_updates(sx.latest(events(t), "user_id", "ts", "event_id", 3), "latest", ["key", "part", "slot"])
+    return sx.latest_of(parts, 3).select(F.col("key").alias("user_id"), "rank", F.col("item").alias("event_id"))
+
+
 @query("stream_recover", """SELECT event_type, count(*) AS n FROM events GROUP BY event_type""")
 def stream_recover(t):
     """Two runs with one checkpoint: the second run sees only the files that came after the first."""

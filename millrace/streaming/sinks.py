@@ -18,6 +18,8 @@ def trigger(kind: str, interval: str | None = None) -> dict:
     """Arguments for ``DataStreamWriter.trigger``. Intervals must have a fixed length: no months or years."""
     if kind in ("once", "available_now"):
         return {"availableNow": True}
+    if kind == "one_batch":  # timers of the processing clock always ask for one more batch, so their streams never run out
+        return {"once": True}
     if not interval or not re.fullmatch(r"\s*\d+\s*(millisecond|second|minute|hour|day|week)s?\s*", interval):
         raise ValueError(f"not an interval of fixed length: {interval}")
     if kind == "processing_time":
@@ -44,12 +46,12 @@ def finish(q: StreamingQuery) -> None:
         raise q.exception()
 
 
-def run_append(stream: DataFrame, label: str, checkpoint: str | None = None, path: str | None = None) -> tuple[str, str]:
+def run_append(stream: DataFrame, label: str, checkpoint: str | None = None, path: str | None = None, kind: str = "available_now") -> tuple[str, str]:
     """Append finished rows to files with exactly-once commits. Returns (path, checkpoint)."""
     spark = stream.sparkSession
     path = path or scratch_path(spark, label)
     checkpoint = checkpoint or scratch_path(spark, "stream-checkpoint")
-    q = stream.writeStream.outputMode("append").format("parquet").option("path", path).option("checkpointLocation", checkpoint).trigger(**trigger("available_now")).start()
+    q = stream.writeStream.outputMode("append").format("parquet").option("path", path).option("checkpointLocation", checkpoint).trigger(**trigger(kind)).start()
     finish(q)
     return path, checkpoint
 

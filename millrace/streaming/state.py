@@ -1,11 +1,17 @@
-"""Custom keyed state."""
+"""Custom keyed state.
+
+A key's rows are dealt over ``SALTS`` parts by a hash of the row, and state is kept per key and part: a hot key is the work of
+several tasks. Whoever reads the results adds the parts up.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from millrace.functions.times import as_instant
@@ -63,3 +69,155 @@ def idle_groups(stream: DataFrame, key: str, time: str, idle_seconds: int, delay
     rows = rows.select(key, "_t", F.unix_millis("_t").alias("_ms"))
     return rows.groupBy(key).applyInPandasWithState(
         update, f"{key} {kind}, n bigint, last_ms bigint", "n bigint, last_ms bigint", "append", GroupStateTimeout.EventTimeTimeout)
+
+
+@contextmanager
+def _setting(spark: SparkSession, name: str, value: str):
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
+def state_store(spark: SparkSession):
+    """Streams started inside keep their state in RocksDB, as timers, lists and maps need; the session's own choice comes back."""
+    return _setting(spark, "spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+
+
+def merged_sessions(spark: SparkSession):
+    """Streams started inside merge the sessions of a task before the shuffle, so a hot key sends one row per task and session."""
+    return _setting(spark, "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition", "true")
+
+
+def _parts(stream: DataFrame, key: str, row_id: str, *columns) -> DataFrame:
+    return stream.select(F.col(key).alias("key"), F.pmod(F.xxhash64(row_id), F.lit(SALTS)).cast("int").alias("part"), *columns)
+
+
+def idle_sessions(stream: DataFrame, key: str, time: str, gap: str, delay: str) -> DataFrame:
+    """A row per run of a key's events without a gap, once the watermark has passed its end: event count, first and last time.
+
+    The event-time form of a state with a timeout. Start it inside ``merged_sessions``.
+    """
+    at = as_instant(time) if dict(stream.dtypes)[time] == "timestamp_ntz" else F.col(time)
+    rows = stream.select(F.col(key).alias("key"), at.alias("_t")).withWatermark("_t", delay)
+    sessions = rows.groupBy("key", F.session_window("_t", gap).alias("w")).agg(F.count("*").alias("n"), F.min("_t").alias("first"), F.max("_t").alias("last"))
+    return sessions.select("key", "n", "first", "last")
+
+
+class _IdleParts(StatefulProcessor):
+    """Counts a part's rows; a timer of the processing clock gives them out when none has come for a while."""
+
+    def __init__(self, idle_ms: int):
+        self.idle_ms = idle_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.seen = handle.getValueState("seen", "n bigint, last_ms bigint")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        n, last = self.seen.get() if self.seen.exists() else (0, None)
+        for frame in rows:
+            n += len(frame)
+            own = frame["ms"].dropna()
+            last = last if own.empty else int(own.max()) if last is None else max(last, int(own.max()))
+        self.seen.update((int(n), last))
+        for timer in list(self.handle.listTimers()):
+            self.handle.deleteTimer(timer)
+        self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.idle_ms)
+        yield pd.DataFrame({"key": [], "part": [], "n": [], "last_ms": []})
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        n, last = self.seen.get()
+        self.seen.clear()
+        yield pd.DataFrame({"key": pd.Series([key[0]], dtype=object), "part": [key[1]], "n": [n], "last_ms": pd.array([last], dtype="Int64")})
+
+    def close(self) -> None:
+        pass
+
+
+def idle_by_clock(stream: DataFrame, key: str, time: str, row_id: str, idle_ms: int) -> DataFrame:
+    """Rows (key, part, n, last_ms) of parts for which no row has come for ``idle_ms`` of the processing clock.
+
+    What a key gave out is the sum of n and the maximum of last_ms over its parts. Start it inside ``state_store``.
+    """
+    kind = stream.schema[key].dataType.simpleString()
+    at = as_instant(time) if dict(stream.dtypes)[time] == "timestamp_ntz" else F.col(time)
+    rows = _parts(stream, key, row_id, F.unix_millis(at).alias("ms"))
+    return rows.groupBy("key", "part").transformWithStateInPandas(_IdleParts(idle_ms), f"key {kind}, part int, n bigint, last_ms bigint", "Append", "ProcessingTime")
+
+
+class _Kinds(StatefulProcessor):
+    """A map of counts and sums by kind, each entry forgotten some time after its last change."""
+
+    def __init__(self, ttl_ms: int | None):
+        self.ttl_ms = ttl_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.kinds = handle.getMapState("kinds", "kind string", "n bigint, total double", self.ttl_ms)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        changed = set()
+        for frame in rows:
+            for kind, values in frame.groupby("kind", dropna=False)["value"]:
+                kind = None if pd.isna(kind) else kind
+                n, total = self.kinds.getValue((kind or "",)) or (0, 0.0)
+                self.kinds.updateValue((kind or "",), (int(n + len(values)), float(total + values.sum())))
+                changed.add(kind or "")
+        for kind in sorted(changed):
+            n, total = self.kinds.getValue((kind,))
+            yield pd.DataFrame({"key": pd.Series([key[0]], dtype=object), "part": [key[1]], "kind": [kind], "n": [n], "total": [total]})
+
+    def close(self) -> None:
+        pass
+
+
+def kind_totals(stream: DataFrame, key: str, kind: str, value: str, row_id: str, ttl_ms: int | None = None) -> DataFrame:
+    """Rows (key, part, kind, n, total) of the entries that a batch changed; a null kind is the empty one.
+
+    With ``ttl_ms`` an entry that has not changed for so long counts from nothing again. Start it inside ``state_store``.
+    """
+    key_kind = stream.schema[key].dataType.simpleString()
+    rows = _parts(stream, key, row_id, F.col(kind).cast("string").alias("kind"), F.coalesce(F.col(value).cast("double"), F.lit(0.0)).alias("value"))
+    return rows.groupBy("key", "part").transformWithStateInPandas(
+        _Kinds(ttl_ms), f"key {key_kind}, part int, kind string, n bigint, total double", "Update", "None" if ttl_ms is None else "ProcessingTime")
+
+
+class _Latest(StatefulProcessor):
+    """A list of the last items of a part."""
+
+    def __init__(self, keep: int):
+        self.keep = keep
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.items = handle.getListState("items", "at bigint, item bigint")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        items = list(self.items.get()) if self.items.exists() else []
+        for frame in rows:
+            # of a batch no more than the last ones are held
+            items = sorted([*items, *frame.nlargest(self.keep, ["at", "item"])[["at", "item"]].itertuples(index=False, name=None)])[-self.keep :]
+        items = [(int(a), int(i)) for a, i in items]
+        self.items.put(items)
+        yield pd.DataFrame({"key": pd.Series([key[0]] * len(items), dtype=object), "part": key[1], "slot": range(len(items)), "at": [a for a, _ in items], "item": [i for _, i in items]})
+
+    def close(self) -> None:
+        pass
+
+
+def latest(stream: DataFrame, key: str, time: str, item: str, keep: int) -> DataFrame:
+    """Rows (key, part, slot, at, item) of the last ``keep`` items of each part that a batch touched; ``item`` identifies a row.
+
+    The last of a key are among those of its parts: ``latest_of``. Rows without a time or an item are left out.
+    """
+    kind = stream.schema[key].dataType.simpleString()
+    at = as_instant(time) if dict(stream.dtypes)[time] == "timestamp_ntz" else F.col(time)
+    rows = _parts(stream, key, item, F.unix_micros(at).alias("at"), F.col(item).cast("long").alias("item")).where("at IS NOT NULL AND item IS NOT NULL")
+    return rows.groupBy("key", "part").transformWithStateInPandas(_Latest(keep), f"key {kind}, part int, slot int, at bigint, item bigint", "Update", "None")
+
+
+def latest_of(parts: DataFrame, keep: int) -> DataFrame:
+    """The last ``keep`` items of each key, newest first (``rank`` from 1), out of ``SALTS * keep`` at most."""
+    order = Window.partitionBy("key").orderBy(F.desc("at"), F.desc("item"))
+    return parts.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= keep).select("key", "rank", "at", "item")

@@ -52,3 +52,65 @@ def test_running_totals_over_batches(spark):
     got = {r["k"]: (r["n"], r["t"]) for r in out.groupBy("k").agg(F.sum("n").alias("n"), F.sum("total").alias("t")).collect()}
     want = {k: (sum(1 for _, c, _ in data if c == k) + (10 if k == "x" else 0), sum(v for _, c, v in data if c == k) + (1.0 if k == "x" else 0)) for k in "xy"}
     assert got == want
+
+
+class Ended(Exception):
+    pass
+
+
+def test_model_survives_an_end_between_write_and_commit(spark):
+    """A batch whose version is stored and whose commit is missing runs again after a restart, and counts once."""
+    from millrace.session import scratch_path
+    from millrace.streaming import models as sm
+
+    rnd = random.Random(7)
+    files = [spark.createDataFrame([([float(rnd.randint(0, 20)), float(rnd.randint(0, 20))],) for _ in range(30)], "v array<double>").coalesce(1) for _ in range(3)]
+    inbox = ss.queue(files, "points")
+    stream = lambda: ss.file_stream(spark, inbox, files[0].schema, 1)
+    start, decay = [[0.0, 0.0], [20.0, 20.0]], 0.5
+    whole = sm.streaming_kmeans(stream(), "v", start, decay)
+
+    def end(batch_id):
+        if batch_id == 1:
+            raise Ended
+
+    checkpoint = scratch_path(spark, "ended")
+    with pytest.raises(Exception):
+        sm.streaming_kmeans(stream(), "v", start, decay, checkpoint, end)
+    assert sm.streaming_kmeans(stream(), "v", start, decay, checkpoint) == whole
+    assert sm.streaming_kmeans(stream(), "v", start, decay, checkpoint) == whole  # nothing new
+    files[0].write.mode("append").parquet(inbox)
+    centres, weights = sm.streaming_kmeans(stream(), "v", start, decay, checkpoint)
+    assert centres != whole[0] and abs(sum(weights) - (sum(whole[1]) * decay + 30)) < 1e-9
+
+
+def test_regression_with_offsets_and_missing_values(spark):
+    from millrace.streaming import models as sm
+
+    rows = [(1e9 + i, 3.0 * i + 5.0 if i % 7 else None) for i in range(60)]
+    batches = [spark.createDataFrame(rows[a : a + 20], "x double, y double").coalesce(1) for a in (0, 20, 40)]
+    fit = sm.streaming_regression(ss.queue_stream(batches, "line"), "x", "y")
+    assert abs(fit["slope"] - 3) < 1e-8 and abs(fit["intercept"] / (5 - 3e9) - 1) < 1e-9
+
+
+def test_kind_totals_forget_after_their_time(spark):
+    import time
+
+    from millrace.session import scratch_path
+
+    schema = "id bigint, k string, kind string, v double"
+    inbox = ss.queue([spark.createDataFrame([(1, "a", "x", 2.0), (2, "a", None, None)], schema)], "kinds")
+    checkpoint = scratch_path(spark, "kinds-checkpoint")
+    got = []
+
+    def run():
+        stream = sx.kind_totals(ss.file_stream(spark, inbox, spark.createDataFrame([], schema).schema), "k", "kind", "v", "id", 1000)
+        with sx.state_store(spark):
+            q = stream.writeStream.outputMode("update").foreachBatch(lambda df, i: got.append(sorted((r["kind"], r["n"], r["total"]) for r in df.collect()))).option("checkpointLocation", checkpoint).trigger(once=True).start()
+            sk.finish(q)
+
+    run()
+    time.sleep(1.5)
+    spark.createDataFrame([(1, "a", "x", 5.0)], schema).write.mode("append").parquet(inbox)  # the same part of the key
+    run()
+    assert [x for x in got if x] == [[("", 1, 0.0), ("x", 1, 2.0)], [("x", 1, 5.0)]]
