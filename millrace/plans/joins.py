@@ -7,7 +7,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, functions as F
 
 from millrace.functions.times import epoch_seconds
-from millrace.operators import joins as oj
+from millrace.operators import joins as oj, similarity
 from millrace.registry import query
 
 
@@ -308,7 +308,7 @@ def join_minhash(t):
     words = lambda df, k: df.select(F.col(k).alias("id"), F.filter(F.split(F.lower("text"), r"\s+"), lambda w: F.length(w) > 0).alias("words")).where(F.size("words") > 0)
     tf = HashingTF(inputCol="words", outputCol="features", binary=True, numFeatures=1 << 18)
     docs, items = tf.transform(words(t.documents, "doc_id")), tf.transform(words(t.benchmark, "item_id"))
-    model = MinHashLSH(inputCol="features", outputCol="hashes", numHashTables=8, seed=7).fit(docs)
+    model = MinHashLSH(inputCol="features", outputCol="hashes", numHashTables=32, seed=7).fit(docs)  # a pair at the bound meets with 97 %
     pairs = model.approxSimilarityJoin(docs.select("id", "features"), items.select("id", "features"), 0.9, "distance")
     return pairs.select(F.col("datasetA.id").alias("doc_id"), F.col("datasetB.id").alias("item_id"), "distance")
 
@@ -332,3 +332,50 @@ def nearest_vectors(t):
     key = vectors.where("vec_id = 0").first()["features"]
     model = BucketedRandomProjectionLSH(inputCol="features", outputCol="hashes", bucketLength=2.0, numHashTables=4, seed=7).fit(vectors)
     return model.approxNearestNeighbors(vectors, key, 10, distCol="distance").select("vec_id", "distance")
+
+
+def word_sets(df, key):
+    return similarity.distinct_sets(df, key, F.filter(F.split(F.lower("text"), r"\s+"), lambda w: F.length(w) > 0))
+
+
+@query("join_set_similarity", """
+WITH s AS (SELECT doc_id, list_sort(list_distinct(list_filter(regexp_split_to_array(lower(text), '\\s+'), lambda w: w <> ''))) AS w FROM documents),
+c AS (SELECT min(doc_id) AS id, count(*) AS members, w FROM s WHERE len(w) > 0 GROUP BY w),
+i AS (SELECT id, len(w) AS n, unnest(w) AS x FROM c),
+p AS (SELECT a.id AS a, b.id AS b, any_value(a.n) AS na, any_value(b.n) AS nb, count(*) AS shared FROM i a JOIN i b ON a.x = b.x AND a.id < b.id AND b.n BETWEEN 0.7 * a.n AND a.n / 0.7 GROUP BY a.id, b.id)
+SELECT p.a, p.b, shared, x.members AS members_a, y.members AS members_b FROM p JOIN c x ON x.id = p.a JOIN c y ON y.id = p.b WHERE shared >= 0.7 * (na + nb - shared)""")
+def join_set_similarity(t):
+    """Documents whose word sets are 70 % alike: pairs of different sets, with the number of documents that have each."""
+    sets, members = word_sets(t.documents, "doc_id")
+    counts = members.groupBy("id").agg(F.count("*").alias("members"))
+    pairs = similarity.set_join(sets, None, 0.7)
+    for side in ("a", "b"):
+        pairs = pairs.join(counts.select(F.col("id").alias(side), F.col("members").alias(f"members_{side}")), side)
+    return pairs.select("a", "b", F.col("shared").cast("bigint").alias("shared"), "members_a", "members_b")
+
+
+@query("join_set_similarity_sides", """
+WITH a AS (SELECT user_id, list_sort(list_distinct(list(event_type || (hour(ts) // 3)::VARCHAR))) AS w FROM events WHERE event_id % 2 = 0 GROUP BY user_id),
+b AS (SELECT user_id, list_sort(list_distinct(list(event_type || (hour(ts) // 3)::VARCHAR))) AS w FROM events WHERE event_id % 2 = 1 GROUP BY user_id),
+x AS (SELECT min(user_id) AS id, w FROM a GROUP BY w), y AS (SELECT min(user_id) AS id, w FROM b GROUP BY w)
+SELECT x.id AS a, y.id AS b, len(list_intersect(x.w, y.w)) AS shared FROM x, y WHERE len(list_intersect(x.w, y.w)) >= 0.8 * (len(x.w) + len(y.w) - len(list_intersect(x.w, y.w)))""")
+def join_set_similarity_sides(t):
+    """What users did in which hours, of every other event, against the rest: two sides with sets of common items."""
+    def side(odd):
+        kinds = t.events.where(F.col("event_id") % 2 == odd).groupBy("user_id").agg(F.collect_set(F.concat("event_type", F.floor(F.hour("ts") / 3).cast("string"))).alias("w"))
+        return similarity.distinct_sets(kinds, "user_id", F.col("w"))[0]
+
+    return similarity.set_join(side(0), side(1), 0.8).withColumn("shared", F.col("shared").cast("bigint"))
+
+
+@query("join_near_vectors", """
+WITH v AS (SELECT vec_id, embedding AS e FROM embeddings),
+w AS (SELECT a.vec_id AS a, b.vec_id AS b, list_distance(a.e, b.e) AS d FROM v a JOIN v b ON a.vec_id < b.vec_id)
+SELECT a, b, round(d, 6) AS distance FROM w WHERE d <= (SELECT 0.6 * avg(sqrt(list_inner_product(e, e))) FROM v)""")
+def join_near_vectors(t):
+    """All pairs of vectors nearer than six tenths of their mean length, exactly."""
+    vectors = t.embeddings.select("vec_id", "embedding")
+    length = F.sqrt(F.aggregate("embedding", F.lit(0.0), lambda s, x: s + x.cast("double") * x))
+    facts = vectors.agg(F.avg(length).alias("length"), F.max(F.size("embedding")).alias("width")).first()
+    left, right = (vectors.select(F.col("vec_id").alias(side), "embedding") for side in "ab")
+    return similarity.near_join(left, right, "embedding", 0.6 * facts["length"], facts["width"], 3).where("a < b").withColumn("distance", F.round("distance", 6))
