@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from millrace.operators import maintenance as om
 from millrace.registry import query
 from millrace.session import scratch_path
-from millrace.sources import files as sf, generate as sg
+from millrace.sources import files as sf, generate as sg, records as sr
 from millrace.sources.tables import staged
 
 CUSTOMER = """SELECT c_custkey, c_name, c_nationkey, c_acctbal FROM customer"""
@@ -57,6 +57,15 @@ def src_fixed_records(t):
     return sf.fixed_records(t.spark, path, 19, "*.txt").select(F.regexp_extract(name, "([0-9]+)$", 1).cast("bigint").alias("c_custkey"), name.alias("c_name"))
 
 
+@query("src_fixed_ranges", """SELECT c_custkey, c_name FROM customer""")
+def src_fixed_ranges(t):
+    """The same records by byte ranges of some hundred bytes, so that each file is read by several tasks."""
+    path = staged(t.customer.select("c_name"), "ranges", "text")
+    name = F.decode(F.substring("record", 1, 18), "UTF-8")
+    found = sr.read_records(t.spark, path, 19, glob="*.txt", range_bytes=4096, chunk_bytes=1000)
+    return found.select(F.regexp_extract(name, "([0-9]+)$", 1).cast("bigint").alias("c_custkey"), name.alias("c_name"))
+
+
 @query("src_text_lines", """SELECT p_name AS value, count(*) AS n FROM part GROUP BY p_name""")
 def src_text_lines(t):
     return t.spark.read.text(staged(t.part.select("p_name"), "lines", "text")).groupBy("value").agg(F.count("*").alias("n"))

@@ -8,7 +8,7 @@ from millrace.functions.times import as_instant, from_instant
 from millrace.operators import stats as st
 from millrace.registry import query
 from millrace.session import scratch_path
-from millrace.streaming import models as sm, sinks as sk, sources as ss, state as sx
+from millrace.streaming import commits as sc, models as sm, sinks as sk, sources as ss, state as sx
 
 
 def days(t, upto=(8, 15, 22, 32)):
@@ -104,6 +104,15 @@ def stream_foreach(t):
     return t.spark.read.schema("event_id bigint, event_type string").json(folder).groupBy("event_type").agg(F.count("*").alias("n"))
 
 
+@query("stream_epochs", """SELECT event_type, count(*) AS n, round(sum(value), 2) AS total FROM events GROUP BY event_type""")
+def stream_epochs(t):
+    """A sink of its own that commits each epoch once."""
+    folder = scratch_path(t.spark, "epochs")
+    stream = events(t).select("event_id", "event_type", "value")
+    sc.run_epochs(stream, folder)
+    return sc.read_epochs(t.spark, folder, stream.schema).groupBy("event_type").agg(F.count("*").alias("n"), F.round(F.sum("value"), 2).alias("total"))
+
+
 @query("stream_state", """
 SELECT user_id, (count(*) + CASE WHEN user_id = 1 THEN 100 ELSE 0 END)::BIGINT AS n, round(sum(value) + CASE WHEN user_id = 1 THEN 5 ELSE 0 END, 2) AS total FROM events GROUP BY user_id""")
 def stream_state(t):

@@ -20,10 +20,11 @@ def read_files(spark: SparkSession, fmt: str, path: str, schema: str | None = No
 
 
 def fixed_records(spark: SparkSession, path: str, length: int, glob: str | None = None) -> DataFrame:
-    """Files cut into records of ``length`` bytes: (path, record_no, record). A short last record is an error in the
-    file and is dropped, as a record reader would.
+    """Files cut into records of ``length`` bytes: (path, record_no, record), by Spark's own readers. A short last record is
+    dropped.
 
-    Whole files pass through one row each, so keep files below the binary reader's limit of 2 GB.
+    Whole files pass through one row each, so keep files below the binary reader's limit of 2 GB; ``records.read_records``
+    reads files of any size, by ranges.
     """
     files = read_files(spark, "binaryFile", path, glob=glob).where(F.col("length") >= length)
     numbers = F.sequence(F.lit(0).cast("bigint"), F.floor(F.col("length") / length) - 1)
