@@ -25,6 +25,8 @@ import json
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.llm import columns
+
 #: Licence sentences, normalised. The identifier of a sentence is its name.
 SENTENCES = {
     "apache-short": "licensed under the apache license version 2 0",
@@ -175,7 +177,12 @@ def _times(found: Column, path: str) -> Column:
 
 
 def scan_licences(docs: DataFrame, text: str = "text", known: dict[str, str] | None = None, rules: tuple = RULES + MORE_RULES, short: tuple | None = None) -> DataFrame:
-    """``docs`` with ``n_sentences``, ``found`` (place in the text, counted in sentences, and identifier) and ``licences``."""
+    """``docs`` with ``n_sentences``, ``found`` (place in the text, counted in sentences, and identifier) and ``licences``.
+
+    Columns of these three names that ``docs`` already has are replaced.
+    """
+    docs, back = columns.apart(docs, ("_marked", "_path"))
+    text = {old: new for new, old in back.items()}.get(text, text)
     short = short or (() if known else SHORT)
     known = known or _ALL
     place = F.struct(F.lit(0).alias("place"), F.lit("").alias("sentence"))
@@ -190,7 +197,7 @@ def scan_licences(docs: DataFrame, text: str = "text", known: dict[str, str] | N
         covered = sum((_times(F.col("_path"), p) for p in sorted(longer)), F.lit(0.0))
         hits.append(F.when(_times(F.col("_path"), own) > covered, F.lit(licence)))
     licences = F.when(F.col("_path") == "", F.array().cast("array<string>")).otherwise(F.array_sort(F.array_distinct(F.array_compact(F.array(*hits)))))
-    return out.withColumn("licences", licences).drop("_marked", "_path")
+    return out.withColumn("licences", licences).drop("_marked", "_path").withColumnsRenamed(back)
 
 
 def licence_digest(documents: DataFrame) -> DataFrame:

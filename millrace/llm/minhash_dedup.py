@@ -1,8 +1,8 @@
 """Near-duplicate documents by b-bit MinHash.
 
-1. Each text becomes its set of distinct five-word shingles (64-bit fingerprints), 128 minima over it, the low two bits of
+1. Each text becomes its set of distinct five-word shingles (64-bit fingerprints), a 128-bit name of the set, 128 minima over it, the low two bits of
    each minimum packed into four 64-bit words, and one key per band of three minima. Only these are stored, not the sets.
-2. Documents with equal sets share one fingerprint and from here on count as one node, so exact copies cost one row.
+2. Documents with equal sets share one name and from here on count as one node, so exact copies cost one row.
 3. Nodes that share a band key are candidates. Each is compared with the smallest node of its bucket: bit counts of the
    packed words give the share of equal low bits, corrected for chance agreement, and pairs whose estimate is more than
    ``SIGMAS`` deviations below the bound are left.
@@ -32,9 +32,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import BinaryType, StructField, StructType
 
-from millrace.llm import bytescan
+from millrace.llm import bytescan, columns
 from millrace.session import checkpointed
 
 WORDS = 5
@@ -65,27 +65,36 @@ def estimate(agreeing: Column) -> Column:
     return (agreeing / F.lit(MINIMA) - chance) / (1 - chance)
 
 
-def shingle_sets(data: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
-    """For each text the sorted distinct fingerprints of its shingles."""
+def shingle_sets(data: np.ndarray, offsets: np.ndarray) -> tuple[list[np.ndarray], list[bytes | None]]:
+    """For each text the sorted distinct fingerprints of its shingles, and 128 bits that stand for the set (None if it is empty).
+
+    The two halves of the latter come from independent fingerprints of the shingles, so that two sets which are one by
+    chance in the first are told apart by the second.
+    """
     scan = bytescan.Scan(data, offsets, lower=True)
-    hashes = scan.word_hashes()
-    starts, keys = bytescan.windows(hashes, scan.word_at, WORDS)
+    hashes = [scan.word_hashes(f) for f in range(2)]
+    starts, keys = bytescan.windows(hashes[0], scan.word_at, WORDS)
+    others = bytescan.windows(hashes[1], scan.word_at, WORDS)[1]
     at = np.searchsorted(starts, scan.word_at)
-    out = []
+    sets, names = [], []
     for i in range(scan.count):
         first, behind = scan.word_at[i], scan.word_at[i + 1]
         if behind - first >= WORDS:
-            out.append(np.unique(keys[at[i] : at[i + 1]]))
+            one, which = np.unique(keys[at[i] : at[i + 1]], return_index=True)
+            two = others[at[i] : at[i + 1]][which]
         elif behind > first:
-            out.append(bytescan.windows(hashes[first:behind], np.array([0, behind - first]), int(behind - first))[1])
+            one, two = (bytescan.windows(h[first:behind], np.array([0, behind - first]), int(behind - first))[1] for h in hashes)
         else:
-            out.append(np.zeros(0, np.uint64))
-    return out
+            one = two = np.zeros(0, np.uint64)
+        sets.append(one)
+        names.append(_set_name(one, two) if len(one) else None)
+    return sets, names
 
 
-def set_key(one: np.ndarray) -> int:
-    """A 64-bit fingerprint of the set as a whole."""
-    return int(bytescan.mixed(bytescan.mixed(one + np.uint64(17)).sum(keepdims=True) + np.uint64(len(one)))[0].astype(np.int64))
+def _set_name(one: np.ndarray, two: np.ndarray) -> bytes:
+    size = np.uint64(len(one))
+    halves = [bytescan.mixed(bytescan.mixed(x + np.uint64(17 + k)).sum(keepdims=True) + size) for k, x in enumerate((one, two))]
+    return np.concatenate(halves).tobytes()
 
 
 def minima(sets: list[np.ndarray]) -> np.ndarray:
@@ -116,9 +125,9 @@ def fingerprints(documents: DataFrame, id_col: str = "doc_id", text: str = "text
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, data, offsets in bytescan.steps(batch, text):
-                sets = shingle_sets(data, offsets)
+                sets, names = shingle_sets(data, offsets)
                 full = np.array([len(s) > 0 for s in sets])
-                key = pa.array([set_key(s) if len(s) else None for s in sets], pa.int64())
+                key = pa.array(names, pa.binary())
                 least = minima([s for s in sets if len(s)]) if full.any() else np.zeros((0, MINIMA), np.uint64)
                 words = np.zeros((len(sets), WORDS64), np.int64)
                 words[full] = packed(least).view(np.int64)
@@ -130,7 +139,7 @@ def fingerprints(documents: DataFrame, id_col: str = "doc_id", text: str = "text
                 )
         bytescan.rest()
 
-    schema = "doc_id long, n_shingles long, node long, " + ", ".join(f"{s} long" for s in SIGNATURE) + ", bands array<long>"
+    schema = "doc_id long, n_shingles long, node binary, " + ", ".join(f"{s} long" for s in SIGNATURE) + ", bands array<long>"
     return documents.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text).cast("string").alias(text)).mapInArrow(scan, schema)
 
 
@@ -145,14 +154,14 @@ def _sets(documents: DataFrame, wanted: DataFrame, id_col: str, text: str) -> Da
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, data, offsets in bytescan.steps(batch, text):
-                sets = shingle_sets(data, offsets)
+                sets, names = shingle_sets(data, offsets)
                 at = np.cumsum([0, *(len(s) for s in sets)]).astype(np.int32)
                 values = np.concatenate([np.zeros(0, np.uint64), *sets]).view(np.int64)
-                got = pa.array([set_key(s) if len(s) else None for s in sets], pa.int64())
+                got = pa.array(names, pa.binary())
                 yield pa.RecordBatch.from_arrays([part.column(0), got, pa.ListArray.from_arrays(at, values)], names=["node", "got", "shingles"])
 
     rows = documents.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text).cast("string").alias(text))
-    found = rows.join(_sent(wanted), "doc_id").select("node", text).mapInArrow(scan, "node long, got long, shingles array<long>")
+    found = rows.join(_sent(wanted), "doc_id").select("node", text).mapInArrow(scan, "node binary, got binary, shingles array<long>")
     # an id may be repeated with another text, or the row itself may be repeated
     return found.where("node = got").groupBy("node").agg(F.first("shingles").alias("shingles"))
 
@@ -204,12 +213,12 @@ def _in_blocks(members: DataFrame, nodes: DataFrame, documents: DataFrame, id_co
 
     def compare(table: pa.Table) -> pa.Table:
         column = {c: table[c].combine_chunks() for c in table.schema.names}
-        node, mine = column["node"].to_numpy(), column["mine"].to_numpy()
+        node, mine = column["node"].to_pylist(), column["mine"].to_numpy()
         sign = np.stack([column[s].to_numpy() for s in SIGNATURE], axis=1).view(np.uint64)
         size = np.diff(column["shingles"].offsets.to_numpy())
         ids = np.unique(column["shingles"].flatten().to_numpy(), return_inverse=True)[1]
         starts = np.cumsum(size) - size
-        part = np.unique(column["label"].to_numpy(), return_inverse=True)[1]
+        part = np.array(column["label"].dictionary_encode().indices)
         mark = np.zeros(len(ids) + 1, np.int32)
         i, j = column["i"][0].as_py(), column["j"][0].as_py()
         left, right = np.flatnonzero(mine == i), np.flatnonzero(mine == j)
@@ -232,10 +241,9 @@ def _in_blocks(members: DataFrame, nodes: DataFrame, documents: DataFrame, id_co
                 if part[y] != part[x]:
                     edges.append((node[x], node[y]))
                     part[part == part[y]] = part[x]
-        a, b = (np.array([e[k] for e in edges], np.int64) for k in (0, 1))
-        return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+        return pa.table({"a": pa.array([min(e) for e in edges], pa.binary()), "b": pa.array([max(e) for e in edges], pa.binary())})
 
-    return blocks.groupBy("key", "i", "j").applyInArrow(compare, "a long, b long").distinct()
+    return blocks.groupBy("key", "i", "j").applyInArrow(compare, "a binary, b binary").distinct()
 
 
 def near_duplicates(documents: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
@@ -283,11 +291,11 @@ def _with_node(docs: DataFrame, text: str) -> DataFrame:
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, data, offsets in bytescan.steps(batch, text):
-                key = pa.array([set_key(s) if len(s) else None for s in shingle_sets(data, offsets)], pa.int64())
+                key = pa.array(shingle_sets(data, offsets)[1], pa.binary())
                 yield pa.RecordBatch.from_arrays([*part.columns, key], names=[*part.schema.names, "_node"])
         bytescan.rest()
 
-    return docs.mapInArrow(scan, StructType([*docs.schema.fields, StructField("_node", LongType())]))
+    return docs.mapInArrow(scan, StructType([*docs.schema.fields, StructField("_node", BinaryType())]))
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
@@ -296,6 +304,12 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> Dat
     Rows with an empty set or a null id are linked with nothing and stay. Of several rows of a component with its smallest
     id the one with the smallest text stays, then the one whose other columns come first as JSON.
     """
+    docs, back = columns.apart(docs, ("_n", "_best", "_gone", "_again", "_id", "_set", "_part", "_row", "_node"))
+    id_col, text = ({old: new for new, old in back.items()}.get(c, c) for c in (id_col, text))
+    return _kept_rows(docs, id_col, text).withColumnsRenamed(back)
+
+
+def _kept_rows(docs: DataFrame, id_col: str, text: str) -> DataFrame:
     judged = checkpointed(_judged(docs, id_col, text))
     linked = judged.where("doc_id is not null and n_shingles > 0")
     many = linked.groupBy("doc_id").agg(F.count("*").alias("_n"), F.max(F.col("kept").cast("int")).alias("_best"))

@@ -24,12 +24,15 @@ Defined results
 
 from __future__ import annotations
 
+import warnings
 from dataclasses import dataclass
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.llm import columns
+
 OTHER = "other"
 DIMENSIONS = ("source", "lang", "topic")
 
@@ -103,6 +106,8 @@ def rake(cells: np.ndarray, tokens: np.ndarray, targets: list[np.ndarray], round
             weight = weight * np.divide(target, sums, out=np.zeros_like(target), where=sums > 0)[cells[:, d]]
         if off < close:
             break
+    else:
+        warnings.warn(f"raking stopped {off:.2g} away from a target after {rounds} rounds", stacklevel=2)
     return weight
 
 
@@ -151,8 +156,13 @@ def shares(cells: list[tuple], targets: Targets = TARGETS) -> list[tuple[str, st
 _CELL = "_source string, _lang string, _topic string, _documents long, _tokens long, _weight double, _chance double, _capped boolean"
 
 
+_HELPERS = ("_words", "_source", "_lang", "_topic", "_documents", "_tokens", "_weight", "_chance", "_capped", "_copies", "_kept", "_copy")
+
+
 def mixed(docs: DataFrame, targets: Targets = TARGETS, keep: float = KEEP, seed: str = SEED, id_col: str = "doc_id", once: bool = False) -> DataFrame:
     """``docs`` with the cell of each row, ``_chance`` (its expected copies), ``_copies`` and ``_kept``, the decisions on it."""
+    if taken := {c.lower() for c in docs.columns} & set(_HELPERS):
+        raise ValueError(f"columns {sorted(taken)} exist already")
     spark = docs.sparkSession
     cells = spark.createDataFrame(cell_table(docs, targets, keep, once), _CELL)
     draw = F.md5(F.concat_ws("|", F.lit(seed), F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.coalesce(F.col("source"), F.lit("")), F.length(F.coalesce(F.col("text"), F.lit(""))).cast("string")))
@@ -173,6 +183,7 @@ def mix_digest(documents: DataFrame) -> DataFrame:
 
 def sample(docs: DataFrame, targets: Targets = TARGETS, keep: float = KEEP, seed: str = SEED, once: bool = False) -> DataFrame:
     """The rows that are kept, each as often as its copies say, with the columns they came with."""
-    own = [F.col(f"`{c}`") for c in docs.columns]
+    docs, back = columns.apart(docs, _HELPERS)
+    own = [F.col(f"`{c}`").alias(back.get(c, c)) for c in docs.columns]
     rows = mixed(docs, targets, keep, seed, once=once).where("_kept")
     return rows.select(*own) if once else rows.withColumn("_copy", F.explode(F.sequence(F.lit(1), "_copies"))).select(*own)

@@ -27,6 +27,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.llm import columns
+
 TOKEN = "[A-Za-z0-9]+"
 _INDEX_TYPE = "map<string,array<struct<name:string,size:int,pattern:string,verdict:string,site:boolean>>>"
 
@@ -100,6 +102,8 @@ def judge_urls(pages: DataFrame, url: str = "url", rules: tuple[Rule, ...] = SIT
 
     Columns of these names that ``pages`` already has are replaced.
     """
+    pages, back = columns.apart(pages, ("_hits", "_site"))
+    url = {old: new for new, old in back.items()}.get(url, url)
     filed = index(rules, token_counts(pages, url, rules))
     as_rows = {k: [{"name": r.name, "size": len(r.name), "pattern": r.pattern, "verdict": r.verdict, "site": r.site} for r in v] for k, v in filed.items()}
     lookup = F.from_json(F.lit(json.dumps(as_rows)), _INDEX_TYPE)  # folded to one literal
@@ -116,7 +120,7 @@ def judge_urls(pages: DataFrame, url: str = "url", rules: tuple[Rule, ...] = SIT
         "rule": F.col("_site.name"),
         "matched": F.array_sort(F.transform("_hits", lambda r: r["name"])),
         "verdict": F.coalesce("_site.verdict", F.when(blocked, "block").otherwise(default)),
-    }).drop("_hits", "_site")
+    }).drop("_hits", "_site").withColumnsRenamed(back)
 
 
 def url_verdicts(pages: DataFrame) -> DataFrame:
