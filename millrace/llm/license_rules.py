@@ -74,7 +74,7 @@ RULES = (
 )
 
 
-#: The known sentences and rules that came after the SQL twin, which is made of the two lists above.
+#: More known sentences.
 MORE_SENTENCES = {
     "gpl-2-later": "you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 2 of the license or at your option any later version",
     "gpl-2-only": "you can redistribute it and or modify it under the terms of the gnu general public license version 2 as published by the free software foundation",

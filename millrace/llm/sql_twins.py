@@ -1,7 +1,5 @@
 """SQL twins (DuckDB) of the queries in this folder that SQL can state."""
 
-from millrace.llm.license_rules import RULES, SENTENCES
-
 _WORDS = r"regexp_extract_all({text}, '[^\x20\x09-\x0D]+')"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -96,28 +94,4 @@ SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC
 """
 
 
-def _text(value: str) -> str:
-    return "'" + value.replace("'", "''") + "'"
-
-
-def _rule(licence: str, names: tuple[str, ...]) -> str:
-    """The licence, where its sentences follow each other more often than those of the rules that hold them too."""
-    times = lambda p: f"(length(path) - length(replace(path, {_text(p)}, ''))) / {len(p)}"
-    own = "".join(f"<{n}>" for n in names)
-    longer = [p for _, more in RULES if own in (p := "".join(f"<{n}>" for n in more)) and p != own]
-    return f"CASE WHEN {times(own)} > {' + '.join(map(times, longer)) or '0'} THEN {_text(licence)} END"
-
-
-OP2 = f"""
-WITH k AS (SELECT MAP {{{", ".join(f"{_text(v)}: {_text(n)}" for n, v in SENTENCES.items())}}} AS known),
-a AS (SELECT doc_id, regexp_replace(lower(coalesce(text, '')), '\\n([a-z0-9("''])', ' \\1', 'g') AS s FROM documents),
-b AS (SELECT doc_id, regexp_replace(regexp_replace(s, '[.!?;:]+[ \\t\\r\\n]', chr(10), 'g'), '[^a-z0-9\\n]+', ' ', 'g') AS s FROM a),
-c AS (SELECT doc_id, list_filter(list_transform(string_split(s, chr(10)), lambda x: trim(x, ' ')), lambda x: x <> '') AS w FROM b),
-d AS (SELECT doc_id, len(w) AS n_sentences, list_filter(list_transform(w, lambda x, i: {{'place': i, 'name': known[x]}}), lambda x: x.name IS NOT NULL) AS f FROM c, k),
-e AS (SELECT doc_id, n_sentences, array_to_string(list_transform(f, lambda x: x.place || ':' || x.name), ',') AS found,
-  array_to_string(list_transform(f, lambda x: '<' || x.name || '>'), '') AS path FROM d)
-SELECT doc_id, n_sentences, coalesce(found, '') AS found, array_to_string(list_sort(list_distinct(list_filter([{", ".join(_rule(*r) for r in RULES)}], lambda x: x IS NOT NULL))), ',') AS licences
-FROM e
-"""
-
-SQL = {"op1_minhash_near_dedup": OP1, "op2_license_sentence_rules": OP2, "op3_ball_tree_top_k": OP3, "op4_url_pattern_rules": OP4, "op10_quality_rules": OP10, "op11_source_audit": OP11}
+SQL = {"op1_minhash_near_dedup": OP1, "op3_ball_tree_top_k": OP3, "op4_url_pattern_rules": OP4, "op10_quality_rules": OP10, "op11_source_audit": OP11}
