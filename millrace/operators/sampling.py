@@ -2,11 +2,18 @@
 
 from __future__ import annotations
 
+import heapq
 import math
+import random
+from collections.abc import Iterator
 from statistics import NormalDist
 
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
+from millrace.session import checkpointed
 from millrace.sources.generate import uniform
 
 
@@ -66,6 +73,59 @@ def reservoir(df: DataFrame, k: int, keys: list[str], seed: int) -> DataFrame:
     return df.orderBy(uniform(seed, *[F.col(c) for c in keys]), *keys).limit(k)
 
 
+def reservoir_and_count(df: DataFrame, k: int, seed: int) -> tuple[DataFrame, int]:
+    """``k`` rows drawn evenly (all, if there are fewer) and the number of all rows, in one pass over the table.
+
+    Every row has a draw of its own, and the k smallest of all are wanted. A task holds the k smallest of its rows; how many
+    rows it may pass before one gets a smaller draw is itself drawn, so most rows are counted and not looked at. The tasks'
+    rows, k each, are written down with their draws and counts, and the k smallest of these are the sample. A task that runs
+    again draws the same, if its input has the same order.
+    """
+    if k < 1:
+        raise ValueError("a sample has at least one row")
+    name = "_draw"
+    while name in df.columns:
+        name += "_"
+    schema = StructType([*df.schema.fields, StructField(name, DoubleType()), StructField(f"{name}n", LongType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rnd = random.Random(f"{seed}:{TaskContext.get().partitionId()}")
+        held: list[tuple[float, int, pa.RecordBatch]] = []  # a heap, largest draw first: its negative, place, row
+        count, wait = 0, 0
+        for batch in batches:
+            at = 0
+            while at < batch.num_rows:
+                if len(held) < k:
+                    heapq.heappush(held, (-rnd.random(), count + at, batch.slice(at, 1)))
+                    at += 1
+                    if len(held) == k:
+                        wait = _passed(rnd, -held[0][0])
+                elif wait >= batch.num_rows - at:
+                    wait -= batch.num_rows - at
+                    at = batch.num_rows
+                else:
+                    at += wait
+                    heapq.heapreplace(held, (-rnd.random() * -held[0][0], count + at, batch.slice(at, 1)))
+                    at += 1
+                    wait = _passed(rnd, -held[0][0])
+            count += batch.num_rows
+            # a slice would hold on to its whole batch
+            held = [(d, i, pa.RecordBatch.from_pylist(b.to_pylist(), schema=b.schema) if i >= count - batch.num_rows else b) for d, i, b in held]
+        if held:
+            rows = pa.Table.from_batches([b for _, _, b in held])
+            rows = rows.append_column(name, pa.array([-d for d, _, _ in held])).append_column(f"{name}n", pa.array([count] + [0] * (len(held) - 1), pa.int64()))
+            yield from rows.to_batches()
+
+    drawn = checkpointed(df.mapInArrow(run, schema))
+    total = drawn.agg(F.sum(f"{name}n")).first()[0] or 0
+    return drawn.orderBy(name).limit(k).select(*[F.col(f"`{c}`") for c in df.columns]), total
+
+
+def _passed(rnd: random.Random, bound: float) -> int:
+    """How many rows go by before one draws less than ``bound``."""
+    return int(math.log(1 - rnd.random()) / math.log1p(-bound)) if 0 < bound < 1 else 0
+
+
 def fraction_for(size: int, total: int, with_replacement: bool = False, failure: float = 1e-4) -> float:
     """A sampling fraction that gives at least ``size`` of ``total`` rows, but for a chance of ``failure``.
 

@@ -224,6 +224,36 @@ def range_frame(df: DataFrame, keys: list[str], at: str, before, after, sums: di
     return out.select(*keep, *[_with_infinities(n, sums) if n in wanted else F.col(n) for n in extra])
 
 
+def range_moments(df: DataFrame, keys: list[str], at: str, before, after, x: Column, y: Column | None = None, min_rows: int = HOT_ROWS, slices: int | None = None) -> DataFrame:
+    """``n``, ``mean``, ``var_pop``, ``skewness`` and, with ``y``, ``corr`` of the values in a range frame; null where they have none.
+
+    The values are taken from their key's mean first, so that a large common offset does not drown the differences of the
+    running sums that a hot key's frames are made of. Rows with a missing value count for nothing.
+    """
+    both = {"x": x.cast("double"), **({"y": y.cast("double")} if y is not None else {})}
+    there = [c.isNotNull() for c in both.values()]
+    whole = there[0] if y is None else there[0] & there[1]
+    rows = df.select("*", *[F.when(whole, c).alias(f"_{n}") for n, c in both.items()])
+    keep = df.columns
+    means = rows.groupBy(*keys).agg(*[F.avg(f"_{n}").alias(f"_m{n}") for n in both])
+    rows = rows.alias("a").join(means.alias("m"), same_keys("a", "m", keys)).select("a.*", *[f"m._m{n}" for n in both])
+    d = {n: F.coalesce(F.col(f"_{n}") - F.col(f"_m{n}"), F.lit(0.0)) for n in both}
+    sums = {"_n": F.when(whole, 1.0).otherwise(0.0), "_1": d["x"], "_2": d["x"] * d["x"], "_3": d["x"] * d["x"] * d["x"]}
+    if y is not None:
+        sums |= {"_y1": d["y"], "_y2": d["y"] * d["y"], "_xy": d["x"] * d["y"]}
+    out = range_frame(rows, keys, at, before, after, sums, min_rows=min_rows, slices=slices)
+    n = F.when(F.col("_n") > 0.5, F.round("_n"))
+    m, v = F.col("_1") / n, F.col("_2") / n - (F.col("_1") / n) ** 2
+    v = F.greatest(v, F.lit(0.0))
+    spread = F.when(v > 1e-12 * (F.col("_2") / n + m * m), v)
+    third = F.col("_3") / n - 3 * m * F.col("_2") / n + 2 * m * m * m
+    made = {"n": F.coalesce(n, F.lit(0)).cast("bigint"), "mean": F.col("_mx") + m, "var_pop": F.when(n > 0, v), "skewness": third / F.pow(spread, F.lit(1.5))}
+    if y is not None:
+        my, vy = F.col("_y1") / n, F.greatest(F.col("_y2") / n - (F.col("_y1") / n) ** 2, F.lit(0.0))
+        made["corr"] = (F.col("_xy") / n - m * my) / F.sqrt(spread * F.when(vy > 1e-12 * (F.col("_y2") / n + my * my), vy))
+    return out.select(*keep, *[c.alias(name) for name, c in made.items()])
+
+
 def whole_key(df: DataFrame, keys: list[str], aggs: list[Column]) -> DataFrame:
     """Aggregates over all rows of the key, on every row: grouped with map-side combining and joined back, so a hot key's
     rows are not buffered in one window.

@@ -2,7 +2,7 @@
 
 from pyspark.sql import Observation, functions as F
 
-from millrace.operators import aggregates as oa, windows as ow
+from millrace.operators import aggregates as oa, partial as op, windows as ow
 from millrace.registry import query
 from millrace.session import spread
 
@@ -258,6 +258,52 @@ def agg_estimate(t):
     return oa.estimate(t.lineitem, 0.1, 11, "l_quantity", ["l_returnflag"])
 
 
+@query("agg_partial", """
+SELECT l_returnflag, m.measure, round(CASE m.measure WHEN 'count' THEN count(l_quantity) WHEN 'sum' THEN sum(l_quantity) ELSE avg(l_quantity) END, 6) AS value, true AS within
+FROM lineitem, (VALUES ('count'), ('sum'), ('mean')) m(measure) GROUP BY l_returnflag, m.measure""")
+def agg_partial(t):
+    """Count, sum and mean by group with bounds: from half of the files, and from all of them, which is exact."""
+    from millrace.sources.tables import staged
+
+    path = staged(t.lineitem.select("l_returnflag", "l_quantity").repartition(24), "partial", "parquet")
+    table = t.spark.read.parquet(path)
+    read = lambda files: t.spark.read.schema(table.schema).parquet(*files)
+    ask = lambda **how: op.approximate(t.spark, sorted(table.inputFiles()), read, F.col("l_quantity"), ["l_returnflag"], confidence=0.99999, seed=3, group=6, **how)
+    clock = iter(range(10))
+    half, whole = ask(seconds=2, clock=lambda: next(clock)), ask()
+    both = whole.select("l_returnflag", "measure", "value").join(half.select("l_returnflag", "measure", "low", "high", "files_read"), ["l_returnflag", "measure"])
+    within = F.col("value").between(F.col("low"), F.col("high")) & (F.col("files_read") == 12)
+    return both.select("l_returnflag", "measure", F.round("value", 6).alias("value"), within.alias("within"))
+
+
+@query("agg_distinct_shapes", """
+WITH d AS (SELECT DISTINCT l_returnflag, l_linenumber, l_quantity FROM lineitem)
+SELECT a.l_returnflag, a.x, b.r FROM (SELECT l_returnflag, bit_xor(DISTINCT l_linenumber) AS x FROM lineitem GROUP BY l_returnflag) a
+JOIN (SELECT l_returnflag, round(corr(l_linenumber, l_quantity), 8) AS r FROM d GROUP BY l_returnflag) b ON a.l_returnflag = b.l_returnflag""")
+def agg_distinct_shapes(t):
+    return t.lineitem.groupBy("l_returnflag").agg(F.expr("bit_xor(DISTINCT l_linenumber)").alias("x"), F.expr("round(corr(DISTINCT l_linenumber, l_quantity), 8)").alias("r"))
+
+
+@query("agg_pivot_tuple", """
+SELECT p_type, count(*) FILTER (WHERE l_returnflag = 'A' AND l_linestatus = 'F') AS af_n, max(l_quantity) FILTER (WHERE l_returnflag = 'A' AND l_linestatus = 'F') AS af_top,
+       count(*) FILTER (WHERE l_returnflag = 'N' AND l_linestatus = 'O') AS no_n, max(l_quantity) FILTER (WHERE l_returnflag = 'N' AND l_linestatus = 'O') AS no_top
+FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY p_type""")
+def agg_pivot_tuple(t):
+    """Two key columns as they are, and values with names of their own."""
+    rows = t.lineitem.join(t.part, F.col("l_partkey") == F.col("p_partkey")).select("p_type", "l_returnflag", "l_linestatus", "l_quantity")
+    out = t.spark.sql("""SELECT * FROM {rows} PIVOT (count(l_quantity) AS n, max(l_quantity) AS top FOR (l_returnflag, l_linestatus) IN (('A', 'F') AS af, ('N', 'O') AS no))""", rows=rows)
+    return out.select("p_type", *[(F.coalesce(c, F.lit(0)) if c.endswith("_n") else F.col(c)).alias(c) for c in out.columns[1:]])
+
+
+@query("agg_pivot_complex", """
+SELECT l_linenumber, sum(l_quantity) FILTER (WHERE l_returnflag = 'A' AND l_linestatus = 'F') AS a_f, sum(l_quantity) FILTER (WHERE l_returnflag = 'R' AND l_linestatus = 'F') AS r_f
+FROM lineitem GROUP BY l_linenumber""")
+def agg_pivot_complex(t):
+    """An array as the key."""
+    rows = t.lineitem.select("l_linenumber", "l_quantity", F.array("l_returnflag", "l_linestatus").alias("kinds"))
+    return t.spark.sql("SELECT * FROM {rows} PIVOT (sum(l_quantity) FOR kinds IN (array('A', 'F') AS a_f, array('R', 'F') AS r_f))", rows=rows)
+
+
 @query("agg_empty", """
 SELECT count(*) AS n, sum(l_quantity) AS qty, max(l_shipdate) IS NULL AS none FROM lineitem WHERE l_quantity > 9999""")
 def agg_empty(t):

@@ -154,6 +154,17 @@ def hot_prefix_span(t):
     return found.select(F.array_join(F.flatten("sequence"), ">").alias("pattern"), "freq")
 
 
+@query("hot_range_moments", """
+WITH l AS (SELECT o_orderstatus AS k, o_orderkey AS id, o_totalprice / 100 + 1e6 AS x FROM orders)
+SELECT id, count(*) OVER w AS n, round(avg(x - 1e6) OVER w + 0.00123, 2) AS mean, round(stddev_pop(x - 1e6) OVER w, 2) AS sd
+FROM l WINDOW w AS (PARTITION BY k ORDER BY id RANGE BETWEEN 60 PRECEDING AND 40 FOLLOWING)""")
+def hot_range_moments(t):
+    """Each order state is hot, and all values have a large common offset."""
+    rows = t.orders.select(F.col("o_orderstatus").alias("k"), F.col("o_orderkey").alias("id"), (F.col("o_totalprice") / 100 + 1e6).alias("x"))
+    out = ow.range_moments(rows, ["k"], "id", 60, 40, F.col("x"), min_rows=MIN_ROWS, slices=FEW)
+    return out.select("id", "n", F.round(F.col("mean") - 1e6 + 0.00123, 2).alias("mean"), F.round(F.sqrt("var_pop"), 2).alias("sd"))
+
+
 @query("hot_percentiles", " UNION ALL ".join(f"""
 SELECT l_returnflag, {p}::DOUBLE AS point, round(quantile_cont(l_extendedprice, {p}), 4) AS pct FROM lineitem GROUP BY l_returnflag""" for p in POINTS))
 def hot_percentiles(t):

@@ -4,7 +4,7 @@ from pyspark.ml import classification as mc, clustering as mk, evaluation as me,
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
-from millrace.operators import features as of, models as om, sequences
+from millrace.operators import features as of, linalg, models as om, sequences
 from millrace.registry import query
 
 WIDTH = 64  # of the embeddings
@@ -133,17 +133,9 @@ def ml_pca(t):
 
 @query("ml_svd")
 def ml_svd(t):
-    """Singular values from the Gram matrix, summed on Spark: a row per dimension, a column per other dimension."""
-    import numpy as np
-
-    x = F.col("x").cast("double")
-    spread = t.embeddings.select(F.posexplode("embedding").alias("i", "x"), "embedding")
-    lines = spread.groupBy("i").agg(*[F.sum(x * F.col("embedding")[j].cast("double")).alias(f"g{j}") for j in range(WIDTH)]).collect()
-    g = np.zeros((WIDTH, WIDTH))
-    for line in lines:
-        g[line["i"]] = line[1:]
-    values = np.sqrt(np.clip(np.linalg.eigvalsh(g)[::-1], 0, None))
-    return t.spark.createDataFrame([(i, float(s)) for i, s in enumerate(values[:8])], "i int, singular_value double")
+    """The eight largest singular values of the vectors."""
+    values, _ = linalg.svd(t.embeddings, "embedding", 8)
+    return t.spark.createDataFrame([(i, float(s)) for i, s in enumerate(values)], "i int, singular_value double")
 
 
 @query("ml_selector")
@@ -223,9 +215,11 @@ def ml_gaussian_mixture(t):
 @query("ml_lda")
 def ml_lda(t):
     counts = mf.CountVectorizer(inputCol="words", outputCol="features", vocabSize=500, minDF=5)
-    rows = om.fit_score(counts, words(t))
-    topics = mk.LDA(k=4, maxIter=3, seed=1, optimizer="online").fit(rows).describeTopics(5)
-    return topics.select("topic", F.size("termIndices").alias("terms"))
+    model = counts.fit(words(t))
+    topics = mk.LDA(k=4, maxIter=3, seed=1, optimizer="online").fit(model.transform(words(t))).describeTopics(5)
+    names = F.array(*map(F.lit, model.vocabulary))
+    pairs = topics.select("topic", F.inline(F.arrays_zip("termIndices", "termWeights")))
+    return pairs.select("topic", F.element_at(names, F.col("termIndices") + 1).alias("term"), F.col("termWeights").alias("weight"))
 
 
 def _classify(name, make):

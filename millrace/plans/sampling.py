@@ -50,6 +50,14 @@ def sample_reservoir(t):
     return sp.reservoir(t.orders.select("o_orderkey"), 200, ["o_orderkey"], 3).agg(F.countDistinct("o_orderkey").alias("n"))
 
 
+@query("sample_reservoir_count", """SELECT count(*) AS total, least(count(*), 200) AS n, least(count(*), 200) AS there FROM orders""")
+def sample_reservoir_count(t):
+    """200 rows, all different and all from the table, and the number of rows, from one pass."""
+    found, total = sp.reservoir_and_count(t.orders.select("o_orderkey", "o_totalprice"), 200, 3)
+    back = found.distinct().join(t.orders.select("o_orderkey", "o_totalprice"), ["o_orderkey", "o_totalprice"], "left_semi")
+    return back.agg(F.lit(total).cast("bigint").alias("total"), F.count("*").alias("there")).withColumn("n", F.lit(found.count()).cast("bigint"))
+
+
 @query("sample_wanted_size")
 def sample_wanted_size(t):
     """A fraction large enough that 500 rows are there almost surely, then 500 of them."""

@@ -141,6 +141,42 @@ def win_shape(t):
     return ow.whole_key(t.orders.select("o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority"), ["o_custkey"], aggs).select("o_orderkey", "r", "kinds", "skew")
 
 
+SHAPE = """CASE WHEN count(*) OVER w > 2 AND var_pop(x - 1e6) OVER w > 1 AND var_pop(q) OVER w > 0.01 THEN round(corr(x - 1e6, q) OVER w, 5) END AS r,
+  CASE WHEN count(*) OVER w > 2 AND var_pop(x - 1e6) OVER w > 1 AND var_pop(q) OVER w > 0.01 THEN round((avg(((x - 1e6) / 1e3) ** 3) OVER w - 3 * avg((x - 1e6) / 1e3) OVER w * avg(((x - 1e6) / 1e3) ** 2) OVER w + 2 * (avg((x - 1e6) / 1e3) OVER w) ** 3)
+    / (stddev_pop((x - 1e6) / 1e3) OVER w) ** 3, 4) END AS skew, count(*) OVER w AS n"""
+
+
+def offset_orders(t):
+    return t.orders.select(F.col("o_orderkey").alias("id"), "o_orderpriority", (F.col("o_totalprice") / 100 + 1e6).alias("x"), F.col("o_custkey").alias("q"))
+
+
+def shaped(n, r, skew, vx, vy):
+    fine = (n > 2) & (vx > 1) & (vy > 0.01)
+    return [F.when(fine, F.round(r, 5)).alias("r"), F.when(fine, F.round(skew, 4)).alias("skew"), n.alias("n")]
+
+
+@query("win_shape_rows", f"""
+SELECT id, {SHAPE} FROM (SELECT o_orderkey AS id, o_orderpriority, o_totalprice / 100 + 1e6 AS x, o_custkey AS q FROM orders)
+WINDOW w AS (PARTITION BY o_orderpriority ORDER BY id ROWS BETWEEN 6 PRECEDING AND 3 FOLLOWING)""")
+def win_shape_rows(t):
+    """Correlation and skewness over rows frames of values with a large common offset."""
+    def make(w):
+        f = w.rowsBetween(-6, 3)
+        return shaped(F.count("*").over(f), F.corr("x", "q").over(f), F.skewness("x").over(f), F.var_pop("x").over(f), F.var_pop("q").over(f))
+
+    return ow.neighbours(offset_orders(t), ["o_orderpriority"], ["id"], 6, 3, make).select("id", "r", "skew", "n")
+
+
+@query("win_shape_range", f"""
+SELECT id, {SHAPE} FROM (SELECT o_orderkey AS id, o_orderpriority, o_totalprice / 100 + 1e6 AS x, o_custkey AS q FROM orders)
+WINDOW w AS (PARTITION BY o_orderpriority ORDER BY id RANGE BETWEEN 800 PRECEDING AND 200 FOLLOWING)""")
+def win_shape_range(t):
+    rows = offset_orders(t)
+    out = ow.range_moments(rows, ["o_orderpriority"], "id", 800, 200, F.col("x"), F.col("q"))
+    vy = ow.range_moments(rows, ["o_orderpriority"], "id", 800, 200, F.col("q")).select("id", F.col("var_pop").alias("vy"))
+    return out.join(vy, "id").select("id", *shaped(F.col("n"), F.col("corr"), F.col("skewness"), F.col("var_pop"), F.col("vy")))
+
+
 @query("win_collect", """
 SELECT o_orderkey, array_to_string(list(o_orderpriority) OVER (PARTITION BY o_custkey ORDER BY o_orderkey ROWS BETWEEN 2 PRECEDING AND CURRENT ROW), '|') AS recent FROM orders""")
 def win_collect(t):
