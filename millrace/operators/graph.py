@@ -197,7 +197,10 @@ def transitive_closure(edges: DataFrame, max_rounds: int = 64) -> DataFrame:
 
 
 def levels(parents: DataFrame, child: str, parent: str, max_levels: int = 10_000) -> DataFrame:
-    """Depth of each node of a forest given as child and parent; a row whose parent is null or no node is a root at 1."""
+    """Depth of each node of a forest given as child and parent; a row whose parent is null or no node is a root at 1.
+
+    Raises when nodes are left that no root leads to, as those on a cycle.
+    """
     links = parents.select(F.col(child).alias("id"), F.col(parent).alias("up"))
     nodes = links.select(F.col("id").alias("up"))
     frontier = checkpointed(links.join(nodes, "up", "left_anti").select("id", F.lit(1).alias("level")))
@@ -205,6 +208,9 @@ def levels(parents: DataFrame, child: str, parent: str, max_levels: int = 10_000
     for depth in range(2, max_levels + 1):
         frontier = checkpointed(links.join(frontier.select(F.col("id").alias("up")), "up", "left_semi").select("id", F.lit(depth).alias("level")))
         if frontier.isEmpty():
+            left = links.where("id IS NOT NULL").join(found.select("id"), "id", "left_anti").limit(1).collect()
+            if left:
+                raise RuntimeError(f"no root leads to {left[0]['id']}: it is on a cycle or below one")
             return found
         found = checkpointed(found.union(frontier))
     raise RuntimeError(f"the forest is deeper than {max_levels} levels")

@@ -108,6 +108,19 @@ def udf_iterator(t):
     return t.customer.select("c_custkey", F.round(lifted("c_acctbal"), 4).alias("lifted"))
 
 
+@query("udf_series_to_scalar", """
+SELECT p_brand, round(sqrt(sum(n * p_size * p_size) / sum(n)), 6) AS rms, sum(n)::BIGINT AS n FROM (SELECT p_brand, p_size, count(*) AS n FROM part GROUP BY ALL) GROUP BY p_brand""")
+def udf_series_to_scalar(t):
+    """A function from series to one value, by its type hints. It takes a row per value, so no group grows with the table."""
+    @F.pandas_udf("double")
+    def rms(size: pd.Series, n: pd.Series) -> float:
+        return float(((size.astype("float64") ** 2 * n).sum() / n.sum()) ** 0.5)
+
+    counts = t.part.groupBy("p_brand", "p_size").agg(F.count("*").alias("n"))
+    whole = counts.groupBy("p_brand").agg(F.sum("n").alias("n"))
+    return counts.groupBy("p_brand").agg(rms("p_size", "n").alias("rms")).join(whole, "p_brand").select("p_brand", F.round("rms", 6).alias("rms"), "n")
+
+
 @query("udf_agg", """
 SELECT l_returnflag, round(sqrt(sum(l_quantity * l_quantity) / count(*)), 6) AS rms FROM lineitem GROUP BY l_returnflag""")
 def udf_agg(t):

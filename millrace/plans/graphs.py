@@ -41,10 +41,11 @@ def graph_degree(t):
 
 
 @query("graph_triplets", f"""
-WITH {MESH} SELECT a.p_type AS src_p_type, b.p_type AS dst_p_type, count(*) AS n FROM mesh JOIN part a ON a.p_partkey = src JOIN part b ON b.p_partkey = dst GROUP BY ALL""")
+WITH {MESH} SELECT a.p_type AS src_p_type, b.p_type AS dst_p_type, count(*) AS n FROM mesh JOIN part a ON a.p_partkey = dst JOIN part b ON b.p_partkey = src GROUP BY ALL""")
 def graph_triplets(t):
+    """Of the edges the other way round."""
     v = t.part.select(F.col("p_partkey").alias("id"), "p_type")
-    return og.triplets(v, og.reverse(og.reverse(part_mesh(t)))).groupBy("src_p_type", "dst_p_type").agg(F.count("*").alias("n"))
+    return og.triplets(v, og.reverse(part_mesh(t))).groupBy("src_p_type", "dst_p_type").agg(F.count("*").alias("n"))
 
 
 @query("graph_messages", f"""

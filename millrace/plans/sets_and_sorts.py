@@ -1,5 +1,7 @@
 """Set operations, orders, limits and layout."""
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from millrace.operators import sorting as so, windows as ow
@@ -143,3 +145,21 @@ def checkpoint_reuse(t):
     per = so.cut(t.orders.groupBy("o_custkey").agg(F.sum("o_totalprice").alias("v")))
     return per.select(F.lit("sum").alias("kind"), F.col("v")).groupBy("kind").agg(F.round(F.sum("v"), 2).alias("total")).union(
         per.select(F.lit("top").alias("kind"), F.col("v")).groupBy("kind").agg(F.round(F.max("v"), 2).alias("total")))
+
+
+@query("cache_reuse", """
+SELECT o_orderpriority, count(*) AS n, round(max(o_totalprice), 2) AS top, (SELECT count(*) FROM orders WHERE o_orderstatus = 'F') AS all_done FROM orders WHERE o_orderstatus = 'F' GROUP BY o_orderpriority""")
+def cache_reuse(t):
+    """A lazily cached view on disk, read twice and let go again; the results are written before that."""
+    from millrace.session import checkpointed
+
+    name = f"millrace_done_{uuid.uuid4().hex}"
+    t.orders.where("o_orderstatus = 'F'").select("o_orderpriority", "o_totalprice").createOrReplaceTempView(name)
+    t.spark.sql(f"CACHE LAZY TABLE {name} OPTIONS ('storageLevel' 'DISK_ONLY')")
+    try:
+        kept = t.spark.table(name)
+        total = kept.count()
+        return checkpointed(kept.groupBy("o_orderpriority").agg(F.count("*").alias("n"), F.round(F.max("o_totalprice"), 2).alias("top"), F.lit(total).cast("bigint").alias("all_done")))
+    finally:
+        t.spark.sql(f"UNCACHE TABLE {name}")
+        t.spark.catalog.dropTempView(name)

@@ -6,7 +6,7 @@ from millrace.operators import maintenance as om
 from millrace.registry import query
 from millrace.session import scratch_path
 from millrace.sources import files as sf, generate as sg, records as sr
-from millrace.sources.tables import staged
+from millrace.sources.tables import parallelized, staged
 
 CUSTOMER = """SELECT c_custkey, c_name, c_nationkey, c_acctbal FROM customer"""
 COLUMNS = "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double"
@@ -188,6 +188,26 @@ def src_delimited(t):
     return back.select("p_partkey", F.col("m")["brand"].alias("brand"), "kind", F.element_at("items", -1).alias("last_item"), F.col("m")["name"].alias("name"))
 
 
+@query("src_delimited_escaped", """SELECT p_partkey, p_name || '|;=' || chr(92) || chr(10) || 'x' || chr(92) AS name, p_brand || ';' AS item, p_type || '=' AS value FROM part""")
+def src_delimited_escaped(t):
+    """Values that hold every mark, the escape and line ends; lines end with a mark of their own."""
+    path = scratch_path(t.spark, "escaped")
+    rows = t.part.select("p_partkey", F.concat("p_name", F.lit("|;=\\\nx\\")).alias("name"), F.array(F.lit("\\N"), F.concat("p_brand", F.lit(";"))).alias("items"),
+                         F.create_map(F.lit("k="), F.concat("p_type", F.lit("="))).alias("m"))
+    how = {"field": "|", "item": ";", "key": "=", "escape": "\\", "null": "NULL", "line": "\x1e"}
+    sf.write_delimited(rows, path, **how)
+    back = sf.read_delimited(t.spark, path, {"p_partkey": "bigint", "name": "string", "items": "array<string>", "m": "map<string,string>"}, **how)
+    return back.where(F.col("items")[0] == "\\N").select("p_partkey", "name", F.col("items")[1].alias("item"), F.col("m")["k="].alias("value"))
+
+
+@query("src_parallelized", """SELECT n_regionkey, count(*) AS customers FROM nation JOIN customer ON c_nationkey = n_nationkey GROUP BY n_regionkey""")
+def src_parallelized(t):
+    """The nations as a local list, cut into slices."""
+    rows = [(r["n_nationkey"], r["n_regionkey"]) for r in t.nation.select("n_nationkey", "n_regionkey").orderBy("n_nationkey").limit(1000).collect()]  # the table of nations is short
+    local = parallelized(t.spark, rows, "k bigint, n_regionkey bigint", 4)
+    return t.customer.groupBy("c_nationkey").agg(F.count("*").alias("n")).join(local, F.col("c_nationkey") == F.col("k")).groupBy("n_regionkey").agg(F.sum("n").alias("customers"))
+
+
 @query("src_regex_table", """SELECT split_part(p_name, ' ', 1) AS tone, split_part(p_name, ' ', 2) AS thing, count(*) AS n FROM part GROUP BY ALL""")
 def src_regex_table(t):
     path = staged(t.part.select("p_name"), "regex", "text")

@@ -5,7 +5,7 @@ import time
 from pyspark.sql import functions as F
 
 from millrace.functions.times import as_instant, from_instant
-from millrace.operators import stats as st
+from millrace.operators import stats as st, windows as ow
 from millrace.registry import query
 from millrace.session import scratch_path
 from millrace.streaming import commits as sc, models as sm, sinks as sk, sources as ss, state as sx
@@ -64,6 +64,16 @@ def stream_static_join(t):
     return sk.run_complete(totals, "static_join").withColumn("total", F.round("total", 2))
 
 
+@query("stream_ranked_join", """
+SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY n DESC, c_mktsegment)::INTEGER AS rank
+FROM (SELECT event_type, c_mktsegment, count(*) AS n FROM events JOIN customer ON user_id = c_custkey GROUP BY ALL) QUALIFY rank <= 3""")
+def stream_ranked_join(t):
+    """The stream meets the customers; after each batch the segments of each kind of event are ranked anew."""
+    joined = events(t).join(t.customer.select("c_custkey", "c_mktsegment"), F.col("user_id") == F.col("c_custkey"))
+    counts = sk.run_complete(joined.groupBy("event_type", "c_mktsegment").agg(F.count("*").alias("n")), "ranked")
+    return ow.top_k(counts, ["event_type"], [F.desc("n"), F.col("c_mktsegment")], 3, "rank")
+
+
 @query("stream_word_count", """
 SELECT word, count(*) AS n FROM (SELECT unnest(regexp_split_to_array(text, '\\s+')) AS word FROM documents) WHERE word <> '' GROUP BY word""")
 def stream_word_count(t):
