@@ -70,6 +70,20 @@ def _entities(text: Column) -> Column:
     return F.concat(parts[0], F.concat_ws("", rest))
 
 
+def _line(value: Column) -> Column:
+    """The value as it may stand in a field of one line: line ends and tabs percent-encoded, other control characters left out."""
+    clean = value
+    for char, code in (("\r", "%0D"), ("\n", "%0A"), ("\t", "%09")):
+        clean = F.replace(clean, F.lit(char), F.lit(code))
+    return F.when(value.rlike("[\\x00-\\x1F\\x7F]"), F.regexp_replace(clean, "[\\x00-\\x1F\\x7F]", "")).otherwise(value)
+
+
+def _link(value: Column) -> Column:
+    """An attribute's link: entities decoded, blanks at the ends and line ends and tabs anywhere taken out, as browsers do."""
+    url = F.when(F.contains(value, F.lit("&")), _entities(value)).otherwise(value)
+    return _line(F.btrim(F.when(url.rlike("[\\r\\n\\t]"), F.regexp_replace(url, "[\\r\\n\\t]+", "")).otherwise(url)))
+
+
 def _visible(html: Column) -> Column:
     """The page without tags and hidden parts, block elements on lines of their own."""
     t = F.regexp_replace(_text(html), _HIDDEN, " ")
@@ -104,7 +118,7 @@ def derivatives(found: DataFrame) -> DataFrame:
     """
     body = F.concat("http_headers", F.lit(CRLF * 2), "payload")
     title = _tidy(_entities(F.regexp_extract("payload", r"(?is)<title\b[^<>]*+>(.*?)</title\s*>", 1)))
-    links = F.array_distinct(F.transform(F.regexp_extract_all("payload", F.lit(_attribute("a", "href")), F.lit(1)), _unquoted))
+    links = F.array_distinct(F.transform(F.regexp_extract_all("payload", F.lit(_attribute("a", "href")), F.lit(1)), lambda v: _link(_unquoted(v))))
     # step by step, so that no step is worked out once for every mention of it
     seen = found.withColumn("text", _visible(F.col("payload"))).withColumn("text", _entities(F.col("text"))).withColumns({
         "payload_digest": _sha(F.col("payload")), "source_digest": _sha(body), "text": _tidy(F.col("text")), "title": title,
@@ -112,7 +126,7 @@ def derivatives(found: DataFrame) -> DataFrame:
         "metadata_id": _record_id(F.lit("metadata"), F.col("record_id")), "conversion_id": _record_id(F.lit("conversion"), F.col("record_id")),
     })
     fields = F.concat_ws(
-        CRLF, F.concat(F.lit("title: "), F.regexp_replace("title", "\\s+", " ")), F.concat(F.lit("language: "), F.col("language")),
+        CRLF, F.concat(F.lit("title: "), _line(F.regexp_replace("title", "\\s+", " "))), F.concat(F.lit("language: "), _line(F.col("language"))),
         F.concat(F.lit("conversion: "), F.col("conversion_id")), F.concat(F.lit("source-payload-digest: "), F.col("payload_digest")), F.concat(F.lit("source-block-digest: "), F.col("source_digest")),
         F.transform(F.split("http_headers", CRLF), lambda h: F.concat(F.lit("source-header: "), h)), F.transform("links", lambda u: F.concat(F.lit("outlink: "), u)), F.lit(""),
     )
@@ -122,8 +136,8 @@ def derivatives(found: DataFrame) -> DataFrame:
     rows = rows.withColumns({"block_digest": _sha(F.col("block")), "content_length": F.octet_length("block").cast("long")})
     head = F.concat_ws(CRLF, F.lit("WARC/1.1"), *(
         F.concat(F.lit(f"{name}: "), value) for name, value in (
-            ("WARC-Type", F.col("record_type")), ("WARC-Record-ID", F.col("derived_id")), ("WARC-Refers-To", F.col("record_id")), ("WARC-Refers-To-Target-URI", F.col("target_uri")),
-            ("WARC-Refers-To-Date", F.col("warc_date")), ("WARC-Target-URI", F.col("target_uri")), ("WARC-Date", F.col("warc_date")), ("WARC-Source-Payload-Digest", F.col("payload_digest")),
+            ("WARC-Type", F.col("record_type")), ("WARC-Record-ID", F.col("derived_id")), ("WARC-Refers-To", F.col("record_id")), ("WARC-Refers-To-Target-URI", _line(F.col("target_uri"))),
+            ("WARC-Refers-To-Date", F.col("warc_date")), ("WARC-Target-URI", _line(F.col("target_uri"))), ("WARC-Date", F.col("warc_date")), ("WARC-Source-Payload-Digest", F.col("payload_digest")),
             ("WARC-Block-Digest", F.col("block_digest")), ("Content-Type", F.col("content_type")), ("Content-Length", F.col("content_length").cast("string")))
     ))
     return rows.select("page_id", "record_type", F.col("derived_id").alias("record_id"), F.col("record_id").alias("refers_to"), "target_uri", "warc_date", "content_type", "content_length",
