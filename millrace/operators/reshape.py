@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-import subprocess
-from collections.abc import Iterator
+import shlex
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 
@@ -29,25 +27,14 @@ FILTERS = {
 
 
 def through_script(df: DataFrame, script: str, schema: str) -> DataFrame:
-    """Stream the rows of each partition, tab separated, through one of the fixed commands in ``FILTERS``.
+    """Stream the rows of each partition, tab separated, through one of the fixed commands in ``FILTERS``: one process for each task.
 
     Missing values travel as ``\\N``; tabs, line ends and backslashes as octal escapes such as ``\\011``, which the commands
-    leave alone, so every value comes back whole. Output fields are strings, cast to ``schema``.
+    leave alone, so every value comes back whole. Output fields are strings, cast to ``schema``; fields that are missing at the
+    end of a line are null, and more than the schema has are left out.
     """
-    command = FILTERS[script]
     fields = [part.strip().split()[0] for part in schema.split(",")]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            columns = [c.to_pylist() for c in batch.columns]
-            lines = ["\t".join("\\N" if v is None else v for v in row) for row in zip(*columns)]
-            if not lines:
-                continue
-            done = subprocess.run(command, input="\n".join(lines) + "\n", capture_output=True, text=True, check=True)
-            rows = [(line.split("\t") + [None] * len(fields))[: len(fields)] for line in done.stdout.split("\n")[:-1]]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([None if r[i] == "\\N" else r[i] for r in rows], pa.string()) for i in range(len(fields))], names=fields)
-
     def replaced(c: Column, pairs) -> Column:
         for old, new in pairs:
             c = F.replace(c, F.lit(old), F.lit(new))
@@ -55,7 +42,10 @@ def through_script(df: DataFrame, script: str, schema: str) -> DataFrame:
 
     # the backslash is escaped first and restored last
     clean = [replaced(F.col(f"`{c}`").cast("string"), ESCAPES).alias(c) for c in df.columns]
-    raw = df.select(*clean).mapInArrow(run, ", ".join(f"{f} string" for f in fields))
+    command = shlex.join(FILTERS[script]).replace("\\", "\\\\").replace('"', '\\"').replace("{", "{{").replace("}", "}}")
+    form = r"""ROW FORMAT DELIMITED FIELDS TERMINATED BY '\t' LINES TERMINATED BY '\n' NULL DEFINED AS '\\N'"""
+    names = ", ".join(f"`{c}`" for c in df.columns)
+    raw = df.sparkSession.sql(f"""SELECT TRANSFORM({names}) {form} USING "{command}" AS ({", ".join(f"{f} string" for f in fields)}) {form} FROM {{rows}}""", rows=df.select(*clean))
     casts = [part.strip().split(None, 1) for part in schema.split(",")]
     whole = raw.select(*[replaced(F.col(n), [(new, old) for old, new in reversed(ESCAPES)]).alias(n) for n, _ in casts])
     return whole.select(*[F.expr(f"try_cast({n} AS {kind})").alias(n) for n, kind in casts])
