@@ -105,15 +105,29 @@ mean AS (SELECT avg(qty * price) AS lim FROM sales WHERE yr BETWEEN 1997 AND 199
 g AS (SELECT s.ch, i.brand, i.cls, i.cat, sum(s.qty * s.price) AS v, count(*) AS n FROM sales s JOIN items i ON i.item = s.item JOIN kinds k ON k.brand = i.brand AND k.cls = i.cls AND k.cat = i.cat
   WHERE s.yr = 1999 AND s.mo = 11 GROUP BY s.ch, i.brand, i.cls, i.cat),
 big AS (SELECT ch, brand, cls, cat, v, n FROM g WHERE v > (SELECT lim FROM mean))"""
+# Once over the sales: kinds sold in all three channels, the mean of all sales, and the sums that are compared with it.
+CROSS_ONCE = """m AS (SELECT s.ch, i.brand, i.cls, i.cat, {sums}, sum(s.qty * s.price) AS whole, count(s.qty * s.price) AS lines
+  FROM sales s JOIN items i ON i.item = s.item WHERE s.yr BETWEEN 1997 AND 1999 GROUP BY s.ch, i.brand, i.cls, i.cat),
+k AS (SELECT *, count(*) OVER (PARTITION BY brand, cls, cat) AS channels, sum(whole) OVER () / sum(lines) OVER () AS lim FROM m)"""
+
+
+def month_sums(year: int, month: int, v: str, n: str) -> str:
+    test = f"s.yr = {year} AND s.mo = {month}"
+    return f"sum(CASE WHEN {test} THEN s.qty * s.price END) AS {v}, count(CASE WHEN {test} THEN 1 END) AS {n}"
+
+
+CROSS_BIG = CROSS_ONCE.format(sums=month_sums(1999, 11, "v", "n")) + ", big AS (SELECT ch, brand, cls, cat, v, n FROM k WHERE channels = 3 AND v > lim)"
+ROLLED = f"""SELECT ch, brand, cls, cat, {r("sum(v)", "v", 2)}, CAST(sum(n) AS BIGINT) AS n FROM big GROUP BY ROLLUP (ch, brand, cls, cat) ORDER BY ch NULLS FIRST, brand NULLS FIRST, cls NULLS FIRST, cat NULLS FIRST LIMIT 100"""
 ds("q14a", f"""
-WITH {CROSS_ITEMS} SELECT ch, brand, cls, cat, {r("sum(v)", "v", 2)}, CAST(sum(n) AS BIGINT) AS n FROM big GROUP BY ROLLUP (ch, brand, cls, cat) ORDER BY ch NULLS FIRST, brand NULLS FIRST, cls NULLS FIRST, cat NULLS FIRST LIMIT 100""")
+WITH {CROSS_ITEMS} SELECT ch, brand, cls, cat, {r("sum(v)", "v", 2)}, CAST(sum(n) AS BIGINT) AS n FROM big GROUP BY ROLLUP (ch, brand, cls, cat) ORDER BY ch NULLS FIRST, brand NULLS FIRST, cls NULLS FIRST, cat NULLS FIRST LIMIT 100""", spark=f"WITH {CROSS_BIG} {ROLLED}")
 
 TWO_WEEKS = CROSS_ITEMS.split("g AS (")[0] + """g AS (SELECT s.yr, i.brand, i.cls, i.cat, sum(s.qty * s.price) AS v, count(*) AS n FROM sales s JOIN items i ON i.item = s.item JOIN kinds k ON k.brand = i.brand AND k.cls = i.cls AND k.cat = i.cat
   WHERE s.ch = 'store' AND s.yr IN (1998, 1999) AND s.mo = 12 GROUP BY s.yr, i.brand, i.cls, i.cat),
 big AS (SELECT yr, brand, cls, cat, v, n FROM g WHERE v > (SELECT lim FROM mean)),
 wide AS (SELECT brand, cls, cat, sum(CASE WHEN yr = 1999 THEN v END) AS v99, CAST(sum(CASE WHEN yr = 1999 THEN n END) AS BIGINT) AS n99, sum(CASE WHEN yr = 1998 THEN v END) AS v98, CAST(sum(CASE WHEN yr = 1998 THEN n END) AS BIGINT) AS n98 FROM big GROUP BY brand, cls, cat)"""
 LAST_YEAR = f"""WITH {TWO_WEEKS} SELECT brand, cls, cat, round(v99, 2) AS v99, n99, round(v98, 2) AS v98, n98 FROM wide WHERE v99 IS NOT NULL AND v98 IS NOT NULL ORDER BY brand, cls, cat LIMIT 100"""
-ds("q14b", LAST_YEAR)
+ds("q14b", LAST_YEAR, spark=f"""WITH {CROSS_ONCE.format(sums=month_sums(1999, 12, "v99", "n99") + ", " + month_sums(1998, 12, "v98", "n98"))}
+SELECT brand, cls, cat, round(v99, 2) AS v99, n99, round(v98, 2) AS v98, n98 FROM k WHERE ch = 'store' AND channels = 3 AND v99 > lim AND v98 > lim ORDER BY brand, cls, cat LIMIT 100""")
 
 ds("q15", f"""
 SELECT p.zip, {r("sum(s.price)", "total", 2)} FROM sales s JOIN people p ON p.cust = s.cust WHERE s.ch = 'catalog' AND s.qtr = 2 AND s.yr = 1998 AND (p.zip < 20 OR p.state IN ('NATION_1', 'NATION_7') OR s.price > 80000)
@@ -323,7 +337,13 @@ WITH g AS (SELECT ch, item, sum(CASE WHEN flag = 'R' THEN floor(qty / 2) ELSE 0
   WHERE yr = 1998 AND profit > 1 GROUP BY ch, item HAVING sum(CASE WHEN flag = 'R' THEN 1 ELSE 0 END) > 0),
 k AS (SELECT ch, item, back, money, rank() OVER (PARTITION BY ch ORDER BY back, item) AS r1, rank() OVER (PARTITION BY ch ORDER BY money, item) AS r2 FROM g)
 SELECT ch, item, round(back, 6) AS back, r1, r2 FROM k WHERE r1 <= 10 OR r2 <= 10 ORDER BY ch, r1, r2, item LIMIT 100"""
-ds("q49", RATIOS)
+# The ten first by each ratio, which Spark trims before it shuffles, and then the places of these few by the other one.
+RATIO_PLACES = RATIOS.split("k AS (")[0] + """t AS (SELECT ch, item, back, money FROM (SELECT *, row_number() OVER (PARTITION BY ch ORDER BY back, item) AS p FROM g) WHERE p <= 10
+  UNION SELECT ch, item, back, money FROM (SELECT *, row_number() OVER (PARTITION BY ch ORDER BY money, item) AS p FROM g) WHERE p <= 10)
+SELECT /*+ BROADCAST(t) */ t.ch, t.item, round(t.back, 6) AS back, CAST(1 + count_if(g.back < t.back OR g.back = t.back AND g.item < t.item) AS INT) AS r1,
+  CAST(1 + count_if(g.money < t.money OR g.money = t.money AND g.item < t.item) AS INT) AS r2
+FROM t JOIN g ON g.ch = t.ch GROUP BY t.ch, t.item, t.back ORDER BY t.ch, r1, r2, t.item LIMIT 100"""  # t has twenty rows a channel
+ds("q49", RATIOS, spark=RATIO_PLACES)
 
 LAGS = ((None, 30), (30, 60), (60, 90), (90, 120), (120, None))
 

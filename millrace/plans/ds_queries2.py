@@ -228,6 +228,16 @@ ds("q99", ship_lags("catalog"))
 
 # Later variants: grouping by rollup becomes a union of one query per level.
 
+def rolled(select: str, source: str, keys: list[str], measures: str, order: str) -> str:
+    """The same by ROLLUP, for which Spark reads the finest groups once."""
+    names = ", ".join(k.split(":")[0] for k in keys)
+    return f"{source} {select} FROM (SELECT {names}, {measures} FROM base GROUP BY ROLLUP ({names})) u ORDER BY {order} LIMIT 100"
+
+
+def rollup(name: str, *how) -> None:
+    ds(name, levels(*how), spark=rolled(*how).replace(d1.CROSS_ITEMS, d1.CROSS_BIG))
+
+
 def levels(select: str, source: str, keys: list[str], measures: str, order: str) -> str:
     """A rollup over ``keys`` from the finest groups: each level sums the finest one, so the base is scanned once."""
     parts = []
@@ -238,8 +248,8 @@ def levels(select: str, source: str, keys: list[str], measures: str, order: str)
     return f"{source} {select} FROM ({' UNION ALL '.join(parts)}) u ORDER BY {order} LIMIT 100"
 
 
-ds("v27_q5a", levels(f"SELECT ch, outlet, {r('sold', 'sales', 2)}, {r('back', 'returned')}, {r('gain', 'profit')}", f"WITH {d1.CHANNEL_MOVES}, base AS (SELECT ch, outlet, sum(sold) AS sold, sum(back) AS back, sum(gain) - sum(lost) AS gain FROM moves GROUP BY ch, outlet)",
-                     ["ch:VARCHAR(10)", "outlet:BIGINT"], "sum(sold) AS sold, sum(back) AS back, sum(gain) AS gain", "ch NULLS FIRST, outlet NULLS FIRST"))
+rollup("v27_q5a", f"SELECT ch, outlet, {r('sold', 'sales', 2)}, {r('back', 'returned')}, {r('gain', 'profit')}", f"WITH {d1.CHANNEL_MOVES}, base AS (SELECT ch, outlet, sum(sold) AS sold, sum(back) AS back, sum(gain) - sum(lost) AS gain FROM moves GROUP BY ch, outlet)",
+                     ["ch:VARCHAR(10)", "outlet:BIGINT"], "sum(sold) AS sold, sum(back) AS back, sum(gain) AS gain", "ch NULLS FIRST, outlet NULLS FIRST")
 
 ds("v27_q6", """
 WITH m AS (SELECT cat, avg(list) * 1.005 AS lim FROM items GROUP BY cat)
@@ -256,22 +266,22 @@ ds("v27_q11", d1.GROWTH.format(yearly=d1.YEARLY.replace("net", "price - disc")))
 ds("v27_q12", d1.class_share("web", " LIMIT 100").replace("(2, 3)", "(4, 5)"))
 ds("v27_q14", d1.LAST_YEAR.replace("mo = 12", "mo = 6"))
 
-ds("v27_q14a", levels(f"SELECT ch, brand, cls, cat, {r('v', 'v', 2)}, n", f"WITH {d1.CROSS_ITEMS}, base AS (SELECT ch, brand, cls, cat, v, n FROM big)",
-                      ["ch:VARCHAR(10)", "brand:VARCHAR(20)", "cls:VARCHAR(20)", "cat:VARCHAR(20)"], "sum(v) AS v, CAST(sum(n) AS BIGINT) AS n", "ch NULLS FIRST, brand NULLS FIRST, cls NULLS FIRST, cat NULLS FIRST"))
+rollup("v27_q14a", f"SELECT ch, brand, cls, cat, {r('v', 'v', 2)}, n", f"WITH {d1.CROSS_ITEMS}, base AS (SELECT ch, brand, cls, cat, v, n FROM big)",
+                      ["ch:VARCHAR(10)", "brand:VARCHAR(20)", "cls:VARCHAR(20)", "cat:VARCHAR(20)"], "sum(v) AS v, CAST(sum(n) AS BIGINT) AS n", "ch NULLS FIRST, brand NULLS FIRST, cls NULLS FIRST, cat NULLS FIRST")
 
 SUM_COUNT = ", ".join(f"sum({e}) AS t{i}" for i, e in enumerate(("s.qty", "s.price", "s.disc", "s.net", "s.profit"), 1)) + ", count(*) AS n"
-ds("v27_q18a", levels("SELECT cat, country, state, " + ", ".join(f"round(t{i}, 4) / n AS a{i}" for i in range(1, 6)), f"WITH base AS (SELECT i.cat, p.country, p.state, {SUM_COUNT} {d1.GEO_FROM} GROUP BY i.cat, p.country, p.state)",
-                      ["cat:VARCHAR(20)", "country:VARCHAR(20)", "state:VARCHAR(20)"], ", ".join(f"sum(t{i}) AS t{i}" for i in range(1, 6)) + ", sum(n) AS n", "country NULLS FIRST, state NULLS FIRST, cat NULLS FIRST"))
+rollup("v27_q18a", "SELECT cat, country, state, " + ", ".join(f"round(t{i}, 4) / n AS a{i}" for i in range(1, 6)), f"WITH base AS (SELECT i.cat, p.country, p.state, {SUM_COUNT} {d1.GEO_FROM} GROUP BY i.cat, p.country, p.state)",
+                      ["cat:VARCHAR(20)", "country:VARCHAR(20)", "state:VARCHAR(20)"], ", ".join(f"sum(t{i}) AS t{i}" for i in range(1, 6)) + ", sum(n) AS n", "country NULLS FIRST, state NULLS FIRST, cat NULLS FIRST")
 
 ds("v27_q20", d1.class_share("catalog", " LIMIT 100").replace("(2, 3)", "(6, 7)"))
 ds("v27_q22", f"""SELECT i.cat, i.cls, i.color, {r("avg(k.qoh)", "qoh")} FROM stock k JOIN items i ON i.item = k.item WHERE k.yr = 1999 GROUP BY ROLLUP (i.cat, i.cls, i.color) ORDER BY qoh, i.cat NULLS FIRST, i.cls NULLS FIRST, i.color NULLS FIRST LIMIT 100""")
-ds("v27_q22a", levels("SELECT cat, cls, brand, round(t, 4) / n AS qoh", "WITH base AS (SELECT i.cat, i.cls, i.brand, sum(k.qoh) AS t, count(*) AS n FROM stock k JOIN items i ON i.item = k.item WHERE k.yr = 1998 GROUP BY i.cat, i.cls, i.brand)",
-                      ["cat:VARCHAR(20)", "cls:VARCHAR(20)", "brand:VARCHAR(20)"], "sum(t) AS t, sum(n) AS n", "qoh, cat NULLS FIRST, cls NULLS FIRST, brand NULLS FIRST"))
+rollup("v27_q22a", "SELECT cat, cls, brand, round(t, 4) / n AS qoh", "WITH base AS (SELECT i.cat, i.cls, i.brand, sum(k.qoh) AS t, count(*) AS n FROM stock k JOIN items i ON i.item = k.item WHERE k.yr = 1998 GROUP BY i.cat, i.cls, i.brand)",
+                      ["cat:VARCHAR(20)", "cls:VARCHAR(20)", "brand:VARCHAR(20)"], "sum(t) AS t, sum(n) AS n", "qoh, cat NULLS FIRST, cls NULLS FIRST, brand NULLS FIRST")
 ds("v27_q24", d1.returned_color("new").replace("p.country = o.country", "p.country <> o.country"))
 
 SUM27 = ", ".join(f"sum({e}) AS t{i}" for i, e in enumerate(("s.qty", "s.price", "s.disc", "s.net"), 1)) + ", count(*) AS n"
-ds("v27_q27a", levels("SELECT cls, state, " + ", ".join(f"round(t{i}, 4) / n AS a{i}" for i in range(1, 5)), f"WITH base AS (SELECT i.cls, o.state, {SUM27} {d1.STATE_FROM} GROUP BY i.cls, o.state)",
-                      ["cls:VARCHAR(20)", "state:VARCHAR(20)"], ", ".join(f"sum(t{i}) AS t{i}" for i in range(1, 5)) + ", sum(n) AS n", "cls NULLS FIRST, state NULLS FIRST"))
+rollup("v27_q27a", "SELECT cls, state, " + ", ".join(f"round(t{i}, 4) / n AS a{i}" for i in range(1, 5)), f"WITH base AS (SELECT i.cls, o.state, {SUM27} {d1.STATE_FROM} GROUP BY i.cls, o.state)",
+                      ["cls:VARCHAR(20)", "state:VARCHAR(20)"], ", ".join(f"sum(t{i}) AS t{i}" for i in range(1, 5)) + ", sum(n) AS n", "cls NULLS FIRST, state NULLS FIRST")
 
 ds("v27_q34", d1.tickets(1, 3, "s.yr IN (1998, 1999) AND p.cars > 1 AND p.seg = 'FURNITURE'"))
 ds("v27_q35", d1.BY_STATE.replace("we = 1 OR ca = 1", "ca = 1"))
@@ -280,6 +290,14 @@ WITH u AS ({UNION_BUYERS}), st AS ({STORE_BUYERS}) SELECT p.state, p.gender, p.m
 GROUP BY p.state, p.gender, p.marital ORDER BY p.state, p.gender, p.marital LIMIT 100""")
 
 
+def ranked(name: str, measure: str, base: str, down: str) -> None:
+    """Ranks inside each level; Spark reads the finest groups once."""
+    once = f"""
+WITH base AS ({base}), u AS (SELECT {measure} AS v, k1, k2, CAST(grouping(k1) + grouping(k2) AS INT) AS lochierarchy FROM base GROUP BY ROLLUP (k1, k2))"""
+    union = ranked_levels(measure, base, down)
+    ds(name, union, spark=once + union[union.rindex("\nSELECT round(v, 6)") :])
+
+
 def ranked_levels(measure: str, base: str, down: str) -> str:
     """A two-level rollup as a union, ranked inside each level."""
     return f"""
@@ -288,9 +306,9 @@ UNION ALL SELECT {measure}, CAST(NULL AS VARCHAR(20)), CAST(NULL AS VARCHAR(20))
 SELECT round(v, 6) AS v, k1, k2, lochierarchy, rank() OVER (PARTITION BY lochierarchy, CASE WHEN lochierarchy = 0 THEN k1 END ORDER BY v {down}) AS place FROM u ORDER BY lochierarchy DESC, k1 NULLS FIRST, place, k2 NULLS FIRST LIMIT 100"""
 
 
-ds("v27_q36a", ranked_levels("sum(gain) / sum(v0)", "SELECT i.cat AS k1, i.cls AS k2, sum(s.profit) AS gain, sum(s.price) AS v0 FROM sales s JOIN items i ON i.item = s.item JOIN outlets o ON o.outlet = s.outlet WHERE s.ch = 'store' AND s.yr = 1998 AND o.country IN ('ASIA', 'EUROPE') GROUP BY i.cat, i.cls", "ASC"))
+ranked("v27_q36a", "sum(gain) / sum(v0)", "SELECT i.cat AS k1, i.cls AS k2, sum(s.profit) AS gain, sum(s.price) AS v0 FROM sales s JOIN items i ON i.item = s.item JOIN outlets o ON o.outlet = s.outlet WHERE s.ch = 'store' AND s.yr = 1998 AND o.country IN ('ASIA', 'EUROPE') GROUP BY i.cat, i.cls", "ASC")
 ds("v27_q47", d1.months_around("store", "o.state"))
-ds("v27_q49", d1.RATIOS.replace("yr = 1998", "yr = 1999"))
+ds("v27_q49", d1.RATIOS.replace("yr = 1998", "yr = 1999"), spark=d1.RATIO_PLACES.replace("yr = 1998", "yr = 1999"))
 ds("v27_q51a", running(", rank() OVER (PARTITION BY item ORDER BY day) AS place"))
 ds("v27_q57", d1.months_around("catalog", "o.country"))
 ds("v27_q64", cross_years(" AND a99 > 0"))
@@ -301,16 +319,16 @@ LEVELS67 = " UNION ALL ".join(
     for n in range(6, -1, -1))
 ds("v27_q67a", f"WITH base AS (SELECT {', '.join(KEYS67)}, sum(s.price * s.qty) AS v {FROM67} GROUP BY {', '.join(KEYS67)}), " + rank_by_category(LEVELS67).strip()[5:])
 
-ds("v27_q70a", ranked_levels("sum(v0)", f"SELECT o.country AS k1, o.state AS k2, sum(s.profit) AS v0 FROM sales s JOIN outlets o ON o.outlet = s.outlet JOIN {TOP_STATES} t ON t.top_state = o.state WHERE s.ch = 'store' AND s.yr = 1998 GROUP BY o.country, o.state", "DESC"))
+ranked("v27_q70a", "sum(v0)", f"SELECT o.country AS k1, o.state AS k2, sum(s.profit) AS v0 FROM sales s JOIN outlets o ON o.outlet = s.outlet JOIN {TOP_STATES} t ON t.top_state = o.state WHERE s.ch = 'store' AND s.yr = 1998 GROUP BY o.country, o.state", "DESC")
 ds("v27_q72", shortage(" AND p.deps > 1"))
 ds("v27_q74", SPEND.format(sums=LARGEST.replace("max(", "sum(")))
 ds("v27_q75", DECLINE.replace("'PROMO'", "'ECONOMY'"))
 ds("v27_q77a", channel_profit(f", base AS (SELECT ch, outlet, sold, back, gain FROM j) SELECT ch, outlet, {r('sold', 'sales', 2)}, {r('back', 'returned')}, {r('gain', 'profit')} FROM (SELECT ch, outlet, sum(sold) AS sold, sum(back) AS back, sum(gain) AS gain FROM base GROUP BY ch, outlet "
                               f"UNION ALL SELECT ch, CAST(NULL AS BIGINT), sum(sold), sum(back), sum(gain) FROM base GROUP BY ch UNION ALL SELECT CAST(NULL AS VARCHAR(10)), CAST(NULL AS BIGINT), sum(sold), sum(back), sum(gain) FROM base) u {END77}"))
 ds("v27_q78", LOYAL.replace("flag <> 'R' AND yr = 1998", "flag <> 'R' AND yr = 1999"))
-ds("v27_q80a", levels(f"SELECT ch, outlet, {r('sold', 'sales', 2)}, {r('back', 'returned')}, {r('gain', 'profit')}", f"{MOVES80}, base AS (SELECT ch, outlet, sum(sold) AS sold, sum(back) AS back, sum(gain) AS gain FROM j GROUP BY ch, outlet)",
-                      ["ch:VARCHAR(10)", "outlet:BIGINT"], "sum(sold) AS sold, sum(back) AS back, sum(gain) AS gain", "ch NULLS FIRST, outlet NULLS FIRST"))
-ds("v27_q86a", ranked_levels("sum(v0)", "SELECT i.cat AS k1, i.cls AS k2, sum(s.net) AS v0 FROM sales s JOIN items i ON i.item = s.item WHERE s.ch = 'web' AND s.yr = 1998 GROUP BY i.cat, i.cls", "DESC"))
+rollup("v27_q80a", f"SELECT ch, outlet, {r('sold', 'sales', 2)}, {r('back', 'returned')}, {r('gain', 'profit')}", f"{MOVES80}, base AS (SELECT ch, outlet, sum(sold) AS sold, sum(back) AS back, sum(gain) AS gain FROM j GROUP BY ch, outlet)",
+                      ["ch:VARCHAR(10)", "outlet:BIGINT"], "sum(sold) AS sold, sum(back) AS back, sum(gain) AS gain", "ch NULLS FIRST, outlet NULLS FIRST")
+ranked("v27_q86a", "sum(v0)", "SELECT i.cat AS k1, i.cls AS k2, sum(s.net) AS v0 FROM sales s JOIN items i ON i.item = s.item WHERE s.ch = 'web' AND s.yr = 1998 GROUP BY i.cat, i.cls", "DESC")
 ds("v27_q98", d1.class_share("store", "").replace("(2, 3)", "(8, 9)"))
 
 # Modified variants: date ranges on the fact table, handed to its scan so that files and partitions are pruned.

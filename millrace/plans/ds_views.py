@@ -119,7 +119,7 @@ YEARS = {
 DATES = {name: years(*span) for span, names in YEARS.items() for name in names.split()}
 
 
-def ds(name: str, sql: str, dates: tuple[str, str] | None = None) -> None:
-    """Register a decision-support query written once for both engines."""
+def ds(name: str, sql: str, dates: tuple[str, str] | None = None, spark: str | None = None) -> None:
+    """Register a decision-support query: one text for both engines, or a text of its own for Spark where that reads less."""
     dates = dates or DATES.get(name)
-    query(f"ds_{name}", for_duckdb(sql))(lambda t: run(t, sql, dates))
+    query(f"ds_{name}", for_duckdb(sql))(lambda t: run(t, spark or sql, dates))
