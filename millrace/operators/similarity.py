@@ -5,6 +5,9 @@ from __future__ import annotations
 import math
 import random
 
+from functools import reduce
+from operator import add
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from millrace.operators.joins import broadcast_join, is_small
@@ -12,6 +15,12 @@ from millrace.session import checkpointed
 
 #: An item in more than 1 / COMMON of all sets' items is common; by counting, there are fewer such items.
 COMMON = 20_000
+#: columns of 64 bits that a set's items are hashed to, to tell unlike sets apart before they are counted
+MARKS = 8
+#: of sets that must share t items, 1 + t / MEET have to meet among their first ones
+MEET = 64
+#: an item's left sets that meet all its right sets in one task, about
+BLOCK = 4096
 
 
 def _needed(size: Column, threshold: float) -> Column:
@@ -35,24 +44,44 @@ def distinct_sets(df: DataFrame, id_col: str, items: Column) -> tuple[DataFrame,
 
 
 def _prefixes(sets: DataFrame, common: DataFrame, threshold: float) -> DataFrame:
-    """Of each set, the items that a similar set must share one of: the rarest ones, with their place in that order."""
+    """Of each set, the items that a similar set must share one of: the rarest ones, with the number of items from there
+    on in that order (``rest``), and the set's marks: bits that its items hash to, in ``MARKS`` columns, and the number of items beyond those bits (``unseen``).
+    """
     single = sets.select("id", "n", F.explode("items").alias("item"))
-    ranked = broadcast_join(single, common, "item", "left").select("id", "n", F.struct(F.coalesce("uses", F.lit(0)).alias("uses"), "item").alias("at"))
-    ordered = ranked.groupBy("id", "n").agg(F.sort_array(F.collect_list("at")).alias("at"))  # a set's own items
-    kept = F.slice("at", F.lit(1), (F.col("n") - _needed(F.col("n"), threshold) + 1).cast("int"))
-    return ordered.select("id", "n", F.posexplode(kept).alias("place", "at")).select("id", "n", "place", F.col("at.item").alias("item"))
+    ranked = broadcast_join(single, common, "item", "left").select("id", "n", F.struct(F.coalesce("uses", F.lit(0)).alias("uses"), "item").alias("at"), F.xxhash64("item").alias("h"))
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod("h", F.lit(64)).cast("int"))
+    marks = [F.coalesce(F.bit_or(F.when(F.floor(F.pmod("h", F.lit(64 * MARKS)) / 64) == k, bit)), F.lit(0).cast("bigint")).alias(f"m{k}") for k in range(MARKS)]
+    ordered = ranked.groupBy("id", "n").agg(F.sort_array(F.collect_list("at")).alias("at"), *marks)  # a set's own items
+    kept = F.slice("at", F.lit(1), (F.col("n") - F.col("need") + 1).cast("int"))
+    names = [f"m{k}" for k in range(MARKS)]
+    ones = reduce(add, [F.bit_count(F.col(m)) for m in names])
+    ordered = ordered.select("id", "n", "at", _needed(F.col("n"), threshold).cast("int").alias("need"), (F.col("n") - ones).alias("unseen"), *names)
+    placed = ordered.select("id", "n", "need", "unseen", F.posexplode(kept).alias("place", "at"), *names)
+    return placed.select("id", "n", "need", "unseen", (F.col("n") - F.col("place")).alias("rest"), F.col("at.item").alias("item"), *names)
+
+
+def _in_blocks(a: DataFrame, b: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The sets of an item that many have meet in several tasks: blocks of the left ones, each with all right ones."""
+    blocks = b.groupBy("item").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")).where("blocks > 1")
+    blocks = checkpointed(blocks)
+    dealt = broadcast_join(a, blocks, "item", "left").withColumn("block", F.pmod(F.xxhash64("id"), F.coalesce("blocks", F.lit(1))).cast("int"))
+    copied = broadcast_join(b, blocks, "item", "left").withColumn("block", F.explode(F.sequence(F.lit(0), F.coalesce("blocks", F.lit(1)) - 1)))
+    return dealt.drop("blocks"), copied.drop("blocks")
 
 
 def set_join(left: DataFrame, right: DataFrame | None, threshold: float) -> DataFrame:
     """All pairs of sets whose shared items are at least ``threshold`` of their items together: (``a``, ``b``, ``shared``).
 
     ``left`` and ``right`` are sets as ``distinct_sets`` gives them; without ``right`` the pairs of ``left`` with a < b. The
-    items of a set are ordered from rare to common, and two similar sets share an item among the first of each, as few as
-    their sizes and the threshold allow. Pairs that meet there are left out by size, and by what can still follow behind the
-    place; the others are counted in full. Rare items first also means that a common item is met only by sets without others.
+    items of a set are ordered from rare to common. Two sets that must share ``t`` items share ``l`` of them among the first
+    n - t + l of each: pairs that meet less often there are left out, as are pairs of unlike sizes and pairs whose marks show
+    too many items of one set that the other lacks. All of that is known where two sets meet, so that few pairs travel; what
+    is left is counted in full. Rare items first also means that a common item is met only by sets without others.
     """
     if not 0 < threshold <= 1:
         raise ValueError("the threshold must be above 0 and at most 1")
+    left = checkpointed(left)
+    right = None if right is None else checkpointed(right)
     both = left if right is None else left.unionByName(right)
     uses = both.select(F.explode("items").alias("item")).groupBy("item").agg(F.count("*").alias("uses"))
     uses = checkpointed(uses)
@@ -60,13 +89,20 @@ def set_join(left: DataFrame, right: DataFrame | None, threshold: float) -> Data
     common = uses.where(F.col("uses") > total / COMMON)
     a = checkpointed(_prefixes(left, common, threshold))
     b = a if right is None else checkpointed(_prefixes(right, common, threshold))
-    met = a.alias("a").join(b.alias("b"), F.col("a.item") == F.col("b.item"))
-    least = F.ceil((F.col("a.n") + F.col("b.n")) * F.lit(threshold / (1 + threshold)) - F.lit(1e-9))
-    met = met.where((F.col("a.n") >= _needed(F.col("b.n"), threshold)) & (F.col("b.n") >= _needed(F.col("a.n"), threshold)))
-    met = met.where(1 + F.least(F.col("a.n") - F.col("a.place") - 1, F.col("b.n") - F.col("b.place") - 1) + F.least("a.place", "b.place") >= least)
+    a, b = _in_blocks(a, b)
+    met = a.alias("a").join(b.alias("b"), (F.col("a.item") == F.col("b.item")) & (F.col("a.block") == F.col("b.block")))
     if right is None:
         met = met.where("a.id < b.id")
-    pairs = checkpointed(met.select(F.col("a.id").alias("a"), F.col("b.id").alias("b")).distinct())
+    need, rest = F.greatest("a.need", "b.need"), F.least("a.rest", "b.rest")
+    t = F.greatest(F.ceil((F.col("a.n") + F.col("b.n")) * F.lit(threshold / (1 + threshold)) - F.lit(1e-9)).cast("int"), need)
+    # a large set's first items are many, and more of them must meet; no more can be asked than both have laid out
+    more = F.floor(t / MEET).cast("int")
+    met = met.where((F.least("a.n", "b.n") >= need) & (rest >= need) & (rest >= t - more))
+    # an item of one set whose bit the other lacks is not shared
+    seen = reduce(add, [F.bit_count(F.col(f"a.m{k}").bitwiseAND(F.col(f"b.m{k}"))) for k in range(MARKS)])
+    met = met.where(seen + F.least("a.unseen", "b.unseen") >= t)
+    pairs = met.groupBy(F.col("a.id").alias("a"), F.col("b.id").alias("b")).agg(F.count("*").alias("met"), F.max(1 + F.least(more, t - need)).alias("least"))
+    pairs = checkpointed(pairs.where("met >= least").select("a", "b"))
     sets = pairs.join(left.select(F.col("id").alias("a"), F.col("items").alias("x")), "a").join((left if right is None else right).select(F.col("id").alias("b"), F.col("items").alias("y")), "b")
     counted = sets.select("a", "b", F.size(F.array_intersect("x", "y")).alias("shared"), (F.size("x") + F.size("y")).alias("n"))
     return counted.where(F.col("shared") >= F.lit(threshold) * (F.col("n") - F.col("shared")) - F.lit(1e-9)).select("a", "b", "shared")

@@ -33,6 +33,27 @@ def test_set_join(spark, monkeypatch, threshold):
     assert si.set_join(whole.limit(0), None, threshold).collect() == []
 
 
+def test_unlike_sets_do_not_travel(spark, monkeypatch):
+    """Sets of common items meet all others, in several blocks of an item; few of them are laid down as pairs."""
+    monkeypatch.setattr(si, "BLOCK", 20)
+    r, laid, keep = random.Random(8), [], si.checkpointed
+    sets = {i: frozenset(r.sample(range(60), r.randint(15, 25))) for i in range(300)}
+    sets |= {1000 + i: sets[i] ^ {0, 1} for i in range(20)}
+
+    def checkpointed(df):
+        out = keep(df)
+        if out.columns == ["a", "b"]:
+            laid.append(out.count())
+        return out
+
+    monkeypatch.setattr(si, "checkpointed", checkpointed)
+    whole, _ = si.distinct_sets(spark.createDataFrame([(i, sorted(s)) for i, s in sets.items()], "id int, items array<int>"), "id", F.col("items"))
+    named = {s: i for i, s in sorted(sets.items(), reverse=True)}
+    want = sorted((a, b, len(s & t)) for s, a in named.items() for t, b in named.items() if a < b and len(s & t) >= 0.8 * len(s | t))
+    assert sorted(map(tuple, si.set_join(whole, None, 0.8).collect())) == want and len(want) >= 10
+    assert laid[0] <= 3 * len(want)  # thousands before
+
+
 @pytest.mark.parametrize("small", [True, False])
 def test_near_join(spark, monkeypatch, small):
     monkeypatch.setattr(si, "is_small", lambda df, n: small)
