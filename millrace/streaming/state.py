@@ -1,29 +1,55 @@
 """Custom keyed state.
 
-A key's rows are dealt over ``SALTS`` parts by a hash of the row, and state is kept per key and part: a hot key is the work of
-several tasks. Whoever reads the results adds the parts up.
+Before the shuffle each task combines the rows of a key that lie in one Arrow batch, so a hot key sends one row for some
+thousands and a key's state is asked for once a batch. Results name a part of the key, which is 0: readers that add the parts
+up stay right.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from millrace.functions.times import as_instant
 
-SALTS = 8
+
+def _combined(rows: DataFrame, combine: Callable[[pa.Table], pa.Table], schema: str) -> DataFrame:
+    """The rows with those of a key and Arrow batch made fewer by ``combine``."""
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                yield from combine(pa.Table.from_batches([batch])).combine_chunks().to_batches()
+
+    return rows.mapInArrow(each, schema)
+
+
+def _sums(keys: list[str], aggregates: dict[str, tuple[str, str]]) -> Callable[[pa.Table], pa.Table]:
+    """Groups a batch by its keys; ``aggregates`` maps a result column to a column and Arrow's name of the aggregate."""
+    def combine(table: pa.Table) -> pa.Table:
+        import pyarrow.compute as pc
+
+        found = table.group_by(keys).aggregate([(c, f, pc.ScalarAggregateOptions(min_count=0) if f == "sum" else None) for c, f in aggregates.values()])
+        return pa.table({**{k: found[k] for k in keys}, **{name: found[f"{c}_{f}"] for name, (c, f) in aggregates.items()}})
+
+    return combine
+
+
+def _number(value) -> Column:
+    """As a double; NaN counts as missing."""
+    v = F.col(value).cast("double")
+    return F.when(~F.isnan(v), v)
 
 
 def running_totals(stream: DataFrame, key: str, value: str, row_id: str, initial: dict | None = None) -> DataFrame:
     """updateStateByKey: per key the count and sum so far, starting from ``initial`` {key: (count, total)}.
 
-    State is kept per (key, part), the part being a hash of the row, so a hot key's rows go to several tasks. Add the parts
-    up when reading: ``groupBy(key).agg(sum(n), sum(total))``.
+    Rows (key, part, n, total); ``row_id`` may be any column, as a key's rows are combined before the shuffle.
     """
     start = initial or {}
     kind = stream.schema[key].dataType.simpleString()
@@ -32,11 +58,12 @@ def running_totals(stream: DataFrame, key: str, value: str, row_id: str, initial
         k, part = keys
         n, total = state.get if state.exists else (start.get(k, (0, 0.0)) if part == 0 else (0, 0.0))
         for f in frames:
-            n, total = n + len(f), total + float(f["_v"].sum())
+            n, total = n + int(f["_n"].to_numpy().sum()), total + float(f["_v"].to_numpy().sum())
         state.update((int(n), float(total)))
         yield pd.DataFrame({key: [k], "part": [part], "n": [int(n)], "total": [float(total)]})
 
-    rows = stream.select(key, F.pmod(F.xxhash64(row_id), F.lit(SALTS)).cast("int").alias("part"), F.col(value).cast("double").alias("_v"))
+    rows = stream.select(key, F.lit(0).alias("part"), _number(value).alias("_v"), F.lit(1).cast("bigint").alias("_n"))
+    rows = _combined(rows, _sums([key, "part"], {"_n": ("_n", "sum"), "_v": ("_v", "sum")}), f"{key} {kind}, part int, _n bigint, _v double")
     return rows.groupBy(key, "part").applyInPandasWithState(
         update, f"{key} {kind}, part int, n bigint, total double", "n bigint, total double", "update", GroupStateTimeout.NoTimeout)
 
@@ -91,8 +118,8 @@ def merged_sessions(spark: SparkSession):
     return _setting(spark, "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition", "true")
 
 
-def _parts(stream: DataFrame, key: str, row_id: str, *columns) -> DataFrame:
-    return stream.select(F.col(key).alias("key"), F.pmod(F.xxhash64(row_id), F.lit(SALTS)).cast("int").alias("part"), *columns)
+def _parts(stream: DataFrame, key: str, *columns) -> DataFrame:
+    return stream.select(F.col(key).alias("key"), F.lit(0).alias("part"), *columns)
 
 
 def idle_sessions(stream: DataFrame, key: str, time: str, gap: str, delay: str) -> DataFrame:
@@ -114,22 +141,23 @@ class _IdleParts(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.seen = handle.getValueState("seen", "n bigint, last_ms bigint")
+        self.seen = handle.getValueState("seen", "n bigint, last_ms bigint, due bigint")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        n, last = self.seen.get() if self.seen.exists() else (0, None)
+        n, last, due = self.seen.get() or (0, None, None)
         for frame in rows:
-            n += len(frame)
+            n += int(frame["n"].to_numpy().sum())
             own = frame["ms"].dropna()
             last = last if own.empty else int(own.max()) if last is None else max(last, int(own.max()))
-        self.seen.update((int(n), last))
-        for timer in list(self.handle.listTimers()):
-            self.handle.deleteTimer(timer)
-        self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.idle_ms)
-        yield pd.DataFrame({"key": [], "part": [], "n": [], "last_ms": []})
+        if due is not None:
+            self.handle.deleteTimer(due)
+        due = timerValues.getCurrentProcessingTimeInMs() + self.idle_ms
+        self.seen.update((n, last, due))
+        self.handle.registerTimer(due)
+        yield from ()
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        n, last = self.seen.get()
+        n, last, _ = self.seen.get()
         self.seen.clear()
         yield pd.DataFrame({"key": pd.Series([key[0]], dtype=object), "part": [key[1]], "n": [n], "last_ms": pd.array([last], dtype="Int64")})
 
@@ -144,30 +172,36 @@ def idle_by_clock(stream: DataFrame, key: str, time: str, row_id: str, idle_ms:
     """
     kind = stream.schema[key].dataType.simpleString()
     at = as_instant(time) if dict(stream.dtypes)[time] == "timestamp_ntz" else F.col(time)
-    rows = _parts(stream, key, row_id, F.unix_millis(at).alias("ms"))
+    rows = _parts(stream, key, F.unix_millis(at).alias("ms"), F.lit(1).cast("bigint").alias("n"))
+    rows = _combined(rows, _sums(["key", "part"], {"n": ("n", "sum"), "ms": ("ms", "max")}), f"key {kind}, part int, n bigint, ms bigint")
     return rows.groupBy("key", "part").transformWithStateInPandas(_IdleParts(idle_ms), f"key {kind}, part int, n bigint, last_ms bigint", "Append", "ProcessingTime")
 
 
 class _Kinds(StatefulProcessor):
-    """A map of counts and sums by kind, each entry forgotten some time after its last change."""
+    """A map of counts and sums by kind, each entry forgotten some time after its last change. It is one value of the state, so
+    a batch of a key asks for it once and writes it once.
+    """
 
     def __init__(self, ttl_ms: int | None):
         self.ttl_ms = ttl_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.kinds = handle.getMapState("kinds", "kind string", "n bigint, total double", self.ttl_ms)
+        self.kinds = handle.getValueState("kinds", "kinds array<struct<kind:string,n:bigint,total:double,at:bigint>>", self.ttl_ms)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        changed = set()
+        now = 0 if self.ttl_ms is None else timerValues.getCurrentProcessingTimeInMs()
+        held, changed = {}, set()
+        for kind, n, total, at in (self.kinds.get() or ([],))[0]:
+            if self.ttl_ms is None or at + self.ttl_ms > now:
+                held[kind] = (n, total, at)
         for frame in rows:
-            for kind, values in frame.groupby("kind", dropna=False)["value"]:
-                kind = None if pd.isna(kind) else kind
-                n, total = self.kinds.getValue((kind or "",)) or (0, 0.0)
-                self.kinds.updateValue((kind or "",), (int(n + len(values)), float(total + values.sum())))
-                changed.add(kind or "")
-        for kind in sorted(changed):
-            n, total = self.kinds.getValue((kind,))
-            yield pd.DataFrame({"key": pd.Series([key[0]], dtype=object), "part": [key[1]], "kind": [kind], "n": [n], "total": [total]})
+            for kind, n, total in zip(frame["kind"].tolist(), frame["n"].tolist(), frame["value"].tolist()):
+                had = held.get(kind, (0, 0.0))
+                held[kind] = (had[0] + n, had[1] + total, now)
+                changed.add(kind)
+        self.kinds.update(([(kind, *entry) for kind, entry in held.items()],))
+        made = sorted(changed)
+        yield pd.DataFrame({"key": pd.Series([key[0]] * len(made), dtype=object), "part": key[1], "kind": made, "n": [held[k][0] for k in made], "total": [held[k][1] for k in made]})
 
     def close(self) -> None:
         pass
@@ -179,7 +213,8 @@ def kind_totals(stream: DataFrame, key: str, kind: str, value: str, row_id: str,
     With ``ttl_ms`` an entry that has not changed for so long counts from nothing again. Start it inside ``state_store``.
     """
     key_kind = stream.schema[key].dataType.simpleString()
-    rows = _parts(stream, key, row_id, F.col(kind).cast("string").alias("kind"), F.coalesce(F.col(value).cast("double"), F.lit(0.0)).alias("value"))
+    rows = _parts(stream, key, F.coalesce(F.col(kind).cast("string"), F.lit("")).alias("kind"), _number(value).alias("value"), F.lit(1).cast("bigint").alias("n"))
+    rows = _combined(rows, _sums(["key", "part", "kind"], {"n": ("n", "sum"), "value": ("value", "sum")}), f"key {key_kind}, part int, kind string, n bigint, value double")
     return rows.groupBy("key", "part").transformWithStateInPandas(
         _Kinds(ttl_ms), f"key {key_kind}, part int, kind string, n bigint, total double", "Update", "None" if ttl_ms is None else "ProcessingTime")
 
@@ -194,7 +229,7 @@ class _Latest(StatefulProcessor):
         self.items = handle.getListState("items", "at bigint, item bigint")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        items = list(self.items.get()) if self.items.exists() else []
+        items = list(self.items.get())
         for frame in rows:
             # of a batch no more than the last ones are held
             items = sorted([*items, *frame.nlargest(self.keep, ["at", "item"])[["at", "item"]].itertuples(index=False, name=None)])[-self.keep :]
@@ -213,11 +248,18 @@ def latest(stream: DataFrame, key: str, time: str, item: str, keep: int) -> Data
     """
     kind = stream.schema[key].dataType.simpleString()
     at = as_instant(time) if dict(stream.dtypes)[time] == "timestamp_ntz" else F.col(time)
-    rows = _parts(stream, key, item, F.unix_micros(at).alias("at"), F.col(item).cast("long").alias("item")).where("at IS NOT NULL AND item IS NOT NULL")
+    rows = _parts(stream, key, F.unix_micros(at).alias("at"), F.col(item).cast("long").alias("item")).where("at IS NOT NULL AND item IS NOT NULL")
+
+    def last(table: pa.Table) -> pa.Table:
+        codes = table["key"].combine_chunks().dictionary_encode(null_encoding="encode").indices
+        frame = pd.DataFrame({"key": codes.to_numpy(), "at": table["at"].to_numpy(), "item": table["item"].to_numpy()})
+        return table.take(pa.array(frame.sort_values(["at", "item"]).groupby("key").tail(keep).index))
+
+    rows = _combined(rows, last, f"key {kind}, part int, at bigint, item bigint")
     return rows.groupBy("key", "part").transformWithStateInPandas(_Latest(keep), f"key {kind}, part int, slot int, at bigint, item bigint", "Update", "None")
 
 
 def latest_of(parts: DataFrame, keep: int) -> DataFrame:
-    """The last ``keep`` items of each key, newest first (``rank`` from 1), out of ``SALTS * keep`` at most."""
+    """The last ``keep`` items of each key, newest first (``rank`` from 1), out of those of its parts."""
     order = Window.partitionBy("key").orderBy(F.desc("at"), F.desc("item"))
     return parts.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= keep).select("key", "rank", "at", "item")

@@ -114,3 +114,28 @@ def test_kind_totals_forget_after_their_time(spark):
     spark.createDataFrame([(1, "a", "x", 5.0)], schema).write.mode("append").parquet(inbox)  # the same part of the key
     run()
     assert [x for x in got if x] == [[("", 1, 0.0), ("x", 1, 2.0)], [("x", 1, 5.0)]]
+
+
+def test_a_key_is_one_group_of_the_state(spark):
+    """One key, a null one, missing values and NaN."""
+    nan = float("nan")
+    data = [(i, None if i % 10 == 9 else 2**60 + 1, None if i % 7 == 0 else "xy"[i % 2], None if i % 5 == 0 else nan if i % 11 == 0 else float(i % 3), dt.datetime(2024, 1, 1) + dt.timedelta(seconds=i)) for i in range(400)]
+    batches = [spark.createDataFrame(data[i::2], "id bigint, k bigint, kind string, v double, ts timestamp_ntz").coalesce(1) for i in range(2)]
+    whole = lambda rows: sum(0.0 if r[3] is None or r[3] != r[3] else r[3] for r in rows)
+    keys = [None, 2**60 + 1]
+    out = sk.run_updates(sx.running_totals(ss.queue_stream(batches, "totals"), "k", "v", "id"), "totals", ["k", "part"])
+    assert sorted((str(r["k"]), r["n"], r["total"]) for r in out.collect()) == sorted((str(k), len(x), whole(x)) for k in keys for x in [[r for r in data if r[1] == k]])
+    with sx.state_store(spark):
+        kinds = sk.run_updates(sx.kind_totals(ss.queue_stream(batches, "kinds"), "k", "kind", "v", "id"), "kinds", ["key", "part", "kind"]).collect()
+        last = sk.run_updates(sx.latest(ss.queue_stream(batches, "latest"), "k", "ts", "id", 3), "latest", ["key", "part", "slot"])
+        last = sx.latest_of(last, 3).collect()
+    want = [(str(k), kind or "", len(x), whole(x)) for k in keys for kind in (None, "x", "y") for x in [[r for r in data if r[1] == k and r[2] == kind]] if x]
+    assert sorted((str(r["key"]), r["kind"], r["n"], r["total"]) for r in kinds) == sorted(want)
+    assert sorted((str(r["key"]), r["rank"], r["item"]) for r in last) == sorted((str(k), i + 1, r[0]) for k in keys for i, r in enumerate([r for r in data[::-1] if r[1] == k][:3]))
+    assert {r["part"] for r in out.collect()} == {0}  # eight groups for a key before
+
+
+def test_combining_keeps_one_row_for_a_key(spark):
+    rows = spark.range(1000).coalesce(1).selectExpr("id % 2 AS k", "1L AS n", "CAST(NULL AS double) AS v")
+    made = sx._combined(rows, sx._sums(["k"], {"n": ("n", "sum"), "v": ("v", "sum")}), "k bigint, n bigint, v double").collect()
+    assert sorted(map(tuple, made)) == [(0, 500, 0.0), (1, 500, 0.0)]
