@@ -70,9 +70,10 @@ def pregel(vertices: DataFrame, edges: DataFrame, message: Column, merge: Callab
     current = checkpointed(vertices.withColumn("_live", F.col("state").isNotNull()))
     for _ in range(max_iterations):
         live = current.where("_live").select(F.col("id").alias("src"), "state")
-        sent = edges.join(live, "src").select(F.col("dst").alias("id"), message.alias("msg")).where("msg IS NOT NULL")
+        # merged, as a broadcast of each round's vertices would pass the driver
+        sent = edges.join(live.hint("merge"), "src").select(F.col("dst").alias("id"), message.alias("msg")).where("msg IS NOT NULL")
         arrived = sent.groupBy("id").agg(merge("msg").alias("msg"))
-        joined = current.drop("_live").join(arrived, "id", "left")
+        joined = current.drop("_live").join(arrived.hint("merge"), "id", "left")
         hit = F.col("msg").isNotNull() & F.coalesce(changed, F.lit(False))
         nxt = joined.select(*[F.when(hit, update).otherwise(F.col("state")).alias("state") if c == "state" else F.col(c) for c in vertices.columns],
                             hit.alias("_live"))
