@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from millrace.functions import casts
 from millrace.functions.times import epoch_seconds
 from millrace.registry import query
+from millrace.session import spread
 
 
 def r8(c, name, digits=8):
@@ -338,7 +339,7 @@ def fn_xpath(t):
     def at(f, path, name):
         return f("xml", F.lit(path)).alias(name)
 
-    return t.customer.select("c_custkey", xml.alias("xml")).select(
+    return spread(t.customer, "c_custkey").select("c_custkey", xml.alias("xml")).select(
         "c_custkey", at(F.xpath_string, "c/n", "name"), at(F.xpath_boolean, "c/n", "there"), at(F.xpath_int, "c/k", "n"), at(F.xpath_short, "c/k", "sh"),
         at(F.xpath_long, "c/k", "lo"), at(F.xpath_double, "c/b", "bal"), F.round(F.xpath_float("xml", F.lit("c/b")).cast("double"), 1).alias("fl"),
         F.array_join(F.xpath("xml", F.lit("c/t/text()")), ",").alias("tags"), at(F.xpath_number, "count(c/t)", "counted"))
