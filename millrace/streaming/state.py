@@ -2,7 +2,7 @@
 
 Before the shuffle each task combines the rows of a key that lie in one Arrow batch, so a hot key sends one row for some
 thousands and a key's state is asked for once a batch. Results name a part of the key, which is 0: readers that add the parts
-up stay right.
+up stay right; the null key is another part.
 """
 
 from __future__ import annotations
@@ -119,7 +119,12 @@ def merged_sessions(spark: SparkSession):
 
 
 def _parts(stream: DataFrame, key: str, *columns) -> DataFrame:
-    return stream.select(F.col(key).alias("key"), F.lit(0).alias("part"), *columns)
+    """Keys as texts, and the null key as part 1: the state's groups of Python must not have null keys (``_keys_back``)."""
+    return stream.select(F.coalesce(F.col(key).cast("string"), F.lit("")).alias("key"), F.col(key).isNull().cast("int").alias("part"), *columns)
+
+
+def _keys_back(rows: DataFrame, kind: str) -> DataFrame:
+    return rows.withColumn("key", F.when(F.col("part") == 0, F.col("key").cast(kind)))
 
 
 def idle_sessions(stream: DataFrame, key: str, time: str, gap: str, delay: str) -> DataFrame:
@@ -173,8 +178,8 @@ def idle_by_clock(stream: DataFrame, key: str, time: str, row_id: str, idle_ms:
     kind = stream.schema[key].dataType.simpleString()
     at = as_instant(time) if dict(stream.dtypes)[time] == "timestamp_ntz" else F.col(time)
     rows = _parts(stream, key, F.unix_millis(at).alias("ms"), F.lit(1).cast("bigint").alias("n"))
-    rows = _combined(rows, _sums(["key", "part"], {"n": ("n", "sum"), "ms": ("ms", "max")}), f"key {kind}, part int, n bigint, ms bigint")
-    return rows.groupBy("key", "part").transformWithStateInPandas(_IdleParts(idle_ms), f"key {kind}, part int, n bigint, last_ms bigint", "Append", "ProcessingTime")
+    rows = _combined(rows, _sums(["key", "part"], {"n": ("n", "sum"), "ms": ("ms", "max")}), "key string, part int, n bigint, ms bigint")
+    return _keys_back(rows.groupBy("key", "part").transformWithStateInPandas(_IdleParts(idle_ms), "key string, part int, n bigint, last_ms bigint", "Append", "ProcessingTime"), kind)
 
 
 class _Kinds(StatefulProcessor):
@@ -214,9 +219,9 @@ def kind_totals(stream: DataFrame, key: str, kind: str, value: str, row_id: str,
     """
     key_kind = stream.schema[key].dataType.simpleString()
     rows = _parts(stream, key, F.coalesce(F.col(kind).cast("string"), F.lit("")).alias("kind"), _number(value).alias("value"), F.lit(1).cast("bigint").alias("n"))
-    rows = _combined(rows, _sums(["key", "part", "kind"], {"n": ("n", "sum"), "value": ("value", "sum")}), f"key {key_kind}, part int, kind string, n bigint, value double")
-    return rows.groupBy("key", "part").transformWithStateInPandas(
-        _Kinds(ttl_ms), f"key {key_kind}, part int, kind string, n bigint, total double", "Update", "None" if ttl_ms is None else "ProcessingTime")
+    rows = _combined(rows, _sums(["key", "part", "kind"], {"n": ("n", "sum"), "value": ("value", "sum")}), "key string, part int, kind string, n bigint, value double")
+    return _keys_back(rows.groupBy("key", "part").transformWithStateInPandas(
+        _Kinds(ttl_ms), "key string, part int, kind string, n bigint, total double", "Update", "None" if ttl_ms is None else "ProcessingTime"), key_kind)
 
 
 class _Latest(StatefulProcessor):
@@ -251,12 +256,11 @@ def latest(stream: DataFrame, key: str, time: str, item: str, keep: int) -> Data
     rows = _parts(stream, key, F.unix_micros(at).alias("at"), F.col(item).cast("long").alias("item")).where("at IS NOT NULL AND item IS NOT NULL")
 
     def last(table: pa.Table) -> pa.Table:
-        codes = table["key"].combine_chunks().dictionary_encode(null_encoding="encode").indices
-        frame = pd.DataFrame({"key": codes.to_numpy(), "at": table["at"].to_numpy(), "item": table["item"].to_numpy()})
-        return table.take(pa.array(frame.sort_values(["at", "item"]).groupby("key").tail(keep).index))
+        frame = table.to_pandas()
+        return table.take(pa.array(frame.sort_values(["at", "item"]).groupby(["key", "part"]).tail(keep).index))
 
-    rows = _combined(rows, last, f"key {kind}, part int, at bigint, item bigint")
-    return rows.groupBy("key", "part").transformWithStateInPandas(_Latest(keep), f"key {kind}, part int, slot int, at bigint, item bigint", "Update", "None")
+    rows = _combined(rows, last, "key string, part int, at bigint, item bigint")
+    return _keys_back(rows.groupBy("key", "part").transformWithStateInPandas(_Latest(keep), "key string, part int, slot int, at bigint, item bigint", "Update", "None"), kind)
 
 
 def latest_of(parts: DataFrame, keep: int) -> DataFrame:
