@@ -8,7 +8,12 @@ import random
 from functools import reduce
 from operator import add
 
+import numpy as np
+import pyarrow as pa
+
+from pyspark.ml.feature import MinHashLSHModel
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from millrace.operators.joins import broadcast_join, is_small
 from millrace.session import checkpointed
@@ -21,6 +26,10 @@ MARKS = 8
 MEET = 64
 #: an item's left sets that meet all its right sets in one task, about
 BLOCK = 4096
+#: vectors of a box, about: two boxes meet in a task
+BOX = 2048
+#: pairs of vectors that a task measures at once
+PAIRS = 1 << 20
 
 
 def _needed(size: Column, threshold: float) -> Column:
@@ -128,29 +137,81 @@ def distance(x: Column, y: Column) -> Column:
 def near_join(left: DataFrame, right: DataFrame, vector: str, radius: float, width: int, cells: int = 2) -> DataFrame:
     """Pairs of vectors at most ``radius`` apart, with ``distance``; columns of both sides must have different names, but for the vector.
 
-    Two near vectors are as near along any direction. Vectors are put into cells of ``radius`` along ``cells`` directions at right
-    angles, and the right ones are copied to the neighbouring cells: 3 to the power of ``cells`` each. Null vectors, and those
-    with null or NaN components or of another width, are near nothing. A right side that is small is sent to every task instead.
+    Two near vectors are as near along any direction. Vectors are laid out by their cells along ``cells`` directions at right
+    angles and cut into boxes of about ``BOX`` rows; boxes that are no further apart than ``radius`` along each direction meet,
+    a pair of boxes at a time, by a matrix product that leaves out the far pairs, and the others are measured. So a task holds two
+    boxes, and where directions tell nothing apart, all pairs are a matter of products. Null vectors, and those with null, NaN
+    or infinite components or of another width, are near nothing. A right side that is small is sent to every task instead.
     """
     def given(side: DataFrame, name: str) -> DataFrame:
         v = F.col(vector).cast("array<double>")
-        whole = (F.size(v) == width) & F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x))
+        whole = (F.size(v) == width) & F.forall(v, lambda x: x.isNotNull() & (F.abs(x) < float("inf")))
         return side.where(whole).select(*[c for c in side.columns if c != vector], v.alias(name))
 
     x, y = given(left, "_x"), given(right, "_y")
-    far = distance(F.col("_x"), F.col("_y"))
     if is_small(y, 1000):
-        met = x.crossJoin(F.broadcast(y))
-    else:
-        axes = directions(width, cells)
-
-        def cell(name: str, axis: list[float]) -> Column:
-            along = F.aggregate(F.zip_with(F.col(name), F.array(*map(F.lit, axis)), lambda a, b: a * b), F.lit(0.0), lambda s, v: s + v)
-            return F.floor(along / radius).cast("bigint")
-
-        x = x.withColumns({f"_c{k}": cell("_x", axis) for k, axis in enumerate(axes)})
-        for k, axis in enumerate(axes):
-            own = cell("_y", axis)
-            y = y.withColumn(f"_c{k}", F.explode(F.sequence(own - 1, own + 1)))
-        met = x.join(y, [f"_c{k}" for k in range(len(axes))])
-    return met.withColumn("distance", far).where(F.col("distance") <= radius).drop("_x", "_y", *[f"_c{k}" for k in range(cells)])
+        far = distance(F.col("_x"), F.col("_y"))
+        return x.crossJoin(F.broadcast(y)).withColumn("distance", far).where(F.col("distance") <= radius).drop("_x", "_y")
+    names, axes = [c for c in x.columns if c != "_x"], directions(width, cells)
+    others = [c for c in y.columns if c != "_y"]
+    x, y = _boxed(x, "_x", "_i", axes, radius), _boxed(y, "_y", "_j", axes, radius)
+    # a box is some thousand rows: their pairs are far fewer than those of the rows
+    pairs = _bounds(x, "_x", "_i", len(axes)).alias("l").crossJoin(F.broadcast(_bounds(y, "_y", "_j", len(axes)).alias("r")))
+    slack = F.lit(radius * (1 + 1e-9)) + 1e-13 * width * (F.col("l.long") + F.col("r.long"))
+    for k in range(len(axes)):
+        pairs = pairs.where((F.col(f"l.lo{k}") <= F.col(f"r.hi{k}") + slack) & (F.col(f"r.lo{k}") <= F.col(f"l.hi{k}") + slack))
+    pairs = checkpointed(pairs.select("_i", "_j"))
+    x = broadcast_join(x.select("_i", "_x", *names), pairs, "_i")
+    y = broadcast_join(y.select("_j", "_y", *others), pairs, "_j")
+
+    def meet(a: pa.Table, b: pa.Table) -> pa.Table:
+        u, v = (t.column(c).combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(len(t), -1) for t, c in ((a, "_x"), (b, "_y")))
+        left_at, right_at, apart = _near_pairs(u, v, radius)
+        found = [a.select(names).take(pa.array(left_at)), b.select(others).take(pa.array(right_at))]
+        return pa.table({n: t.column(n) for t in found for n in t.column_names} | {"distance": pa.array(apart)})
+
+    made = StructType([*[StructField(n, x.schema[n].dataType) for n in names], *[StructField(n, y.schema[n].dataType) for n in others], StructField("distance", DoubleType())])
+    return x.groupBy("_i", "_j").cogroup(y.groupBy("_i", "_j")).applyInArrow(meet, made)
+
+
+def _boxed(side: DataFrame, vector: str, name: str, axes: list[list[float]], radius: float) -> DataFrame:
+    """The vectors in boxes of near ones, with their places along the axes. The layout is written down, as a second run of
+    the range partitioner's sample could draw other bounds."""
+    for k, axis in enumerate(axes):
+        along = F.aggregate(F.zip_with(F.col(vector), F.array(*map(F.lit, axis)), lambda a, b: a * b), F.lit(0.0), lambda s, v: s + v)
+        side = side.withColumn(f"_a{k}", along)
+    boxes = max(1, -(-side.count() // BOX))
+    cells = [F.floor(F.col(f"_a{k}") / (radius or 1.0)) for k in range(len(axes) - 1)]
+    # equal vectors may be many: a number of the row tells them apart
+    placed = side.withColumn("_tie", F.monotonically_increasing_id())
+    return checkpointed(placed.repartitionByRange(boxes, *cells, f"_a{len(axes) - 1}", "_tie").drop("_tie").withColumn(name, F.spark_partition_id()))
+
+
+def _bounds(side: DataFrame, vector: str, name: str, axes: int) -> DataFrame:
+    """Each box's ends along the axes, and the length of its longest vector."""
+    length = F.sqrt(F.aggregate(F.col(vector), F.lit(0.0), lambda s, v: s + v * v))
+    return side.groupBy(name).agg(F.max(length).alias("long"), *[f(f"_a{k}").alias(f"{n}{k}") for k in range(axes) for f, n in ((F.min, "lo"), (F.max, "hi"))])
+
+
+def _near_pairs(u: np.ndarray, v: np.ndarray, radius: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row numbers of near vectors and their distances, summed component by component as ``distance`` does."""
+    found, step = [], 512
+    with np.errstate(all="ignore"):
+        uu, vv = (u * u).sum(1), (v * v).sum(1)
+        for at in range(0, len(u), step):
+            part, own = u[at : at + step], uu[at : at + step, None]
+            # what rounding hides is let through, and measured below
+            far = own + vv - 2 * (part @ v.T) > radius * radius * (1 + 1e-9) + 1e-13 * u.shape[1] * (own + vv)
+            i, j = np.nonzero(~far)
+            for low in range(0, len(i), PAIRS):
+                a, b = i[low : low + PAIRS], j[low : low + PAIRS]
+                total = np.zeros(len(a))
+                for k in range(u.shape[1]):
+                    d = part[a, k] - v[b, k]
+                    total += d * d
+                apart = np.sqrt(total)
+                near = apart <= radius
+                found.append((a[near] + at, b[near], apart[near]))
+    if not found:
+        return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0)
+    return tuple(np.concatenate(c) for c in zip(*found))

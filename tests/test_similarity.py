@@ -85,3 +85,25 @@ def test_recall_of_projections(spark):
     want = {(r["vec_id"], r["centre"]) for r in si.near_join(vectors, centres, "v", 1.2, 64).where("distance < 1.2").collect()}
     got = {(r["vec_id"], r["centre"]) for r in QUERIES["join_brp"](spark, FOLDER).collect()}
     assert len(want) > 10 and got <= want and len(got) >= 0.9 * len(want), (len(got & want), len(want))
+
+
+def test_boxes_of_vectors(spark, monkeypatch):
+    """Many boxes, equal vectors and far groups: all near pairs, bit for bit, and far boxes do not meet."""
+    monkeypatch.setattr(si, "is_small", lambda df, n: False)
+    monkeypatch.setattr(si, "BOX", 20)
+    r, met, keep = random.Random(9), [], si.checkpointed
+    rows = [(i, [r.gauss(40 * (i % 3), 1) for _ in range(6)]) for i in range(240)] + [(1000 + i, [0.5] * 6) for i in range(60)] + [(2000, [float("inf")] * 6)]
+
+    def checkpointed(df):
+        out = keep(df)
+        if out.columns == ["_i", "_j"]:
+            met.append(out.count())
+        return out
+
+    monkeypatch.setattr(si, "checkpointed", checkpointed)
+    df = spark.createDataFrame(rows, "id int, v array<double>")
+    pairs = df.toDF("a", "v").crossJoin(df.toDF("b", "w")).withColumn("distance", si.distance(F.col("v"), F.col("w"))).where("distance <= 1.5").select("a", "b", "distance")
+    got = si.near_join(df.toDF("a", "v"), df.toDF("b", "v"), "v", 1.5, 6, 3)
+    assert got.columns == ["a", "b", "distance"] and sorted(map(tuple, got.collect())) == sorted(map(tuple, pairs.collect())) and got.count() > 3600
+    assert met[0] < 15 * 15 / 2
+    assert si.near_join(df.toDF("a", "v").limit(0), df.toDF("b", "v"), "v", 1.5, 6, 3).collect() == []
