@@ -215,3 +215,27 @@ def _near_pairs(u: np.ndarray, v: np.ndarray, radius: float) -> tuple[np.ndarray
     if not found:
         return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0)
     return tuple(np.concatenate(c) for c in zip(*found))
+
+
+def min_hash_join(left: DataFrame, right: DataFrame, model: MinHashLSHModel, bound: float) -> DataFrame:
+    """(``a``, ``b``, ``distance``): ids of rows (``id``, ``features``) that share a hash in one of the model's tables, nearer than
+    ``bound``: the rows of ``approxSimilarityJoin``. A hash travels with the id and a digest of its row, not with the features.
+    """
+    def hashed(side: DataFrame, name: str) -> DataFrame:
+        at = F.unwrap_udt("features")["indices"]
+        own = side.select("id", "features", at.alias("at"))
+        keys = F.transform(F.col("hashes"), lambda h: F.unwrap_udt(h)["values"][0].cast("bigint"))
+        out = model.transform(own).select(F.struct("id", F.xxhash64("at").alias("h"), F.size("at").alias("n")).alias(name), F.col("at").alias(f"{name}_at"), keys.alias("keys"))
+        return checkpointed(out)
+
+    a, b = hashed(left, "a"), hashed(right, "b")
+    entries = [side.select(name, F.posexplode("keys").alias("table", "hash")) for side, name in ((a, "a"), (b, "b"))]
+    # sets nearer than the bound share more than 1 - bound of their items together, and no more than the smaller one has
+    most = F.least("a.n", "b.n")
+    met = broadcast_join(entries[0], entries[1], ["table", "hash"]).where(F.lit(1.0) - most / F.greatest("a.n", "b.n") < bound + 1e-9).select("a", "b").distinct()
+    items = b.select("b", "b_at").dropDuplicates(["b"])
+    pairs = broadcast_join(met, items, "b").select("a", "b", "b_at") if is_small(items) else met.join(items, "b")
+    whole = pairs.join(a.select("a", "a_at").dropDuplicates(["a"]), "a")
+    shared = F.size(F.array_intersect("a_at", "b_at"))
+    apart = whole.select(F.col("a.id").alias("a"), F.col("b.id").alias("b"), (F.lit(1.0) - shared / (F.col("a.n") + F.col("b.n") - shared)).alias("distance"))
+    return apart.where(F.col("distance") < bound)

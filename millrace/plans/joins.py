@@ -309,8 +309,7 @@ def join_minhash(t):
     tf = HashingTF(inputCol="words", outputCol="features", binary=True, numFeatures=1 << 18)
     docs, items = tf.transform(words(t.documents, "doc_id")), tf.transform(words(t.benchmark, "item_id"))
     model = MinHashLSH(inputCol="features", outputCol="hashes", numHashTables=48, seed=7).fit(docs)  # nine of ten pairs just within the bound meet
-    pairs = model.approxSimilarityJoin(docs.select("id", "features"), items.select("id", "features"), 0.9, "distance")
-    return pairs.select(F.col("datasetA.id").alias("doc_id"), F.col("datasetB.id").alias("item_id"), "distance")
+    return similarity.min_hash_join(docs, items, model, 0.9).withColumnsRenamed({"a": "doc_id", "b": "item_id"})
 
 
 @query("join_brp")

@@ -107,3 +107,17 @@ def test_boxes_of_vectors(spark, monkeypatch):
     assert got.columns == ["a", "b", "distance"] and sorted(map(tuple, got.collect())) == sorted(map(tuple, pairs.collect())) and got.count() > 3600
     assert met[0] < 15 * 15 / 2
     assert si.near_join(df.toDF("a", "v").limit(0), df.toDF("b", "v"), "v", 1.5, 6, 3).collect() == []
+
+
+def test_min_hash_join_is_the_models_own(spark):
+    """Equal ids, equal rows and a null id; no features travel with the hashes."""
+    from pyspark.ml.feature import HashingTF, MinHashLSH
+
+    r = random.Random(3)
+    rows = [(i % 70 if i % 9 else None, [f"w{r.randrange(40)}" for _ in range(r.randint(1, 60))]) for i in range(90)]
+    df = HashingTF(inputCol="w", outputCol="features", binary=True, numFeatures=1 << 12).transform(spark.createDataFrame([*rows, *rows[:5]], "id int, w array<string>"))
+    model = MinHashLSH(inputCol="features", outputCol="hashes", numHashTables=6, seed=7).fit(df)
+    left, right = df.select("id", "features"), df.where("id < 20").select("id", "features")
+    want = model.approxSimilarityJoin(left, right, 0.7, "distance").select("datasetA.id", "datasetB.id", "distance")
+    got = si.min_hash_join(left, right, model, 0.7)
+    assert sorted(map(repr, map(tuple, got.collect()))) == sorted(map(repr, map(tuple, want.collect()))) and got.count() > 50
