@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from millrace.session import checkpointed, task_slots
 
 HOT_ROWS = 2_000_000
+SLICE_ROWS = 1_000_000
 LOOK = object()  # stands for "look for hot keys first"
 
 
@@ -54,6 +55,8 @@ def with_slices(df: DataFrame, keys: list[str], order: list[str], min_rows: int
     if hot is None:
         return df.withColumn(name, F.lit(0).cast("bigint")), False
     n = slices or max(16, 2 * task_slots(df.sparkSession))
+    # a slice is one task: their number grows with the hot rows
+    n = max(n, -(-hot.agg(F.sum("_rows")).first()[0] // (hot.count() * SLICE_ROWS)))
     if not keys:
         return checkpointed(_laid_out(df, order, n, name)), True
     marks = hot.drop("_rows").withColumn("_hot", F.lit(True))

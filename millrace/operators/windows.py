@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from millrace.operators.skew import HOT_ROWS, LOOK, hot_keys, known_hot, same_keys, with_slices, window
+from millrace.session import checkpointed
 
 
 def running(df: DataFrame, keys: list[str], order: list[str], sums: dict[str, Column] | None = None,
@@ -148,12 +149,20 @@ def neighbours(df: DataFrame, keys: list[str], order: list[str], before: int, af
     return rows.select(*keep, "_own", *make(window(part, *order))).where("_own").drop("_own")
 
 
-def _finite(df: DataFrame, sums: dict[str, Column]) -> dict[str, Column]:
-    """Sums for which differences of running totals are right: infinities and NaN are left out of a double and counted."""
+def _finite(df: DataFrame, sums: dict[str, Column], look: bool = False) -> dict[str, Column]:
+    """Sums for which differences of running totals are right: infinities and NaN are left out of a double and counted.
+
+    With ``look`` the values are read first, and where all are finite nothing is counted beside them.
+    """
+    doubles = {n for n, c in sums.items() if df.select(c.alias("c")).schema["c"].dataType.typeName() in ("double", "float")}
+    odd = dict.fromkeys(doubles, True)
+    if look and doubles:
+        found = df.agg(*[F.min(F.abs(sums[n].cast("double")) < float("inf")).alias(n) for n in doubles]).first()
+        odd = {n: found[n] is False for n in doubles}
     out = {}
     for n, c in sums.items():
-        if df.select(c.alias("c")).schema["c"].dataType.typeName() not in ("double", "float"):
-            out[n] = c
+        if not odd.get(n):
+            out[n] = c.cast("double") if n in doubles else c
             continue
         c = c.cast("double")
         kinds = {"up": c == float("inf"), "down": c == -float("inf"), "nan": F.isnan(c)}
@@ -178,7 +187,7 @@ def range_frame(df: DataFrame, keys: list[str], at: str, before, after, sums: di
 
     ``at`` is a number (epoch microseconds or days for times). With a hot key, rows are first combined per distinct ``at``.
     Sums and counts are then differences of running totals looked up at both ends of the frame, which slices like any
-    running total; infinities and NaN are counted beside the totals, so they show in their own frames only; maxima and minima use cells as wide as the frame, each value copied to at most two.
+    running total; infinities and NaN are counted beside the totals, so they show in their own frames only; maxima and minima are running values of cells half as wide as the frame.
     """
     sums, maxes, mins = dict(sums or {}), dict(maxes or {}), dict(mins or {})
     keep = df.columns
@@ -188,13 +197,15 @@ def range_frame(df: DataFrame, keys: list[str], at: str, before, after, sums: di
         return df.select(
             "*", *[F.sum(c).over(w).alias(n) for n, c in sums.items()], *([F.count("*").over(w).alias(count)] if count else []),
             *[F.max(c).over(w).alias(n) for n, c in maxes.items()], *[F.min(c).over(w).alias(n) for n, c in mins.items()])
-    wanted, sums = list(sums), _finite(df, sums)
-    levels = df.groupBy(*keys, at).agg(
-        F.count("*").alias("_n"), *[F.sum(c).alias(f"_s_{n}") for n, c in sums.items()], *[F.count(c).alias(f"_c_{n}") for n, c in sums.items()],
-        *[F.max(c).alias(f"_x_{n}") for n, c in maxes.items()], *[F.min(c).alias(f"_m_{n}") for n, c in mins.items()])
+    wanted, sums = list(sums), _finite(df, sums, look=True)
+    # a sum that has a value in each row needs no count of its own: a frame holds its own row
+    counted = [n for n, c in sums.items() if df.select(c.alias("c")).schema["c"].nullable]
+    levels = checkpointed(df.groupBy(*keys, at).agg(
+        F.count("*").alias("_n"), *[F.sum(c).alias(f"_s_{n}") for n, c in sums.items()], *[F.count(sums[n]).alias(f"_c_{n}") for n in counted],
+        *[F.max(c).alias(f"_x_{n}") for n, c in maxes.items()], *[F.min(c).alias(f"_m_{n}") for n, c in mins.items()]))
     parts = []
     if sums or count:
-        totals = ["_n", *[f"_s_{n}" for n in sums], *[f"_c_{n}" for n in sums]]
+        totals = ["_n", *[f"_s_{n}" for n in sums], *[f"_c_{n}" for n in counted]]
 
         def probe(shift, kind, own):
             values = [F.coalesce(F.col(c), F.lit(0)).alias(c) if own else F.lit(0).cast(levels.schema[c].dataType).alias(c) for c in totals]
@@ -205,18 +216,9 @@ def range_frame(df: DataFrame, keys: list[str], at: str, before, after, sums: di
         ends = upto.where("_kind <> 1").groupBy(*keys, F.col("_at").alias(at)).agg(
             *[(F.max(F.when(F.col("_kind") == 2, F.col(f"_u{c}"))) - F.max(F.when(F.col("_kind") == 0, F.col(f"_u{c}")))).alias(f"_d{c}") for c in totals])
         parts.append(ends.select(*keys, at, *([F.col("_d_n").alias(count)] if count else []),
-                                 *[F.when(F.col(f"_d_c_{n}") > 0, F.col(f"_d_s_{n}")).alias(n) for n in sums]))
+                                 *[(F.when(F.col(f"_d_c_{n}") > 0, F.col(f"_d_s_{n}")) if n in counted else F.col(f"_d_s_{n}")).alias(n) for n in sums]))
     if maxes or mins:
-        width = max(float(before + after), 1e-9)
-        cell = F.floor(F.col(at) / width).cast("bigint")
-        rows = levels.withColumn("_cell", cell).withColumn("_own", F.lit(True))
-        for shift in (before, -after):
-            other = F.floor((F.col(at) + shift) / width).cast("bigint")
-            if shift:
-                rows = rows.unionByName(levels.withColumn("_cell", other).where(other != cell).withColumn("_own", F.lit(False)))
-        w = Window.partitionBy(*keys, "_cell").orderBy(at).rangeBetween(-before, after)
-        parts.append(rows.select(*keys, at, "_own", *[F.max(f"_x_{n}").over(w).alias(n) for n in maxes],
-                                 *[F.min(f"_m_{n}").over(w).alias(n) for n in mins]).where("_own").drop("_own"))
+        parts.append(_frame_extremes(levels, keys, at, before, after, list(maxes), list(mins), min_rows, slices))
     out = df
     for part in parts:
         names = [c for c in part.columns if c not in (*keys, at)]
@@ -224,6 +226,33 @@ def range_frame(df: DataFrame, keys: list[str], at: str, before, after, sums: di
     return out.select(*keep, *[_with_infinities(n, sums) if n in wanted else F.col(n) for n in extra])
 
 
+def _frame_extremes(levels: DataFrame, keys: list[str], at: str, before, after, maxes: list[str], mins: list[str], min_rows: int, slices: int | None) -> DataFrame:
+    """Maxima and minima over [at - before, at + after] of rows that are distinct in keys and ``at``.
+
+    Cells are half as wide as the frame, so a frame is the end of its first cell, whole cells, and the start of its last one.
+    Each of these is a running value of a cell, forwards or backwards, looked up at the frame's end: a row costs the same however
+    many rows a frame holds, and a hot cell is sliced.
+    """
+    width, low, high = (before + after) / 2, F.col(at) - before, F.col(at) + after
+    held = [*[f"_x_{n}" for n in maxes], *[f"_m_{n}" for n in mins]]
+    names = dict(zip([*maxes, *mins], held))
+    cell = lambda c: F.floor(c.cast("double") / (width or 1.0)).cast("bigint")
+    # missing and endless places, and places too large to tell from their neighbours, are frames of their own
+    wide = F.coalesce((F.abs(F.col(at).cast("double")) < float("inf")) & (cell(high) > cell(low)), F.lit(False)) if width > 0 else F.lit(False)
+    alone = levels.where(~wide).select(*keys, at, *[F.col(c).alias(n) for n, c in names.items()])
+    spread = levels.where(wide)
+
+    ahead = F.transform(F.sequence(cell(low) + 1, cell(high)), lambda c: F.struct(c.alias("_cell"), F.lit(1).alias("_way"), high.alias("_p"), F.lit(2).alias("_kind")))
+    back = F.struct(cell(low).alias("_cell"), F.lit(0).alias("_way"), (-low).alias("_p"), F.lit(2).alias("_kind"))
+    own = [F.struct(cell(F.col(at)).alias("_cell"), F.lit(way).alias("_way"), (F.col(at) if way else -F.col(at)).cast(levels.select(high.alias("p")).schema["p"].dataType).alias("_p"), F.lit(1).alias("_kind")) for way in (0, 1)]
+    points = spread.select(*keys, F.col(at).alias("_at"), *held, F.inline(F.concat(F.array(*own, back), ahead)))
+    points = points.select(*keys, "_cell", "_way", "_p", "_kind", "_at", *[F.when(F.col("_kind") == 1, F.col(c)).alias(c) for c in held])
+    upto = running(points, [*keys, "_cell", "_way"], ["_p", "_kind", "_at"], maxes={f"_u{n}": F.col(names[n]) for n in maxes}, mins={f"_l{n}": F.col(names[n]) for n in mins},
+                   min_rows=min_rows, slices=slices)
+    ends = upto.where("_kind = 2").groupBy(*keys, F.col("_at").alias(at)).agg(*[F.max(f"_u{n}").alias(n) for n in maxes], *[F.min(f"_l{n}").alias(n) for n in mins])
+    return ends.unionByName(alone)
+
+
 def range_moments(df: DataFrame, keys: list[str], at: str, before, after, x: Column, y: Column | None = None, min_rows: int = HOT_ROWS, slices: int | None = None) -> DataFrame:
     """``n``, ``mean``, ``var_pop``, ``skewness`` and, with ``y``, ``corr`` of the values in a range frame; null where they have none.
 

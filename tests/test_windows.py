@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import Window, functions as F
 
-from millrace.operators import windows as ow
+from millrace.operators import skew, windows as ow
 
 
 @pytest.fixture(scope="module")
@@ -232,3 +232,29 @@ def test_match_groups_bad_patterns():
     for bad in ("", "(A", "A.", "A B", "A)", "+A", "A|", "A&B"):
         with pytest.raises(ValueError):
             Pattern(bad)
+
+
+def test_extremes_of_wide_frames(spark):
+    """Cells that hold many places, odd places, and no count beside sums that are always there and finite."""
+    r = random.Random(4)
+    at = [r.randrange(400) / 8 for _ in range(600)] + [None, float("nan"), float("inf"), -float("inf"), 1e300, 1e300]
+    rows = spark.createDataFrame([(i % 7 == 0, a, i, r.random() if i % 5 else None) for i, a in enumerate(at)], "k boolean, at double, id int, x double")
+    for before, after in ((20, 15), (0, 0), (-2, 9)):
+        w = Window.partitionBy("k").orderBy("at").rangeBetween(-before, after)
+        want = rows.select("*", F.max("x").over(w).alias("hi"), F.min("id").over(w).alias("lo"))
+        got = ow.range_frame(rows, ["k"], "at", before, after, maxes={"hi": F.col("x")}, mins={"lo": F.col("id")}, min_rows=20, slices=4)
+        finite = "at IS NOT NULL" if before < 0 else "true"  # a frame that starts behind its own row
+        same(got.where(finite), want.where(finite))
+
+
+def test_finite_sums_are_not_counted(spark):
+    rows = spark.createDataFrame([(1.0, 2.0), (3.0, None)], "x double, y double")
+    assert ow._finite(rows, {"x": F.col("x"), "y": F.col("y")}, look=True).keys() == {"x", "y"}
+    assert len(ow._finite(rows.union(rows.select(F.lit(float("nan")), F.lit(-float("inf")))), {"x": F.col("x"), "y": F.col("y")}, look=True)) == 8
+
+
+def test_slices_grow_with_hot_rows(spark, monkeypatch):
+    monkeypatch.setattr(skew, "SLICE_ROWS", 50)
+    rows = spark.range(1000).select(F.lit("k").alias("k"), F.col("id"))
+    cut, hot = skew.with_slices(rows, ["k"], ["id"], 10, 5)
+    assert hot and cut.groupBy("_slice").count().agg(F.max("count")).first()[0] < 150
