@@ -7,6 +7,10 @@ from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.sql import DataFrame, functions as F
 
 
+#: rows that one task of a fit learns from, about
+FIT_ROWS = 1_000_000
+
+
 def assembled(df: DataFrame, columns: list[str], label: str | None = None, keep: list[str] | None = None) -> DataFrame:
     """(keep..., label, features) from numeric columns."""
     out = VectorAssembler(inputCols=columns, outputCol="features", handleInvalid="skip").transform(df)
@@ -14,9 +18,17 @@ def assembled(df: DataFrame, columns: list[str], label: str | None = None, keep:
     return out.select(*picked)
 
 
+def in_parts(train: DataFrame) -> DataFrame:
+    """The rows in tasks of about ``FIT_ROWS``: a fit keeps and reads again what a task holds, which as objects is many times its
+    part of the files. A frame that has no more than that is left as it is.
+    """
+    parts = -(-train.count() // FIT_ROWS)
+    return train if parts <= 1 else train.repartition(parts)
+
+
 def fit_score(estimator, train: DataFrame, score: DataFrame | None = None) -> DataFrame:
     """Fit on one frame, predict on another (or the same)."""
-    return estimator.fit(train).transform(train if score is None else score)
+    return estimator.fit(in_parts(train)).transform(train if score is None else score)
 
 
 def tally(predictions: DataFrame, column: str = "prediction") -> DataFrame:

@@ -482,3 +482,11 @@ def test_fraction_for_gives_enough_rows():
     for size, total in ((5, 100), (100, 5000), (900, 1000), (1, 10_000)):
         assert (rng.binomial(total, sp.fraction_for(size, total, failure=1e-2), 20_000) < size).mean() <= 1.5e-2
         assert (rng.poisson(total * sp.fraction_for(size, total, True, failure=1e-2), 20_000) < size).mean() <= 1.5e-2
+
+
+def test_a_fit_is_cut_into_tasks(spark, monkeypatch):
+    from millrace.operators import models as om
+
+    monkeypatch.setattr(om, "FIT_ROWS", 30)
+    df = spark.range(0, 100, 1, 1)
+    assert om.in_parts(df).rdd.getNumPartitions() == 4 and om.in_parts(df).count() == 100 and om.in_parts(df.limit(20)).rdd.getNumPartitions() == 1
