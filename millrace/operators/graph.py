@@ -14,7 +14,13 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from millrace.session import checkpointed
+from millrace.session import checkpointed, task_slots
+
+#: out-edges of a list of targets, about
+FAN = 1024
+#: votes of a task, about, and the parts that a vertex's votes are dealt to
+TASK_ROWS = 1_000_000
+PARTS = 16
 
 
 def vertices_of(edges: DataFrame) -> DataFrame:
@@ -134,14 +140,33 @@ def connected_components(edges: DataFrame, vertices: DataFrame | None = None, ma
     return ids.join(lowest, ids["id"] == lowest["u"], "left").select("id", F.coalesce("component", "id").alias("component"))
 
 
+def _fans(edges: DataFrame) -> DataFrame:
+    """The edges as (``src``, ``fan``): lists of up to about ``FAN`` targets of a vertex, and its ``d`` out-edges, so that a round's
+    join moves and sorts a row per list; the lists of a hub are many.
+    """
+    out = edges.groupBy("src").agg(F.count("*").alias("d"))
+    dealt = edges.join(out, "src").withColumn("_part", F.pmod(F.xxhash64("dst"), F.ceil(F.col("d") / FAN)))
+    return checkpointed(dealt.groupBy("src", "d", "_part").agg(F.collect_list("dst").alias("fan")).drop("_part"))
+
+
+def _in_tasks(rows: DataFrame, count: int, *keys: str) -> DataFrame:
+    """The rows by their keys, in tasks of about ``TASK_ROWS``, however few the session's reduce tasks are."""
+    return rows.repartition(max(task_slots(rows.sparkSession), -(-count // TASK_ROWS)), *keys)
+
+
 def label_propagation(edges: DataFrame, steps: int) -> DataFrame:
     """Exactly ``steps`` rounds; each vertex takes the most frequent label around it, the lowest one among equals."""
-    around = checkpointed(both_ways(edges))
+    edges = checkpointed(edges.select("src", "dst"))
+    around = _fans(both_ways(edges))
+    count = around.agg(F.sum(F.size("fan"))).first()[0] or 0
     labels = vertices_of(edges).withColumn("label", F.col("id"))
     for _ in range(steps):
-        votes = around.join(labels.select(F.col("id").alias("src"), "label"), "src").groupBy(F.col("dst").alias("id"), "label").agg(F.count("*").alias("n"))
-        # counts per vertex and label are combined before a vertex's labels meet
-        best = votes.groupBy("id").agg(F.max(F.struct(F.col("n"), (-F.col("label")).alias("neg"))).alias("b"))
+        sent = around.join(labels.select(F.col("id").alias("src"), "label"), "src").select(F.explode("fan").alias("id"), "label")
+        # a hub's votes are dealt by label as well; each part sends its best one on
+        sent = _in_tasks(sent.withColumn("_part", F.pmod(F.xxhash64("label"), F.lit(PARTS))), count, "id", "_part")
+        votes = sent.groupBy("id", "_part", "label").agg(F.count("*").alias("n"))
+        part = votes.groupBy("id", "_part").agg(F.max(F.struct(F.col("n"), (-F.col("label")).alias("neg"))).alias("b"))
+        best = _in_tasks(part.select("id", "b"), count, "id").groupBy("id").agg(F.max("b").alias("b"))
         labels = checkpointed(best.select("id", (-F.col("b.neg")).alias("label")))
     return labels
 
@@ -166,12 +191,12 @@ def page_rank(edges: DataFrame, iterations: int | None = 10, tolerance: float |
     """rank = reset + (1 - reset) * sum of rank / out-degree over in-links, from 1.0, a fixed number of times or until no
     rank moves by more than ``tolerance``.
     """
-    links = edges.select("src", "dst")
-    out = links.groupBy("src").agg(F.count("*").alias("d"))
-    weighted = checkpointed(links.join(out, "src").select("src", "dst", (1.0 / F.col("d")).alias("w")))
-    ranks = checkpointed(vertices_of(edges).withColumn("rank", F.lit(1.0)))
+    links = checkpointed(edges.select("src", "dst"))
+    fans = _fans(links)
+    ranks = checkpointed(vertices_of(links).withColumn("rank", F.lit(1.0)))
     for _ in range(max_iterations if iterations is None else iterations):
-        given = weighted.join(ranks.withColumnRenamed("id", "src"), "src").groupBy(F.col("dst").alias("id")).agg(F.sum(F.col("rank") * F.col("w")).alias("g"))
+        sent = fans.join(ranks.withColumnRenamed("id", "src"), "src").select(F.explode("fan").alias("id"), (F.col("rank") * (1.0 / F.col("d"))).alias("g"))
+        given = sent.groupBy("id").agg(F.sum("g").alias("g"))
         nxt = checkpointed(ranks.withColumnRenamed("rank", "old").join(given, "id", "left").select(
             "id", "old", (reset + (1 - reset) * F.coalesce("g", F.lit(0.0))).alias("rank")))
         moved = tolerance is not None and nxt.agg(F.max(F.abs(F.col("rank") - F.col("old")))).first()[0] <= tolerance
