@@ -146,7 +146,7 @@ def _fans(edges: DataFrame) -> DataFrame:
     """
     out = edges.groupBy("src").agg(F.count("*").alias("d"))
     dealt = edges.join(out, "src").withColumn("_part", F.pmod(F.xxhash64("dst"), F.ceil(F.col("d") / FAN)))
-    return checkpointed(dealt.groupBy("src", "d", "_part").agg(F.collect_list("dst").alias("fan")).drop("_part"))
+    return checkpointed(dealt.groupBy("src", "d", "_part").agg(F.collect_list(F.struct("dst")).alias("fan")).drop("_part"))  # a list would lose a missing target
 
 
 def _in_tasks(rows: DataFrame, count: int, *keys: str) -> DataFrame:
@@ -161,7 +161,7 @@ def label_propagation(edges: DataFrame, steps: int) -> DataFrame:
     count = around.agg(F.sum(F.size("fan"))).first()[0] or 0
     labels = vertices_of(edges).withColumn("label", F.col("id"))
     for _ in range(steps):
-        sent = around.join(labels.select(F.col("id").alias("src"), "label"), "src").select(F.explode("fan").alias("id"), "label")
+        sent = around.join(labels.select(F.col("id").alias("src"), "label"), "src").select(F.explode("fan.dst").alias("id"), "label")
         # a hub's votes are dealt by label as well; each part sends its best one on
         sent = _in_tasks(sent.withColumn("_part", F.pmod(F.xxhash64("label"), F.lit(PARTS))), count, "id", "_part")
         votes = sent.groupBy("id", "_part", "label").agg(F.count("*").alias("n"))
@@ -195,7 +195,7 @@ def page_rank(edges: DataFrame, iterations: int | None = 10, tolerance: float |
     fans = _fans(links)
     ranks = checkpointed(vertices_of(links).withColumn("rank", F.lit(1.0)))
     for _ in range(max_iterations if iterations is None else iterations):
-        sent = fans.join(ranks.withColumnRenamed("id", "src"), "src").select(F.explode("fan").alias("id"), (F.col("rank") * (1.0 / F.col("d"))).alias("g"))
+        sent = fans.join(ranks.withColumnRenamed("id", "src"), "src").select(F.explode("fan.dst").alias("id"), (F.col("rank") * (1.0 / F.col("d"))).alias("g"))
         given = sent.groupBy("id").agg(F.sum("g").alias("g"))
         nxt = checkpointed(ranks.withColumnRenamed("rank", "old").join(given, "id", "left").select(
             "id", "old", (reset + (1 - reset) * F.coalesce("g", F.lit(0.0))).alias("rank")))

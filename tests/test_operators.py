@@ -491,7 +491,7 @@ def test_votes_and_ranks_travel_as_lists(spark, monkeypatch):
     pairs = [(0, i) for i in range(1, 40)] + [(i, (i * 7) % 40) for i in range(40)] + [(3, 5), (3, 5)]
     e = edges(spark, pairs)
     fans = og._fans(e).collect()
-    assert sorted((f["src"], x) for f in fans for x in f["fan"]) == sorted(pairs) and sum(f["src"] == 0 for f in fans) > 4
+    assert sorted((f["src"], x["dst"]) for f in fans for x in f["fan"]) == sorted(pairs) and sum(f["src"] == 0 for f in fans) > 4
     ids = sorted({x for p in pairs for x in p})
     label, rank = {i: i for i in ids}, {i: 1.0 for i in ids}
     for _ in range(3):
@@ -502,6 +502,7 @@ def test_votes_and_ranks_travel_as_lists(spark, monkeypatch):
         label = {i: min(v, key=lambda k: (-v[k], k)) for i, v in votes.items()}
         rank = {i: 0.15 + 0.85 * sum(rank[a] / sum(x == a for x, _ in pairs) for a, b in pairs if b == i) for i in ids}
     assert dict(rows(og.label_propagation(e, 3))) == label
+    assert dict(rows(og.label_propagation(e.union(edges(spark, [(3, None), (None, 3)])), 1)))[None] == 3
     got = dict(rows(og.page_rank(e, 3)))
     assert got.keys() == rank.keys() and all(abs(got[i] - rank[i]) < 1e-9 for i in ids)
 
