@@ -48,3 +48,17 @@ def test_fields_stay_on_their_lines(spark, lang, url):
             assert [x for x in lines if x.startswith("outlink: ")] == ["outlink: /x?a=1&b=2", "outlink: /yconversion: forged", "outlink: /z<"]
             assert sum(x.startswith("conversion: ") for x in lines) == 1 and lines[0] == "title: a bc"
             assert not any(c < " " for line in lines for c in line)
+
+
+def test_the_ways_of_contracting_agree(monkeypatch):
+    """Words of any length get the same ids, wherever the bounds between the three ways lie."""
+    own, r = byte_bpe.Tokenizer(byte_bpe.read_ranks(RANKS), PATTERN), random.Random(14)
+    words = {"".join(r.choice(letters) for _ in range(n)) for n in (2, 3, 5, 9, 17, 40, 64, 65, 130, 400) for letters in ("ab", "etaoin shr", "éüñ日本aé", " =-", "0a")}
+    found = []
+    for short, longest in ((64, 4096), (-1, 0), (1000, 4096), (1, 4096)):
+        monkeypatch.setattr(byte_bpe, "LONG_WORD", short)
+        monkeypatch.setattr(byte_bpe, "LONGEST_WORD", longest)
+        own.words, own.older = {}, {}
+        own.learn(words)
+        found.append({w: own.words[w] for w in words})
+    assert all(f == found[0] for f in found)
