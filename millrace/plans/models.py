@@ -4,7 +4,7 @@ from pyspark.ml import classification as mc, clustering as mk, evaluation as me,
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
-from millrace.operators import features as of, linalg, models as om, sequences
+from millrace.operators import features as of, linalg, models as om, recommend, sequences
 from millrace.registry import query
 
 WIDTH = 64  # of the embeddings
@@ -194,7 +194,7 @@ def ml_prefix_span_sets(t):
 def ml_als(t):
     ratings = t.lineitem.groupBy(F.col("l_suppkey").cast("int").alias("s"), F.col("l_partkey").cast("int").alias("p")).agg(F.sum("l_quantity").alias("q"))
     model = recommendation.ALS(userCol="s", itemCol="p", ratingCol="q", rank=6, maxIter=3, seed=1, coldStartStrategy="drop").fit(ratings)
-    return model.recommendForAllUsers(3).select("s", F.inline("recommendations"))
+    return recommend.best_items(model.userFactors, model.itemFactors, 3).toDF("s", "p", "rating")
 
 
 def _clusters(model, t):
