@@ -18,6 +18,10 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from millrace.functions.times import as_instant
 
+#: states of ``idle_groups``, and the types of keys that share them
+BUCKETS = 1024
+PLAIN = ("tinyint", "smallint", "int", "bigint", "string", "boolean", "binary")
+
 
 def _combined(rows: DataFrame, combine: Callable[[pa.Table], pa.Table], schema: str) -> DataFrame:
     """The rows with those of a key and Arrow batch made fewer by ``combine``."""
@@ -69,33 +73,46 @@ def running_totals(stream: DataFrame, key: str, value: str, row_id: str, initial
 
 
 def idle_groups(stream: DataFrame, key: str, time: str, idle_seconds: int, delay: str) -> DataFrame:
-    """Emit a key's event count and last time once the watermark has moved ``idle_seconds`` past its last event."""
-    kind = stream.schema[key].dataType.simpleString()
+    """Emit a key's event count and last time once the watermark has moved ``idle_seconds`` past its last event.
 
-    def update(keys, frames: Iterator[pd.DataFrame], state: GroupState):
-        if state.hasTimedOut:
-            n, last = state.get
-            state.remove()
-            yield pd.DataFrame({key: [keys[0]], "n": [n], "last_ms": [last]})
-            return
-        n, last = state.get if state.exists else (0, 0)
-        for f in frames:
-            n += len(f)
-            last = max(last, int(f["_ms"].max()))
-        state.update((int(n), int(last)))
-        due = last + idle_seconds * 1000
-        if due > state.getCurrentWatermarkMs():
-            state.setTimeoutTimestamp(due)
+    A state holds the keys of one of ``BUCKETS`` hashes, as each call of Python costs much more than a key, and times out with the
+    first of them; keys of other types than ``PLAIN`` have a state each. The missing key is a bucket of its own.
+    """
+    kind = stream.schema[key].dataType.simpleString()
+    plain = kind in PLAIN
+    idle = idle_seconds * 1000
+
+    def update(group, frames: Iterator[pd.DataFrame], state: GroupState):
+        held, fresh = {}, set()
+        if state.exists:
+            held = {k: (n, last) for k, n, last in zip(*state.get)}
+        if not state.hasTimedOut:
+            for f in frames:
+                found = f.groupby("_k", dropna=False)["_ms"].agg(["size", "max"])
+                for k, n, last in zip(found.index.tolist(), found["size"].tolist(), found["max"].tolist()):
+                    k = None if pd.isna(k) else k
+                    had = held.get(k, (0, 0))
+                    held[k] = (had[0] + n, max(had[1], int(last)))
+                    fresh.add(k)
+        # a key without new rows waits for the watermark to be past its time, one with new rows for no more than to reach it
+        now = state.getCurrentWatermarkMs()
+        ended = [k for k, (_, last) in held.items() if last + idle < now or (last + idle == now and k in fresh)]
+        if ended:
+            rows = [held.pop(k) for k in ended]
+            yield pd.DataFrame({key: pd.Series(ended if plain else [group[0]], dtype=object), "n": [n for n, _ in rows], "last_ms": [last for _, last in rows]})
+        if held:
+            state.update(([*held], [n for n, _ in held.values()], [last for _, last in held.values()]))
+            state.setTimeoutTimestamp(min(last for _, last in held.values()) + idle)
         else:
             state.remove()
-            yield pd.DataFrame({key: [keys[0]], "n": [int(n)], "last_ms": [int(last)]})
 
     # zone-free times are taken as UTC, whatever the session's zone
     at = as_instant(time) if dict(stream.dtypes)[time] == "timestamp_ntz" else F.col(time)
-    rows = stream.select(key, at.alias("_t")).withWatermark("_t", delay)
-    rows = rows.select(key, "_t", F.unix_millis("_t").alias("_ms"))
-    return rows.groupBy(key).applyInPandasWithState(
-        update, f"{key} {kind}, n bigint, last_ms bigint", "n bigint, last_ms bigint", "append", GroupStateTimeout.EventTimeTimeout)
+    bucket = F.coalesce(F.when(F.col(key).isNotNull(), F.pmod(F.xxhash64(key), F.lit(BUCKETS))), F.lit(-1))
+    rows = stream.select((bucket if plain else F.col(key)).alias("_group"), (F.col(key) if plain else F.lit(0)).alias("_k"), at.alias("_t")).withWatermark("_t", delay)
+    rows = rows.select("_group", "_k", "_t", F.unix_millis("_t").alias("_ms"))
+    return rows.groupBy("_group").applyInPandasWithState(
+        update, f"{key} {kind}, n bigint, last_ms bigint", f"keys array<{kind if plain else 'int'}>, n array<bigint>, last_ms array<bigint>", "append", GroupStateTimeout.EventTimeTimeout)
 
 
 @contextmanager

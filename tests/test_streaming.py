@@ -6,6 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from millrace.session import scratch_path
 from millrace.streaming import sinks as sk, sources as ss, state as sx
 
 
@@ -44,6 +45,32 @@ def test_idle_groups_close_after_the_gap(spark):
     assert got == [("a", 2), ("b", 2), ("c", 1)]
 
 
+@pytest.mark.parametrize("kind", ["bigint", "string", "double"])
+def test_idle_groups_share_states(spark, monkeypatch, kind):
+    """Keys of one bucket end at their own times; a key whose time the watermark just reaches waits if it has no new rows."""
+    monkeypatch.setattr(sx, "BUCKETS", 2, raising=False)
+    minute = lambda m: dt.datetime(2024, 1, 1) + dt.timedelta(minutes=m)
+    big = 0 if kind == "double" else 2**60
+    batches = [[(None, 0), (1, 0), (2, 5), (3, 20), (3, 20)], [(4, 40), (1, 38)], [(None, 1), (2, 41), (5, 75)], [(6, 200)]]
+    rows = [[(None if k is None else {"string": f"k{k}", "double": float(k)}.get(kind, big + k), minute(m)) for k, m in b] for b in batches]
+    stream = ss.queue_stream([spark.createDataFrame(b, f"k {kind}, ts timestamp_ntz").coalesce(1) for b in rows], "share")
+    path, _ = sk.run_append(sx.idle_groups(stream, "k", "ts", 1800, "10 minutes"), "share")
+    at = lambda m: int(minute(m).replace(tzinfo=dt.timezone.utc).timestamp() * 1000)
+    # the watermark is 10 before the second batch, 30 before the third: (None, 1) is late, and the first null row's time is reached, not passed
+    want = [(None, 1, 0), (1, 2, 38), (2, 2, 41), (3, 2, 20), (4, 1, 40), (5, 1, 75)]
+    show = lambda k: None if k is None else {"string": f"k{k}", "double": float(k)}.get(kind, big + k)
+    assert sorted(map(repr, spark.read.parquet(path).toLocalIterator())) == sorted(repr(r) for r in spark.createDataFrame([(show(k), n, at(m)) for k, n, m in want], f"k {kind}, n bigint, last_ms bigint").collect())
+
+
+def test_idle_groups_call_python_once_for_many_keys(spark):
+    """Two thousand keys share fewer states than there are keys."""
+    rows = spark.range(2000).select(F.col("id").alias("k"), F.lit(dt.datetime(2024, 1, 1)).cast("timestamp_ntz").alias("ts")).coalesce(1)
+    q = sx.idle_groups(ss.queue_stream([rows], "many"), "k", "ts", 1800, "10 minutes").writeStream.outputMode("append").format("noop")
+    q = q.option("checkpointLocation", scratch_path(spark, "many")).trigger(availableNow=True).start()
+    sk.finish(q)
+    assert max(p["stateOperators"][0]["numRowsTotal"] for p in q.recentProgress) <= 1025
+
+
 def test_running_totals_over_batches(spark):
     rnd = random.Random(2)
     data = [(i, rnd.choice("xy"), float(i % 5)) for i in range(200)]
