@@ -8,19 +8,26 @@ bounded.
 from __future__ import annotations
 
 import math
+import sys
+import warnings
 
 from collections.abc import Callable
 from functools import reduce
 
+from pyspark.ml.clustering import KMeans, PowerIterationClustering
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, functions as F
 
 from millrace.session import checkpointed, task_slots
+from millrace.sources.tables import bucketed_table
 
 #: out-edges of a list of targets, about
 FAN = 1024
 #: votes of a task, about, and the parts that a vertex's votes are dealt to
 TASK_ROWS = 1_000_000
 PARTS = 16
+#: edges up to which the library clusters by power iteration; it keeps a copy of the graph of each round in memory
+LIBRARY_EDGES = 1_000_000
 
 
 def vertices_of(edges: DataFrame) -> DataFrame:
@@ -208,6 +215,73 @@ def page_rank(edges: DataFrame, iterations: int | None = 10, tolerance: float |
     return ranks
 
 
+def power_iteration_clusters(edges: DataFrame, k: int, max_iterations: int = 20, start: str = "random", library_edges: int | None = None) -> DataFrame:
+    """``id`` and ``cluster`` of each vertex of an undirected graph of edges (``src``, ``dst``, ``w``), by power iteration clustering.
+
+    Up to ``library_edges`` pairs of vertices (``LIBRARY_EDGES``) this is the library's own; beyond, the same steps run over tables:
+    the weights of a vertex are divided by their sum, the matrix is applied to a ``start`` ("random" or "degree") until the
+    steps' difference settles, but ``max_iterations`` times at most, and the values are clustered by k-means. Repeated edges add up, loops
+    are left out, a missing id or a weight that is missing, negative or not finite is an error, as in the library. The random
+    start is normally distributed as the library's, but drawn by vertex id: the library's own depends on how many
+    tasks there are, and so do its clusters. The start of k-means depends on the layout in both.
+    """
+    if start not in ("random", "degree"):
+        raise ValueError(f"no start {start}")
+    given = edges.select(F.col("src").cast("bigint"), F.col("dst").cast("bigint"), F.col("w").cast("double"))
+    wrong = F.col("src").isNull() | F.col("dst").isNull() | F.col("w").isNull() | F.isnan("w") | (F.col("w") < 0) | (F.col("w") == math.inf)
+    links = checkpointed(given.groupBy("src", "dst").agg(F.sum("w").alias("w"), F.count_if(wrong).alias("wrong")))
+    if links.count() <= (LIBRARY_EDGES if library_edges is None else library_edges):
+        return PowerIterationClustering(k=k, maxIter=max_iterations, initMode=start, srcCol="src", dstCol="dst", weightCol="w").assignClusters(edges)
+    count, bad = links.agg(F.count_if(F.col("src") != F.col("dst")), F.sum("wrong")).first()
+    if bad:
+        raise ValueError(f"{bad} edges with a missing id or a weight that is missing, negative or not finite")
+    links = links.where("src <> dst").drop("wrong")
+    links = links.union(links.select("dst", "src", "w"))
+    ends = checkpointed(links.groupBy("src").agg(F.sum("w").alias("total"), F.ceil(F.count("*") / FAN).alias("lists")))
+    fans = _weighted_fans(links, ends, 2 * count)
+    x = F.col("total") if start == "degree" else _normal("src")
+    state = checkpointed(ends.select(F.col("src").alias("id"), "total", "lists", x.alias("x")))
+    vertices, norm = state.agg(F.count("*"), F.sum(F.abs("x"))).first()
+    tolerance = max(1e-5 / max(vertices, 1), 1e-8)
+    x = F.col("x") / (norm or math.nan)
+    moved = settled = sys.float_info.max
+    for _ in range(max_iterations):
+        if not settled > tolerance:
+            break
+        # a vertex's value goes to each of its lists; these stay where they are
+        told = state.select(F.col("id").alias("src"), F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("lists") - 1)).alias("_part"), x.alias("x"))
+        sent = fans.join(told.hint("shuffle_hash"), ["src", "_part"]).select("x", F.inline(F.arrays_zip("dst", "w")).alias("id", "w"))
+        merged = sent.groupBy("id").agg(F.sum(F.col("x") * F.col("w")).alias("y"))
+        old = state.select("id", "total", "lists", x.alias("old"))
+        state = checkpointed(old.join(merged, "id").select("id", "total", "lists", "old", (F.col("y") / F.greatest("total", F.lit(sys.float_info.epsilon))).alias("x")))
+        norm = state.agg(F.sum(F.abs("x"))).first()[0] or math.nan
+        x = F.col("x") / norm
+        was, (moved, across, square) = moved, state.agg(F.sum(F.abs(F.col("old") - x)), F.sum(F.col("old") * x), F.sum(F.col("old") * F.col("old"))).first()
+        settled = abs(moved - was)
+        if settled < tolerance and abs(norm - abs(across / square)) > tolerance:
+            warnings.warn("the power iteration may not have converged", stacklevel=2)
+    points = state.select("id", array_to_vector(F.array(x)).alias("features"))
+    model = KMeans(k=k, seed=0, maxIter=20, initSteps=2, tol=1e-4, solver="row").fit(points)
+    return model.transform(points).select("id", F.col("prediction").alias("cluster"))
+
+
+def _weighted_fans(links: DataFrame, ends: DataFrame, count: int) -> DataFrame:
+    """The edges as (``src``, ``_part``, ``dst``, ``w``): lists of up to about ``FAN`` targets and weights, in buckets of about ``TASK_ROWS``
+    edges, so that a round moves no list. Only vertices with several lists are looked up to deal their edges.
+    """
+    wide = checkpointed(ends.where("lists > 1").select("src", "lists"))
+    dealt = links.join(wide, "src", "left").withColumn("_part", F.coalesce(F.pmod(F.xxhash64("dst"), F.col("lists")), F.lit(0).cast("bigint")))
+    buckets = max(task_slots(links.sparkSession), -(-count // TASK_ROWS))
+    lists = dealt.repartition(buckets, "src", "_part").groupBy("src", "_part").agg(F.collect_list(F.struct("dst", "w")).alias("fan"))
+    return bucketed_table(lists.select("src", "_part", "fan.dst", "fan.w"), "fans", ["src", "_part"], buckets, rebalance=False)
+
+
+def _normal(key: str) -> Column:
+    """A normally distributed number by a key alone."""
+    even = [(F.shiftrightunsigned(F.xxhash64(key, F.lit(seed)), 11) + 1) * 2.0**-53 for seed in (1, 2)]
+    return F.sqrt(-2 * F.log(even[0])) * F.cos(2 * math.pi * even[1])
+
+
 def transitive_closure(edges: DataFrame, max_rounds: int = 64) -> DataFrame:
     """All reachable pairs. Each round joins the new paths with all known ones, so path lengths double."""
     known = checkpointed(edges.select("src", "dst").distinct())

@@ -178,8 +178,6 @@ def graph_partition_cuts(t):
 
 @query("graph_pic")
 def graph_pic(t):
-    from pyspark.ml.clustering import PowerIterationClustering
-
     # even ids are suppliers, odd ones parts
     weights = t.lineitem.groupBy((2 * F.col("l_suppkey")).alias("src"), (2 * F.col("l_partkey") + 1).alias("dst")).agg(F.sum("l_quantity").alias("w"))
-    return PowerIterationClustering(k=3, maxIter=5, srcCol="src", dstCol="dst", weightCol="w").assignClusters(weights)
+    return og.power_iteration_clusters(weights, 3, 5)

@@ -9,14 +9,15 @@ from pyspark.sql import DataFrame
 from millrace.session import scratch_path
 
 
-def bucketed_table(df: DataFrame, label: str, keys: list[str], buckets: int, sort: list[str] | None = None) -> DataFrame:
+def bucketed_table(df: DataFrame, label: str, keys: list[str], buckets: int, sort: list[str] | None = None, rebalance: bool = True) -> DataFrame:
     """Write a table clustered by ``keys``; joins and groups on those keys then need no shuffle.
 
-    The rebalance before the write splits a hot bucket over several tasks and files.
+    The rebalance before the write splits a hot bucket over several tasks and files; without it, rows that lie in ``buckets``
+    partitions by the keys become a file each.
     """
     spark = df.sparkSession
     name = f"millrace_{label}_{uuid.uuid4().hex}"
-    writer = df.hint("rebalance", *keys).write.format("parquet").bucketBy(buckets, *keys).sortBy(*(sort or keys))
+    writer = (df.hint("rebalance", *keys) if rebalance else df).write.format("parquet").bucketBy(buckets, *keys).sortBy(*(sort or keys))
     writer.option("path", scratch_path(spark, label)).saveAsTable(name)
     return spark.table(name)
 

@@ -5,6 +5,7 @@ from collections import Counter, defaultdict
 
 import pytest
 from pyspark.errors import AnalysisException
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Window, functions as F
 
 from millrace.functions import casts, rows as fr
@@ -507,6 +508,67 @@ def test_votes_and_ranks_travel_as_lists(spark, monkeypatch):
     assert got.keys() == rank.keys() and all(abs(got[i] - rank[i]) < 1e-9 for i in ids)
 
 
+class Values:
+    """Gives out each point's value in place of a cluster."""
+
+    def __init__(self, **_):
+        self.fit = lambda points: self
+
+    def transform(self, points):
+        return points.withColumn("prediction", vector_to_array("features")[0])
+
+
+def test_power_iteration_over_tables(spark, monkeypatch):
+    """Beyond the library's edges the same steps run over tables: lists of a hub are several, repeated edges add up, loops are none."""
+    from pyspark.ml.clustering import PowerIterationClustering
+
+    monkeypatch.setattr(og, "FAN", 4)
+    monkeypatch.setattr(og, "TASK_ROWS", 40)
+    r = random.Random(5)
+    pairs = [(b, a, r.uniform(0.5, 1.5)) for g in (range(0, 8), range(20, 34), range(50, 75)) for a in g for b in g if a < b and r.random() < 0.7]
+    pairs += [(0, 20, 0.01), (21, 50, 0.02), (7, 7, 3.0), (99, 99, 1.0), (90, 91, 0.0), (50, 51, 0.5), (51, 50, 0.25), (50, 51, 0.5)]
+    e = spark.createDataFrame(pairs, "src int, dst long, w double")
+    parts = lambda df: {frozenset(x["ids"]) for x in df.groupBy("cluster").agg(F.collect_list("id").alias("ids")).collect()}
+    monkeypatch.setattr(og, "PowerIterationClustering", None)  # the library is for small graphs only
+    for steps in (1, 6):
+        got = og.power_iteration_clusters(e, 3, steps, "degree", 0)
+        assert got.schema.simpleString() == "struct<id:bigint,cluster:int>"
+        assert parts(got) == parts(PowerIterationClustering(k=3, maxIter=steps, initMode="degree", weightCol="w").assignClusters(e))
+    # the values by hand; the random start goes by vertex id, so tasks and lists do not tell
+    total, near = Counter(), defaultdict(Counter)
+    for a, b, w in pairs:
+        for x, y in ((a, b), (b, a)) if a != b else ():
+            near[x][y] += w
+            total[x] += w
+    want = dict(rows(spark.createDataFrame([(i,) for i in near], "id long").select("id", og._normal("id"))))
+    for _ in range(3):
+        want = {i: sum(w * want[j] for j, w in near[i].items()) / (total[i] or 1) for i in near}
+        want = {i: x / sum(map(abs, want.values())) for i, x in want.items()}
+    monkeypatch.setattr(og, "KMeans", Values)
+    for fan, rows_of_task in ((4, 40), (1000, 10**6)):
+        monkeypatch.setattr(og, "FAN", fan)
+        monkeypatch.setattr(og, "TASK_ROWS", rows_of_task)
+        seen = rows(og.power_iteration_clusters(e, 3, 3, library_edges=0))
+        assert len(seen) == len(want) == 49 and all(abs(x - want[i]) < 1e-12 for i, x in seen)
+    for bad in ((None, 3, 1.0), (3, None, 1.0), (3, 4, None), (3, 4, -1.0), (3, 4, float("nan")), (3, 4, float("inf"))):
+        with pytest.raises(ValueError, match="1 edges with a missing id or a weight"):
+            og.power_iteration_clusters(e.union(spark.createDataFrame([bad], e.schema)), 3, 5, library_edges=0)
+
+
+def test_a_random_start_is_normal(spark):
+    mean, spread, tail, n = spark.range(200_000).select(og._normal("id").alias("x")).agg(F.avg("x"), F.stddev("x"), F.avg((F.abs("x") > 1.96).cast("int")), F.countDistinct("x")).first()
+    assert abs(mean) < 0.01 and abs(spread - 1) < 0.01 and abs(tail - 0.05) < 0.003 and n == 200_000
+
+
+def test_lists_of_a_graph_are_not_moved(spark):
+    e = spark.createDataFrame([(i, (i * 7 + 1) % 50, 1.0) for i in range(50)], "src long, dst long, w double")
+    ends = e.groupBy("src").agg(F.lit(1).cast("bigint").alias("lists"))
+    fans = og._weighted_fans(e, ends, 50)
+    told = spark.range(50).select(F.col("id").alias("src"), (F.col("id") % 1).alias("_part"), F.lit(1.0).alias("x"))
+    plan = fans.join(told.hint("shuffle_hash"), ["src", "_part"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "ShuffledHashJoin" in plan
+
+
 def test_a_fit_is_cut_into_tasks(spark, monkeypatch):
     from millrace.operators import models as om
 
