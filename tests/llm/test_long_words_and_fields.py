@@ -62,3 +62,30 @@ def test_the_ways_of_contracting_agree(monkeypatch):
         own.learn(words)
         found.append({w: own.words[w] for w in words})
     assert all(f == found[0] for f in found)
+
+
+def test_very_long_words_are_contracted_and_decoded_by_the_queries():
+    """Merges and bytes of a very long word are those of the database's tables, not of a way beside them."""
+    word = "".join(random.Random(15).choice("etaoinshr") for _ in range(5000))
+    own = byte_bpe.Tokenizer(byte_bpe.read_ranks(RANKS), PATTERN)
+    own.con.execute("UPDATE tokens SET hex = '2a'")
+    own.learn({word})
+    count, _, _, decoded = own.words[word]
+    assert decoded == b"*" * count and 0 < count < 5000
+    own = byte_bpe.Tokenizer(byte_bpe.read_ranks(RANKS), PATTERN)
+    own.con.execute("DELETE FROM merges")
+    own.learn({word})
+    assert own.words[word][0] == 5000
+
+
+def test_pieces_of_very_long_words_are_put_together():
+    """Runs whose tokens begin elsewhere in each piece, few letters, and words without a cut, against the tokenizer's own library."""
+    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(RANKS, "rb"))}
+    lib, own, r = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}), byte_bpe.Tokenizer(byte_bpe.read_ranks(RANKS), PATTERN), random.Random(16)
+    words = ["-" * 5003, "é" * 3001, "日" * 2003, "日本語" * 900, "".join(r.choice("etaoin") for _ in range(6000)), "".join(r.choice(["inter", "national", "ation", "und"]) for _ in range(1500))]
+    own.learn({*words})
+    for word in words:
+        count, digest, packed, decoded = own.words[word]
+        want = lib._encode_single_piece(word.encode())
+        assert [int.from_bytes(packed[at : at + 4], "little") for at in range(0, len(packed), 4)] == want
+        assert count == len(want) and digest == ",".join(map(str, want)).encode() and decoded == word.encode()
