@@ -121,3 +121,30 @@ def test_min_hash_join_is_the_models_own(spark):
     want = model.approxSimilarityJoin(left, right, 0.7, "distance").select("datasetA.id", "datasetB.id", "distance")
     got = si.min_hash_join(left, right, model, 0.7)
     assert sorted(map(repr, map(tuple, got.collect()))) == sorted(map(repr, map(tuple, want.collect()))) and got.count() > 50
+
+
+def laid_down(monkeypatch):
+    """The tables that the joins write, with the plans that they are made by."""
+    made, keep = [], si.checkpointed
+
+    def checkpointed(df):
+        out = keep(df)
+        made.append((out, df._jdf.queryExecution().executedPlan().toString()))
+        return out
+
+    monkeypatch.setattr(si, "checkpointed", checkpointed)
+    return made
+
+
+def test_sets_are_written_once(spark, monkeypatch):
+    """A set's items are on disk once, and nothing else of a set grows with its items but bits."""
+    r, made = random.Random(21), laid_down(monkeypatch)
+    sets = {i: frozenset(r.sample(range(20_000), 300)) for i in range(400)}
+    sets |= {1000 + i: sets[i] ^ {i} for i in range(0, 400, 8)} | {2000 + i: sets[i] for i in range(5)}
+    df = spark.createDataFrame([(i, [f"word{x}" for x in s]) for i, s in sets.items()], "id int, items array<string>")
+    whole, members = si.distinct_sets(df, "id", F.col("items"))
+    got = sorted(map(tuple, si.set_join(whole, None, 0.7).collect()))
+    assert got == sorted((i, 1000 + i, len(sets[i] & sets[1000 + i])) for i in range(0, 400, 8)) and members.count() == len(sets)
+    rows = [(out.count(), len(out.columns), "items" in out.columns) for out, _ in made]
+    assert sum(n for n, _, items in rows if items) <= 1.05 * len(sets)
+    assert sum(n for n, _, items in rows if not items) <= 6 * len(sets)  # some 90 rows a set before
