@@ -148,3 +148,19 @@ def test_sets_are_written_once(spark, monkeypatch):
     rows = [(out.count(), len(out.columns), "items" in out.columns) for out, _ in made]
     assert sum(n for n, _, items in rows if items) <= 1.05 * len(sets)
     assert sum(n for n, _, items in rows if not items) <= 6 * len(sets)  # some 90 rows a set before
+
+
+def test_sets_of_few_items_meet_in_blocks(spark, monkeypatch):
+    """Two sides with forty items in all: sets are not laid out by their items, and pairs that are counted are alike."""
+    r, made = random.Random(22), laid_down(monkeypatch)
+    monkeypatch.setattr(si, "BLOCK", 64)
+    monkeypatch.setattr(si, "TILE", (8, 16))
+    sets = {i: frozenset(x for x in range(40) if r.random() < 0.55) for i in range(500)}
+    sets |= {1001 + i: sets[i] ^ {3, 7} for i in range(0, 500, 10)}
+    rows = [(i, sorted(s)) for i, s in sets.items()]
+    left, right = (si.distinct_sets(spark.createDataFrame([x for x in rows if x[0] % 2 == k], "id int, items array<int>"), "id", F.col("items"))[0] for k in (0, 1))
+    del made[:]
+    want = sorted((i, j, len(s & t)) for i, s in sets.items() for j, t in sets.items() if i % 2 == 0 and j % 2 and len(s & t) >= 0.8 * len(s | t))
+    assert sorted(map(tuple, si.set_join(left, right, 0.8).collect())) == want and len(want) >= 50
+    laid = [out.count() for out, _ in made if out.columns == ["a", "b"]]
+    assert laid == [len(want)] and sum(out.count() for out, _ in made) <= 1.5 * len(sets) + 2 * len(want)
