@@ -376,5 +376,4 @@ def join_near_vectors(t):
     vectors = t.embeddings.select("vec_id", "embedding")
     length = F.sqrt(F.aggregate("embedding", F.lit(0.0), lambda s, x: s + x.cast("double") * x))
     facts = vectors.agg(F.avg(length).alias("length"), F.max(F.size("embedding")).alias("width")).first()
-    left, right = (vectors.select(F.col("vec_id").alias(side), "embedding") for side in "ab")
-    return similarity.near_join(left, right, "embedding", 0.6 * facts["length"], facts["width"], 3).where("a < b").withColumn("distance", F.round("distance", 6))
+    return similarity.near_pairs(vectors, "vec_id", "embedding", 0.6 * facts["length"], facts["width"], 3).withColumn("distance", F.round("distance", 6))

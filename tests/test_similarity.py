@@ -164,3 +164,31 @@ def test_sets_of_few_items_meet_in_blocks(spark, monkeypatch):
     assert sorted(map(tuple, si.set_join(left, right, 0.8).collect())) == want and len(want) >= 50
     laid = [out.count() for out, _ in made if out.columns == ["a", "b"]]
     assert laid == [len(want)] and sum(out.count() for out, _ in made) <= 1.5 * len(sets) + 2 * len(want)
+
+
+def test_boxes_are_not_copied_for_their_meetings(spark, monkeypatch):
+    """A table's near pairs with itself, equal ids and vectors among them: boxes are written once and read again for each meeting."""
+    made = laid_down(monkeypatch)
+    monkeypatch.setattr(si, "BOX", 30)
+    r = random.Random(23)
+    rows = [(i % 300, [r.gauss(0, 1) for _ in range(6)]) for i in range(320)] + [(1000 + i, [0.25] * 6) for i in range(50)] + [(2000, None), (2001, [1.0])]
+    df = spark.createDataFrame(rows, "id int, v array<float>")
+    left, right = df.toDF("a", "v").where("size(v) = 6"), df.toDF("b", "w").where("size(w) = 6")
+    wide = lambda c: F.col(c).cast("array<double>")
+    want = left.crossJoin(right).where("a < b").withColumn("distance", si.distance(wide("v"), wide("w"))).where("distance <= 1.4").select("a", "b", "distance")
+    got = si.near_pairs(df, "id", "v", 1.4, 6, 3)
+    assert got.columns == ["a", "b", "distance"] and sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect())) and got.count() > 1300
+    (plan,) = [plan for out, plan in made if out.columns == ["a", "b", "distance"]]
+    assert "CartesianProduct" in plan and "FlatMapCoGroups" not in plan
+    assert sum(out.count() for out, _ in made if "_v" in out.columns) < 30
+    assert si.near_pairs(df.limit(0), "id", "v", 1.4, 6, 3).collect() == []
+
+
+def test_ranges_beyond_single_precision():
+    """Very long and very short vectors are measured as others are."""
+    import numpy as np
+
+    for scale in (1e-30, 1.0, 1e18, 1e40):
+        u = np.random.default_rng(24).normal(size=(40, 5)) * scale
+        found = {(int(i), int(j)) for a, b, _ in si._near_pairs(u, u, 1.5 * scale, True) for i, j in zip(a, b)}
+        assert found == {(i, j) for i in range(40) for j in range(i + 1, 40) if np.sqrt(((u[i] - u[j]) ** 2).sum()) <= 1.5 * scale} and found
