@@ -46,9 +46,10 @@ def distinct_sets(df: DataFrame, id_col: str, items: Column) -> tuple[DataFrame,
     in their place: only sets of ids that stand for no set, or come several times, are dealt out.
     """
     # sort_array compares by code that is made for the type
-    sets = df.select(F.col(id_col).alias("member"), F.sort_array(F.array_distinct(F.filter(items, lambda x: x.isNotNull()))).alias("items")).where("size(items) > 0")
+    sets = df.select(F.col(id_col).alias("member"), F.sort_array(F.array_distinct(F.filter(items, lambda x: x.isNotNull()))).alias("items"))
     # equal sets meet by a digest, so that the arrays themselves are not the key of the shuffle's order
-    keyed = checkpointed(sets.withColumn("key", F.sha2(F.to_json("items"), 256)))
+    # what is empty goes when it is written: before, the sets would be made twice, for the test and for the result
+    keyed = checkpointed(sets.withColumn("key", F.sha2(F.to_json("items"), 256))).where("size(items) > 0")
     named = checkpointed(keyed.groupBy("key").agg(F.min("member").alias("id")))
     members = checkpointed(keyed.select("key", "member").join(named, "key").select("id", "member"))
     seen = members.groupBy("member").agg(F.count("*").alias("rows"), F.min("id").alias("id"))
